@@ -54,5 +54,4 @@ def normalize_price(raw_col) -> tuple[Column, Column]:
 
 def format_price(col, sep: str = ",") -> Column:
     """DECIMAL -> menu text ``7,70 €``."""
-    return F.concat(F.replace(F.format_string("%.2f", _c(col).cast(PRICE_TYPE)), F.lit("."), F.lit(sep)),
-                    F.lit(" €"))
+    return F.concat(F.replace(_c(col).cast(PRICE_TYPE).cast("string"), F.lit("."), F.lit(sep)), F.lit(" €"))
