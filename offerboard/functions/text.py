@@ -26,8 +26,8 @@ HTML_ENTITIES = [
 ]
 
 # Leading/trailing white space including the no-break space; Spark's trim()
-# only strips ASCII spaces.
-_EDGE_WS = r"^[\s\x{A0}]+|[\s\x{A0}]+$"
+# only strips ASCII spaces. btrim with a character set avoids a regex per value.
+EDGE_WS_CHARS = " \t\n\x0b\f\r\u00a0"
 
 # Trailing allergen / additive code list such as "a,g.i", "ag", "aw,i,j,11",
 # "a.aWc239": a short lower-case token, or a token holding digits or
@@ -47,7 +47,7 @@ def ascii_fold(col) -> Column:
 
 
 def strip_ws(col) -> Column:
-    return F.regexp_replace(_c(col), _EDGE_WS, "")
+    return F.btrim(_c(col), F.lit(EDGE_WS_CHARS))
 
 
 def normalize_space(col) -> Column:

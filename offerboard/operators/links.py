@@ -113,10 +113,9 @@ def page_text(pages: DataFrame, html: str = "html", out: str = "text") -> DataFr
 
 def page_lines(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
     """B17 as rows: (page_id, pos, line); pos is the fragment index in the page."""
-    parts = pages.select(id_col, F.posexplode(F.split(H.strip_non_text(F.col(html)), H.TAG)).alias("pos", "raw"))
-    return (parts.select(id_col, F.col("pos").cast("bigint").alias("pos"),
-                         strip_ws(html_unescape(F.col("raw"))).alias("line"))
-            .filter(F.col("line") != ""))
+    frags = F.transform(F.split(H.strip_non_text(F.col(html)), H.TAG), lambda p: strip_ws(html_unescape(p)))
+    parts = pages.select(id_col, F.posexplode(frags).alias("pos", "line"))
+    return parts.filter(F.col("line") != "").select(id_col, F.col("pos").cast("bigint").alias("pos"), "line")
 
 
 def clean_pages(pages: DataFrame, safe_attrs=tuple(H.SAFE_ATTRS), kill_tags=tuple(H.KILL_TAGS),

@@ -33,9 +33,10 @@ def _c(col) -> Column:
 
 def to_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, pos, line) for every line of every text, line trimmed."""
-    return docs.select(F.col(id_col).alias("doc_id"),
-                       F.posexplode(F.split(F.col(text_col), r"\r?\n")).alias("pos", "line")) \
-        .select("doc_id", F.col("pos").cast("bigint").alias("pos"), strip_ws(F.col("line")).alias("line"))
+    # trimmed inside the array, so later predicates read one computed value per line
+    lines = F.transform(F.split(F.col(text_col), r"\r?\n"), strip_ws)
+    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(lines).alias("pos", "line")) \
+        .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "line")
 
 
 def heading_word(line, words=tuple(WEEKDAYS)) -> Column:

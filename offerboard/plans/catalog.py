@@ -26,7 +26,7 @@ from offerboard.operators import menus as C
 from offerboard.operators import nodes as N
 from offerboard.operators import quality as Q
 from offerboard.plans import views as V
-from offerboard.session import shared_dir
+from offerboard.session import materialize, shared_dir
 from offerboard.sources import readers as R
 from offerboard.sources import sinks as S
 
@@ -326,7 +326,8 @@ def q_page_artifacts(spark, sf):
 
 # Node-table queries (B1, B6, B8-B13, B18): no SQL oracle.
 def _nodes(spark, sf, with_sv=True):
-    return N.html_nodes(V.table(spark, sf, "pages"), with_string_value=with_sv)
+    """The node table, computed once per query and read back by every branch."""
+    return materialize(N.html_nodes(V.table(spark, sf, "pages"), with_string_value=with_sv), "nodes", spark)
 
 
 @register("html_nodes")
@@ -364,7 +365,7 @@ def q_class_parents(spark, sf):
 def q_chosen_blocks(spark, sf):
     """B11-B13 + B18 + B17: container of the h1 heading (else the keyword block), wrapped and reduced to text."""
     pages = V.table(spark, sf, "pages")
-    nodes = N.html_nodes(pages)
+    nodes = _nodes(spark, sf)
     primary = N.heading_container(nodes, "h1", "the", "article", "post")
     fallback = N.keyword_container(nodes, ["nicht", "the"], "div")
     chosen = N.coalesce_blocks(primary, fallback)

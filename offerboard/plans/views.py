@@ -14,13 +14,21 @@ from pyspark.sql import functions as F
 
 from offerboard.functions.dates import week_label
 from offerboard.operators.quality import normalize_price
+from offerboard.session import spread
 
 BOARD_DATE = "2024-01-09"
 WEEK_LOCATION = "purchase"
 
 
+# text-heavy tables and the key their per-row work can be spread on
+TEXT_TABLES = {"pages": "page_id", "documents": "doc_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        df = spread(df, TEXT_TABLES[name], spark)
+    return df
 
 
 def offers_from_events(events: DataFrame) -> DataFrame:

@@ -65,3 +65,31 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, key: str, spark: SparkSession | None = None):
+    """Hash-partition ``df`` on ``key`` when its scan yields fewer tasks than the cluster has cores.
+
+    CPU-heavy per-row stages (HTML parsing, regex over long texts) need at least
+    one task per core. A large input already has one task per file split and is
+    left as it is (no shuffle); a small file with one row group would otherwise
+    run in a single task.
+    """
+    spark = spark or df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key)
+
+
+def materialize(df, name: str, spark: SparkSession | None = None):
+    """Write ``df`` once as parquet under the shared folder and read it back.
+
+    Cuts the lineage of an expensive stage (the Python node table) that
+    several branches of a plan read: it is computed once, survives executor
+    loss, and later reads prune columns.
+    """
+    spark = spark or df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
