@@ -69,9 +69,17 @@ def document_text(lines: DataFrame, key: str = "doc_id", pos: str = "pos", line:
 
 
 def lines_sink(lines: DataFrame, path: str, key: str = "doc_id", pos: str = "pos", line: str = "line",
-               first_only: bool = False) -> None:
-    """Write each document's lines as text, one output row per document."""
-    document_text(lines, key, pos, line, first_only).select("text").write.mode("overwrite").text(path)
+               first_only: bool = False, fmt: str = "json") -> None:
+    """Write each document's ordered lines as one record (key, text).
+
+    JSON lines keep multi-line texts apart; ``fmt='text'`` writes the bare
+    texts one after another, as a plain text file would hold them.
+    """
+    out = document_text(lines, key, pos, line, first_only)
+    if fmt == "text":
+        out.select("text").write.mode("overwrite").text(path)
+    else:
+        out.write.mode("overwrite").format(fmt).save(path)
 
 
 def csv_sink(df: DataFrame, path: str, header: bool = False) -> None:
