@@ -115,13 +115,13 @@ def q_offers(spark, sf):
 @register("day_offers", f"WITH {OFFERS_CTE} SELECT location, pos, \"desc\", price FROM offers WHERE offer_key = '{V.BOARD_DATE}'")
 def q_day_offers(spark, sf):
     """D3."""
-    return B.day_offers(V.offers(spark, sf), V.BOARD_DATE).select("location", "pos", "desc", "price")
+    return B.day_offers(V.board_offers(spark, sf), V.BOARD_DATE).select("location", "pos", "desc", "price")
 
 
 @register("week_offers", f"WITH {OFFERS_CTE} SELECT location, pos, \"desc\", price FROM offers WHERE offer_key = {_board_week(_BD)}")
 def q_week_offers(spark, sf):
     """D4 (board-style week label, as the board computes it)."""
-    return B.week_offers(V.offers(spark, sf), V.BOARD_DATE, "board").select("location", "pos", "desc", "price")
+    return B.week_offers(V.board_offers(spark, sf), V.BOARD_DATE, "board").select("location", "pos", "desc", "price")
 
 
 @register("board_summary", f"""
@@ -135,7 +135,7 @@ SELECT l.location, l.name, l.link,
 FROM locations l LEFT JOIN counts c USING (location)""")
 def q_board_summary(spark, sf):
     """Every location, its day/week counts, details label and has_offers."""
-    return B.board_summary(V.offers(spark, sf), V.locations(spark, sf), V.BOARD_DATE)
+    return B.board_summary(V.board_offers(spark, sf), V.locations(spark, sf), V.BOARD_DATE)
 
 
 @register("board_rows", f"""
@@ -148,7 +148,7 @@ UNION ALL SELECT location, 0, 0, NULL, 'label', '{B.DAY_LABEL}', NULL FROM both_
 UNION ALL SELECT location, 1, 0, NULL, 'label', '{B.WEEK_LABEL}', NULL FROM both_kinds""")
 def q_board_rows(spark, sf):
     """D8 + D10: display rows with section labels."""
-    return B.board_rows(V.offers(spark, sf), V.BOARD_DATE)
+    return B.board_rows(V.board_offers(spark, sf), V.BOARD_DATE)
 
 
 @register("week_labels", f"""
@@ -539,7 +539,8 @@ def q_new_links(spark, sf):
     abs_links = L.absolutize(links, L.site_base("url"), out="abs_url") \
         .select(F.col("url").alias("page_url"), F.col("abs_url").alias("url"))
     seen = abs_links.filter(F.col("page_url").startswith("http://")).select("url")
-    return E.new_links(abs_links.select("url"), seen).distinct()
+    # de-duplicate before the anti join: a url on every page collapses map-side
+    return E.new_links(abs_links.select("url").distinct(), seen)
 
 
 _CUTOFF = "2024-01-15"
@@ -594,7 +595,7 @@ CASE WHEN starts_with(href, 'http') THEN href ELSE {_SITE_BASE} || href END AS u
 def q_stream_new_links(spark, sf):
     """Streaming seen-set: each absolute link is emitted once over all arriving pages."""
     from offerboard.streaming.offers_stream import run_new_links_stream
-    return spark.read.parquet(run_new_links_stream(spark, sf)).select("url")
+    return spark.read.parquet(run_new_links_stream(spark, sf)).select("url")  # every url once over all epochs
 
 
 # ---------------------------------------------------------------- F: quality
@@ -668,8 +669,8 @@ WITH w AS (SELECT conv_id, role, CAST(len(list_filter(string_split_regex(text, '
 u AS (SELECT CAST(conv_id AS VARCHAR) AS location, 'rules' AS provider, 'words' AS model,
         CASE WHEN role = 'assistant' THEN 0 ELSE n END AS prompt_tokens,
         CASE WHEN role = 'assistant' THEN n ELSE 0 END AS completion_tokens, n AS total_tokens FROM w)
-SELECT location, provider, model, count(*) AS n_records, sum(prompt_tokens) AS prompt_tokens,
-  sum(completion_tokens) AS completion_tokens, sum(total_tokens) AS total_tokens,
+SELECT location, provider, model, count(*) AS n_records, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens,
+  CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens, CAST(sum(total_tokens) AS BIGINT) AS total_tokens,
   bool_and(coalesce(total_tokens = prompt_tokens + completion_tokens, false)) AS totals_ok
 FROM u GROUP BY ALL""")
 def q_usage_summary(spark, sf):
@@ -698,3 +699,11 @@ def q_csv_roundtrip(spark, sf):
     cells = R.scan_csv_table(spark, path, header=False, glob="*.csv")
     return R.csv_table_columns(cells, ["o_orderkey", "o_orderstatus", "o_orderpriority"], keep_cols=[0, 2, 3]) \
         .select("o_orderkey", "o_orderstatus", "o_orderpriority")
+
+
+@register("stream_seen_links", f"""WITH {LINKS_CTE} SELECT DISTINCT
+CASE WHEN starts_with(href, 'http') THEN href ELSE {_SITE_BASE} || href END AS url FROM links""")
+def q_stream_seen_links(spark, sf):
+    """E1 + E5 over a stream: per micro-batch, new urls appended to a seen table (foreachBatch)."""
+    from offerboard.streaming.offers_stream import run_seen_table_stream
+    return spark.read.parquet(run_seen_table_stream(spark, sf)).select("url")

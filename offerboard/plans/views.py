@@ -9,6 +9,8 @@ Everything is derived by Spark from the tables, so the work grows with them.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,23 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offers_from_events(table(spark, sf_dir, "events"))
 
 
+def board_offers(spark: SparkSession, sf_dir: str, date: str = BOARD_DATE) -> DataFrame:
+    """Offers that can match the board of ``date``.
+
+    Both the day key and the week key of a date come from events of that
+    date's Monday-to-Sunday week, so a ``ts`` range on the raw table is exact.
+    Being a plain column range it reaches the parquet scan (row-group skipping
+    on time-clustered files) instead of a derived key tested row by row.
+    """
+    d = dt.date.fromisoformat(date)
+    monday = d - dt.timedelta(days=d.weekday())
+    lo, hi = dt.datetime.combine(monday, dt.time()), dt.datetime.combine(monday + dt.timedelta(days=7), dt.time())
+    ev = table(spark, sf_dir, "events")
+    ts_type = ev.schema["ts"].dataType.simpleString()
+    ev = ev.filter((F.col("ts") >= F.lit(lo).cast(ts_type)) & (F.col("ts") < F.lit(hi).cast(ts_type)))
+    return offers_from_events(ev)
+
+
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(location, name, link, details): one row per event type; 'error' has no details."""
     types = table(spark, sf_dir, "events").select(F.col("event_type").alias("location")).distinct()

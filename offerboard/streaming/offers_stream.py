@@ -58,7 +58,12 @@ def offers_document_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def new_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Absolute links of arriving pages, each url emitted once (the state is the seen-set)."""
+    """E6 in the keyed-state form: absolute links of arriving pages, each url emitted once.
+
+    ``dropDuplicates`` keeps the seen-set in the (RocksDB) state store. A url
+    found on most pages is shuffled once per occurrence here; the seen-table
+    form below pre-aggregates each micro-batch instead.
+    """
     _use_rocksdb(spark)
     schema = spark.read.parquet(_file_glob(sf_dir, "pages")).schema
     pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(_file_glob(sf_dir, "pages"))
@@ -66,6 +71,43 @@ def new_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.select(F.col("abs_url").alias("url")).dropDuplicates(["url"])
 
 
+def page_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Absolute links of arriving pages (no state)."""
+    schema = spark.read.parquet(_file_glob(sf_dir, "pages")).schema
+    pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(_file_glob(sf_dir, "pages"))
+    return absolutize(extract_links(pages), site_base("url"), out="abs_url").select(F.col("abs_url").alias("url"))
+
+
+def seen_table_batch(seen_path: str):
+    """foreachBatch body of E1 over a stream: new urls of a micro-batch are appended to the seen table.
+
+    The batch is de-duplicated first (partial aggregation, so a url on every
+    page costs one row per task), then anti-joined with the urls of earlier
+    epochs. Each epoch writes its own ``epoch=N`` folder with overwrite, so a
+    retried batch replaces its own output instead of adding twice.
+    """
+    from offerboard.operators.incremental import new_links
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        urls = batch.select("url").distinct()
+        try:
+            seen = spark.read.parquet(seen_path).filter(F.col("epoch") < epoch_id).select("url")
+        except Exception:   # first epoch: no seen table yet
+            seen = None
+        new_links(urls, seen).write.mode("overwrite").parquet(f"{seen_path}/epoch={epoch_id}")
+    return run
+
+
+def run_seen_table_stream(spark: SparkSession, sf_dir: str) -> str:
+    seen_path = shared_dir(spark, "seen-links")
+    ckpt = shared_dir(spark, "seen-links-checkpoint")
+    q = (page_links_stream(spark, sf_dir).writeStream.foreachBatch(seen_table_batch(seen_path))
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return seen_path
+
+
 def run_to_table(stream: DataFrame, spark: SparkSession, name: str, partition_by=()) -> str:
     """Run a stream over everything that has arrived (availableNow) into a parquet table; return its path."""
     out = shared_dir(spark, f"{name}-table")
