@@ -137,30 +137,45 @@ def extract_text_menu(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       footnotes: bool = False) -> DataFrame:
     """Text menu -> long offer rows.
 
-    Head lines carry the period (C2) and a price valid for all meals (C6); a
-    weekday heading opens a section (C3); notices (C11) and separators (C18)
-    are not meals; each meal takes its own price or the document price.
+    Head lines (above the first weekday heading) carry the period (C2) and a
+    price valid for all meals (C6); a weekday heading opens a section (C3);
+    notices (C11) and separators (C18) are not meals; each meal takes its own
+    price or the document price. Every per-document value is a window over
+    the document's lines, so the whole extraction is one shuffle by document
+    and one sort, with no self-join.
     """
     lines = to_lines(docs, id_col, text_col)
-    lines = flag_notices(assign_sections(lines, heading_word(F.col("line"))))
-    first_heading = lines.filter("is_heading").groupBy("doc_id").agg(F.min("pos").alias("first_heading_pos"))
-    head = lines.join(first_heading, "doc_id", "left")
-    period = document_period(lines)
-    price = document_price(head)
-    meals = split_alternatives(lines.filter(
-        F.col("section").isNotNull() & ~F.col("is_heading") & ~F.col("is_notice") & (F.col("line") != "")))
+    w = Window.partitionBy("doc_id").orderBy("pos")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    h = heading_word(F.col("line"))
+    lines = (lines.withColumn("_h", h)
+             .withColumn("is_heading", F.col("_h").isNotNull())
+             .withColumn("section", F.last("_h", ignorenulls=True).over(upto))
+             .withColumn("section_pos", F.last(F.when(F.col("_h").isNotNull(), F.col("pos")), ignorenulls=True).over(upto))
+             .withColumn("_first_h", F.min(F.when(F.col("_h").isNotNull(), F.col("pos"))).over(whole)))
+    head = F.col("_first_h").isNull() | (F.col("pos") < F.col("_first_h"))
+    lines = (lines.withColumn("_start", F.first(F.when(head, parse_period(F.col("line"))), ignorenulls=True).over(whole))
+             .withColumn("doc_price", F.first(F.when(head, parse_price(F.col("line"))), ignorenulls=True).over(whole))
+             .withColumn("week_start", week_monday(F.col("_start"))))
+    meals = split_alternatives(flag_notices(lines).filter(
+        F.col("section").isNotNull() & ~F.col("is_heading") & ~F.col("is_notice") & (F.col("line") != "")
+        & F.col("week_start").isNotNull()))
     if max_meals:
+        # (doc_id, section_pos) windows reuse the doc_id partitioning: a sort, no new shuffle
         meals = cap_per_section(meals, max_meals)
     desc, row_price = split_desc_price(F.col("line"))
     desc = clean_desc(desc)
     if footnotes:
         desc = strip_footnotes(desc)
-    meals = (meals.withColumn("desc", desc).withColumn("row_price", row_price)
-             .join(price, "doc_id", "left").join(period, "doc_id")
-             .withColumn("price", F.coalesce("row_price", "doc_price").cast(PRICE_TYPE)))
+    meals = (meals.withColumn("desc", desc)
+             .withColumn("price", F.coalesce(row_price, F.col("doc_price")).cast(PRICE_TYPE)))
     meals = route_week_offers(weekday_to_date(meals))
-    meals = meals.select("doc_id", "offer_key", "key_kind", "pos", "desc", "price")
-    return fill_weekdays(meals, period) if keep_empty_days else meals
+    out = meals.select("doc_id", "offer_key", "key_kind", "pos", "desc", "price")
+    if not keep_empty_days:
+        return out
+    weeks = lines.filter(F.col("week_start").isNotNull()).select("doc_id", "week_start").distinct()
+    return fill_weekdays(out, weeks)
 
 
 def table_pairs(nodes: DataFrame, heading_tag: str = "h4", row_tag: str = "tr",

@@ -707,3 +707,33 @@ def q_stream_seen_links(spark, sf):
     """E1 + E5 over a stream: per micro-batch, new urls appended to a seen table (foreachBatch)."""
     from offerboard.streaming.offers_stream import run_seen_table_stream
     return spark.read.parquet(run_seen_table_stream(spark, sf)).select("url")
+
+
+_DOC_KEY = ("event_type || '/' || strftime(CAST(ts AS DATE), '%Y-%m-%d') || '/' || "
+            f"CAST(CAST(floor(event_id / {V.MENU_CHUNK}) AS BIGINT) AS VARCHAR)")
+
+
+@register("text_menus", f"""SELECT {_DOC_KEY} AS doc_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS offer_key, 'day' AS key_kind,
+  CAST(2 + row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE), floor(event_id / {V.MENU_CHUNK}) ORDER BY event_id) AS BIGINT) AS pos,
+  props AS "desc", CAST(value AS DECIMAL(10,2)) AS price
+FROM events""")
+def q_text_menus(spark, sf):
+    """Menu texts written from events, extracted back to dated offers."""
+    docs = V.menu_documents(spark, sf).select("doc_id", "text")
+    return C.extract_text_menu(docs, max_meals=None, keep_empty_days=False)
+
+
+@register("html_menus", f"""SELECT event_type AS location,
+  CASE WHEN event_type = '{V.WEEK_LOCATION}' THEN {_iso('CAST(date_trunc(' + "'week'" + ', CAST(ts AS DATE)) AS DATE)')}
+       ELSE strftime(CAST(ts AS DATE), '%Y-%m-%d') END AS offer_key,
+  CASE WHEN event_type = '{V.WEEK_LOCATION}' THEN 'week' ELSE 'day' END AS key_kind,
+  CAST(1 + 3 * row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE), floor(event_id / {V.MENU_CHUNK}) ORDER BY event_id) AS BIGINT) AS pos,
+  props AS "desc", CAST(value AS DECIMAL(10,2)) AS price
+FROM events""")
+def q_html_menus(spark, sf):
+    """B1 + C2-C5, C9-C11: HTML menus written from events, parsed into nodes, extracted back to offers."""
+    pages = V.menu_documents(spark, sf, html=True)
+    nodes = materialize(N.html_nodes(pages), "menu-nodes", spark)
+    offers = C.extract_html_menu(nodes, keep_empty_days=False)
+    return offers.join(pages.select(F.col("page_id").alias("doc_id"), "location"), "doc_id") \
+        .select("location", "offer_key", "key_kind", "pos", "desc", "price")

@@ -77,3 +77,52 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://"), F.col("location"), F.lit(".example.org/")).alias("link"),
         F.when(F.col("location") == "error", F.array().cast("array<string>"))
         .otherwise(F.array(F.concat(F.lit("open "), F.col("location")), F.lit("card payment"))).alias("details"))
+
+
+MENU_CHUNK = 1000
+MENU_TITLE = "Mittagsangebot"
+
+
+def menu_documents(spark: SparkSession, sf_dir: str, html: bool = False) -> DataFrame:
+    """Menu documents written from events: one per (event type, day, chunk of <= MENU_CHUNK events).
+
+    Text form: a title line, the week's period (``dd.MM.yyyy - dd.MM.yyyy``),
+    the weekday heading, then one ``<props> <price> €`` line per event in
+    event order. HTML form: the period in a paragraph, an ``h4`` heading (the
+    weekly event type gets the standing-offer heading) and a two-cell table
+    row per event. Lines of a chunk are collected in event order; a chunk is
+    bounded, however many events a day holds.
+    -> (doc_id, location, text) or (page_id, location, html)
+    """
+    from offerboard.functions.dates import WEEKDAYS, week_monday, weekday_index
+    from offerboard.functions.prices import format_price
+    from offerboard.operators.menus import WEEK_SECTION_WORDS
+
+    ev = table(spark, sf_dir, "events")
+    day = F.to_date("ts")
+    monday = week_monday(day)
+    period = F.concat(F.date_format(monday, "dd.MM.yyyy"), F.lit(" - "),
+                      F.date_format(F.date_add(monday, 4), "dd.MM.yyyy"))
+    weekday = F.element_at(F.array(*[F.lit(w) for w in WEEKDAYS]), weekday_index(day) + 1)
+    if html:
+        heading = F.when(F.col("event_type") == WEEK_LOCATION, F.lit(WEEK_SECTION_WORDS[0])).otherwise(weekday)
+        line = F.concat(F.lit("<tr><td>"), F.col("props"), F.lit("</td><td>"),
+                        F.replace(F.col("value").cast("decimal(10,2)").cast("string"), F.lit(","), F.lit(".")),
+                        F.lit(" €</td></tr>"))
+    else:
+        heading = weekday
+        line = F.concat(F.col("props"), F.lit(" "), format_price(F.col("value")))
+    keyed = ev.select(F.col("event_type").alias("location"), day.alias("day"),
+                      F.floor(F.col("event_id") / MENU_CHUNK).cast("bigint").alias("part"),
+                      F.col("event_id"), period.alias("period"), heading.alias("heading"), line.alias("line"))
+    docs = keyed.groupBy("location", "day", "part").agg(
+        F.first("period").alias("period"), F.first("heading").alias("heading"),
+        F.array_sort(F.collect_list(F.struct("event_id", "line"))).alias("_l"))
+    body = F.array_join(F.transform("_l", lambda x: x["line"]), "\n" if not html else "")
+    doc_key = F.concat_ws("/", "location", F.date_format("day", "yyyy-MM-dd"), F.col("part").cast("string"))
+    if html:
+        page = F.concat(F.lit("<div><p>Woche "), F.col("period"), F.lit("</p><h4>"), F.col("heading"),
+                        F.lit("</h4><table>"), body, F.lit("</table></div>"))
+        return docs.select(F.xxhash64(doc_key).alias("page_id"), "location", page.alias("html"))
+    text = F.concat_ws("\n", F.lit(MENU_TITLE), F.col("period"), F.col("heading"), body)
+    return docs.select(doc_key.alias("doc_id"), "location", text.alias("text"))
