@@ -16,6 +16,7 @@ before the join, so the per-page pairs stay small.
 from __future__ import annotations
 
 from html.parser import HTMLParser
+from itertools import accumulate
 from typing import Iterator
 
 import pandas as pd
@@ -49,10 +50,8 @@ class _TreeBuilder(HTMLParser):
         self.children: list[int] = [0]      # element-children count per open level (root level first)
         self.pre = 0
         self.post = 0
-        self.line_starts = [0]
-        for i, ch in enumerate(html):
-            if ch == "\n":
-                self.line_starts.append(i + 1)
+        # offset of each line start, for turning the parser's (line, column) into offsets
+        self.line_starts = [0, *accumulate(len(x) + 1 for x in html.split("\n")[:-1])]
 
     # row layout: pre, post, parent_pre, depth, sib, tag, attrs, own_text(list), sv(list), start, end
     def _offset(self) -> int:
