@@ -178,39 +178,43 @@ def extract_text_menu(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return fill_weekdays(out, weeks)
 
 
-def table_pairs(nodes: DataFrame, heading_tag: str = "h4", row_tag: str = "tr",
-                cell_tags=("td", "th")) -> DataFrame:
-    """HTML table rows -> (page_id, pos, section, desc_cell, price_cell).
+def table_pairs(nodes: DataFrame, heading_tag: str = "h4", cell_tags=("td", "th")) -> DataFrame:
+    """C9 (+ C2): HTML table rows -> (page_id, pos, section, week_start, desc_cell, price_cell).
 
-    Rows take the last heading above them (document order within the page);
-    cells are matched to columns by their position in the row.
+    One window over each page's nodes in document order gives every node the
+    last heading above it and the page's first period; the row pivot then
+    groups cells by their row, which the page partitioning already clusters,
+    so node data is shuffled once.
     """
-    cells = nodes.filter(F.col("tag").isin(list(cell_tags))).select(
-        "page_id", F.col("parent_pre").alias("pre"), "sib", normalize_space(F.col("string_value")).alias("t"))
-    rows = cells.groupBy("page_id", "pre").agg(
-        F.max(F.when(F.col("sib") == 0, F.col("t"))).alias("desc_cell"),
-        F.max(F.when(F.col("sib") == 1, F.col("t"))).alias("price_cell"))
-    heads = nodes.filter(F.col("tag") == heading_tag).select(
-        "page_id", "pre", normalize_space(F.col("string_value")).alias("heading"))
-    both = rows.unionByName(heads, allowMissingColumns=True)
-    w = Window.partitionBy("page_id").orderBy("pre").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = both.withColumn("section", F.last("heading", ignorenulls=True).over(w)).filter(F.col("heading").isNull())
-    return out.select("page_id", F.col("pre").cast("bigint").alias("pos"), "section", "desc_cell", "price_cell")
+    w = Window.partitionBy("page_id").orderBy("pre")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    text = normalize_space(F.col("string_value"))
+    marked = (nodes.withColumn("_heading", F.when(F.col("tag") == heading_tag, text))
+              .withColumn("section", F.last("_heading", ignorenulls=True).over(upto))
+              .withColumn("_start", F.first(parse_period(normalize_space(F.col("own_text"))), ignorenulls=True).over(whole)))
+    cells = marked.filter(F.col("tag").isin(list(cell_tags)))
+    rows = cells.groupBy("page_id", F.col("parent_pre").alias("pre")).agg(
+        F.first("section").alias("section"), F.first("_start").alias("_start"),
+        F.max(F.when(F.col("sib") == 0, normalize_space(F.col("string_value")))).alias("desc_cell"),
+        F.max(F.when(F.col("sib") == 1, normalize_space(F.col("string_value")))).alias("price_cell"))
+    return rows.select("page_id", F.col("pre").cast("bigint").alias("pos"), "section",
+                       week_monday(F.col("_start")).alias("week_start"), "desc_cell", "price_cell")
 
 
 def extract_html_menu(nodes: DataFrame, heading_tag: str = "h4", keep_empty_days: bool = True) -> DataFrame:
     """HTML menu (day headings + two-cell table rows) -> long offer rows."""
-    texts = nodes.select(F.col("page_id").alias("doc_id"), F.col("pre").cast("bigint").alias("pos"),
-                         normalize_space(F.col("own_text")).alias("line"))
-    period = document_period(texts)
     pairs = table_pairs(nodes, heading_tag).withColumnRenamed("page_id", "doc_id")
     meals = flag_notices(pairs, "desc_cell").filter(
-        (F.coalesce(F.col("desc_cell"), F.lit("")) != "") & ~F.col("is_notice"))
+        (F.coalesce(F.col("desc_cell"), F.lit("")) != "") & ~F.col("is_notice") & F.col("week_start").isNotNull())
     meals = (meals.withColumn("desc", clean_desc(F.col("desc_cell")))
-             .withColumn("price", parse_price(F.col("price_cell"))).join(period, "doc_id"))
+             .withColumn("price", parse_price(F.col("price_cell"))))
     meals = route_week_offers(weekday_to_date(meals)).filter(F.col("offer_key").isNotNull())
-    meals = meals.select("doc_id", "offer_key", "key_kind", "pos", "desc", "price")
-    return fill_weekdays(meals, period) if keep_empty_days else meals
+    out = meals.select("doc_id", "offer_key", "key_kind", "pos", "desc", "price")
+    if not keep_empty_days:
+        return out
+    weeks = pairs.filter(F.col("week_start").isNotNull()).select("doc_id", "week_start").distinct()
+    return fill_weekdays(out, weeks)
 
 
 def unpivot_week_table(df: DataFrame, id_cols, day_cols, day: str = "day", cell: str = "cell") -> DataFrame:
@@ -286,12 +290,14 @@ def current_weekdays(date: str | None = None) -> Column:
 
 
 def apply_site_rules(pages: DataFrame, rules: DataFrame, overrides: DataFrame | None = None,
-                     url: str = "url") -> DataFrame:
-    """Attach per-site settings to pages by host; an override row wins column by column.
-
-    ``rules``/``overrides``: (host, location, headings, price_policy, week_words,
-    empty_policy, max_meals). Rule tables are configuration, one row per site,
-    and are broadcast.
+                     url: str = "url", id_col: str = "page_id") -> DataFrame:
+    """Attach per-site settings to pages; an override row wins column by column.
+
+    ``rules``/``overrides`` are keyed by ``host``, a domain that also covers its
+    sub-domains; a page takes the rule of its longest matching domain. Each
+    page host is expanded into its dot suffixes and equi-joined with the rules
+    (configuration, one row per site, broadcast); the longest match per page is
+    a max aggregate. Pages without a rule keep NULL settings.
     """
     from offerboard.operators.links import host_of
     cols = [c for c in rules.columns if c != "host"]
@@ -301,4 +307,11 @@ def apply_site_rules(pages: DataFrame, rules: DataFrame, overrides: DataFrame |
         merged = rules.join(o, "host", "left").select(
             "host", *[F.coalesce(F.col(f"_o_{c}"), F.col(c)).alias(c) if c in overrides.columns else F.col(c)
                       for c in cols])
-    return pages.withColumn("host", host_of(url)).join(F.broadcast(merged), "host", "left")
+    labels = F.split(host_of(url), r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
+                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    keyed = pages.select(id_col, F.explode(suffixes).alias("host"))
+    hits = keyed.join(F.broadcast(merged), "host")
+    best = hits.groupBy(id_col).agg(F.max_by(F.struct("host", *cols), F.length("host")).alias("_r"))
+    return pages.join(best, id_col, "left").select(
+        *pages.columns, F.col("_r.host").alias("rule_host"), *[F.col(f"_r.{c}").alias(c) for c in cols])

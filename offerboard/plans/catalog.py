@@ -26,7 +26,7 @@ from offerboard.operators import menus as C
 from offerboard.operators import nodes as N
 from offerboard.operators import quality as Q
 from offerboard.plans import views as V
-from offerboard.session import materialize, shared_dir
+from offerboard.session import literal_table, materialize, shared_dir
 from offerboard.sources import readers as R
 from offerboard.sources import sinks as S
 
@@ -732,8 +732,43 @@ def q_text_menus(spark, sf):
 FROM events""")
 def q_html_menus(spark, sf):
     """B1 + C2-C5, C9-C11: HTML menus written from events, parsed into nodes, extracted back to offers."""
-    pages = V.menu_documents(spark, sf, html=True)
+    pages = materialize(V.menu_documents(spark, sf, html=True), "menu-pages", spark)
     nodes = materialize(N.html_nodes(pages), "menu-nodes", spark)
     offers = C.extract_html_menu(nodes, keep_empty_days=False)
     return offers.join(pages.select(F.col("page_id").alias("doc_id"), "location"), "doc_id") \
         .select("location", "offer_key", "key_kind", "pos", "desc", "price")
+
+
+# Fixed configuration rows of the site rules query: (domain, location, max_meals, empty_policy)
+_RULES = [("example.org", "org sites", 2, "keep"), ("example.com", "com sites", 3, "drop"),
+          ("blog.tiontion.example.com", "one blog", None, "keep")]
+_OVERRIDES = [("example.com", 5)]
+
+
+@register("site_rules", f"""
+WITH rules(host, location, max_meals, empty_policy) AS (VALUES {', '.join(f"('{h}', '{l}', {'NULL' if m is None else m}, '{e}')" for h, l, m, e in _RULES)}),
+over(host, max_meals) AS (VALUES {', '.join(f"('{h}', {m})" for h, m in _OVERRIDES)}),
+merged AS (SELECT r.host, r.location, coalesce(o.max_meals, r.max_meals) AS max_meals, r.empty_policy
+           FROM rules r LEFT JOIN over o USING (host)),
+p AS (SELECT page_id, url, {_HOST} AS h FROM pages),
+hits AS (SELECT p.page_id, m.* FROM p JOIN merged m ON p.h = m.host OR ends_with(p.h, '.' || m.host)),
+best AS (SELECT page_id, arg_max(host, length(host)) AS rule_host FROM hits GROUP BY page_id)
+SELECT p.page_id, p.url, b.rule_host, m.location, CAST(m.max_meals AS INTEGER) AS max_meals, m.empty_policy
+FROM p LEFT JOIN best b USING (page_id) LEFT JOIN merged m ON m.host = b.rule_host""")
+def q_site_rules(spark, sf):
+    """Per-site settings by longest matching domain, with an override layer."""
+    rules = literal_table(spark, _RULES, [("host", "string"), ("location", "string"), ("max_meals", "int"),
+                                          ("empty_policy", "string")])
+    over = literal_table(spark, _OVERRIDES, [("host", "string"), ("max_meals", "int")])
+    return C.apply_site_rules(V.table(spark, sf, "pages").select("page_id", "url"), rules, over)
+
+
+@register("run_weekdays", f"""SELECT DISTINCT CAST(o_orderdate AS DATE) AS d,
+  CAST(unnest(generate_series(CAST(date_trunc('week', CAST(o_orderdate AS DATE)) AS DATE),
+       CAST(date_trunc('week', CAST(o_orderdate AS DATE)) AS DATE) + INTERVAL 4 DAY, INTERVAL 1 DAY)) AS DATE) AS weekday
+FROM orders""")
+def q_run_weekdays(spark, sf):
+    """The Monday-Friday dates a run on each order date works with (addCurrentWeekdays)."""
+    d = V.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
+    m = F.to_date(F.date_trunc("week", F.col("d")))
+    return d.select("d", F.explode(F.sequence(m, F.date_add(m, 4))).alias("weekday"))

@@ -64,8 +64,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="offerboard-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(root)
+    except Exception:   # sessions without a SparkContext handle (Spark Connect)
+        pass
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
@@ -78,8 +81,12 @@ def spread(df, key: str, spark: SparkSession | None = None):
     run in a single task.
     """
     spark = spark or df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:   # no RDD access (Spark Connect): leave the plan as it is
+        return df
+    if have >= want:
         return df
     return df.repartition(want, key)
 
@@ -95,3 +102,13 @@ def materialize(df, name: str, spark: SparkSession | None = None):
     path = shared_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def literal_table(spark: SparkSession, rows, columns):
+    """A small configuration table built JVM-side (no Python worker, no RDD).
+
+    ``columns`` is a list of (name, type) pairs; rows are tuples in that order.
+    """
+    from pyspark.sql import functions as F
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, columns)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs))).select(*[F.col(n).cast(t) for n, t in columns])

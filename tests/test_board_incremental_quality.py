@@ -114,9 +114,10 @@ def test_menu_table_ops(spark):
 
 
 def test_site_rules(spark):
-    pages = spark.createDataFrame([(1, "https://www.a.de/x"), (2, "https://b.de/")], "page_id int, url string")
-    rules = spark.createDataFrame([("www.a.de", "a", 2, "keep"), ("b.de", "b", None, "drop")],
+    pages = spark.createDataFrame([(1, "https://www.a.de/x"), (2, "https://b.de/"), (3, "https://m.shop.b.de/"),
+                                   (4, "https://c.de/")], "page_id int, url string")
+    rules = spark.createDataFrame([("www.a.de", "a", 2, "keep"), ("b.de", "b", None, "drop"), ("shop.b.de", "s", 4, "keep")],
                                   "host string, location string, max_meals int, empty_policy string")
     over = spark.createDataFrame([("www.a.de", 3, None)], "host string, max_meals int, empty_policy string")
     got = {r.page_id: (r.location, r.max_meals, r.empty_policy) for r in C.apply_site_rules(pages, rules, over).collect()}
-    assert got == {1: ("a", 3, "keep"), 2: ("b", None, "drop")}
+    assert got == {1: ("a", 3, "keep"), 2: ("b", None, "drop"), 3: ("s", 4, "keep"), 4: (None, None, None)}
