@@ -28,7 +28,8 @@ from offerboard.functions.text import ascii_fold, normalize_space
 
 NODE_SCHEMA = (
     "page_id BIGINT, pre INT, post INT, parent_pre INT, depth INT, sib INT, tag STRING, "
-    "attrs MAP<STRING, STRING>, own_text STRING, string_value STRING, start_offset INT, end_offset INT"
+    "attrs MAP<STRING, STRING>, own_text STRING, string_value STRING, text_start INT, text_end INT, "
+    "has_text BOOLEAN, page_text STRING, start_offset INT, end_offset INT"
 )
 
 # Elements without content, and elements whose start closes an
@@ -38,22 +39,33 @@ VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link",
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form",
             "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section",
             "table", "ul"}
+# Elements whose full text (XPath string value) is stored by default: headings,
+# table cells, links and the title. Other elements are matched against the page
+# text through their text span.
+TEXT_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "a", "title")
+
+_XML_WS = " \t\r\n"
 
 
 class _TreeBuilder(HTMLParser):
-    def __init__(self, html: str, with_string_value: bool):
+    """Builds node rows; the text of all elements forms one stream, each element owns a span of it."""
+
+    def __init__(self, html: str, text_tags):
         super().__init__(convert_charrefs=True)
         self.html = html
-        self.with_sv = with_string_value
+        self.text_tags = text_tags           # None: every element keeps its string value
         self.rows: list[list] = []
-        self.stack: list[int] = []          # indexes into rows of open elements
-        self.children: list[int] = [0]      # element-children count per open level (root level first)
+        self.stack: list[int] = []           # indexes into rows of open elements
+        self.children: list[int] = [0]       # element-children count per open level (root level first)
+        self.chunks: list[str] = []          # the page's text stream
+        self.text_len = 0
         self.pre = 0
         self.post = 0
         # offset of each line start, for turning the parser's (line, column) into offsets
         self.line_starts = [0, *accumulate(len(x) + 1 for x in html.split("\n")[:-1])]
 
-    # row layout: pre, post, parent_pre, depth, sib, tag, attrs, own_text(list), sv(list), start, end
+    # row layout: 0 pre, 1 post, 2 parent_pre, 3 depth, 4 sib, 5 tag, 6 attrs, 7 own_text(list),
+    #             8 text_start, 9 text_end, 10 has_text, 11 start, 12 end
     def _offset(self) -> int:
         line, col = self.getpos()
         return self.line_starts[line - 1] + col
@@ -67,7 +79,10 @@ class _TreeBuilder(HTMLParser):
         row = self.rows[i]
         row[1] = self.post
         self.post += 1
-        row[10] = end
+        row[9] = self.text_len
+        row[12] = end
+        if row[10] and self.stack:
+            self.rows[self.stack[-1]][10] = True
 
     def _implicit_close(self, tag: str, start: int) -> None:
         open_tags = self._open_tags()
@@ -98,7 +113,8 @@ class _TreeBuilder(HTMLParser):
         parent = self.rows[self.stack[-1]][0] if self.stack else -1
         sib = self.children[-1]
         self.children[-1] += 1
-        self.rows.append([self.pre, -1, parent, len(self.stack), sib, tag, amap, [], [], start, -1])
+        self.rows.append([self.pre, -1, parent, len(self.stack), sib, tag, amap, [], self.text_len, -1, False,
+                          start, -1])
         self.pre += 1
         self.stack.append(len(self.rows) - 1)
         self.children.append(0)
@@ -127,55 +143,129 @@ class _TreeBuilder(HTMLParser):
     def handle_data(self, data):
         if not self.stack:
             return
-        self.rows[self.stack[-1]][7].append(data)
-        if self.with_sv:
-            for i in self.stack:
-                self.rows[i][8].append(data)
-
-    def finish(self) -> list[list]:
+        top = self.rows[self.stack[-1]]
+        top[7].append(data)
+        self.chunks.append(data)
+        self.text_len += len(data)
+        if not top[10] and data.strip(_XML_WS):
+            top[10] = True
+
+    def finish(self) -> tuple[list[list], str]:
         self.close()
         while self.stack:
             self._close_top(len(self.html))
-        return self.rows
+        return self.rows, "".join(self.chunks)
+
 
+def parse_nodes(html: str, text_tags=TEXT_TAGS) -> tuple[list[list], str]:
+    """(node rows, page text) of one page; pure Python, also the tests' brute-force reference.
 
-def parse_nodes(html: str, with_string_value: bool = True) -> list[list]:
-    """Node rows of one page (pure Python, also used by tests as a brute-force check)."""
-    b = _TreeBuilder(html or "", with_string_value)
+    ``text_tags``: elements whose string value is kept (``None`` keeps all).
+    """
+    b = _TreeBuilder(html or "", None if text_tags is None else frozenset(text_tags))
     try:
         b.feed(html or "")
         return b.finish()
     except Exception:   # a page the tokenizer rejects yields no nodes, not a failed job
-        return []
+        return [], ""
+
 
+_NODE_COLS = ["page_id", "pre", "post", "parent_pre", "depth", "sib", "tag", "attrs", "own_text", "string_value",
+              "text_start", "text_end", "has_text", "page_text", "start_offset", "end_offset"]
 
-def _nodes_batches(batches: Iterator[pd.DataFrame], with_sv: bool) -> Iterator[pd.DataFrame]:
-    cols = ["page_id", "pre", "post", "parent_pre", "depth", "sib", "tag", "attrs", "own_text",
-            "string_value", "start_offset", "end_offset"]
+
+def _nodes_batches(batches: Iterator[pd.DataFrame], text_tags) -> Iterator[pd.DataFrame]:
+    keep_all = text_tags is None
     for pdf in batches:
         out = []
         for pid, html in zip(pdf["page_id"], pdf["html"]):
-            for r in parse_nodes(html, with_sv):
-                out.append([pid, r[0], r[1], r[2], r[3], r[4], r[5], r[6], "".join(r[7]),
-                            "".join(r[8]) if with_sv else None, r[9], r[10]])
-        yield pd.DataFrame(out, columns=cols)
+            rows, text = parse_nodes(html, text_tags)
+            for r in rows:
+                sv = text[r[8]:r[9]] if keep_all or r[5] in text_tags else None
+                out.append([pid, r[0], r[1], r[2], r[3], r[4], r[5], r[6], "".join(r[7]), sv, r[8], r[9], r[10],
+                            text if r[0] == 0 else None, r[11], r[12]])
+        yield pd.DataFrame(out, columns=_NODE_COLS)
 
 
 def html_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-               with_string_value: bool = True) -> DataFrame:
-    """B1: one row per element (page_id, pre, post, parent_pre, depth, sib, tag, attrs, own_text,
-    string_value, start_offset, end_offset).
-
-    Filter pages before calling this; only ``(page_id, html)`` cross into Python.
-    ``string_value`` (all descendant text, XPath ``string(.)``) costs text times
-    depth; switch it off when no caller needs it.
+               text_tags=TEXT_TAGS) -> DataFrame:
+    """B1: one row per element of every page.
+
+    Columns: page_id, pre, post, parent_pre, depth, sib (element index among
+    siblings), tag, attrs, own_text (direct text), string_value (XPath
+    ``string(.)``, kept for ``text_tags`` only; ``None`` keeps it for all),
+    text_start/text_end (the element's span in the page text), has_text (some
+    non-white-space text below), page_text (the page's whole text, on the row
+    with pre 0 only), start_offset/end_offset (outer HTML span in the page).
+
+    Storing every element's string value would repeat the page text once per
+    nesting level; the spans give the same answers for "contains" tests
+    (``elements_containing``) at the cost of the text once. Filter pages
+    before calling this; only ``(page_id, html)`` cross into Python.
     """
     # ship this module's parser with the task so executors need no install of the package
     import sys
     from pyspark import cloudpickle
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    tags = None if text_tags is None else frozenset(text_tags)
     src = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(html_col).alias("html"))
-    return src.mapInPandas(lambda it: _nodes_batches(it, with_string_value), NODE_SCHEMA)
+    return src.mapInPandas(lambda it: _nodes_batches(it, tags), NODE_SCHEMA)
+
+
+def page_texts(nodes: DataFrame) -> DataFrame:
+    """(page_id, page_text): the text stream the spans of ``html_nodes`` point into."""
+    return nodes.filter(F.col("pre") == 0).select("page_id", "page_text")
+
+
+def word_occurrences(nodes: DataFrame, words, fold: bool = True) -> DataFrame:
+    """(page_id, occ_start, occ_end) of every occurrence of any word in each page text.
+
+    The folded page text is split on the word; the piece lengths, summed in a
+    window over that page's pieces, give the offsets. Exact across tag
+    boundaries, because the page text is the concatenation of all text nodes.
+    """
+    from offerboard.functions.text import ascii_fold
+    text = page_texts(nodes)
+    t = ascii_fold(F.col("page_text")) if fold else F.col("page_text")
+    out = None
+    for w in words:
+        pieces = text.select("page_id", F.posexplode(F.split(t, _regex_literal(w), -1)).alias("k", "piece"))
+        win = Window.partitionBy("page_id").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        occ = (pieces.withColumn("_end_of_piece", F.sum(F.length("piece") + len(w)).over(win) - len(w))
+               .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("page_id")))
+               .filter(F.col("k") < F.col("_n") - 1)
+               .select("page_id", F.col("_end_of_piece").cast("int").alias("occ_start"),
+                       (F.col("_end_of_piece") + len(w)).cast("int").alias("occ_end")))
+        out = occ if out is None else out.unionByName(occ)
+    return out
+
+
+def _regex_literal(w: str) -> str:
+    # Java regex quoting: the word is matched literally
+    return "\\Q" + w.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
+def elements_containing(nodes: DataFrame, words, fold: bool = True) -> DataFrame:
+    """Elements whose (folded) string value holds any word: (page_id, pre, post, parent_pre).
+
+    Element spans and word occurrences are merged into one sequence per page
+    ordered by position, read from the end of the page: the running minimum of
+    occurrence ends over everything at or after an element's span start says
+    whether some occurrence starts inside the span and ends before it does.
+    One window per page, linear in its rows, and no element text is
+    materialised.
+    """
+    occ = word_occurrences(nodes, words, fold).select(
+        "page_id", F.col("occ_start").alias("_p"), F.lit(1).alias("_kind"), F.col("occ_end").alias("_occ_end"),
+        F.lit(None).cast("int").alias("pre"), F.lit(None).cast("int").alias("post"),
+        F.lit(None).cast("int").alias("parent_pre"), F.lit(None).cast("int").alias("text_end"))
+    el = nodes.select("page_id", F.col("text_start").alias("_p"), F.lit(0).alias("_kind"),
+                      F.lit(None).cast("int").alias("_occ_end"), "pre", "post", "parent_pre", "text_end")
+    w = (Window.partitionBy("page_id").orderBy(F.col("_p").desc(), F.col("_kind").desc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    merged = el.unionByName(occ).withColumn("_min_end", F.min("_occ_end").over(w))
+    return merged.filter((F.col("_kind") == 0) & (F.col("_min_end") <= F.col("text_end"))) \
+        .select("page_id", "pre", "post", "parent_pre")
 
 
 def _attr_contains(attr: str, sub: str) -> Column:
@@ -183,7 +273,8 @@ def _attr_contains(attr: str, sub: str) -> Column:
 
 
 def _text_has(words, col: str = "string_value", fold: bool = True) -> Column:
-    t = normalize_space(F.col(col))
+    # normalize-space only changes a match when a word holds white space itself
+    t = normalize_space(F.col(col)) if any(any(ch.isspace() for ch in w) for w in words) else F.col(col)
     if fold:
         t = ascii_fold(t)
     cond = F.lit(False)
@@ -248,8 +339,12 @@ def heading_container(nodes: DataFrame, heading_tag: str = "h2", word: str = "sp
     are only used when no heading has a matching ancestor.
     -> (page_id, pre, strategy)
     """
-    heads = nodes.filter((F.col("tag") == heading_tag) & _text_has([word])) \
-        .select("page_id", "pre", "post", "parent_pre").alias("h")
+    if any(ch.isspace() for ch in word):     # needs normalize-space: use the stored string value
+        heads = nodes.filter((F.col("tag") == heading_tag) & _text_has([word]))
+    else:                                    # span test, works for any tag
+        heads = nodes.filter(F.col("tag") == heading_tag).join(
+            elements_containing(nodes, [word]).select("page_id", "pre"), ["page_id", "pre"], "left_semi")
+    heads = heads.select("page_id", "pre", "post", "parent_pre").alias("h")
     conts = nodes.filter((F.col("tag") == container_tag) & _attr_contains("class", class_sub)) \
         .select("page_id", "pre", "post").alias("c")
     nearest = (conts.join(heads, _inside("c", "h"))
@@ -268,13 +363,13 @@ def keyword_container(nodes: DataFrame, words, container_tag: str = "div") -> Da
     An element matches when its folded text holds any word; innermost means no
     element child matches as well. -> (page_id, pre, strategy)
     """
-    m = nodes.filter(_text_has(words)).select("page_id", "pre", "post", "parent_pre")
+    m = elements_containing(nodes, words)
     has_matching_child = m.select("page_id", F.col("parent_pre").alias("pre")).distinct()
     innermost = m.join(has_matching_child, ["page_id", "pre"], "left_anti")
     first = innermost.groupBy("page_id").agg(F.min(F.struct("pre", "post")).alias("f")) \
         .select("page_id", F.col("f.pre").alias("pre"), F.col("f.post").alias("post")).alias("f")
-    divs = nodes.filter((F.col("tag") == container_tag) & F.col("attrs")["class"].isNotNull()
-                        & (F.length(normalize_space(F.col("string_value"))) > 0)) \
+    # string-length(normalize-space(.)) > 0  <=>  some character below that is not XML white space
+    divs = nodes.filter((F.col("tag") == container_tag) & F.col("attrs")["class"].isNotNull() & F.col("has_text")) \
         .select("page_id", "pre", "post").alias("d")
     return (divs.join(first, _inside("d", "f"))
             .groupBy(F.col("f.page_id").alias("page_id")).agg(F.max(F.col("d.pre")).alias("pre"))

@@ -325,40 +325,40 @@ def q_page_artifacts(spark, sf):
 
 
 # Node-table queries (B1, B6, B8-B13, B18): no SQL oracle.
-def _nodes(spark, sf, with_sv=True):
+def _nodes(spark, sf, text_tags=N.TEXT_TAGS):
     """The node table, computed once per query and read back by every branch."""
-    return materialize(N.html_nodes(V.table(spark, sf, "pages"), with_string_value=with_sv), "nodes", spark)
+    return materialize(N.html_nodes(V.table(spark, sf, "pages"), text_tags=text_tags), "nodes", spark)
 
 
 @register("html_nodes")
 def q_html_nodes(spark, sf):
     """B1: the node table (no text columns, to keep the row check light)."""
-    return _nodes(spark, sf, False).select("page_id", "pre", "post", "parent_pre", "depth", "sib", "tag",
+    return _nodes(spark, sf, ()).select("page_id", "pre", "post", "parent_pre", "depth", "sib", "tag",
                                            "start_offset", "end_offset")
 
 
 @register("first_section_links")
 def q_first_section_links(spark, sf):
     """B6 with ul/a: links of the first link-bearing list under each parent."""
-    return N.links_in_first_section(_nodes(spark, sf, False), "ul", "a", "/")
+    return N.links_in_first_section(_nodes(spark, sf, ()), "ul", "a", "/")
 
 
 @register("parent_blocks")
 def q_parent_blocks(spark, sf):
     """Distinct ul parents of li elements."""
-    return N.parents_of_tag(_nodes(spark, sf, False), "li", "ul")
+    return N.parents_of_tag(_nodes(spark, sf, ()), "li", "ul")
 
 
 @register("nth_blocks")
 def q_nth_blocks(spark, sf):
     """Second paragraph-holding block per page (p parents, n = 1)."""
-    return N.nth_block(N.parents_of_tag(_nodes(spark, sf, False), "p"), 1)
+    return N.nth_block(N.parents_of_tag(_nodes(spark, sf, ()), "p"), 1)
 
 
 @register("class_parents")
 def q_class_parents(spark, sf):
     """Parents of div elements whose class holds 'ad'."""
-    return N.parents_of_class(_nodes(spark, sf, False), "div", "ad")
+    return N.parents_of_class(_nodes(spark, sf, ()), "div", "ad")
 
 
 @register("chosen_blocks")

@@ -158,7 +158,23 @@ def test_node_joins_match_brute_force(spark):
     for r in N.links_in_first_section(nodes, "ul", "a", "/").collect():
         got_sec.setdefault(r.page_id, []).append(r.pre)
     for p in pages.collect():
-        par, sec = _brute(N.parse_nodes(p.html, False))
+        par, sec = _brute(N.parse_nodes(p.html, ())[0])
         assert sorted(got_par.get(p.page_id, [])) == par
         assert sorted(got_sec.get(p.page_id, [])) == sec
     nodes.unpersist()
+
+
+def test_spans_match_string_values(spark):
+    """Span-based containment equals a test on each element's full string value."""
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    nodes = N.html_nodes(pages, text_tags=None).cache()
+    words = ["the", "nicht", "ou"]
+    got = {(r.page_id, r.pre) for r in N.elements_containing(nodes, words).collect()}
+    from offerboard.functions.text import ascii_fold
+    want = {(r.page_id, r.pre) for r in nodes.filter(
+        ascii_fold(F.col("string_value")).contains("the") | ascii_fold(F.col("string_value")).contains("nicht")
+        | ascii_fold(F.col("string_value")).contains("ou")).collect()}
+    assert got == want and len(got) > 0
+    split_word = N.html_nodes(spark.createDataFrame([(1, "<div><p>Mon<b>TAG</b></p><p>x</p></div>")], "page_id bigint, html string"))
+    assert {r.pre for r in N.elements_containing(split_word, ["montag"]).collect()} == {0, 1}
+    nodes.unpersist()
