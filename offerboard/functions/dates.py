@@ -72,4 +72,5 @@ def parse_period(col) -> Column:
     end_month = _month_index(m2)
     start_year = y2.try_cast("int") - F.when(start_month > end_month, 1).otherwise(0)
     named = F.try_to_date(F.concat_ws("-", start_year.cast("string"), start_month.cast("string"), d1), "y-M-d")
-    return F.coalesce(F.when(nd != "", numeric), F.when(d1 != "", named))
+    # both forms need "<digit>." somewhere; a cheap test first spares the long patterns on other text
+    return F.when(c.rlike(r"[0-9]\."), F.coalesce(F.when(nd != "", numeric), F.when(d1 != "", named)))

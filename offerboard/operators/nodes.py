@@ -201,14 +201,17 @@ def html_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     Storing every element's string value would repeat the page text once per
     nesting level; the spans give the same answers for "contains" tests
     (``elements_containing``) at the cost of the text once. Filter pages
-    before calling this; only ``(page_id, html)`` cross into Python.
+    before calling this; only ``(page_id, html)`` cross into Python, spread
+    over at least one task per core.
     """
     # ship this module's parser with the task so executors need no install of the package
     import sys
     from pyspark import cloudpickle
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    from offerboard.session import spread
     tags = None if text_tags is None else frozenset(text_tags)
-    src = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(html_col).alias("html"))
+    src = spread(pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(html_col).alias("html")),
+                 "page_id")
     return src.mapInPandas(lambda it: _nodes_batches(it, tags), NODE_SCHEMA)
 
 
