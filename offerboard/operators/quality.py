@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerboard.functions.dates import week_label, weekday_index
-from offerboard.functions.prices import PRICE_TYPE, normalize_price as _normalize
+from offerboard.functions.prices import normalize_price as _normalize
 
 
 def normalize_price(df: DataFrame, raw: str = "price_raw") -> DataFrame:
@@ -88,7 +88,3 @@ def usage_summary(usage: DataFrame, keys=("location", "provider", "model")) -> D
         F.sum("total_tokens").alias("total_tokens"),
         F.bool_and(F.coalesce(F.col("total_tokens") == F.col("prompt_tokens") + F.col("completion_tokens"),
                               F.lit(False))).alias("totals_ok"))
-
-
-def price_decimal(col: str = "price"):
-    return F.col(col).cast(PRICE_TYPE)

@@ -82,14 +82,14 @@ def scan_usage(spark: SparkSession, path: str, glob: str = "*usage.json") -> Dat
     )
 
 
-def scan_csv_table(spark: SparkSession, path: str, keep_cols: list[int] | None = None,
-                   skip_rows: list[int] | None = None, header: bool = True, glob: str = "*.csv") -> DataFrame:
-    """A CSV table per file, rows numbered per file.
-
-    ``skip_rows`` are data-row numbers counted from 0 after the header, as in
-    ``pandas.read_csv(skiprows=...)`` with a header line 0 (so pandas' 5 and 6
-    are data rows 4 and 5). Columns are named from the header, restricted to
-    ``keep_cols`` (0-based). Output: (file, row, <columns>...).
+def scan_csv_table(spark: SparkSession, path: str, skip_rows: list[int] | None = None, header: bool = True,
+                   glob: str = "*.csv") -> DataFrame:
+    """A CSV table per file, rows numbered per file -> (file, row, cells ARRAY<STRING>).
+
+    ``skip_rows`` are data-row numbers counted from 0 after the header (so the
+    file lines 5 and 6 of a table with a header line 0 are data rows 4 and 5).
+    Each file is one whole-text record, so numbering needs no global order;
+    ``csv_table_columns`` picks and names a column subset.
     """
     files = _whole_files(spark, path, glob)
     lines = files.select(F.col("file_path").alias("file"),

@@ -37,13 +37,19 @@ def meal_lists(offers: DataFrame, keys=("location", "offer_key"), pos="pos",
                     .alias("meals")))
 
 
-def publish_bundle(offers: DataFrame, locations: DataFrame, location_key: str = "location") -> DataFrame:
+def publish_bundle(offers: DataFrame, locations: DataFrame, location_key: str = "location",
+                   keys=None) -> DataFrame:
     """One published record per location: (name, link, details, offers MAP<key, meals>), as JSON too.
 
     The bundle document is the sequence of these rows (``{"locations": [...]}``
     is only the envelope a writer puts around them), so no single task ever
-    holds all locations. A location without offers gets ``{}``.
+    holds all locations. A location without offers gets ``{}``. ``keys`` (a
+    Column predicate on ``offer_key``, e.g. the weeks the page can show)
+    bounds each record to a window of keys; without it a record holds the
+    location's whole archive.
     """
+    if keys is not None:
+        offers = offers.filter(keys)
     lists = meal_lists(offers, keys=(location_key, "offer_key"))
     per_loc = lists.groupBy(location_key).agg(
         F.map_from_entries(F.collect_list(F.struct("offer_key", "meals"))).alias("offers"))

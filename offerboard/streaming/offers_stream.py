@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerboard.functions.dates import week_label
 from offerboard.operators.links import absolutize, extract_links, site_base
 from offerboard.plans.views import offers_from_events
 from offerboard.session import shared_dir
@@ -127,6 +126,3 @@ def run_offers_stream(spark: SparkSession, sf_dir: str) -> str:
 def run_new_links_stream(spark: SparkSession, sf_dir: str) -> str:
     return run_to_table(new_links_stream(spark, sf_dir), spark, "new-links-stream")
 
-
-__all__ = ["offers_stream", "offers_document_stream", "new_links_stream", "run_to_table", "run_offers_stream",
-           "run_new_links_stream", "week_label"]

@@ -57,6 +57,8 @@ def test_locations_and_bundle(spark, tmp_dir):
     assert a["offers"]["2024-01-08"] == []
     assert [m["desc"] for m in a["offers"]["2024-01-09"]] == ["A", "B", "C", "D", "E", "F"]
     assert a["details"] == ["Preis inkl. Softdrink", "Kartenzahlung ab 15€"]
+    week_only = {r.location: r for r in S.publish_bundle(offers, locs, keys=F.col("offer_key").startswith("2024-W")).collect()}
+    assert list(week_only["loc_a"].offers) == ["2024-W01"]
 
 
 def test_write_offers_replaces_only_its_week(spark, tmp_dir):
