@@ -223,24 +223,25 @@ def page_texts(nodes: DataFrame) -> DataFrame:
 def word_occurrences(nodes: DataFrame, words, fold: bool = True) -> DataFrame:
     """(page_id, occ_start, occ_end) of every occurrence of any word in each page text.
 
-    The folded page text is split on the word; the piece lengths, summed in a
-    window over that page's pieces, give the offsets. Exact across tag
+    Each page text is paired with each word (a literal array, exploded), split
+    on the word, and the piece lengths summed in a window over that page and
+    word give the offsets. One pass for all words; exact across tag
     boundaries, because the page text is the concatenation of all text nodes.
     """
     from offerboard.functions.text import ascii_fold
     text = page_texts(nodes)
     t = ascii_fold(F.col("page_text")) if fold else F.col("page_text")
-    out = None
-    for w in words:
-        pieces = text.select("page_id", F.posexplode(F.split(t, _regex_literal(w), -1)).alias("k", "piece"))
-        win = Window.partitionBy("page_id").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        occ = (pieces.withColumn("_end_of_piece", F.sum(F.length("piece") + len(w)).over(win) - len(w))
-               .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("page_id")))
-               .filter(F.col("k") < F.col("_n") - 1)
-               .select("page_id", F.col("_end_of_piece").cast("int").alias("occ_start"),
-                       (F.col("_end_of_piece") + len(w)).cast("int").alias("occ_end")))
-        out = occ if out is None else out.unionByName(occ)
-    return out
+    ws = F.array(*[F.struct(F.lit(_regex_literal(w)).alias("pattern"), F.lit(len(w)).alias("len")) for w in words])
+    pairs = text.select("page_id", t.alias("_t"), F.explode(ws).alias("_w"))
+    pieces = pairs.select("page_id", F.col("_w.pattern").alias("_pat"), F.col("_w.len").alias("_len"),
+                          F.posexplode(F.split(F.col("_t"), F.col("_w.pattern"), -1)).alias("k", "piece"))
+    by_word = Window.partitionBy("page_id", "_pat")
+    upto = by_word.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    occ = (pieces.withColumn("_start", F.sum(F.length("piece") + F.col("_len")).over(upto) - F.col("_len"))
+           .withColumn("_n", F.count(F.lit(1)).over(by_word))
+           .filter(F.col("k") < F.col("_n") - 1))
+    return occ.select("page_id", F.col("_start").cast("int").alias("occ_start"),
+                      (F.col("_start") + F.col("_len")).cast("int").alias("occ_end"))
 
 
 def _regex_literal(w: str) -> str:
@@ -364,11 +365,15 @@ def keyword_container(nodes: DataFrame, words, container_tag: str = "div") -> Da
     """Nearest classed, non-empty ``container_tag`` around the first innermost keyword match.
 
     An element matches when its folded text holds any word; innermost means no
-    element child matches as well. -> (page_id, pre, strategy)
+    element child matches as well. Matching is closed upwards and a subtree is
+    contiguous in pre-order, so a match has a matching child exactly when the
+    next match in document order lies inside it: one ``lead`` over the
+    page's matches, no self-join. -> (page_id, pre, strategy)
     """
     m = elements_containing(nodes, words)
-    has_matching_child = m.select("page_id", F.col("parent_pre").alias("pre")).distinct()
-    innermost = m.join(has_matching_child, ["page_id", "pre"], "left_anti")
+    nxt = F.lead("post").over(Window.partitionBy("page_id").orderBy("pre"))
+    innermost = m.withColumn("_next_post", nxt).filter(
+        F.col("_next_post").isNull() | (F.col("_next_post") > F.col("post")))
     first = innermost.groupBy("page_id").agg(F.min(F.struct("pre", "post")).alias("f")) \
         .select("page_id", F.col("f.pre").alias("pre"), F.col("f.post").alias("post")).alias("f")
     # string-length(normalize-space(.)) > 0  <=>  some character below that is not XML white space
