@@ -293,6 +293,17 @@ def _inside(outer: str, inner: str) -> Column:
             & (F.col(f"{outer}.post") > F.col(f"{inner}.post")))
 
 
+def links_from_nodes(nodes: DataFrame, link_tag: str = "a") -> DataFrame:
+    """B3 for any markup: (page_id, pos, href, text) of every anchor, nested content included.
+
+    ``pos`` is the anchor's document-order position; text is its whole string
+    value (entities decoded by the tokenizer). Anchors without href keep NULL.
+    """
+    return nodes.filter(F.col("tag") == link_tag).select(
+        "page_id", F.col("pre").cast("bigint").alias("pos"), F.col("attrs")["href"].alias("href"),
+        F.col("string_value").alias("text"))
+
+
 def links_in_first_section(nodes: DataFrame, container: str = "section", link_tag: str = "a",
                            href_contains: str = "pdf") -> DataFrame:
     """``//container[.//a[contains(@href,x)]][1]//a[contains(@href,x)]`` -> (page_id, pre, href).

@@ -178,3 +178,12 @@ def test_spans_match_string_values(spark):
     split_word = N.html_nodes(spark.createDataFrame([(1, "<div><p>Mon<b>TAG</b></p><p>x</p></div>")], "page_id bigint, html string"))
     assert {r.pre for r in N.elements_containing(split_word, ["montag"]).collect()} == {0, 1}
     nodes.unpersist()
+
+
+def test_links_from_nodes(spark):
+    html = '<p><a href="/a.pdf"><img src="x.png"> Plan <b>KW&nbsp;2</b></a><a href="/b">B &amp; C</a><a name="x">n</a></p>'
+    nodes = N.html_nodes(spark.createDataFrame([(1, html)], "page_id bigint, html string"))
+    got = [(r.href, r.text) for r in N.links_from_nodes(nodes).orderBy("pos").collect()]
+    assert got == [("/a.pdf", " Plan KW\xa02"), ("/b", "B & C"), (None, "n")]
+    flat = L.extract_links(spark.createDataFrame([(1, html)], "page_id bigint, html string"), keep=())
+    assert [(r.href, r.text) for r in flat.collect()] == [("/b", "B & C"), ("", "n")]
