@@ -21,7 +21,6 @@ SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # rows entering the Python stage are whole pages; keep each Arrow batch modest
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",

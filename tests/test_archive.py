@@ -31,3 +31,13 @@ def test_archive_counts(spark):
     assert empty.count() == 148
     assert meals.filter(F.col("price").isNull()).count() == 80
     offers.unpersist()
+
+
+def test_archive_as_stream(spark, tmp_dir):
+    from offerboard.streaming.offers_stream import offers_document_stream
+    q = (offers_document_stream(spark, ARCHIVE).writeStream.format("parquet")
+         .option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(availableNow=True).start(f"{tmp_dir}/out"))
+    q.awaitTermination()
+    rows = spark.read.parquet(f"{tmp_dir}/out")
+    assert rows.select("location", "file_week", "offer_key").distinct().count() == 2279
+    assert rows.filter("pos is not null").count() == 4818
