@@ -71,7 +71,8 @@ def domain_filter(pages: DataFrame, domains, url: str = "url", id_col: str = "pa
     Each host is expanded into its dot suffixes (a.b.c -> a.b.c, b.c, c). A
     list passed by the caller becomes one literal array and the test is an
     ``arrays_overlap`` in the scan's codegen stage; an allow-list DataFrame of
-    any size is matched by an equi semi-join on the suffix instead.
+    any size is matched by an equi semi-join on the suffix instead (broadcast
+    only after a size check).
     """
     labels = F.split(host_of(url), r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
@@ -79,7 +80,8 @@ def domain_filter(pages: DataFrame, domains, url: str = "url", id_col: str = "pa
     if not isinstance(domains, DataFrame):
         allow = F.array(*[F.lit(d.lower()) for d in domains])
         return pages.filter(F.coalesce(F.arrays_overlap(suffixes, allow), F.lit(False)))
-    allow = domains.select(F.lower(F.col(domains.columns[0])).alias("_domain")).distinct()
+    from offerboard.session import broadcast_if_small
+    allow = broadcast_if_small(domains.select(F.lower(F.col(domains.columns[0])).alias("_domain")).distinct())
     keyed = pages.select(id_col, F.explode(suffixes).alias("_domain"))
     hits = keyed.join(allow, "_domain", "left_semi").select(id_col).distinct()
     return pages.join(hits, id_col, "left_semi")

@@ -296,8 +296,9 @@ def apply_site_rules(pages: DataFrame, rules: DataFrame, overrides: DataFrame |
     ``rules``/``overrides`` are keyed by ``host``, a domain that also covers its
     sub-domains; a page takes the rule of its longest matching domain. Each
     page host is expanded into its dot suffixes and equi-joined with the rules
-    (configuration, one row per site, broadcast); the longest match per page is
-    a max aggregate. Pages without a rule keep NULL settings.
+    (configuration, one row per site, broadcast after a size check); the
+    longest match per page is a max aggregate. Pages without a rule keep NULL
+    settings.
     """
     from offerboard.operators.links import host_of
     cols = [c for c in rules.columns if c != "host"]
@@ -310,8 +311,9 @@ def apply_site_rules(pages: DataFrame, rules: DataFrame, overrides: DataFrame |
     labels = F.split(host_of(url), r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    from offerboard.session import broadcast_if_small
     keyed = pages.select(id_col, F.explode(suffixes).alias("host"))
-    hits = keyed.join(F.broadcast(merged), "host")
+    hits = keyed.join(broadcast_if_small(merged), "host")
     best = hits.groupBy(id_col).agg(F.max_by(F.struct("host", *cols), F.length("host")).alias("_r"))
     return pages.join(best, id_col, "left").select(
         *pages.columns, F.col("_r.host").alias("rule_host"), *[F.col(f"_r.{c}").alias(c) for c in cols])

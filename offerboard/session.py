@@ -111,3 +111,14 @@ def literal_table(spark: SparkSession, rows, columns):
     from pyspark.sql import functions as F
     structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, columns)]) for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs))).select(*[F.col(n).cast(t) for n, t in columns])
+
+
+def broadcast_if_small(df, max_rows: int = 100_000):
+    """``F.broadcast(df)`` only when a count shows at most ``max_rows`` rows, else ``df`` as it is.
+
+    For configuration-sized inputs (rule tables, allow-lists) given by a
+    caller: the count is one job over that small table. Beyond the bound the
+    join is left to the planner and AQE (sort-merge, skew splitting).
+    """
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
