@@ -119,6 +119,27 @@ def run_to_table(stream: DataFrame, spark: SparkSession, name: str, partition_by
     return out
 
 
+def store_batch(store_path: str):
+    """foreachBatch body of E5: a micro-batch of offers replaces the (location, file_week) partitions it holds.
+
+    Dynamic partition overwrite makes a retried batch rewrite the same
+    partitions, and a re-scraped week replace its older version (E7).
+    """
+    from offerboard.operators.quality import normalize_price
+    from offerboard.sources.sinks import write_offers
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        write_offers(normalize_price(batch), store_path)
+    return run
+
+
+def run_archive_to_store(spark: SparkSession, archive: str, store_path: str, checkpoint: str) -> None:
+    """E5: every offers document that has arrived in ``archive``, each once, into the partitioned store."""
+    q = (offers_document_stream(spark, archive).writeStream.foreachBatch(store_batch(store_path))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def run_offers_stream(spark: SparkSession, sf_dir: str) -> str:
     return run_to_table(offers_stream(spark, sf_dir), spark, "offers-stream", ("location",))
 

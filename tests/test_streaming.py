@@ -32,3 +32,16 @@ def test_new_links_stream_dedupes(spark, tmp_dir):
     path = ST.run_new_links_stream(spark, SMALL)
     urls = [r.url for r in spark.read.parquet(path).collect()]
     assert len(urls) == len(set(urls)) > 0
+
+
+def test_archive_stream_into_store(spark, tmp_dir):
+    src, store, ckpt = f"{tmp_dir}/archive", f"{tmp_dir}/store", f"{tmp_dir}/ckpt"
+    os.makedirs(f"{src}/loc_a")
+    with open(f"{src}/loc_a/2024-01.json", "w") as f:
+        json.dump({"2024-01-02": [{"desc": "A", "price": 1.5}, {"desc": "Z", "price": ""}]}, f)
+    ST.run_archive_to_store(spark, src, store, ckpt)
+    with open(f"{src}/loc_a/2024-02.json", "w") as f:
+        json.dump({"2024-01-09": [{"desc": "B", "price": 0}]}, f)
+    ST.run_archive_to_store(spark, src, store, ckpt)
+    got = {(r.file_week, r.desc, r.price_status) for r in spark.read.parquet(store).collect()}
+    assert got == {("2024-01", "A", "ok"), ("2024-01", "Z", "missing"), ("2024-02", "B", "zero")}
