@@ -239,6 +239,25 @@ def transpose_table(df: DataFrame, key_col: str, value_cols, keys=None, field: s
     return piv.agg(F.first("_value"))
 
 
+def extract_week_table(table: DataFrame, id_col: str, category: str, day_cols, week_start: str = "week_start",
+                       row: str = "row") -> DataFrame:
+    """Week table (category column + one column per weekday, Monday first) -> long offer rows.
+
+    C15 unpivot with empty cells skipped, C7 desc/price split per cell, C4 the
+    column's weekday offset from the week's Monday, C13 days without meals
+    simply produce no rows. ``pos`` orders a day's meals by table row.
+    -> (doc_id, offer_key, key_kind, pos, category, desc, price)
+    """
+    offsets = F.create_map(*[x for i, c in enumerate(day_cols) for x in (F.lit(c), F.lit(i))])
+    long = unpivot_week_table(table.select(id_col, row, category, week_start, *day_cols),
+                              [id_col, row, category, week_start], list(day_cols), "_day", "_cell")
+    desc, price = split_desc_price(F.col("_cell"))
+    day = F.date_add(F.col(week_start), F.element_at(offsets, F.col("_day")))
+    return long.select(F.col(id_col).alias("doc_id"), F.date_format(day, "yyyy-MM-dd").alias("offer_key"),
+                       F.lit("day").alias("key_kind"), F.col(row).cast("bigint").alias("pos"), F.col(category),
+                       clean_desc(desc).alias("desc"), price.alias("price"))
+
+
 def dated_rows_to_meals(df: DataFrame, date_col: str, meal_cols, id_cols=()) -> DataFrame:
     """C17: one row per date with meal columns -> (ids..., day, slot, desc, price)."""
     long = unpivot_week_table(df, [*id_cols, date_col], meal_cols, "slot", "cell")

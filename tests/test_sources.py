@@ -114,3 +114,27 @@ def test_csv_table_and_lines(spark, tmp_dir):
     assert {r.doc_id: r.text for r in S.document_text(doc_lines, first_only=True).collect()} == {1: "a", 2: "z"}
     S.lines_sink(doc_lines, f"{tmp_dir}/lines", first_only=False)
     assert {r.doc_id: r.text for r in spark.read.json(f"{tmp_dir}/lines").collect()} == {1: "a\nb", 2: "z"}
+
+
+def test_week_table_flow(spark, tmp_dir):
+    """OCR week table: read with row skipping (A8), unpivot (C15), prices (C7), weekday dates (C4), empty days gone."""
+    import datetime as dt
+    from offerboard.operators.menus import extract_week_table
+    d = f"{tmp_dir}/week"
+    os.makedirs(d)
+    lines = ["Kategorie,Montag,Dienstag,Mittwoch,Donnerstag,Freitag",
+             'Suppe,"Erbsensuppe 2,50 €",,"Tomatensuppe 2,50 €",,',
+             'Hauptgericht,"Schnitzel 5,90 € (a)","Gulasch 5,90 €",,"Fisch 6,20 €",',
+             'Vegetarisch,"Pasta 4,80 €",,,"Curry 4,80 €",',
+             "Hinweis,x,x,x,x,x", "Hinweis,y,y,y,y,y"]
+    with open(f"{d}/table.csv", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    cells = R.scan_csv_table(spark, d, skip_rows=[3, 4])
+    days = ["mo", "di", "mi", "do", "fr"]
+    table = R.csv_table_columns(cells, ["kategorie", *days]).withColumn("week_start", F.lit(dt.date(2024, 1, 8)))
+    rows = extract_week_table(table, "file", "kategorie", days).collect()
+    got = sorted((r.offer_key, r.pos, r.desc, r.price) for r in rows)
+    assert got == [("2024-01-08", 0, "Erbsensuppe", Decimal("2.50")), ("2024-01-08", 1, "Schnitzel", Decimal("5.90")),
+                   ("2024-01-08", 2, "Pasta", Decimal("4.80")), ("2024-01-09", 1, "Gulasch", Decimal("5.90")),
+                   ("2024-01-10", 0, "Tomatensuppe", Decimal("2.50")), ("2024-01-11", 1, "Fisch", Decimal("6.20")),
+                   ("2024-01-11", 2, "Curry", Decimal("4.80"))]
