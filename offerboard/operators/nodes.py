@@ -6,11 +6,12 @@ and emits one row per element, numbered in pre- and post-order. After that
 every XPath-like question is an ordinary join:
 
 * parent / child         -> equi-join on ``(page_id, parent_pre = pre)``
-* ancestor / descendant  -> equi-join on ``page_id`` plus ``a.pre < d.pre and a.post > d.post``
+* ancestor / descendant  -> explode ``ancestors``, equi-join on ``(page_id, pre)``
 * "first" / "n-th"       -> aggregate ``min(pre)`` or a window bounded by one page
 
-Both sides of every range join are filtered to the few candidate elements
-before the join, so the per-page pairs stay small.
+Ancestor tests join each candidate element with the elements on its own
+ancestor path (an equi-join on ``(page_id, pre)``), so no pair of unrelated
+elements is ever formed.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from offerboard.functions.text import ascii_fold, normalize_space
 NODE_SCHEMA = (
     "page_id BIGINT, pre INT, post INT, parent_pre INT, depth INT, sib INT, tag STRING, "
     "attrs MAP<STRING, STRING>, own_text STRING, string_value STRING, text_start INT, text_end INT, "
-    "has_text BOOLEAN, page_text STRING, start_offset INT, end_offset INT"
+    "has_text BOOLEAN, page_text STRING, start_offset INT, end_offset INT, ancestors ARRAY<INT>"
 )
 
 # Elements without content, and elements whose start closes an
@@ -65,7 +66,7 @@ class _TreeBuilder(HTMLParser):
         self.line_starts = [0, *accumulate(len(x) + 1 for x in html.split("\n")[:-1])]
 
     # row layout: 0 pre, 1 post, 2 parent_pre, 3 depth, 4 sib, 5 tag, 6 attrs, 7 own_text(list),
-    #             8 text_start, 9 text_end, 10 has_text, 11 start, 12 end
+    #             8 text_start, 9 text_end, 10 has_text, 11 start, 12 end, 13 ancestors (pre, root first)
     def _offset(self) -> int:
         line, col = self.getpos()
         return self.line_starts[line - 1] + col
@@ -114,7 +115,7 @@ class _TreeBuilder(HTMLParser):
         sib = self.children[-1]
         self.children[-1] += 1
         self.rows.append([self.pre, -1, parent, len(self.stack), sib, tag, amap, [], self.text_len, -1, False,
-                          start, -1])
+                          start, -1, [self.rows[i][0] for i in self.stack]])
         self.pre += 1
         self.stack.append(len(self.rows) - 1)
         self.children.append(0)
@@ -171,7 +172,7 @@ def parse_nodes(html: str, text_tags=TEXT_TAGS) -> tuple[list[list], str]:
 
 
 _NODE_COLS = ["page_id", "pre", "post", "parent_pre", "depth", "sib", "tag", "attrs", "own_text", "string_value",
-              "text_start", "text_end", "has_text", "page_text", "start_offset", "end_offset"]
+              "text_start", "text_end", "has_text", "page_text", "start_offset", "end_offset", "ancestors"]
 
 
 def _nodes_batches(batches: Iterator[pd.DataFrame], text_tags) -> Iterator[pd.DataFrame]:
@@ -183,7 +184,7 @@ def _nodes_batches(batches: Iterator[pd.DataFrame], text_tags) -> Iterator[pd.Da
             for r in rows:
                 sv = text[r[8]:r[9]] if keep_all or r[5] in text_tags else None
                 out.append([pid, r[0], r[1], r[2], r[3], r[4], r[5], r[6], "".join(r[7]), sv, r[8], r[9], r[10],
-                            text if r[0] == 0 else None, r[11], r[12]])
+                            text if r[0] == 0 else None, r[11], r[12], r[13]])
         yield pd.DataFrame(out, columns=_NODE_COLS)
 
 
@@ -196,7 +197,8 @@ def html_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     ``string(.)``, kept for ``text_tags`` only; ``None`` keeps it for all),
     text_start/text_end (the element's span in the page text), has_text (some
     non-white-space text below), page_text (the page's whole text, on the row
-    with pre 0 only), start_offset/end_offset (outer HTML span in the page).
+    with pre 0 only), start_offset/end_offset (outer HTML span in the page),
+    ancestors (pre of every ancestor, root first: ancestor tests are equi-joins).
 
     Storing every element's string value would repeat the page text once per
     nesting level; the spans give the same answers for "contains" tests
@@ -287,10 +289,18 @@ def _text_has(words, col: str = "string_value", fold: bool = True) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def _inside(outer: str, inner: str) -> Column:
-    return ((F.col(f"{outer}.page_id") == F.col(f"{inner}.page_id"))
-            & (F.col(f"{outer}.pre") < F.col(f"{inner}.pre"))
-            & (F.col(f"{outer}.post") > F.col(f"{inner}.post")))
+def _with_ancestors(targets: DataFrame, nodes: DataFrame, candidates: DataFrame, prefix: str) -> DataFrame:
+    """(target columns..., <prefix>_pre, ...) for every candidate that is an ancestor of a target.
+
+    Each target's ancestor list is exploded and equi-joined on
+    ``(page_id, pre)`` with the candidates, so only true ancestor pairs are
+    ever formed (at most depth rows per target).
+    """
+    anc = targets.join(nodes.select("page_id", "pre", "ancestors"), ["page_id", "pre"]) \
+        .withColumn("_anc", F.explode("ancestors")).drop("ancestors")
+    cand = candidates.select("page_id", *[F.col(c).alias(f"{prefix}_{c}") for c in candidates.columns if c != "page_id"])
+    return anc.join(cand, (anc["page_id"] == cand["page_id"]) & (anc["_anc"] == cand[f"{prefix}_pre"])) \
+        .drop(cand["page_id"]).drop("_anc")
 
 
 def links_from_nodes(nodes: DataFrame, link_tag: str = "a") -> DataFrame:
@@ -310,15 +320,14 @@ def links_in_first_section(nodes: DataFrame, container: str = "section", link_ta
 
     ``[1]`` counts per parent: for every parent the first child container that
     holds a matching link is kept, and all matching links below it returned.
+    Links are paired only with the containers on their ancestor path.
     """
     links = nodes.filter((F.col("tag") == link_tag) & _attr_contains("href", href_contains)) \
-        .select("page_id", "pre", "post", F.col("attrs")["href"].alias("href")).alias("l")
-    secs = nodes.filter(F.col("tag") == container).select("page_id", "pre", "post", "parent_pre").alias("s")
-    pairs = secs.join(links, _inside("s", "l")).select(
-        F.col("s.page_id").alias("page_id"), F.col("s.parent_pre").alias("s_parent"),
-        F.col("s.pre").alias("s_pre"), F.col("l.pre").alias("pre"), F.col("l.href").alias("href"))
-    first = pairs.groupBy("page_id", "s_parent").agg(F.min("s_pre").alias("s_pre"))
-    return pairs.join(first, ["page_id", "s_parent", "s_pre"], "left_semi") \
+        .select("page_id", "pre", F.col("attrs")["href"].alias("href"))
+    secs = nodes.filter(F.col("tag") == container).select("page_id", "pre", "parent_pre")
+    pairs = _with_ancestors(links, nodes, secs, "s")
+    first = pairs.groupBy("page_id", "s_parent_pre").agg(F.min("s_pre").alias("s_pre"))
+    return pairs.join(first, ["page_id", "s_parent_pre", "s_pre"], "left_semi") \
         .select("page_id", "pre", "href").distinct()
 
 
@@ -359,12 +368,10 @@ def heading_container(nodes: DataFrame, heading_tag: str = "h2", word: str = "sp
     else:                                    # span test, works for any tag
         heads = nodes.filter(F.col("tag") == heading_tag).join(
             elements_containing(nodes, [word]).select("page_id", "pre"), ["page_id", "pre"], "left_semi")
-    heads = heads.select("page_id", "pre", "post", "parent_pre").alias("h")
-    conts = nodes.filter((F.col("tag") == container_tag) & _attr_contains("class", class_sub)) \
-        .select("page_id", "pre", "post").alias("c")
-    nearest = (conts.join(heads, _inside("c", "h"))
-               .groupBy(F.col("h.page_id").alias("page_id"), F.col("h.pre").alias("h_pre"))
-               .agg(F.max(F.col("c.pre")).alias("pre"))
+    heads = heads.select("page_id", "pre", "parent_pre")
+    conts = nodes.filter((F.col("tag") == container_tag) & _attr_contains("class", class_sub)).select("page_id", "pre")
+    nearest = (_with_ancestors(heads.select("page_id", "pre"), nodes, conts, "c")
+               .groupBy("page_id", F.col("pre").alias("h_pre")).agg(F.max("c_pre").alias("pre"))
                .select("page_id", F.lit(1).alias("prio"), "pre"))
     parents = heads.select(F.col("page_id"), F.lit(2).alias("prio"), F.col("parent_pre").alias("pre"))
     best = nearest.unionByName(parents).groupBy("page_id").agg(F.min(F.struct("prio", "pre")).alias("b"))
@@ -385,13 +392,12 @@ def keyword_container(nodes: DataFrame, words, container_tag: str = "div") -> Da
     nxt = F.lead("post").over(Window.partitionBy("page_id").orderBy("pre"))
     innermost = m.withColumn("_next_post", nxt).filter(
         F.col("_next_post").isNull() | (F.col("_next_post") > F.col("post")))
-    first = innermost.groupBy("page_id").agg(F.min(F.struct("pre", "post")).alias("f")) \
-        .select("page_id", F.col("f.pre").alias("pre"), F.col("f.post").alias("post")).alias("f")
+    first = innermost.groupBy("page_id").agg(F.min("pre").alias("pre"))
     # string-length(normalize-space(.)) > 0  <=>  some character below that is not XML white space
     divs = nodes.filter((F.col("tag") == container_tag) & F.col("attrs")["class"].isNotNull() & F.col("has_text")) \
-        .select("page_id", "pre", "post").alias("d")
-    return (divs.join(first, _inside("d", "f"))
-            .groupBy(F.col("f.page_id").alias("page_id")).agg(F.max(F.col("d.pre")).alias("pre"))
+        .select("page_id", "pre")
+    return (_with_ancestors(first, nodes, divs, "d")
+            .groupBy("page_id").agg(F.max("d_pre").alias("pre"))
             .withColumn("strategy", F.lit("keyword")))
 
 
