@@ -13,9 +13,12 @@ DAY_LABEL = "Tagesangebot"
 WEEK_LABEL = "Wochenangebot"
 
 
+TODAY = "today"
+
+
 def board_keys(date: str | None, style: str = "board") -> tuple[Column, Column]:
-    """(day key, week key) for a date; D1 default is today, D2 the week label."""
-    d = F.lit(date) if date else default_date()
+    """(day key, week key) for a date; ``"today"`` is the current date (D1), D2 the week label."""
+    d = default_date() if date in (None, TODAY) else F.lit(date)
     return d, week_label(F.to_date(d), style)
 
 
@@ -32,7 +35,7 @@ def week_offers(offers: DataFrame, date: str, style: str = "board") -> DataFrame
 def _selected(offers: DataFrame, date: str | None, style: str) -> DataFrame:
     day_key, week_key = board_keys(date, style)
     sel = offers.filter(F.col("offer_key").isin(day_key, week_key) & F.col("pos").isNotNull())
-    if date is None:            # D9: no date selected -> nothing
+    if date is None:            # D9: no date selected -> nothing (use TODAY for the current date)
         sel = sel.filter(F.lit(False))
     return sel.withColumn("section", F.when(F.col("offer_key") == day_key, F.lit("day")).otherwise(F.lit("week")))
 

@@ -137,13 +137,19 @@ def with_status(df: DataFrame, value: str, fallback: str, out: str = "result") -
             .withColumn(out, F.coalesce(F.col(value), F.col(fallback))))
 
 
-def expect_count(items: DataFrame, keys: DataFrame, key: str, op: str, n: int) -> DataFrame:
+def expect_count(items: DataFrame, keys: DataFrame, key: str, op: str, n: int, fail: bool = False) -> DataFrame:
     """Count items per key and judge the count; every key of ``keys`` appears once.
 
     op is one of ``>=``, ``==``. Output: (key, n_items, accepted). A key with no
-    items has n_items 0. Rejections are rows, not a stopped job.
+    items has n_items 0. Rejections are rows, not a stopped job; with
+    ``fail=True`` a rejected key fails the job instead (``assert_true``).
     """
     counts = items.groupBy(key).agg(F.count(F.lit(1)).alias("n_items"))
     out = keys.select(key).join(counts, key, "left").withColumn("n_items", F.coalesce("n_items", F.lit(0)).cast("bigint"))
     cond = {">=": F.col("n_items") >= n, "==": F.col("n_items") == n}[op]
-    return out.withColumn("accepted", cond)
+    out = out.withColumn("accepted", cond)
+    if fail:
+        # inside a filter (keeps every row) so column pruning cannot drop the check
+        out = out.filter(F.assert_true(F.col("accepted"), F.concat(
+            F.lit(f"count {op} {n} failed for {key}="), F.col(key).cast("string"))).isNull())
+    return out

@@ -121,3 +121,17 @@ def test_site_rules(spark):
     over = spark.createDataFrame([("www.a.de", 3, None)], "host string, max_meals int, empty_policy string")
     got = {r.page_id: (r.location, r.max_meals, r.empty_policy) for r in C.apply_site_rules(pages, rules, over).collect()}
     assert got == {1: ("a", 3, "keep"), 2: ("b", None, "drop"), 3: ("s", 4, "keep"), 4: (None, None, None)}
+
+
+def test_today_and_failing_expectation(spark):
+    import pytest
+    from offerboard.operators import links as L
+    today = spark.range(1).select(F.date_format(F.current_date(), "yyyy-MM-dd").alias("d")).collect()[0].d
+    offers = spark.createDataFrame([("a", today, 0, "Heute", "1.00")],
+                                   "location string, offer_key string, pos bigint, desc string, price_raw string")
+    assert [r.text for r in B.board_rows(Q.normalize_price(offers), B.TODAY).collect()] == ["Heute"]
+    items = spark.createDataFrame([(1,), (1,), (2,)], "page_id int")
+    keys = spark.createDataFrame([(1,), (2,)], "page_id int")
+    assert L.expect_count(items, keys, "page_id", "==", 2).filter("accepted").count() == 1
+    with pytest.raises(Exception):
+        L.expect_count(items, keys, "page_id", "==", 2, fail=True).collect()
