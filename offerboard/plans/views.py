@@ -22,14 +22,16 @@ BOARD_DATE = "2024-01-09"
 WEEK_LOCATION = "purchase"
 
 
-# text-heavy tables and the key their per-row work can be spread on
-TEXT_TABLES = {"pages": "page_id", "documents": "doc_id", "conversations": "conv_id"}
+# tables whose per-row work is spread over the cores when a scan yields fewer
+# tasks than cores (see session.spread), with the key to hash on
+SPREAD_KEYS = {"pages": "page_id", "documents": "doc_id", "conversations": "conv_id", "events": "event_id",
+               "lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_TABLES:
-        df = spread(df, TEXT_TABLES[name], spark)
+    if name in SPREAD_KEYS:
+        df = spread(df, SPREAD_KEYS[name], spark)
     return df
 
 
