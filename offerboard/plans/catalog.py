@@ -772,3 +772,12 @@ def q_run_weekdays(spark, sf):
     d = V.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
     m = F.to_date(F.date_trunc("week", F.col("d")))
     return d.select("d", F.explode(F.sequence(m, F.date_add(m, 4))).alias("weekday"))
+
+
+@register("node_tag_counts", """
+WITH t AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+                                                     '<([A-Za-z][A-Za-z0-9]*)', 1)) AS tag FROM pages)
+SELECT page_id, lower(tag) AS tag, count(*) AS n FROM t GROUP BY ALL""")
+def q_node_tag_counts(spark, sf):
+    """B1 checked from outside: elements per page and tag equal the page's start tags."""
+    return _nodes(spark, sf, ()).groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
