@@ -781,3 +781,12 @@ SELECT page_id, lower(tag) AS tag, count(*) AS n FROM t GROUP BY ALL""")
 def q_node_tag_counts(spark, sf):
     """B1 checked from outside: elements per page and tag equal the page's start tags."""
     return _nodes(spark, sf, ()).groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("node_order", """
+WITH t AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+                                              '<([A-Za-z][A-Za-z0-9]*)', 1) AS tags FROM pages)
+SELECT page_id, CAST(unnest(generate_series(0, len(tags) - 1)) AS INTEGER) AS pre, lower(unnest(tags)) AS tag FROM t""")
+def q_node_order(spark, sf):
+    """B1 document order: ``pre`` is the start tag's position among the page's start tags."""
+    return _nodes(spark, sf, ()).select("page_id", "pre", "tag")
