@@ -61,3 +61,18 @@ def latest_per_week(offers: DataFrame, keys=("location", "file_week"), run: str
     keys = list(keys)
     latest = offers.groupBy(*keys).agg(F.max(run).alias(run))
     return offers.join(latest, [*keys, run], "left_semi")
+
+
+def changed_sites(pages: DataFrame, state: DataFrame | None, prop: str = "article:modified_time",
+                  url: str = "url", html: str = "html") -> DataFrame:
+    """E3 for pages: a site is processed again when its modified-time meta is newer than its stored mark.
+
+    B21/B22 read and validate the meta value (a value not starting with a year
+    never counts as changed); the location key is the page host. Output: the
+    changed pages with ``location`` and ``modified``; feed them to
+    ``advance_state`` after the run's writes succeed.
+    """
+    from offerboard.operators.links import host_of, page_meta
+    meta = page_meta(pages, prop, html).withColumn("location", host_of(url)) \
+        .withColumn("modified", F.col("meta_ts"))
+    return changed_pages(meta, state, "location", "modified")

@@ -135,3 +135,15 @@ def test_today_and_failing_expectation(spark):
     assert L.expect_count(items, keys, "page_id", "==", 2).filter("accepted").count() == 1
     with pytest.raises(Exception):
         L.expect_count(items, keys, "page_id", "==", 2, fail=True).collect()
+
+
+def test_changed_sites(spark):
+    meta = '<meta property="article:modified_time" content="{}">'
+    pages = spark.createDataFrame([(1, "https://a.de/x", meta.format("2026-05-18T09:19:30+00:00")),
+                                   (2, "https://b.de/", meta.format("2026-05-20T00:00:00+00:00")),
+                                   (3, "https://c.de/", meta.format("kaputt")), (4, "https://d.de/", "<p></p>")],
+                                  "page_id int, url string, html string")
+    state = spark.createDataFrame([("a.de", "2026-05-18T09:19:30+00:00"), ("b.de", "2026-05-18T09:19:30Z")],
+                                  "location string, t string").select("location", E.parse_high_water("t").alias("high_water"))
+    assert [r.page_id for r in E.changed_sites(pages, state).collect()] == [2]
+    assert sorted(r.page_id for r in E.changed_sites(pages, None).collect()) == [1, 2]
