@@ -84,13 +84,20 @@ def scan_usage(spark: SparkSession, path: str, glob: str = "*usage.json") -> Dat
 
 def scan_csv_table(spark: SparkSession, path: str, skip_rows: list[int] | None = None, header: bool = True,
                    glob: str = "*.csv") -> DataFrame:
-    """A CSV table per file, rows numbered per file -> (file, row, cells ARRAY<STRING>).
-
-    ``skip_rows`` are data-row numbers counted from 0 after the header (so the
-    file lines 5 and 6 of a table with a header line 0 are data rows 4 and 5).
-    Each file is one whole-text record, so numbering needs no global order;
-    ``csv_table_columns`` picks and names a column subset.
+    """CSV tables -> (file, row, cells ARRAY<STRING>).
+
+    Without ``skip_rows`` this is Spark's CSV reader: splittable, any file
+    size, ``row`` NULL. With ``skip_rows`` (data-row numbers counted from 0
+    after the header, so file lines 5 and 6 of a table with a header line 0
+    are data rows 4 and 5) rows must be numbered per file, so each file is
+    read as one whole text: meant for small tables such as one OCR table per
+    file. ``csv_table_columns`` picks and names a column subset.
     """
+    if not skip_rows:
+        df = (spark.read.option("header", header).option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+              .csv(path))
+        return df.select(F.col("_metadata.file_path").alias("file"), F.lit(None).cast("bigint").alias("row"),
+                         F.array(*[F.col(f"`{c}`").cast("string") for c in df.columns]).alias("cells"))
     files = _whole_files(spark, path, glob)
     lines = files.select(F.col("file_path").alias("file"),
                          F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n"))
@@ -102,8 +109,7 @@ def scan_csv_table(spark: SparkSession, path: str, skip_rows: list[int] | None =
                              F.regexp_replace(c, r'^"|"$', ""), '""', '"')).alias("cells"))
     body = cells.filter(F.col("line_no") >= (1 if header else 0)).withColumn(
         "row", (F.col("line_no") - (1 if header else 0)).cast("bigint"))
-    if skip_rows:
-        body = body.filter(~F.col("row").isin(list(skip_rows)))
+    body = body.filter(~F.col("row").isin(list(skip_rows)))
     return body.select("file", "row", "cells")
 
 
