@@ -49,17 +49,39 @@ def heading_word(line, words=tuple(WEEKDAYS)) -> Column:
     return F.when((word != "") & ~tail_is_word, word)
 
 
-def assign_sections(lines: DataFrame, heading: Column, key: str = "doc_id", pos: str = "pos") -> DataFrame:
+def assign_sections(lines: DataFrame, heading: Column, key: str = "doc_id", pos: str = "pos",
+                    chunk: int | None = None) -> DataFrame:
     """Each line gets the last heading at or above it (``section``) and that heading's pos.
 
-    The window is one document ordered by position.
+    Without ``chunk`` the window is one group ordered by position (right for
+    a single text, which is one input row). With ``chunk`` the carry-forward
+    is a two-phase segmented scan, so a group holding a large share of all
+    rows never lands in one task: a window per (group, pos div chunk), a
+    small per-chunk table that carries the last heading of earlier chunks,
+    and an equi-join that applies it.
     """
-    w = Window.partitionBy(key).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (lines.withColumn("_h", heading)
+    df = lines.withColumn("_h", heading)
+    hpos = F.when(F.col("_h").isNotNull(), F.col(pos))
+    if chunk is None:
+        w = Window.partitionBy(key).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return (df.withColumn("is_heading", F.col("_h").isNotNull())
+                .withColumn("section", F.last("_h", ignorenulls=True).over(w))
+                .withColumn("section_pos", F.last(hpos, ignorenulls=True).over(w))
+                .drop("_h"))
+    df = df.withColumn("_chunk", F.floor(F.col(pos) / chunk).cast("bigint"))
+    w = Window.partitionBy(key, "_chunk").orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = (df.withColumn("_ls", F.last("_h", ignorenulls=True).over(w))
+             .withColumn("_lp", F.last(hpos, ignorenulls=True).over(w)))
+    ends = df.filter(F.col("_h").isNotNull()).groupBy(key, "_chunk") \
+        .agg(F.max_by(F.struct(F.col("_h").alias("h"), F.col(pos).alias("p")), F.col(pos)).alias("_e"))
+    chunks = df.select(key, "_chunk").distinct().join(ends, [key, "_chunk"], "left")
+    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = chunks.withColumn("_c", F.last("_e", ignorenulls=True).over(before)).select(key, "_chunk", "_c")
+    return (local.join(carry, [key, "_chunk"])
             .withColumn("is_heading", F.col("_h").isNotNull())
-            .withColumn("section", F.last("_h", ignorenulls=True).over(w))
-            .withColumn("section_pos", F.last(F.when(F.col("_h").isNotNull(), F.col(pos)), ignorenulls=True).over(w))
-            .drop("_h"))
+            .withColumn("section", F.coalesce("_ls", F.col("_c.h")))
+            .withColumn("section_pos", F.coalesce("_lp", F.col("_c.p")))
+            .drop("_h", "_chunk", "_ls", "_lp", "_c"))
 
 
 def flag_notices(df: DataFrame, col: str = "line", patterns=tuple(NOTICE_PATTERNS)) -> DataFrame:

@@ -417,9 +417,10 @@ last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION B
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section_pos
 FROM conversations""")
 def q_line_sections(spark, sf):
-    """Every turn belongs to the last user turn at or above it."""
+    """Every turn belongs to the last user turn at or above it (chunked scan: a long conversation is split)."""
     conv = V.table(spark, sf, "conversations")
-    out = C.assign_sections(conv, F.when(F.col("role") == "user", F.col("role")), key="conv_id", pos="turn")
+    out = C.assign_sections(conv, F.when(F.col("role") == "user", F.col("role")), key="conv_id", pos="turn",
+                            chunk=4096)
     return out.select("conv_id", "turn", "role", "section_pos")
 
 

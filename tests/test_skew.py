@@ -44,3 +44,21 @@ def test_hot_url_new_links(spark):
     new = E.new_links(links.distinct(), seen)
     expected = {f"https://u/{i}" for i in range(100, 5000) if i % 3} | {"https://hot/"}
     assert {r.url for r in new.collect()} == expected
+
+
+def test_chunked_sections_equal_plain(spark):
+    from conftest import SMALL
+    conv = spark.read.parquet(f"{SMALL}/conversations.parquet")
+    head = F.when(F.col("role") == "user", F.col("role"))
+    plain = C.assign_sections(conv, head, key="conv_id", pos="turn")
+    cols = ["conv_id", "turn", "section", "section_pos", "is_heading"]
+    want = sorted(tuple(r) for r in plain.select(*cols).collect())
+    for chunk in (1, 2, 3):
+        got = sorted(tuple(r) for r in C.assign_sections(conv, head, key="conv_id", pos="turn", chunk=chunk)
+                     .select(*cols).collect())
+        assert got == want
+    hot = spark.range(20000).select(F.lit(1).alias("doc_id"), F.col("id").alias("pos"),
+                                    F.when(F.col("id") % 997 == 5, F.concat(F.lit("H"), F.col("id").cast("string"))).alias("h"))
+    a = C.assign_sections(hot, F.col("h"), chunk=1000).select("pos", "section").collect()
+    assert all((r.section is None) == (r.pos < 5) for r in a)
+    assert {r.pos: r.section for r in a}[19999] == "H" + str(max(i for i in range(20000) if i % 997 == 5))
