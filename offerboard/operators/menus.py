@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from offerboard.functions.dates import WEEKDAYS, parse_period, week_label, week_monday
-from offerboard.functions.prices import PRICE_TYPE, parse_price, split_desc_price
+from offerboard.functions.prices import PRICE_PATTERN, PRICE_TYPE, parse_price, split_desc_price
 from offerboard.functions.text import clean_desc, normalize_space, strip_footnotes, strip_ws
 
 # Lines that announce a closed day instead of a meal, words that
@@ -180,9 +180,14 @@ def extract_text_menu(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     lines = (lines.withColumn("_start", F.first(F.when(head, parse_period(F.col("line"))), ignorenulls=True).over(whole))
              .withColumn("doc_price", F.first(F.when(head, parse_price(F.col("line"))), ignorenulls=True).over(whole))
              .withColumn("week_start", week_monday(F.col("_start"))))
+    # "Montag: Erbsensuppe 3,50 €": a heading whose tail carries a price is also that day's first meal
+    tail = F.regexp_extract(F.col("line"), _HEADING, 2)
+    lines = lines.withColumn("line", F.when(F.col("is_heading") & tail.rlike(PRICE_PATTERN), tail)
+                             .otherwise(F.col("line"))) \
+        .withColumn("_meal_heading", F.col("is_heading") & F.col("line").rlike(PRICE_PATTERN))
     meals = split_alternatives(flag_notices(lines).filter(
-        F.col("section").isNotNull() & ~F.col("is_heading") & ~F.col("is_notice") & (F.col("line") != "")
-        & F.col("week_start").isNotNull()))
+        F.col("section").isNotNull() & (~F.col("is_heading") | F.col("_meal_heading")) & ~F.col("is_notice")
+        & (F.col("line") != "") & F.col("week_start").isNotNull()))
     if max_meals:
         # (doc_id, section_pos) windows reuse the doc_id partitioning: a sort, no new shuffle
         meals = cap_per_section(meals, max_meals)

@@ -49,3 +49,13 @@ def test_drop_empty_days(spark):
     docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     kept = menus.drop_empty_days(menus.extract_text_menu(docs))
     assert "2024-01-01" not in {r.offer_key for r in kept.collect()}
+
+
+def test_heading_line_with_meal(spark):
+    text = "Mittagstisch\n08.01.2024 - 12.01.2024\nMontag: Erbsensuppe 3,50 €\nBrot 1,00 €\nDienstag – Ruhetag\nMittwoch\nEintopf 4,20 €"
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    got = _doc(menus.extract_text_menu(docs, max_meals=None).collect())
+    assert got == {"2024-01-08": [{"desc": "Erbsensuppe", "price": decimal.Decimal("3.50")},
+                                  {"desc": "Brot", "price": decimal.Decimal("1.00")}],
+                   "2024-01-09": [], "2024-01-10": [{"desc": "Eintopf", "price": decimal.Decimal("4.20")}],
+                   "2024-01-11": [], "2024-01-12": []}
