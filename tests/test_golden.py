@@ -59,3 +59,14 @@ def test_heading_line_with_meal(spark):
                                   {"desc": "Brot", "price": decimal.Decimal("1.00")}],
                    "2024-01-09": [], "2024-01-10": [{"desc": "Eintopf", "price": decimal.Decimal("4.20")}],
                    "2024-01-11": [], "2024-01-12": []}
+
+
+def test_period_and_document_price_operators(spark):
+    import datetime as dt
+    text = open(os.path.join(FIXTURES, "menu_text.txt"), encoding="utf-8").read()
+    lines = menus.to_lines(spark.createDataFrame([(1, text)], "doc_id bigint, text string"))
+    assert menus.document_period(lines).collect()[0].week_start == dt.date(2024, 1, 1)
+    heads = menus.assign_sections(lines, menus.heading_word(lines["line"]))
+    first = heads.filter("is_heading").groupBy("doc_id").agg({"pos": "min"}).withColumnRenamed("min(pos)", "first_heading_pos")
+    price = menus.document_price(heads.join(first, "doc_id")).collect()[0].doc_price
+    assert price == decimal.Decimal("7.90")
