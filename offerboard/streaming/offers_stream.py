@@ -36,7 +36,7 @@ def _file_glob(sf_dir: str, table: str) -> str:
 def offers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E5 on the driver tables: events arriving as files -> offer rows, each event once."""
     _use_rocksdb(spark)
-    schema = spark.read.parquet(_file_glob(sf_dir, "events")).schema
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
     events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(_file_glob(sf_dir, "events"))
     return offers_from_events(events.dropDuplicates(["event_id"]))
 
@@ -64,7 +64,7 @@ def new_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     form below pre-aggregates each micro-batch instead.
     """
     _use_rocksdb(spark)
-    schema = spark.read.parquet(_file_glob(sf_dir, "pages")).schema
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet").schema
     pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(_file_glob(sf_dir, "pages"))
     links = absolutize(extract_links(pages), site_base("url"), out="abs_url")
     return links.select(F.col("abs_url").alias("url")).dropDuplicates(["url"])
@@ -72,7 +72,7 @@ def new_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Absolute links of arriving pages (no state)."""
-    schema = spark.read.parquet(_file_glob(sf_dir, "pages")).schema
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet").schema
     pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(_file_glob(sf_dir, "pages"))
     return absolutize(extract_links(pages), site_base("url"), out="abs_url").select(F.col("abs_url").alias("url"))
 
@@ -90,10 +90,7 @@ def seen_table_batch(seen_path: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         urls = batch.select("url").distinct()
-        try:
-            seen = spark.read.parquet(seen_path).filter(F.col("epoch") < epoch_id).select("url")
-        except Exception:   # first epoch: no seen table yet
-            seen = None
+        seen = spark.read.parquet(seen_path).filter(F.col("epoch") < epoch_id).select("url")
         new_links(urls, seen).write.mode("overwrite").parquet(f"{seen_path}/epoch={epoch_id}")
     return run
 
@@ -101,6 +98,8 @@ def seen_table_batch(seen_path: str):
 def run_seen_table_stream(spark: SparkSession, sf_dir: str) -> str:
     seen_path = shared_dir(spark, "seen-links")
     ckpt = shared_dir(spark, "seen-links-checkpoint")
+    # an empty epoch=-1 partition, so the first micro-batch reads an (empty) seen table
+    spark.range(0).select(F.lit("").alias("url")).write.mode("overwrite").parquet(f"{seen_path}/epoch=-1")
     q = (page_links_stream(spark, sf_dir).writeStream.foreachBatch(seen_table_batch(seen_path))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
