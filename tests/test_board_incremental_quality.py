@@ -147,3 +147,22 @@ def test_changed_sites(spark):
                                   "location string, t string").select("location", E.parse_high_water("t").alias("high_water"))
     assert [r.page_id for r in E.changed_sites(pages, state).collect()] == [2]
     assert sorted(r.page_id for r in E.changed_sites(pages, None).collect()) == [1, 2]
+
+
+def test_day_week_offers_and_wrap(spark, tmp_dir):
+    from offerboard.functions.html import text_lines, wrap_document
+    from offerboard.sources.sinks import write_artifacts
+    offers = _offers(spark)
+    assert sorted(r.desc for r in B.day_offers(offers, "2024-01-09").collect() if r.desc) == ["Eintopf", "Schnitzel", "Suppe"]
+    assert sorted(r.desc for r in B.week_offers(offers, "2024-01-09").collect()) == ["Pasta", "Salat"]
+    assert B.week_offers(offers, "2024-12-31", "board").count() == 0
+    doc = spark.createDataFrame([("<div><h2>Plan</h2><p>Suppe</p></div>", None)], "block string, title string")
+    wrapped = doc.select(wrap_document(F.col("block"), F.coalesce(F.col("title"), F.lit("Speiseplan - u"))).alias("d"))
+    r = wrapped.select("d", text_lines(F.col("d")).alias("t")).collect()[0]
+    assert r.d.startswith("<!doctype html>") and "<title>Speiseplan - u</title>" in r.d
+    assert r.t == "Speiseplan - u\nPlan\nSuppe"
+    arts = spark.createDataFrame([("x.html", "raw", "<p>x</p>"), ("cleaned_x.html", "cleaned", "x")],
+                                 "artifact_name string, kind string, body string")
+    write_artifacts(arts, f"{tmp_dir}/arts")
+    back = spark.read.parquet(f"{tmp_dir}/arts")
+    assert {(r.kind, r.artifact_name) for r in back.collect()} == {("raw", "x.html"), ("cleaned", "cleaned_x.html")}
