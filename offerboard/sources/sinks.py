@@ -13,11 +13,12 @@ def write_offers(offers: DataFrame, path: str, fmt: str = "parquet",
     """One partition per location and week; a rewritten week replaces only itself.
 
     Dynamic partition overwrite keeps every partition the batch does not touch.
-    Rows are clustered by the partition columns first so each task writes few
-    files.
+    Rows are clustered by the partition columns with a ``rebalance`` hint: AQE
+    then splits a hot (location, week) over several tasks (several files in
+    its folder) and merges small ones, so no task writes a third of the data.
     """
     cols = list(partition_cols)
-    (offers.repartition(*cols).write.mode("overwrite")
+    (offers.hint("rebalance", *cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*cols).format(fmt).save(path))
 
