@@ -95,9 +95,18 @@ def keep_attrs(html, safe=tuple(SAFE_ATTRS)) -> Column:
     return F.array_join(F.transform(pieces, rebuild), "<")
 
 
+SCRIPT_AND_COMMENTS = r"(?is)<script\b[^>]*>.*?</script\s*>|<!--.*?-->"
+# link and meta elements are dropped; javascript: URLs are blanked
+LINK_META = r"(?is)<(?:link|meta)\b[^>]*>"
+JS_URL = r"""(?i)((?:href|src)\s*=\s*")\s*javascript:[^"]*(")"""
+
+
 def clean_html(html, safe_attrs=tuple(SAFE_ATTRS), kill_tags=tuple(KILL_TAGS)) -> Column:
-    """Drop script/style/comments and kill-listed elements, keep safe attributes."""
-    return keep_attrs(kill_elements(strip_non_text(html), kill_tags), safe_attrs)
+    """Page cleaner: scripts, comments, link/meta elements and kill-listed elements removed,
+    ``javascript:`` URLs blanked, only allow-listed attributes kept; style elements stay."""
+    c = F.regexp_replace(F.regexp_replace(_c(html), SCRIPT_AND_COMMENTS, ""), LINK_META, "")
+    c = F.regexp_replace(kill_elements(c, kill_tags), JS_URL, "$1$2")
+    return keep_attrs(c, safe_attrs)
 
 
 def wrap_document(block, title) -> Column:

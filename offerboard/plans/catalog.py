@@ -273,9 +273,17 @@ def _sql_kill(x: str, tags) -> str:
     return x
 
 
-@register("clean_pages", f"SELECT page_id, {_sql_keep_attrs(_sql_kill(_NON_TEXT, H.KILL_TAGS), H.SAFE_ATTRS)} AS clean_html FROM pages")
+_CLEAN_BASE = (f"regexp_replace(regexp_replace(html, '{H.SCRIPT_AND_COMMENTS}', '', 'g'), "
+               f"'{H.LINK_META}', '', 'g')")
+
+
+def _sql_js_urls(x: str) -> str:
+    return f"regexp_replace({x}, '(?i)((?:href|src)\\s*=\\s*\")\\s*javascript:[^\"]*(\")', '\\1\\2', 'g')"
+
+
+@register("clean_pages", f"SELECT page_id, {_sql_keep_attrs(_sql_js_urls(_sql_kill(_CLEAN_BASE, H.KILL_TAGS)), H.SAFE_ATTRS)} AS clean_html FROM pages")
 def q_clean_pages(spark, sf):
-    """Attribute allow-list (src alt href title), object/iframe removed, scripts/comments gone."""
+    """Attribute allow-list (src alt href title), object/iframe, scripts, comments, link/meta removed."""
     return L.clean_pages(V.table(spark, sf, "pages")).select("page_id", "clean_html")
 
 

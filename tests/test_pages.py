@@ -112,10 +112,13 @@ def test_heading_and_keyword_containers(spark):
 def test_clean_and_text(spark):
     pages = _pages(spark, {1: DIRTY_HTML})
     r = L.page_text(L.clean_pages(pages, minify=True), html="clean_html").collect()[0]
-    assert r.clean_html == '<div><a href="/a" title="t">A &amp; B</a><p>eins&nbsp;<b>zwei</p><img src="i.png" alt="i" /></div>'
+    assert r.clean_html == ('<div><style>p{}</style><a href="/a" title="t">A &amp; B</a><p>eins&nbsp;<b>zwei</p>'
+                            '<img src="i.png" alt="i" /></div>')
     assert "script" not in r.clean_html and "iframe" not in r.clean_html and "onclick" not in r.clean_html
+    js = L.clean_pages(_pages(spark, {2: '<link rel="x"><meta name="m"><a href="javascript:evil()">j</a>'})).collect()[0]
+    assert js.clean_html == '<a href="">j</a>'
     assert 'href="/a"' in r.clean_html and 'title="t"' in r.clean_html and 'target' not in r.clean_html
-    assert r.text == "A & B\neins\nzwei"
+    assert r.text == "A & B\neins\nzwei"   # text lines drop style content
     sized = L.clean_pages(pages, safe_attrs=("src", "alt", "href", "title", "width", "height")).collect()[0]
     assert 'width="10"' in sized.clean_html
 
