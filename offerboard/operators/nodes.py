@@ -8,6 +8,8 @@ every XPath-like question is an ordinary join:
 * parent / child         -> equi-join on ``(page_id, parent_pre = pre)``
 * ancestor / descendant  -> explode ``ancestors``, equi-join on ``(page_id, pre)``
 * "first" / "n-th"       -> aggregate ``min(pre)`` or a window bounded by one page
+* contains(string(.), w) -> occurrences of w in the page text matched to element
+                            text spans by one window per page (no element text stored)
 
 Ancestor tests join each candidate element with the elements on its own
 ancestor path (an equi-join on ``(page_id, pre)``), so no pair of unrelated
