@@ -25,27 +25,35 @@ def _whole_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
             .select(F.col("value"), F.col("_metadata.file_path").alias("file_path")))
 
 
-def scan_offers(spark: SparkSession, path: str, glob: str = "[0-9]*.json") -> DataFrame:
-    """One row per meal: (location, file_week, offer_key, pos, desc, price_raw).
-
-    An empty day (``[]``) gives one row with NULL pos/desc/price_raw; an empty
-    document (``{}``) gives no row. Location is the parent folder, file_week
-    the file name without extension.
+def parse_offers_documents(files: DataFrame) -> DataFrame:
+    """(value, file_path) of offers documents -> one row per meal.
+
+    Output: (location, file_week, run, offer_key, pos, desc, price_raw).
+    Location is the parent folder. The file name is ``<week>.json``, or
+    ``<week>@<run>.json`` for a later scrape of the same week (``run`` NULL
+    otherwise). An empty day (``[]``) gives one row with NULL pos/desc/price_raw;
+    an empty document (``{}``) gives no row.
     """
-    files = _whole_files(spark, path, glob)
+    stem = F.regexp_extract("file_path", r"/([^/]+)\.[A-Za-z]+$", 1)
     doc = files.select(
         F.regexp_extract("file_path", r"/([^/]+)/[^/]+$", 1).alias("location"),
-        F.regexp_extract("file_path", r"/([^/]+)\.[A-Za-z]+$", 1).alias("file_week"),
+        F.regexp_extract(stem, r"^([^@]*)", 1).alias("file_week"),
+        F.nullif(F.regexp_extract(stem, r"@(.*)$", 1), F.lit("")).alias("run"),
         F.from_json("value", OFFERS_DOC_SCHEMA).alias("doc"),
     )
-    keys = doc.select("location", "file_week", F.explode("doc").alias("offer_key", "meals"))
-    meals = keys.select("location", "file_week", "offer_key",
+    keys = doc.select("location", "file_week", "run", F.explode("doc").alias("offer_key", "meals"))
+    meals = keys.select("location", "file_week", "run", "offer_key",
                         F.posexplode_outer("meals").alias("pos", "meal"))
     return meals.select(
-        "location", "file_week", "offer_key", F.col("pos").cast("bigint").alias("pos"),
+        "location", "file_week", "run", "offer_key", F.col("pos").cast("bigint").alias("pos"),
         F.col("meal.desc").alias("desc"), F.col("meal.price").alias("price_raw"))
 
 
+def scan_offers(spark: SparkSession, path: str, glob: str = "[0-9]*.json") -> DataFrame:
+    """A1: the offers archive, one row per meal (see ``parse_offers_documents``)."""
+    return parse_offers_documents(_whole_files(spark, path, glob))
+
+
 def scan_locations(spark: SparkSession, path: str, glob: str = "details.json") -> DataFrame:
     """(location, name, link, details) from one metadata document per location folder."""
     return (spark.read.schema(LOCATION_SCHEMA).option("multiLine", True).option("recursiveFileLookup", True)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from offerboard.operators.links import absolutize, extract_links, site_base
 from offerboard.plans.views import offers_from_events
 from offerboard.session import shared_dir
-from offerboard.sources.readers import OFFERS_DOC_SCHEMA
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -42,18 +41,16 @@ def offers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offers_document_stream(spark: SparkSession, path: str) -> DataFrame:
-    """E5 on an offers archive: every new ``<location>/<week>.json`` document as long offer rows."""
+    """E5 on an offers archive: every new ``<location>/<week>[@<run>].json`` document as long offer rows.
+
+    A file source reads each file once and never again, so a re-scraped week
+    arrives as a new file ``<week>@<run>.json``.
+    """
+    from offerboard.sources.readers import parse_offers_documents
     docs = (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "[0-9]*.json")
             .option("recursiveFileLookup", True).load(path)
             .select("value", F.col("_metadata.file_path").alias("file_path")))
-    parsed = docs.select(
-        F.regexp_extract("file_path", r"/([^/]+)/[^/]+$", 1).alias("location"),
-        F.regexp_extract("file_path", r"/([^/]+)\.[A-Za-z]+$", 1).alias("file_week"),
-        F.from_json("value", OFFERS_DOC_SCHEMA).alias("doc"))
-    keys = parsed.select("location", "file_week", F.explode("doc").alias("offer_key", "meals"))
-    return keys.select("location", "file_week", "offer_key", F.posexplode_outer("meals").alias("pos", "meal")) \
-        .select("location", "file_week", "offer_key", F.col("pos").cast("bigint").alias("pos"),
-                F.col("meal.desc").alias("desc"), F.col("meal.price").alias("price_raw"))
+    return parse_offers_documents(docs)
 
 
 def new_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,14 +118,18 @@ def run_to_table(stream: DataFrame, spark: SparkSession, name: str, partition_by
 def store_batch(store_path: str):
     """foreachBatch body of E5: a micro-batch of offers replaces the (location, file_week) partitions it holds.
 
-    Dynamic partition overwrite makes a retried batch rewrite the same
-    partitions, and a re-scraped week replace its older version (E7).
+    Within the batch only the latest run of each week is kept (E7); dynamic
+    partition overwrite then makes that version replace any older one, and a
+    retried batch rewrite the same partitions.
     """
+    from offerboard.operators.incremental import latest_per_week
     from offerboard.operators.quality import normalize_price
     from offerboard.sources.sinks import write_offers
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        write_offers(normalize_price(batch), store_path)
+        ranked = batch.withColumn("_run", F.coalesce(F.col("run"), F.lit("")))
+        latest = latest_per_week(ranked, ("location", "file_week"), "_run").drop("_run")
+        write_offers(normalize_price(latest), store_path)
     return run
 
 

@@ -45,3 +45,20 @@ def test_archive_stream_into_store(spark, tmp_dir):
     ST.run_archive_to_store(spark, src, store, ckpt)
     got = {(r.file_week, r.desc, r.price_status) for r in spark.read.parquet(store).collect()}
     assert got == {("2024-01", "A", "ok"), ("2024-01", "Z", "missing"), ("2024-02", "B", "zero")}
+
+
+def test_rescraped_week_replaces_older(spark, tmp_dir):
+    src, store, ckpt = f"{tmp_dir}/archive", f"{tmp_dir}/store", f"{tmp_dir}/ckpt"
+    os.makedirs(f"{src}/loc_a")
+    with open(f"{src}/loc_a/2024-02.json", "w") as f:
+        json.dump({"2024-01-08": [{"desc": "old", "price": 1}], "2024-01-09": [{"desc": "old2", "price": 1}]}, f)
+    ST.run_archive_to_store(spark, src, store, ckpt)
+    with open(f"{src}/loc_a/2024-02@r2.json", "w") as f:
+        json.dump({"2024-01-08": [{"desc": "new", "price": 2}]}, f)
+    with open(f"{src}/loc_a/2024-03@r1.json", "w") as f:
+        json.dump({"2024-01-15": [{"desc": "a", "price": 2}]}, f)
+    with open(f"{src}/loc_a/2024-03@r2.json", "w") as f:
+        json.dump({"2024-01-15": [{"desc": "b", "price": 2}]}, f)
+    ST.run_archive_to_store(spark, src, store, ckpt)
+    got = sorted((r.file_week, r.desc) for r in spark.read.parquet(store).collect())
+    assert got == [("2024-02", "new"), ("2024-03", "b")]
