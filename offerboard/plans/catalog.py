@@ -3,9 +3,11 @@
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE[name] -> SQL``. The
 oracle is written independently in DuckDB's dialect (RE2 regexes, list
 lambdas, UNPIVOT, window functions) over the same parquet tables; column names
-and types match the Spark result. Queries on the node table (B1), whose
-structure no SQL engine can parse out of HTML, have no oracle and are checked
-against a brute-force evaluation in the tests instead.
+and types match the Spark result. Node-table queries whose answers depend on
+the tree structure (parents, ancestors, containers) have no oracle, since no
+SQL engine builds that tree out of HTML; the tests check them against a
+brute-force tree walk. Element counts and document order of the node table do
+have oracles (``node_tag_counts``, ``node_order``).
 """
 
 from __future__ import annotations
