@@ -62,3 +62,12 @@ def test_chunked_sections_equal_plain(spark):
     a = C.assign_sections(hot, F.col("h"), chunk=1000).select("pos", "section").collect()
     assert all((r.section is None) == (r.pos < 5) for r in a)
     assert {r.pos: r.section for r in a}[19999] == "H" + str(max(i for i in range(20000) if i % 997 == 5))
+
+
+def test_spread_only_widens_narrow_inputs(spark):
+    from offerboard.session import spread
+    cores = spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, 1, cores * 2)
+    assert spread(wide, "id") is wide                      # enough splits: plan untouched, no shuffle
+    narrow = spark.range(0, 1000, 1, 1)
+    assert spread(narrow, "id").rdd.getNumPartitions() == cores
