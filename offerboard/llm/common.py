@@ -25,6 +25,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # texts and pages can be long: few rows an Arrow batch, and a bound in bytes beside it
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # joins of texts with a list of ids: filter the texts by a Bloom filter before they are shuffled, at any size
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, mix, partitions, ship, stored, utf8, word_hashes
@@ -33,6 +33,7 @@ WORDS = 5                # words of a shingle
 LIGHT = 8                # members of an index entry that are paired with each other
 DELETIONS_TO = 64        # bands up to this size index one-deletion neighbourhoods
 FILL = 0.4               # segments of a band as a share of its largest size
+FLUSH = 2_000_000        # index entries a task holds before it sends them
 PAIRS_A_CHUNK = 64       # partners of one document verified in one piece of work
 
 
@@ -109,12 +110,24 @@ def entries(u: np.ndarray, band: int, own: bool) -> tuple[np.ndarray, int]:
     return np.r_[exact, less], cover
 
 
+def parity(u: np.ndarray) -> np.ndarray:
+    """Parity sketch of a set: bit k tells whether an odd number of members fall on k; at least a bit a member.
+
+    The bits in which two sketches differ never outnumber the members in which
+    the sets differ. A sketch of twice the size folds onto the smaller by XOR
+    of its halves.
+    """
+    bits = max(64, 1 << (len(u) - 1).bit_length())
+    odd = np.bincount((u & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _classes(docs: DataFrame) -> DataFrame:
-    """(id, n, f, g): set size and a 128-bit fingerprint of the set of every row."""
+    """(id, n, f, g, sketch): size, 128-bit fingerprint and parity sketch of the set of every row."""
     def work(batches):
         for b in batches:
             data, offsets = utf8(b.column(1))
-            n, f, g = [], [], []
+            n, f, g, sketch = [], [], [], []
             for i, j in chunks(offsets):
                 u, at = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 size = np.diff(at)
@@ -126,18 +139,55 @@ def _classes(docs: DataFrame) -> DataFrame:
                 n.append(size)
                 f.append(total[0].view(np.int64))
                 g.append(total[1].view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (n, f, g))],
-                                             names=["id", "n", "f", "g"])
+                sketch += [parity(u[x:y]) if y > x else None for x, y in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (n, f, g)),
+                                              pa.array(sketch, pa.list_(pa.int64()))], names=["id", "n", "f", "g", "sketch"])
+
+    return docs.mapInArrow(work, f"id {dict(docs.dtypes)['id']}, n long, f long, g long, sketch array<long>")
+
 
-    return docs.mapInArrow(work, f"id {dict(docs.dtypes)['id']}, n long, f long, g long")
+def _star(code: np.ndarray, doc: np.ndarray, ids: np.ndarray, kind: np.ndarray, size: np.ndarray, known: np.ndarray):
+    """Candidates among entries held together: pairs of ids, and the rows of costly entries with their first members.
+
+    Entries of up to LIGHT members pair all of them, unless ``known`` marks a
+    code as costly; a costly entry's members are compared with the smallest id
+    of its own band alone. Returns (pairs, rows that are costly, first rows of
+    the costly entries); rows index ``code`` and ``doc``.
+    """
+    order = np.lexsort((ids[doc], kind[doc], code))
+    run = np.cumsum(np.r_[True, code[order][1:] != code[order][:-1]]) - 1 if len(order) else order
+    length = np.bincount(run) if len(order) else order
+    many = (length > LIGHT) | (np.bincount(run, known[order]) > 0) if len(order) else np.empty(0, bool)
+    alone = (length == 1) & ~many
+    order, run = order[~alone[run]], run[~alone[run]]
+    many = many[run]
+    a, b = [], []
+    for step in range(1, LIGHT):
+        i = np.flatnonzero((run[step:] == run[:-step]) & ~many[step:])
+        a.append(order[i])
+        b.append(order[i + step])
+    head = np.flatnonzero(np.r_[True, run[1:] != run[:-1]]) if len(run) else run
+    first = np.repeat(order[head], np.diff(np.r_[head, len(run)]))
+    a, b = np.concatenate([*a, first[many]]), np.concatenate([*b, order[many]])
+    a, b = doc[a], doc[b]
+    fit = (ids[a] != ids[b]) & ((kind[a] == 0) | (kind[b] == 0))
+    fit &= 4 * np.minimum(size[a], size[b]).astype(np.int64) >= 3 * np.maximum(size[a], size[b])
+    a, b = ids[a[fit]], ids[b[fit]]
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+    return pairs, order[many], order[head][many[head]]
+
+
+BLOB = ("ids", "sizes", "kinds", "slacks", "counts", "codes", "hot", "pairs", "costly", "costly_codes")
 
 
 def _index(docs: DataFrame, pieces: int) -> DataFrame:
-    """(piece, ids, sizes, kinds, slacks, counts, codes): index entries of many documents for one piece of the index.
+    """Index entries of many documents for one piece of the index, a row each, as packed arrays.
 
-    One row holds a task's entries for a piece as packed arrays: entries cost
-    four bytes and no row of their own. Kind 0 is a document in its own band,
-    kind 1 one that looks into the band below.
+    Entries cost four bytes and no row of their own. Kind 0 is a document in
+    its own band, kind 1 one that looks into the band below. Entries that many
+    of a task's documents share are combined before the shuffle: their members
+    are compared here, and only the first goes on, marked hot. A group of
+    copies, however large, thus sends a few members a task.
     """
     def work(batches):
         held: list[tuple] = []
@@ -146,22 +196,36 @@ def _index(docs: DataFrame, pieces: int) -> DataFrame:
         def flush():
             codes = np.concatenate([c for _, _, _, _, c in held])
             owner = np.repeat(np.arange(len(held)), [len(c) for *_, c in held])
-            place = (codes >> np.uint64(32)) % np.uint64(pieces)
-            order = np.argsort(place, kind="stable")
-            place, codes, owner = place[order], codes[order].astype(np.uint32), owner[order]
-            cuts = np.r_[0, np.flatnonzero(np.diff(place)) + 1, len(place)]
             ids = np.array([x[0] for x in held], np.int64)
-            meta = [np.array([x[k] for x in held], np.int32) for k in (1, 2, 3)]
+            size, kind, slack = (np.array([x[k] for x in held], t) for k, t in ((1, np.int32), (2, np.int8), (3, np.int32)))
+            place = ((codes >> np.uint64(32)) % np.uint64(pieces)).astype(np.int32)
+            codes = codes.astype(np.uint32)
+            order = np.lexsort((codes, place))
+            place, codes, owner = place[order], codes[order], owner[order]
+            # entries shared by more than LIGHT documents here
+            new = np.r_[True, (codes[1:] != codes[:-1]) | (place[1:] != place[:-1])]
+            run = np.cumsum(new) - 1
+            many = (np.bincount(run) > LIGHT)[run]
+            cuts = np.r_[0, np.flatnonzero(np.diff(place)) + 1, len(place)]
             rows = []
             for i, j in zip(cuts[:-1], cuts[1:]):
-                who, count = np.unique(owner[i:j], return_counts=True)
-                rows.append((int(place[i]), ids[who].tobytes(), *(m[who].tobytes() for m in meta),
-                             count.astype(np.int32).tobytes(), codes[i:j].tobytes()))
+                c, o, hot = codes[i:j], owner[i:j], many[i:j]
+                pairs, members, heads = _star(c[hot], o[hot], ids, kind, size, np.zeros(hot.sum(), bool))
+                hot_c, hot_o = c[hot], o[hot]
+                go_c, go_o = np.r_[c[~hot], hot_c[heads]], np.r_[o[~hot], hot_o[heads]]
+                order = np.lexsort((go_c, go_o))
+                go_c, go_o = go_c[order], go_o[order]
+                who, count = np.unique(go_o, return_counts=True)
+                rest = np.stack([ids[hot_o[members]], size[hot_o[members]], kind[hot_o[members]], slack[hot_o[members]]])
+                rows.append((int(place[i]), ids[who], size[who], kind[who], slack[who], count.astype(np.int32), go_c,
+                             hot_c[heads], pairs, rest.astype(np.int64), hot_c[members]))
             cols = list(zip(*rows))
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32())] + [pa.array(c, pa.binary()) for c in cols[1:]],
-                                              names=["piece", "ids", "sizes", "kinds", "slacks", "counts", "codes"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int32())] + [pa.array([x.tobytes() for x in c], pa.binary()) for c in cols[1:]],
+                names=["piece", *BLOB])
 
         for b in batches:
+            b = b.filter(b.column(0).is_valid())
             keys = b.column(0).to_numpy()
             data, offsets = utf8(b.column(1))
             for i, j in chunks(offsets):
@@ -183,77 +247,78 @@ def _index(docs: DataFrame, pieces: int) -> DataFrame:
                             low = np.r_[low, mix(np.array([band - 1 + (1 << 40)], np.uint64))]
                         held.append((keys[i + r], n, 1, slack, low))
                         total += len(low)
-                    if total > 2_000_000:
+                    if total > FLUSH:
                         yield flush()
                         held, total = [], 0
         if held:
             yield flush()
 
-    return docs.mapInArrow(work, "piece int, ids binary, sizes binary, kinds binary, slacks binary, counts binary, codes binary")
+    return docs.mapInArrow(work, "piece int, " + ", ".join(f"{c} binary" for c in BLOB))
 
 
 def _pairs(index: DataFrame) -> DataFrame:
-    """Candidates of each piece: pairs (a, b), and members of costly entries (entry, a, kind, slack, unit)."""
+    """Candidates of each piece: pairs (a, b), and members of costly entries (entry, a, kind, size, slack, unit)."""
     def work(piece: pa.Table) -> pa.Table:
         def joined(name, kind):
             return np.concatenate([np.frombuffer(x, kind) for x in piece.column(name).to_pylist()])
 
         ids, size, kind, slack, count = (joined(c, t) for c, t in (
-            ("ids", np.int64), ("sizes", np.int32), ("kinds", np.int32), ("slacks", np.int32), ("counts", np.int32)))
+            ("ids", np.int64), ("sizes", np.int32), ("kinds", np.int8), ("slacks", np.int32), ("counts", np.int32)))
         code = joined("codes", np.uint32)
         doc = np.repeat(np.arange(len(ids), dtype=np.int32), count)
+        hot = np.unique(joined("hot", np.uint32))
+        # only codes that occur twice, or that a task found hot, matter
         order = np.argsort(code, kind="stable")
         code, doc = code[order], doc[order]
-        new = np.r_[True, code[1:] != code[:-1]]
-        run = np.cumsum(new) - 1
-        length = np.bincount(run)
-        some = length[run] > 1
-        code, doc, run = code[some], doc[some], run[some]
-        # members of an entry by id, the smallest id of the entry's own band first
-        order = np.lexsort((ids[doc], kind[doc], run))
-        code, doc, run = code[order], doc[order], run[order]
-        many = length[run] > LIGHT
-        a, b = [], []
-        for step in range(1, LIGHT):
-            i = np.flatnonzero((run[step:] == run[:-step]) & ~many[step:])
-            a.append(doc[i])
-            b.append(doc[i + step])
-        head = np.flatnonzero(np.r_[True, run[1:] != run[:-1]]) if len(run) else np.empty(0, np.int64)
-        first = np.repeat(doc[head], np.diff(np.r_[head, len(run)]))
-        a.append(first[many])
-        b.append(doc[many])
-        a, b = np.concatenate(a), np.concatenate(b)
-        fit = (ids[a] != ids[b]) & ((kind[a] == 0) | (kind[b] == 0))
-        fit &= 4 * np.minimum(size[a], size[b]).astype(np.int64) >= 3 * np.maximum(size[a], size[b])
-        a, b = ids[a[fit]], ids[b[fit]]
-        pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-        who = doc[many]
-        number = int(piece.column("piece")[0].as_py())
-        entry = (code[many].astype(np.int64) << 24) + number if number < 1 << 24 else code[many].astype(np.int64) * number
-        n, m = len(pair), len(who)
-        unit = np.where(size[who] <= 2 * DELETIONS_TO, 2, 1)
+        same = code[1:] == code[:-1]
+        known = np.isin(code, hot)
+        some = np.r_[same, False] | np.r_[False, same] | known
+        code, doc, known = code[some], doc[some], known[some]
+        pairs, members, _ = _star(code, doc, ids, kind, size, known)
+        pairs = np.unique(np.concatenate([pairs, joined("pairs", np.int64).reshape(-1, 2)]), axis=0)
+        before = [np.frombuffer(x, np.int64).reshape(4, -1) for x in piece.column("costly").to_pylist()]
+        who = doc[members]
+        late = np.stack([ids[who], size[who], kind[who], slack[who]]).astype(np.int64)
+        held = np.concatenate([*before, late], 1)
+        codes = np.concatenate([joined("costly_codes", np.uint32), code[members]]).astype(np.int64)
+        # the first member of a task's hot entry comes both ways
+        held, codes = held[:, (at := np.unique(np.r_[codes[None], held], axis=1, return_index=True)[1])], codes[at]
+        entry = (codes << 24) + int(piece.column("piece")[0].as_py())
+        n, m = len(pairs), len(codes)
+        unit = np.where(held[1] <= 2 * DELETIONS_TO, 2, 1)
         none = lambda k: pa.nulls(k, pa.int64())
         return pa.table({
-            "a": pa.concat_arrays([pa.array(pair[:, 0]), pa.array(ids[who])]),
-            "b": pa.concat_arrays([pa.array(pair[:, 1]), none(m)]),
-            "entry": pa.concat_arrays([none(n), pa.array(entry)]),
-            "kind": pa.concat_arrays([none(n), pa.array(kind[who].astype(np.int64))]),
-            "size": pa.concat_arrays([none(n), pa.array(size[who].astype(np.int64))]),
-            "slack": pa.concat_arrays([none(n), pa.array(slack[who].astype(np.int64))]),
-            "unit": pa.concat_arrays([none(n), pa.array(unit.astype(np.int64))])})
+            "a": pa.concat_arrays([pa.array(pairs[:, 0]), pa.array(held[0])]),
+            "b": pa.concat_arrays([pa.array(pairs[:, 1]), none(m)]),
+            **{c: pa.concat_arrays([none(n), pa.array(x.astype(np.int64))]) for c, x in (
+                ("entry", entry), ("kind", held[2]), ("size", held[1]), ("slack", held[3]), ("unit", unit))}})
 
     return index.groupBy("piece").applyInArrow(
         work, "a long, b long, entry long, kind long, size long, slack long, unit long")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, purpose: str) -> DataFrame:
-    """The distinct pairs (a, b) whose sets reach 100 * intersection >= 75 * union, on whole sets.
+def _differ() -> Column:
+    """Bits in which the sketches s1 and s2 differ, the larger folded onto the smaller."""
+    def folded(x, y):
+        return F.when(F.size(x) > F.size(y), F.zip_with(F.slice(x, F.lit(1), F.size(y)), F.slice(x, F.size(y) + 1, F.size(y)),
+                                                        lambda p, q: p.bitwiseXOR(q))).otherwise(x)
+    return F.aggregate(F.zip_with(folded(F.col("s1"), F.col("s2")), folded(F.col("s2"), F.col("s1")),
+                                  lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda a, x: a + x)
+
+
+def verified(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, purpose: str) -> DataFrame:
+    """Those of the distinct pairs (a, b) whose sets reach 100 * intersection >= 75 * union, on whole sets.
 
-    Partners of a document are verified in chunks of about PAIRS_A_CHUNK: its
-    set travels once a chunk, so a document with many partners is many tasks' work.
+    Pairs whose sketches alone differ in more members than the threshold
+    allows go first. Partners of a document are verified in chunks of about
+    PAIRS_A_CHUNK: its set travels once a chunk, so a document with many
+    partners is many tasks' work.
     """
     spark = docs.sparkSession
-    pairs = stored(pairs.select("a", "b").distinct(), purpose + "-pairs")
+    one, two = (sketches.select(F.col("id").alias(c), F.col("n").alias("n" + k), F.col("sketch").alias("s" + k))
+                for c, k in (("a", "1"), ("b", "2")))
+    near = F.coalesce(7 * _differ() <= F.col("n1") + F.col("n2"), F.lit(True))
+    pairs = stored(pairs.join(one, "a").join(two, "b").where(near).select("a", "b"), purpose + "-pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
 
     def sets(batches):
@@ -265,7 +330,9 @@ def verified(docs: DataFrame, pairs: DataFrame, purpose: str) -> DataFrame:
                 out += [u[at[r]:at[r + 1]].tobytes() for r in range(j - i)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["id", "u"])
 
-    known = stored(docs.join(stored(wanted, purpose + "-wanted"), "id", "left_semi").mapInArrow(sets, "id long, u binary"), purpose + "-sets")
+    # the comparison lets Spark build a Bloom filter of a small list of ids and drop other texts before they are shuffled
+    wanted = stored(wanted.withColumn("round", F.lit(1)), purpose + "-wanted").where("round = 1")
+    known = stored(docs.join(wanted, "id", "left_semi").mapInArrow(sets, "id long, u binary"), purpose + "-sets")
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_A_CHUNK).alias("parts"))
     salted = stored(pairs.join(stored(many, purpose + "-many"), "a")
                     .select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part")), purpose + "-salted")
@@ -306,13 +373,22 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = stored(_classes(rows), "sets")
-    reps = stored(known.where("n > 0 and id is not null").groupBy("f", "g", "n").agg(F.min("id").alias("rep")), "reps")
-    texts = rows.join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
-    found = stored(_pairs(_index(texts, 4 * partitions(spark))), "candidates")
-    links = verified(rows, found.where("b is not null"), "first")
+    named = stored(known.where("n > 0 and id is not null").groupBy("f", "g", "n").agg(F.min("id").alias("rep")), "reps")
+    rep_of = stored(known.join(named, ["f", "g", "n"]).groupBy("id").agg(F.min("rep").alias("rep")), "rep-of")
+    # an id that stands for several sets has no sketch
+    sketches = stored(known.where("n > 0 and id is not null").groupBy("id").agg(
+        F.max("n").alias("n"), F.when((F.min("f") == F.max("f")) & (F.min("g") == F.max("g")), F.first("sketch")).alias("sketch"))
+        .join(rep_of.where("id = rep").select("id"), "id", "left_semi"), "sketches")
+    found = stored(_pairs(_index(rows, partitions(spark))), "candidates")
+    rep_a, rep_b = (rep_of.select(F.col("id").alias(c), F.col("rep").alias("rep_" + c)) for c in "ab")
+    tried = stored(found.where("b is not null").select("a", "b").distinct().join(rep_a, "a").join(rep_b, "b")
+                   .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).where("a <> b").distinct(), "tried")
+    links = verified(rows, tried, sketches, "first")
     groups = stored(connected_components(links), "groups")
     # members of costly entries, and whether their cover bears the loss of all of these
-    costly = found.where("entry is not null").select("entry", F.col("a").alias("id"), "kind", "size", "slack", "unit")
+    costly = stored(found.where("entry is not null").join(rep_a, "a")
+                    .groupBy("entry", F.col("rep_a").alias("id"), "kind").agg(
+                        F.max("size").alias("size"), F.min("slack").alias("slack"), F.max("unit").alias("unit")), "costly")
     loss = costly.groupBy("id", "kind").agg((F.count("*") * F.max("unit")).alias("loss"), F.min("slack").alias("slack"))
     member = stored(costly.select("entry", "id", "kind", "size")
                     .join(stored(loss.select("id", "kind", (F.col("loss") > F.col("slack")).alias("short")), "loss"), ["id", "kind"])
@@ -330,10 +406,9 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                  .where("kind1 = 1 or (short2 and id1 < id2)")
                  .where("4 * least(size1, size2) >= 3 * greatest(size1, size2)")
                  .select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")))
-        tried = stored(found.where("b is not null").select("a", "b").distinct(), "tried")
-        more = verified(rows, stored(pairs.distinct(), "second").join(tried, ["a", "b"], "left_anti"), "second")
+        more = verified(rows, stored(pairs.distinct(), "second").join(tried, ["a", "b"], "left_anti"), sketches, "second")
         groups = stored(connected_components(links.union(more)), "all-groups")
-    whole = stored(reps.join(groups, F.col("rep") == F.col("node"), "left")
+    whole = stored(named.join(groups, F.col("rep") == F.col("node"), "left")
                    .select("f", "g", "n", F.coalesce("component", "rep").alias("component")), "whole")
     return (known.join(whole, ["f", "g", "n"], "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
