@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, mix, partitions, ship, stored, utf8, word_hashes
@@ -31,7 +31,7 @@ ship(__name__)
 
 WORDS = 5                # words of a shingle
 LIGHT = 8                # members of an index entry that are paired with each other
-DELETIONS_TO = 64        # bands up to this size index one-deletion neighbourhoods
+DELETIONS_TO = 16        # bands up to this size index one-deletion neighbourhoods
 FILL = 0.4               # segments of a band as a share of its largest size
 FLUSH = 2_000_000        # index entries a task holds before it sends them
 PAIRS_A_CHUNK = 64       # partners of one document verified in one piece of work
@@ -85,7 +85,7 @@ def entries(u: np.ndarray, band: int, own: bool) -> tuple[np.ndarray, int]:
     """Index entries of a set (ascending hashes) in a band, and the cover it has beyond its need (negative: too little)."""
     n, high = len(u), int(BANDS[band + 1]) - 1
     deletions = high <= DELETIONS_TO
-    m = int(np.ceil(FILL * high)) + 4
+    m = int(np.ceil(FILL * high)) + 8
     if deletions:
         m = m // 2 + 1
     # in its own band a document's partners may be larger, in the band below they are within it
@@ -385,27 +385,31 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).where("a <> b").distinct(), "tried")
     links = verified(rows, tried, sketches, "first")
     groups = stored(connected_components(links), "groups")
-    # members of costly entries, and whether their cover bears the loss of all of these
+    # members of costly entries, and how much cover each must win back from them (short > 0)
     costly = stored(found.where("entry is not null").join(rep_a, "a")
                     .groupBy("entry", F.col("rep_a").alias("id"), "kind").agg(
                         F.max("size").alias("size"), F.min("slack").alias("slack"), F.max("unit").alias("unit")), "costly")
-    loss = costly.groupBy("id", "kind").agg((F.count("*") * F.max("unit")).alias("loss"), F.min("slack").alias("slack"))
+    loss = costly.groupBy("id", "kind").agg((F.count("*") * F.max("unit") - F.greatest(F.min("slack"), F.lit(0))).alias("short"))
     member = stored(costly.select("entry", "id", "kind", "size")
-                    .join(stored(loss.select("id", "kind", (F.col("loss") > F.col("slack")).alias("short")), "loss"), ["id", "kind"])
+                    .join(stored(loss, "loss"), ["id", "kind"])
                     .join(groups, F.col("id") == F.col("node"), "left")
                     .select("entry", "id", "kind", "size", "short", F.coalesce("component", "id").alias("component")), "members")
     # only entries that join several groups and hold a document that needs them
-    open_ = (member.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                         F.max("short").alias("any"), F.max(F.col("short") & (F.col("kind") == 1)).alias("below"))
-             .where("low < high and any").select("entry", "below"))
-    rest = stored(member.join(stored(open_, "open"), "entry").where("short or (below and kind = 0)").drop("below"), "rest")
+    open_ = (member.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many"),
+                                         F.max("short").alias("most"), F.max(F.when(F.col("kind") == 1, F.col("short"))).alias("below"))
+             .where("low < high and most > 0").select("entry", "many", (F.coalesce("below", F.lit(0)) > 0).alias("below")))
+    rest = stored(member.join(stored(open_, "open"), "entry").where("short > 0 or (below and kind = 0)"), "rest")
     if rest.head(1):
-        left, right = (rest.select("entry", *[F.col(c).alias(c + k) for c in ("id", "kind", "size", "short", "component")])
-                       for k in ("1", "2"))
-        pairs = (left.join(right, "entry").where("component1 <> component2 and kind2 = 0 and short1")
-                 .where("kind1 = 1 or (short2 and id1 < id2)")
-                 .where("4 * least(size1, size2) >= 3 * greatest(size1, size2)")
-                 .select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")))
+        # a document looks through the rarest of these entries, as many as it is short of
+        place = F.row_number().over(Window.partitionBy("id", "kind").orderBy("many", "entry"))
+        rest = stored(rest.withColumn("asks", place <= F.col("short")).join(sketches.select("id", "n", "sketch"), "id"), "asked")
+        left, right = (rest.select("entry", *[F.col(c).alias(c + k) for c in ("id", "kind", "size", "short", "component", "n")],
+                                   F.col("sketch").alias("s" + k), *extra) for k, extra in (("1", ["asks"]), ("2", [])))
+        pairs = (left.where("asks").join(right, (left["entry"] == right["entry"]) & F.expr(
+            "component1 <> component2 and kind2 = 0 and (kind1 = 1 or (short2 > 0 and id1 < id2))"
+            " and 4 * least(size1, size2) >= 3 * greatest(size1, size2)") & F.coalesce(
+                7 * _differ() <= F.col("n1") + F.col("n2"), F.lit(True)))
+            .select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")))
         more = verified(rows, stored(pairs.distinct(), "second").join(tried, ["a", "b"], "left_anti"), sketches, "second")
         groups = stored(connected_components(links.union(more)), "all-groups")
     whole = stored(named.join(groups, F.col("rep") == F.col("node"), "left")
