@@ -13,8 +13,10 @@ indexes all its non-empty segments in its own band, and in the band below only
 as many as it needs, the fullest first, since full segments are the rarest.
 Entries that many documents share (copies, common passages) are too costly to
 pair up: their members are compared with one of them only, and a document loses
-the cover of such an entry. What documents that lose too much may have missed
-is compared in a second round, where groups already connected need no pairs.
+the cover of such an entry. A document that loses too much looks through as many
+of its rarest costly entries as it is short of: a few times at one member, drawn
+anew, which connects large groups in linear work, and at last at all members
+outside its own group. Groups already connected need no more pairs.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ LIGHT = 8                # members of an index entry that are paired with each o
 DELETIONS_TO = 16        # bands up to this size index one-deletion neighbourhoods
 FILL = 0.4               # segments of a band as a share of its largest size
 FLUSH = 2_000_000        # index entries a task holds before it sends them
+STARS = 2                # rounds that compare the members of costly entries with one of them, before all are
 PAIRS_A_CHUNK = 64       # partners of one document verified in one piece of work
 
 
@@ -111,13 +114,13 @@ def entries(u: np.ndarray, band: int, own: bool) -> tuple[np.ndarray, int]:
 
 
 def parity(u: np.ndarray) -> np.ndarray:
-    """Parity sketch of a set: bit k tells whether an odd number of members fall on k; at least a bit a member.
+    """Parity sketch of a set: bit k tells whether an odd number of members fall on k; four to eight bits a member.
 
     The bits in which two sketches differ never outnumber the members in which
     the sets differ. A sketch of twice the size folds onto the smaller by XOR
     of its halves.
     """
-    bits = max(64, 1 << (len(u) - 1).bit_length())
+    bits = max(64, 4 << (len(u) - 1).bit_length())
     odd = np.bincount((u & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -297,12 +300,12 @@ def _pairs(index: DataFrame) -> DataFrame:
         work, "a long, b long, entry long, kind long, size long, slack long, unit long")
 
 
-def _differ() -> Column:
-    """Bits in which the sketches s1 and s2 differ, the larger folded onto the smaller."""
+def _differ(one: str, two: str) -> Column:
+    """Bits in which two sketches differ, the larger folded onto the smaller."""
     def folded(x, y):
         return F.when(F.size(x) > F.size(y), F.zip_with(F.slice(x, F.lit(1), F.size(y)), F.slice(x, F.size(y) + 1, F.size(y)),
                                                         lambda p, q: p.bitwiseXOR(q))).otherwise(x)
-    return F.aggregate(F.zip_with(folded(F.col("s1"), F.col("s2")), folded(F.col("s2"), F.col("s1")),
+    return F.aggregate(F.zip_with(folded(F.col(one), F.col(two)), folded(F.col(two), F.col(one)),
                                   lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda a, x: a + x)
 
 
@@ -317,7 +320,7 @@ def verified(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, purpose: st
     spark = docs.sparkSession
     one, two = (sketches.select(F.col("id").alias(c), F.col("n").alias("n" + k), F.col("sketch").alias("s" + k))
                 for c, k in (("a", "1"), ("b", "2")))
-    near = F.coalesce(7 * _differ() <= F.col("n1") + F.col("n2"), F.lit(True))
+    near = F.coalesce(7 * _differ("s1", "s2") <= F.col("n1") + F.col("n2"), F.lit(True))
     pairs = stored(pairs.join(one, "a").join(two, "b").where(near).select("a", "b"), purpose + "-pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
 
@@ -359,6 +362,42 @@ def verified(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, purpose: st
     return stored(left.union(right).groupBy("piece").applyInArrow(compare, "a long, b long"), purpose + "-links")
 
 
+def _open_entries(member: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members of the costly entries that join several groups and hold a document short of cover.
+
+    ``asks`` marks the entries a document looks through: the rarest ones, as
+    many as it is short of.
+    """
+    own = stored(member.join(groups, F.col("id") == F.col("node"), "left")
+                 .withColumn("component", F.coalesce("component", "id")).drop("node"), "grouped")
+    open_ = (own.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many"),
+                                      F.max("short").alias("most"), F.max(F.when(F.col("kind") == 1, F.col("short"))).alias("below"))
+             .where("low < high and most > 0").select("entry", "many", (F.coalesce("below", F.lit(0)) > 0).alias("below")))
+    rest = own.join(stored(open_, "entries"), "entry").where("short > 0 or (below and kind = 0)").drop("below")
+    place = F.row_number().over(Window.partitionBy("id", "kind").orderBy("many", "entry"))     # entries of one document
+    rest = stored(rest.withColumn("asks", place <= F.col("short")).drop("many"), "asking")
+    asked = stored(rest.where("asks").select("entry").distinct(), "asked")
+    return rest.join(asked, "entry")
+
+
+def _looks(rest: DataFrame, others: DataFrame, last: bool) -> DataFrame:
+    """Distinct pairs (a, b) of documents that ask and others of their entries, in other groups.
+
+    In the ``last`` turn both sides carry sketches, so that documents too
+    different are no rows of the join, and two documents that both ask are
+    paired from one side only.
+    """
+    more = ["n", "sketch"] if last else []
+    left, right = (df.select("entry", *[F.col(c).alias(c + k) for c in ("id", "kind", "size", "short", "component", "asks", *more)])
+                   for df, k in ((rest, "1"), (others, "2")))
+    fit = F.expr(f"component1 <> component2 and kind2 = 0 and (kind1 = 1 or (short2 > 0 and {'id1 < id2' if last else 'true'}))"
+                 " and 4 * least(size1, size2) >= 3 * greatest(size1, size2)")
+    if last:
+        fit &= F.coalesce(7 * _differ("sketch1", "sketch2") <= F.col("n1") + F.col("n2"), F.lit(True))
+    return (left.where("asks1").join(right, (left["entry"] == right["entry"]) & fit)
+            .select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct())
+
+
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) for every row; component_id is the smallest id reachable by links.
 
@@ -368,7 +407,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text that a third of all rows share is one row of the work. Ids must be
     integers; rows with a null id link with nothing; rows that share an id are
     one document. An empty table gives no rows. No entry, partner or candidate
-    is dropped: what the first round leaves open the second one settles.
+    is dropped: what the first round leaves open the later ones settle.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -390,28 +429,24 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     .groupBy("entry", F.col("rep_a").alias("id"), "kind").agg(
                         F.max("size").alias("size"), F.min("slack").alias("slack"), F.max("unit").alias("unit")), "costly")
     loss = costly.groupBy("id", "kind").agg((F.count("*") * F.max("unit") - F.greatest(F.min("slack"), F.lit(0))).alias("short"))
-    member = stored(costly.select("entry", "id", "kind", "size")
-                    .join(stored(loss, "loss"), ["id", "kind"])
-                    .join(groups, F.col("id") == F.col("node"), "left")
-                    .select("entry", "id", "kind", "size", "short", F.coalesce("component", "id").alias("component")), "members")
-    # only entries that join several groups and hold a document that needs them
-    open_ = (member.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many"),
-                                         F.max("short").alias("most"), F.max(F.when(F.col("kind") == 1, F.col("short"))).alias("below"))
-             .where("low < high and most > 0").select("entry", "many", (F.coalesce("below", F.lit(0)) > 0).alias("below")))
-    rest = stored(member.join(stored(open_, "open"), "entry").where("short > 0 or (below and kind = 0)"), "rest")
-    if rest.head(1):
-        # a document looks through the rarest of these entries, as many as it is short of
-        place = F.row_number().over(Window.partitionBy("id", "kind").orderBy("many", "entry"))
-        rest = stored(rest.withColumn("asks", place <= F.col("short")).join(sketches.select("id", "n", "sketch"), "id"), "asked")
-        left, right = (rest.select("entry", *[F.col(c).alias(c + k) for c in ("id", "kind", "size", "short", "component", "n")],
-                                   F.col("sketch").alias("s" + k), *extra) for k, extra in (("1", ["asks"]), ("2", [])))
-        pairs = (left.where("asks").join(right, (left["entry"] == right["entry"]) & F.expr(
-            "component1 <> component2 and kind2 = 0 and (kind1 = 1 or (short2 > 0 and id1 < id2))"
-            " and 4 * least(size1, size2) >= 3 * greatest(size1, size2)") & F.coalesce(
-                7 * _differ() <= F.col("n1") + F.col("n2"), F.lit(True)))
-            .select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")))
-        more = verified(rows, stored(pairs.distinct(), "second").join(tried, ["a", "b"], "left_anti"), sketches, "second")
-        groups = stored(connected_components(links.union(more)), "all-groups")
+    member = stored(costly.select("entry", "id", "kind", "size").join(stored(loss, "loss"), ["id", "kind"]), "members")
+    for turn in range(STARS + 1):
+        rest = stored(_open_entries(member, groups), "open")
+        if not rest.head(1):
+            break
+        if turn < STARS:
+            pairs = _looks(rest, stored(rest.where("kind = 0").withColumn("far", F.xxhash64("id", F.lit(turn)))
+                                        .groupBy("entry").agg(F.min_by(F.struct(*[c for c in rest.columns if c != "entry"]), "far").alias("x"))
+                                        .select("entry", "x.*"), "centres"), False)
+        else:
+            rest = stored(rest.join(sketches.select("id", "n", "sketch"), "id"), "sketched")
+            pairs = _looks(rest, rest, True)
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "looks")
+        more = verified(rows, pairs, sketches, f"turn-{turn}")
+        tried = tried.union(pairs)
+        if more.head(1):
+            links = links.union(more)
+            groups = stored(connected_components(links), "groups")
     whole = stored(named.join(groups, F.col("rep") == F.col("node"), "left")
                    .select("f", "g", "n", F.coalesce("component", "rep").alias("component")), "whole")
     return (known.join(whole, ["f", "g", "n"], "left")
