@@ -36,7 +36,7 @@ LIGHT = 8                # members of an index entry that are paired with each o
 DELETIONS_TO = 16        # bands up to this size index one-deletion neighbourhoods
 FILL = 0.4               # segments of a band as a share of its largest size
 FLUSH = 2_000_000        # index entries a task holds before it sends them
-STARS = 2                # rounds that compare the members of costly entries with one of them, before all are
+STARS = 1                # rounds that compare the members of costly entries with one of them, before all are
 PAIRS_A_CHUNK = 64       # partners of one document verified in one piece of work
 
 
@@ -114,13 +114,13 @@ def entries(u: np.ndarray, band: int, own: bool) -> tuple[np.ndarray, int]:
 
 
 def parity(u: np.ndarray) -> np.ndarray:
-    """Parity sketch of a set: bit k tells whether an odd number of members fall on k; four to eight bits a member.
+    """Parity sketch of a set: bit k tells whether an odd number of members fall on k; two to four bits a member.
 
     The bits in which two sketches differ never outnumber the members in which
     the sets differ. A sketch of twice the size folds onto the smaller by XOR
     of its halves.
     """
-    bits = max(64, 4 << (len(u) - 1).bit_length())
+    bits = max(64, 2 << (len(u) - 1).bit_length())
     odd = np.bincount((u & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
