@@ -27,7 +27,7 @@ POSTING = 256            # vectors a posting list should hold
 MOST_LISTS = 4096        # posting lists at most: the graph that every task holds is bounded by them
 COPIES = 4               # lists that a boundary vector goes to at most
 CLOSE = 1.08             # a vector also goes to lists whose centroid is at most so many times as far as the nearest
-REACH = 1.25             # a query visits lists whose centroid is at most so many times as far as the nearest
+REACH = 1.35             # a query visits lists whose centroid is at most so many times as far as the nearest
 BLOCK = 4096             # vectors of a list scored in one piece of work
 DEGREE = 16              # edges of a centroid in the graph
 
