@@ -206,6 +206,13 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         if not out:
             return pa.table({"q": pa.array([], id_type), "rep": pa.array([], id_type), "score": pa.array([], pa.float64())})
         q, r, s = (np.concatenate(c) for c in zip(*out))
+        # each entry once, then the k + 1 best of every query over all lists of this piece
+        o = np.lexsort((-s, r, q))
+        o = o[np.r_[True, (q[o][1:] != q[o][:-1]) | (r[o][1:] != r[o][:-1])]]
+        o = o[np.lexsort((r[o], -s[o], q[o]))]
+        new = np.flatnonzero(np.r_[True, q[o][1:] != q[o][:-1]])
+        o = o[np.arange(len(o)) - np.repeat(new, np.diff(np.r_[new, len(o)])) <= k]
+        q, r, s = q[o], r[o], s[o]
         return pa.table({"q": pa.array(q, id_type), "rep": pa.array(r, id_type), "score": pa.array(s, pa.float64())})
 
     from pyspark.sql.pandas.types import to_arrow_type
