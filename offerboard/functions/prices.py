@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 PRICE_TYPE = "decimal(10,2)"
 
-# Fixed value: a menu price such as "7,70 €", "6.90 €" or "7,50€".
-PRICE_PATTERN = r"([0-9]+[.,][0-9]{2}) ?€"
+# Fixed value: a menu price such as "7,70 €", "6.90 €", "7,50€" or "1.250,00 €";
+# never the tail of a longer number. The space may be a no-break space.
+PRICE_PATTERN = r"(?<![0-9])(?<![0-9][.,])([0-9]{1,3}(?:\.[0-9]{3})+,[0-9]{2}|[0-9]+[.,][0-9]{2})[ \x{A0}]?€"
 # Description is the text before the price; text after the euro sign is dropped.
-DESC_PRICE_PATTERN = r"^(.*?)\s*([0-9]+[.,][0-9]{2}) ?€"
+DESC_PRICE_PATTERN = r"^(.*?)[\s\x{A0}]*" + PRICE_PATTERN
 
 
 def _c(col) -> Column:
@@ -18,7 +19,9 @@ def _c(col) -> Column:
 
 
 def _to_decimal(text: Column) -> Column:
-    return F.replace(text, F.lit(","), F.lit(".")).try_cast(PRICE_TYPE)
+    # a dot before a comma separates thousands
+    plain = F.when(text.contains(","), F.replace(text, F.lit("."), F.lit(""))).otherwise(text)
+    return F.replace(plain, F.lit(","), F.lit(".")).try_cast(PRICE_TYPE)
 
 
 def parse_price(col) -> Column:

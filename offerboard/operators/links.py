@@ -11,18 +11,21 @@ from offerboard.functions.text import ascii_fold, html_unescape, minify_ws, safe
 
 def extract_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                   keep=("url",)) -> DataFrame:
-    """One row per anchor: (page_id, pos, href, text) in document order.
+    """One row per anchor with an href: (page_id, pos, href, text) in document order.
 
-    Anchors whose content is plain text are matched directly in the page; the
-    node table (operators.nodes) handles anchors with nested markup.
+    ``pos`` counts all anchors of the page. The href may be double-quoted,
+    single-quoted or bare; an anchor without one is no link. The text is the
+    anchor's content without markup.
     """
     keep = [c for c in keep if c in pages.columns]
     anchors = pages.select(id_col, *keep, F.posexplode(F.regexp_extract_all(
         F.col(html_col), F.lit(H.ANCHOR), 0)).alias("pos", "a"))
-    return anchors.select(
-        id_col, *keep, F.col("pos").cast("bigint").alias("pos"),
-        html_unescape(F.regexp_extract("a", r'(?is)\shref\s*=\s*"([^"]*)"', 1)).alias("href"),
-        html_unescape(F.regexp_extract("a", r"(?is)<a\s[^>]*>([^<]*)</a>", 1)).alias("text"))
+    start = F.regexp_extract("a", H.ANCHOR_START, 0)
+    href = F.concat(*[F.regexp_extract(start, H.HREF, i) for i in (1, 2, 3)])     # one of the three groups matches
+    content = F.regexp_extract("a", r"(?is)^<a\s[^>]*>(.*)</a\s*>$", 1)
+    return anchors.filter(start.rlike(H.HREF)).select(
+        id_col, *keep, F.col("pos").cast("bigint").alias("pos"), html_unescape(href).alias("href"),
+        html_unescape(F.regexp_replace(content, H.TAG, "")).alias("text"))
 
 
 def _any_contains(col: Column, needles) -> Column:
@@ -71,8 +74,8 @@ def domain_filter(pages: DataFrame, domains, url: str = "url", id_col: str = "pa
     Each host is expanded into its dot suffixes (a.b.c -> a.b.c, b.c, c). A
     list passed by the caller becomes one literal array and the test is an
     ``arrays_overlap`` in the scan's codegen stage; an allow-list DataFrame of
-    any size is matched by an equi semi-join on the suffix instead (broadcast
-    only after a size check).
+    any size is matched by an equi semi-join on the suffix instead (the planner
+    and AQE choose the join by bytes).
     """
     labels = F.split(host_of(url), r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
@@ -80,8 +83,7 @@ def domain_filter(pages: DataFrame, domains, url: str = "url", id_col: str = "pa
     if not isinstance(domains, DataFrame):
         allow = F.array(*[F.lit(d.lower()) for d in domains])
         return pages.filter(F.coalesce(F.arrays_overlap(suffixes, allow), F.lit(False)))
-    from offerboard.session import broadcast_if_small
-    allow = broadcast_if_small(domains.select(F.lower(F.col(domains.columns[0])).alias("_domain")).distinct())
+    allow = domains.select(F.lower(F.col(domains.columns[0])).alias("_domain")).distinct()
     keyed = pages.select(id_col, F.explode(suffixes).alias("_domain"))
     hits = keyed.join(allow, "_domain", "left_semi").select(id_col).distinct()
     return pages.join(hits, id_col, "left_semi")

@@ -24,25 +24,25 @@ WEEK_SECTION_WORDS = ["täglich im Angebot", "Wochenangebot"]
 _WEEKDAY_ALT = "|".join(WEEKDAYS)
 # A heading is a weekday alone, or followed by a dash and a word that is not a weekday
 # ("Montag – Neujahr" is one, "Montag – Freitag von 12 – 14 Uhr" is not).
-_HEADING = r"^(" + _WEEKDAY_ALT + r")(?:\s*[-–:]\s*(.*))?$"
+_HEADING = r"^(" + _WEEKDAY_ALT + r")(?:\s*[-–:,]\s*(.*))?$"
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def to_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, pos, line) for every line of every text, line trimmed."""
+def to_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep=()) -> DataFrame:
+    """(doc_id, pos, line, kept columns) for every line of every text, line trimmed."""
     # trimmed inside the array, so later predicates read one computed value per line
     lines = F.transform(F.split(F.col(text_col), r"\r?\n"), strip_ws)
-    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(lines).alias("pos", "line")) \
-        .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "line")
+    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(lines).alias("pos", "line"), *keep) \
+        .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "line", *keep)
 
 
 def heading_word(line, words=tuple(WEEKDAYS)) -> Column:
     """The heading word when the line is a section heading, else NULL."""
     alt = "|".join(words)
-    pattern = r"^(" + alt + r")(?:\s*[-–:]\s*(.*))?$"
+    pattern = r"^(" + alt + r")(?:\s*[-–:,]\s*(.*))?$"
     word = F.regexp_extract(_c(line), pattern, 1)
     tail = F.regexp_extract(_c(line), pattern, 2)
     tail_is_word = tail.rlike(r"^(" + alt + r")\b")
@@ -77,11 +77,13 @@ def assign_sections(lines: DataFrame, heading: Column, key: str = "doc_id", pos:
     chunks = df.select(key, "_chunk").distinct().join(ends, [key, "_chunk"], "left")
     before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = chunks.withColumn("_c", F.last("_e", ignorenulls=True).over(before)).select(key, "_chunk", "_c")
-    return (local.join(carry, [key, "_chunk"])
+    carry = carry.select(F.col(key).alias("_ck"), F.col("_chunk").alias("_cc"), "_c")
+    # null-safe: a line without a key or position belongs to the group of such lines
+    return (local.join(carry, F.col(key).eqNullSafe(F.col("_ck")) & F.col("_chunk").eqNullSafe(F.col("_cc")), "left")
             .withColumn("is_heading", F.col("_h").isNotNull())
             .withColumn("section", F.coalesce("_ls", F.col("_c.h")))
             .withColumn("section_pos", F.coalesce("_lp", F.col("_c.p")))
-            .drop("_h", "_chunk", "_ls", "_lp", "_c"))
+            .drop("_h", "_chunk", "_ls", "_lp", "_c", "_ck", "_cc"))
 
 
 def flag_notices(df: DataFrame, col: str = "line", patterns=tuple(NOTICE_PATTERNS)) -> DataFrame:
@@ -147,17 +149,26 @@ def drop_empty_days(offers: DataFrame) -> DataFrame:
     return offers.filter(F.col("pos").isNotNull())
 
 
-def cap_per_section(df: DataFrame, n: int, key: str = "doc_id", section_pos: str = "section_pos",
+def cap_per_section(df: DataFrame, n: int | Column, key: str = "doc_id", section_pos: str = "section_pos",
                     pos: str = "pos") -> DataFrame:
-    """Rule 'a weekday is followed by n meals': later lines of a section are not meals."""
+    """Rule 'a weekday is followed by n meals': later lines of a section are not meals (n NULL: no such rule)."""
     w = Window.partitionBy(key, section_pos).orderBy(pos)
-    return df.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= n).drop("_k")
+    n = n if isinstance(n, Column) else F.lit(n)
+    return df.withColumn("_k", F.row_number().over(w)).filter(n.isNull() | (F.col("_k") <= n)).drop("_k")
 
 
 def extract_text_menu(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      max_meals: int | None = 2, keep_empty_days: bool = True,
-                      footnotes: bool = False) -> DataFrame:
-    """Text menu -> long offer rows.
+                      max_meals: int | None = None, keep_empty_days: bool = True,
+                      footnotes: bool = False, settings=()) -> DataFrame:
+    """Text menu -> long offer rows.
+
+    ``settings`` names columns of ``docs`` that hold a site's rules
+    (``apply_site_rules``), each winning over the argument where not NULL:
+    ``run_date`` (the week of a text without a readable period), ``max_meals``
+    (lines of a section that are meals; NULL: all), ``all_week`` (every meal goes
+    under the week key; a priced line needs no heading) and ``keep_empty``
+    (days without meals are output). Texts without a period and without a run
+    date come out of ``text_menu_rejects``.
 
     Head lines (above the first weekday heading) carry the period (C2) and a
     price valid for all meals (C6); a weekday heading opens a section (C3);
@@ -166,7 +177,12 @@ def extract_text_menu(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     the document's lines, so the whole extraction is one shuffle by document
     and one sort, with no self-join.
     """
-    lines = to_lines(docs, id_col, text_col)
+    unknown = set(settings) - set(MENU_SETTINGS)
+    if unknown:
+        raise ValueError(f"unknown settings {sorted(unknown)}")
+    rule = {c: F.col(c) if c in settings else F.lit(None).cast(t) for c, t in MENU_SETTINGS.items()}
+    all_week = F.coalesce(rule["all_week"], F.lit(False))
+    lines = to_lines(docs, id_col, text_col, settings)
     w = Window.partitionBy("doc_id").orderBy("pos")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -179,18 +195,19 @@ def extract_text_menu(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     head = F.col("_first_h").isNull() | (F.col("pos") < F.col("_first_h"))
     lines = (lines.withColumn("_start", F.first(F.when(head, parse_period(F.col("line"))), ignorenulls=True).over(whole))
              .withColumn("doc_price", F.first(F.when(head, parse_price(F.col("line"))), ignorenulls=True).over(whole))
-             .withColumn("week_start", week_monday(F.col("_start"))))
+             .withColumn("week_start", week_monday(F.coalesce(F.col("_start"), rule["run_date"]))))
     # "Montag: Erbsensuppe 3,50 €": a heading whose tail carries a price is also that day's first meal
     tail = F.regexp_extract(F.col("line"), _HEADING, 2)
     lines = lines.withColumn("line", F.when(F.col("is_heading") & tail.rlike(PRICE_PATTERN), tail)
                              .otherwise(F.col("line"))) \
         .withColumn("_meal_heading", F.col("is_heading") & F.col("line").rlike(PRICE_PATTERN))
     meals = split_alternatives(flag_notices(lines).filter(
-        F.col("section").isNotNull() & (~F.col("is_heading") | F.col("_meal_heading")) & ~F.col("is_notice")
+        (F.col("section").isNotNull() | (all_week & F.col("line").rlike(PRICE_PATTERN)))
+        & (~F.col("is_heading") | F.col("_meal_heading")) & ~F.col("is_notice")
         & (F.col("line") != "") & F.col("week_start").isNotNull()))
-    if max_meals:
+    if max_meals is not None or "max_meals" in settings:
         # (doc_id, section_pos) windows reuse the doc_id partitioning: a sort, no new shuffle
-        meals = cap_per_section(meals, max_meals)
+        meals = cap_per_section(meals, F.coalesce(rule["max_meals"], F.lit(max_meals).cast("int")))
     desc, row_price = split_desc_price(F.col("line"))
     desc = clean_desc(desc)
     if footnotes:
@@ -198,13 +215,39 @@ def extract_text_menu(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     meals = (meals.withColumn("desc", desc)
              .withColumn("price", F.coalesce(row_price, F.col("doc_price")).cast(PRICE_TYPE)))
     meals = route_week_offers(weekday_to_date(meals))
+    if "all_week" in settings:
+        meals = (meals.withColumn("key_kind", F.when(all_week, F.lit("week")).otherwise(F.col("key_kind")))
+                 .withColumn("offer_key", F.when(all_week, week_label(F.col("week_start"), "iso")).otherwise(F.col("offer_key"))))
     out = meals.select("doc_id", "offer_key", "key_kind", "pos", "desc", "price")
-    if not keep_empty_days:
+    if not keep_empty_days and "keep_empty" not in settings:
         return out
-    weeks = lines.filter(F.col("week_start").isNotNull()).select("doc_id", "week_start").distinct()
+    weeks = lines.filter(F.col("week_start").isNotNull() & F.coalesce(rule["keep_empty"], F.lit(keep_empty_days))) \
+        .select("doc_id", "week_start").distinct()
     return fill_weekdays(out, weeks)
 
 
+# columns of a site's rules that the text extraction reads
+MENU_SETTINGS = {"run_date": "date", "max_meals": "int", "all_week": "boolean", "keep_empty": "boolean"}
+
+
+def text_menu_rejects(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_date: str | None = None) -> DataFrame:
+    """(doc_id, reason) of the texts that ``extract_text_menu`` cannot date: no period above the first heading.
+
+    ``run_date`` names a column whose date stands in for the period. A NULL
+    text is a reject too. No shuffle: the test runs within each text's lines.
+    """
+    lines = F.transform(F.split(F.col(text_col), r"\r?\n"), strip_ws)
+    marked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"),
+                         (F.col(run_date) if run_date else F.lit(None)).cast("date").alias("_run"),
+                         F.transform(lines, lambda x: F.struct(heading_word(x).isNotNull().alias("h"),
+                                                               parse_period(x).isNotNull().alias("p"))).alias("_l"))
+    # the first line that is a heading or holds a period must be the latter
+    first = F.try_element_at(F.filter("_l", lambda x: x["h"] | x["p"]), F.lit(1))
+    bad = F.col("_text").isNull() | (F.col("_run").isNull() & ~F.coalesce(first["p"] & ~first["h"], F.lit(False)))
+    return marked.filter(bad).select("doc_id", F.when(F.col("_text").isNull(), F.lit("no text"))
+                                     .otherwise(F.lit("no period")).alias("reason"))
+
+
 def table_pairs(nodes: DataFrame, heading_tag: str = "h4", cell_tags=("td", "th")) -> DataFrame:
     """C9 (+ C2): HTML table rows -> (page_id, pos, section, week_start, desc_cell, price_cell).
 
@@ -217,7 +260,9 @@ def table_pairs(nodes: DataFrame, heading_tag: str = "h4", cell_tags=("td", "th"
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     text = normalize_space(F.col("string_value"))
-    marked = (nodes.withColumn("_heading", F.when(F.col("tag") == heading_tag, text))
+    # "Dienstag, 02.01." is the section Dienstag
+    named = F.coalesce(heading_word(text), text)
+    marked = (nodes.withColumn("_heading", F.when(F.col("tag") == heading_tag, named))
               .withColumn("section", F.last("_heading", ignorenulls=True).over(upto))
               .withColumn("_start", F.first(parse_period(normalize_space(F.col("own_text"))), ignorenulls=True).over(whole)))
     cells = marked.filter(F.col("tag").isin(list(cell_tags)))
@@ -230,7 +275,10 @@ def table_pairs(nodes: DataFrame, heading_tag: str = "h4", cell_tags=("td", "th"
 
 
 def extract_html_menu(nodes: DataFrame, heading_tag: str = "h4", keep_empty_days: bool = True) -> DataFrame:
-    """HTML menu (day headings + two-cell table rows) -> long offer rows."""
+    """HTML menu (day headings + two-cell table rows) -> long offer rows.
+
+    Rows that cannot be dated come out of ``html_menu_rejects``.
+    """
     pairs = table_pairs(nodes, heading_tag).withColumnRenamed("page_id", "doc_id")
     meals = flag_notices(pairs, "desc_cell").filter(
         (F.coalesce(F.col("desc_cell"), F.lit("")) != "") & ~F.col("is_notice") & F.col("week_start").isNotNull())
@@ -244,6 +292,16 @@ def extract_html_menu(nodes: DataFrame, heading_tag: str = "h4", keep_empty_days
     return fill_weekdays(out, weeks)
 
 
+def html_menu_rejects(nodes: DataFrame, heading_tag: str = "h4") -> DataFrame:
+    """(doc_id, pos, section, reason) of table rows with a text that ``extract_html_menu`` cannot date."""
+    pairs = table_pairs(nodes, heading_tag).withColumnRenamed("page_id", "doc_id")
+    rows = route_week_offers(weekday_to_date(flag_notices(pairs, "desc_cell").filter(
+        (F.coalesce(F.col("desc_cell"), F.lit("")) != "") & ~F.col("is_notice"))))
+    return rows.filter(F.col("offer_key").isNull()).select(
+        "doc_id", "pos", "section", F.when(F.col("week_start").isNull(), F.lit("no period"))
+        .otherwise(F.lit("no weekday")).alias("reason"))
+
+
 def unpivot_week_table(df: DataFrame, id_cols, day_cols, day: str = "day", cell: str = "cell") -> DataFrame:
     """Category column(s) + one column per day -> (ids..., day, cell); empty cells skipped."""
     long = df.unpivot(list(id_cols), list(day_cols), day, cell)
@@ -342,7 +400,7 @@ def apply_site_rules(pages: DataFrame, rules: DataFrame, overrides: DataFrame |
     ``rules``/``overrides`` are keyed by ``host``, a domain that also covers its
     sub-domains; a page takes the rule of its longest matching domain. Each
     page host is expanded into its dot suffixes and equi-joined with the rules
-    (configuration, one row per site, broadcast after a size check); the
+    (configuration, one row per site; the planner chooses the join); the
     longest match per page is a max aggregate. Pages without a rule keep NULL
     settings.
     """
@@ -357,9 +415,8 @@ def apply_site_rules(pages: DataFrame, rules: DataFrame, overrides: DataFrame |
     labels = F.split(host_of(url), r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    from offerboard.session import broadcast_if_small
     keyed = pages.select(id_col, F.explode(suffixes).alias("host"))
-    hits = keyed.join(broadcast_if_small(merged), "host")
+    hits = keyed.join(merged, "host")
     best = hits.groupBy(id_col).agg(F.max_by(F.struct("host", *cols), F.length("host")).alias("_r"))
     return pages.join(best, id_col, "left").select(
         *pages.columns, F.col("_r.host").alias("rule_host"), *[F.col(f"_r.{c}").alias(c) for c in cols])

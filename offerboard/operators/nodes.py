@@ -18,6 +18,7 @@ elements is ever formed.
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 from itertools import accumulate
 from typing import Iterator
@@ -47,6 +48,8 @@ CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset"
 # text through their text span.
 TEXT_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "a", "title")
 
+ROWS_A_BATCH = 20_000        # node rows that leave the parser in one piece
+
 _XML_WS = " \t\r\n"
 
 
@@ -59,6 +62,8 @@ class _TreeBuilder(HTMLParser):
         self.text_tags = text_tags           # None: every element keeps its string value
         self.rows: list[list] = []
         self.stack: list[int] = []           # indexes into rows of open elements
+        self.open: list[str] = []            # their tags
+        self.n_open: Counter = Counter()     # how many of each tag are open
         self.children: list[int] = [0]       # element-children count per open level (root level first)
         self.chunks: list[str] = []          # the page's text stream
         self.text_len = 0
@@ -73,11 +78,13 @@ class _TreeBuilder(HTMLParser):
         line, col = self.getpos()
         return self.line_starts[line - 1] + col
 
-    def _open_tags(self):
-        return [self.rows[i][5] for i in self.stack]
+    def parse_marked_section(self, i, report=1):
+        # "<![foo[x]]>" outside of foreign content is a comment up to the next ">"
+        return self.parse_bogus_comment(i)
 
     def _close_top(self, end: int) -> None:
         i = self.stack.pop()
+        self.n_open[self.open.pop()] -= 1
         self.children.pop()
         row = self.rows[i]
         row[1] = self.post
@@ -88,24 +95,21 @@ class _TreeBuilder(HTMLParser):
             self.rows[self.stack[-1]][10] = True
 
     def _implicit_close(self, tag: str, start: int) -> None:
-        open_tags = self._open_tags()
-        if tag in CLOSES_P and open_tags and open_tags[-1] == "p":
+        if tag in CLOSES_P and self.open and self.open[-1] == "p":
+            self._close_top(start)
+        elif tag == "li" and self.n_open["li"]:
+            self._close_to(("li",), ("ul", "ol"), start)
+        elif tag in ("td", "th") and (self.n_open["td"] or self.n_open["th"]):
+            self._close_to(("td", "th"), ("tr", "table"), start)
+        elif tag == "tr" and self.n_open["tr"]:
+            self._close_to(("tr",), ("table",), start)
+
+    def _close_to(self, tags, barriers, start: int) -> None:
+        """Close the innermost of ``tags`` and all within it, as far as the next barrier."""
+        while self.open and self.open[-1] not in tags and self.open[-1] not in barriers:
+            self._close_top(start)
+        if self.open and self.open[-1] in tags:
             self._close_top(start)
-        elif tag == "li" and "li" in open_tags:
-            while self._open_tags() and self._open_tags()[-1] not in ("li", "ul", "ol"):
-                self._close_top(start)
-            if self._open_tags() and self._open_tags()[-1] == "li":
-                self._close_top(start)
-        elif tag in ("td", "th") and ("td" in open_tags or "th" in open_tags):
-            while self._open_tags() and self._open_tags()[-1] not in ("td", "th", "tr", "table"):
-                self._close_top(start)
-            if self._open_tags() and self._open_tags()[-1] in ("td", "th"):
-                self._close_top(start)
-        elif tag == "tr" and "tr" in open_tags:
-            while self._open_tags() and self._open_tags()[-1] not in ("tr", "table"):
-                self._close_top(start)
-            if self._open_tags() and self._open_tags()[-1] == "tr":
-                self._close_top(start)
 
     def _start(self, tag: str, attrs, self_closing: bool) -> None:
         start = self._offset()
@@ -120,6 +124,8 @@ class _TreeBuilder(HTMLParser):
                           start, -1, [self.rows[i][0] for i in self.stack]])
         self.pre += 1
         self.stack.append(len(self.rows) - 1)
+        self.open.append(tag)
+        self.n_open[tag] += 1
         self.children.append(0)
         if self_closing or tag in VOID_TAGS:
             text = self.get_starttag_text() or ""
@@ -132,7 +138,7 @@ class _TreeBuilder(HTMLParser):
         self._start(tag, attrs, True)
 
     def handle_endtag(self, tag):
-        if tag not in self._open_tags():
+        if not self.n_open[tag]:
             return
         pos = self._offset()
         gt = self.html.find(">", pos)
@@ -144,17 +150,16 @@ class _TreeBuilder(HTMLParser):
                 break
 
     def handle_data(self, data):
-        if not self.stack:
+        self.chunks.append(data)
+        self.text_len += len(data)
+        if not self.stack:      # text outside every element is part of the page's text alone
             return
         top = self.rows[self.stack[-1]]
         top[7].append(data)
-        self.chunks.append(data)
-        self.text_len += len(data)
         if not top[10] and data.strip(_XML_WS):
             top[10] = True
 
     def finish(self) -> tuple[list[list], str]:
-        self.close()
         while self.stack:
             self._close_top(len(self.html))
         return self.rows, "".join(self.chunks)
@@ -168,9 +173,10 @@ def parse_nodes(html: str, text_tags=TEXT_TAGS) -> tuple[list[list], str]:
     b = _TreeBuilder(html or "", None if text_tags is None else frozenset(text_tags))
     try:
         b.feed(html or "")
-        return b.finish()
-    except Exception:   # a page the tokenizer rejects yields no nodes, not a failed job
-        return [], ""
+        b.close()
+    except AssertionError:   # the tokenizer gives up within a declaration: the nodes read so far stay
+        pass
+    return b.finish()
 
 
 _NODE_COLS = ["page_id", "pre", "post", "parent_pre", "depth", "sib", "tag", "attrs", "own_text", "string_value",
@@ -187,7 +193,11 @@ def _nodes_batches(batches: Iterator[pd.DataFrame], text_tags) -> Iterator[pd.Da
                 sv = text[r[8]:r[9]] if keep_all or r[5] in text_tags else None
                 out.append([pid, r[0], r[1], r[2], r[3], r[4], r[5], r[6], "".join(r[7]), sv, r[8], r[9], r[10],
                             text if r[0] == 0 else None, r[11], r[12], r[13]])
-        yield pd.DataFrame(out, columns=_NODE_COLS)
+                if len(out) >= ROWS_A_BATCH:
+                    yield pd.DataFrame(out, columns=_NODE_COLS)
+                    out = []
+        if out:
+            yield pd.DataFrame(out, columns=_NODE_COLS)
 
 
 def html_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",

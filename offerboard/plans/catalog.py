@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from offerboard.functions import html as H
 from offerboard.functions.dates import week_label, week_monday
 from offerboard.functions.prices import PRICE_TYPE, format_price, split_desc_price
-from offerboard.functions.text import FOOTNOTE_TAIL, HTML_ENTITIES, clean_desc, strip_footnotes, word_count
+from offerboard.functions.text import clean_desc, strip_footnotes, word_count
 from offerboard.operators import board as B
 from offerboard.operators import incremental as E
 from offerboard.operators import links as L
@@ -46,8 +46,13 @@ def register(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------- SQL pieces
+# every reference that the driver's pages hold; &amp; last, so "&amp;lt;" gives "&lt;"
+_SQL_ENTITIES = [("&nbsp;", "\u00a0"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"),
+                 ("&copy;", "©"), ("&middot;", "·"), ("&euro;", "€"), ("&amp;", "&")]
+
+
 def _unescape(x: str) -> str:
-    for ent, ch in HTML_ENTITIES:
+    for ent, ch in _SQL_ENTITIES:
         x = f"replace({x}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
     return x
 
@@ -94,13 +99,13 @@ sel AS (
   FROM offers WHERE offer_key IN ('{V.BOARD_DATE}', {_board_week(_BD)}) AND pos IS NOT NULL)"""
 
 LINKS_CTE = f"""
-arr AS (SELECT page_id, url, regexp_extract_all(html, '{H.ANCHOR}') AS a FROM pages),
+arr AS (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\\s[^>]*>.*?</a\\s*>') AS a FROM pages),
 anchors AS (SELECT page_id, url, unnest(generate_series(0, len(a) - 1)) AS pos, unnest(a) AS a FROM arr),
 links AS (
   SELECT page_id, url, CAST(pos AS BIGINT) AS pos,
          {_unescape("regexp_extract(a, '(?is)\\shref\\s*=\\s*\"([^\"]*)\"', 1)")} AS href,
-         {_unescape("regexp_extract(a, '(?is)<a\\s[^>]*>([^<]*)</a>', 1)")} AS text
-  FROM anchors)"""
+         {_unescape("regexp_replace(a, '<[^>]*>', '', 'g')")} AS text
+  FROM anchors WHERE regexp_matches(a, '(?is)^<a\\s[^>]*href\\s*='))"""
 _SITE_BASE = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1)"
 _HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1))"
 _NON_TEXT = f"regexp_replace(html, '{H.NON_TEXT_BLOCKS}', '', 'g')"
@@ -126,6 +131,17 @@ def q_week_offers(spark, sf):
     return B.week_offers(V.board_offers(spark, sf), V.BOARD_DATE, "board").select("location", "pos", "desc", "price")
 
 
+_NEW_YEAR = "2024-12-30"
+
+
+@register("week_offers_new_year", f"WITH {OFFERS_CTE} SELECT location, offer_key, pos, \"desc\", price FROM offers "
+                                  f"WHERE offer_key = {_board_week(f"DATE '{_NEW_YEAR}'")}")
+def q_week_offers_new_year(spark, sf):
+    """D4 on a date whose board label names the first week of the year that ends."""
+    return B.week_offers(V.board_offers(spark, sf, _NEW_YEAR), _NEW_YEAR, "board") \
+        .select("location", "offer_key", "pos", "desc", "price")
+
+
 @register("board_summary", f"""
 WITH {OFFERS_CTE}, {LOCATIONS_CTE}, {SELECTED_CTE},
 counts AS (SELECT location, count(*) FILTER (WHERE section = 'day') AS n_day,
@@ -343,7 +359,7 @@ def _nodes(spark, sf, text_tags=N.TEXT_TAGS):
 @register("html_nodes")
 def q_html_nodes(spark, sf):
     """B1: the node table (no text columns, to keep the row check light)."""
-    return _nodes(spark, sf, ()).select("page_id", "pre", "post", "parent_pre", "depth", "sib", "tag",
+    return N.html_nodes(V.table(spark, sf, "pages"), text_tags=()).select("page_id", "pre", "post", "parent_pre", "depth", "sib", "tag",
                                            "start_offset", "end_offset")
 
 
@@ -527,11 +543,16 @@ def q_side_dishes(spark, sf):
     return C.side_dishes(V.table(spark, sf, "orders"), "o_orderpriority", ["o_orderstatus"], keep=["o_orderkey"])
 
 
-_CLEAN_SQL = ("regexp_replace(regexp_replace(regexp_replace(text, '[\\s\\x{A0}\\x00-\\x1F\\x7F]+', ' ', 'g'), "
-              "'^[\\s\\x{A0}]+|[\\s\\x{A0}]+$', '', 'g'), '" + FOOTNOTE_TAIL + "', '', 'g')")
+_CLEAN_SQL = ("regexp_replace(regexp_replace(text, '[\\s\\x{A0}\\x00-\\x1F\\x7F]+', ' ', 'g'), "
+              "'^[\\s\\x{A0}]+|[\\s\\x{A0}]+$', '', 'g')")
+# a code list: one or two letters, a token with digits, or several tokens joined by commas or dots
+_CODES_SQL = ("\\s+([a-n]|[a-n][a-nwA-Z]|[a-z][a-zA-Z0-9]*([,.][a-zA-Z0-9]+)+|[a-z][a-zA-Z]?[a-zA-Z]?[a-zA-Z]?[0-9][a-zA-Z0-9]*"
+              "|[0-9]+(,[0-9a-z]+)+)$")
 
 
-@register("clean_descs", f"SELECT conv_id, turn, {_CLEAN_SQL} AS \"desc\" FROM conversations")
+@register("clean_descs", f"""WITH c AS (SELECT conv_id, turn, {_CLEAN_SQL} AS t FROM conversations)
+SELECT conv_id, turn, CASE WHEN regexp_matches(t, '\\s(ab|am|an|da|im|in|ja|be|he|if|me|[0-9]+,[0-9][0-9])$') THEN t
+  ELSE regexp_replace(t, '{_CODES_SQL}', '', 'g') END AS "desc" FROM c""")
 def q_clean_descs(spark, sf):
     """C14 + C8: line breaks and control characters removed, trailing code lists stripped."""
     conv = V.table(spark, sf, "conversations")
@@ -734,6 +755,76 @@ def q_text_menus(spark, sf):
     return C.extract_text_menu(docs, max_meals=None, keep_empty_days=False)
 
 
+def _site_texts(spark, sf):
+    """Menu texts of five sites with different rules: (doc_id, text, run_date, max_meals, all_week, keep_empty).
+
+    ``click`` and ``purchase`` texts have no period line; ``click`` runs on the
+    menu's date, ``purchase`` has no date at all.
+    """
+    docs = V.menu_documents(spark, sf)
+    day = F.to_date(F.split("doc_id", "/")[1])
+    undated = F.col("location").isin("click", "purchase")
+    return docs.select(
+        "doc_id", F.when(undated, F.regexp_replace("text", r"^([^\n]*)\n[^\n]*\n", "$1\n")).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("location") == "click", day).alias("run_date"),
+        F.when(F.col("location") == "error", F.lit(2)).alias("max_meals"),
+        F.when(F.col("location") == "view", F.lit(True)).alias("all_week"),
+        F.when(F.col("location") == "signup", F.lit(True)).alias("keep_empty"))
+
+
+@register("site_menus", f"""
+WITH e AS (SELECT event_type, CAST(ts AS DATE) AS d, {_DOC_KEY} AS doc_id, props, value,
+  row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE), floor(event_id / {V.MENU_CHUNK}) ORDER BY event_id) AS rn FROM events),
+week AS (SELECT DISTINCT doc_id, d, CAST(unnest(generate_series(CAST(date_trunc('week', d) AS DATE),
+  CAST(date_trunc('week', d) AS DATE) + INTERVAL 4 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM e WHERE event_type = 'signup')
+SELECT doc_id, CASE WHEN event_type = 'view' THEN {_iso('d')} ELSE strftime(d, '%Y-%m-%d') END AS offer_key,
+  CASE WHEN event_type = 'view' THEN 'week' ELSE 'day' END AS key_kind,
+  CAST(rn + CASE WHEN event_type = 'click' THEN 1 ELSE 2 END AS BIGINT) AS pos,
+  props AS "desc", CAST(value AS DECIMAL(10,2)) AS price
+FROM e WHERE event_type <> 'purchase' AND (event_type <> 'error' OR rn <= 2)
+UNION ALL SELECT doc_id, strftime(day, '%Y-%m-%d'), 'day', NULL, NULL, NULL FROM week WHERE day <> d""")
+def q_site_menus(spark, sf):
+    """One extraction over texts of sites with different rules, read from columns."""
+    return C.extract_text_menu(_site_texts(spark, sf), keep_empty_days=False, settings=tuple(C.MENU_SETTINGS))
+
+
+@register("text_menu_rejects", f"""SELECT DISTINCT {_DOC_KEY} AS doc_id, 'no period' AS reason FROM events
+WHERE event_type = 'purchase'""")
+def q_text_menu_rejects(spark, sf):
+    """Texts that cannot be dated come out as rejects."""
+    return C.text_menu_rejects(_site_texts(spark, sf), run_date="run_date")
+
+
+_EDGE = "CASE WHEN event_id % 4 = 0 THEN 'K&auml;se &ndash; gr&#252;n &amp;lt; &unknown; ' WHEN event_id % 4 = 1 THEN 'Brot &#x20AC; &copy ' ELSE '' END"
+
+
+@register("entity_texts", """
+SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'Käse – grün &lt; &unknown; ' WHEN event_id % 4 = 1 THEN 'Brot € &copy '
+  ELSE '' END || props AS text FROM events""")
+def q_entity_texts(spark, sf):
+    """Named, decimal and hexadecimal references, each decoded once."""
+    from offerboard.functions.text import html_unescape
+    ev = V.table(spark, sf, "events")
+    return ev.select("event_id", html_unescape(F.concat(F.expr(_EDGE), "props")).alias("text"))
+
+
+@register("edge_prices", """
+SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'Braten' WHEN 1 THEN 'Suppe' WHEN 2 THEN 'Los 12.345.6' ELSE 'Brot 5 €' END
+    AS "desc",
+  CASE event_id % 4 WHEN 0 THEN CAST(value AS DECIMAL(10,2)) + 1000 * (1 + event_id % 9)
+    WHEN 1 THEN CAST(value AS DECIMAL(10,2)) END AS price
+FROM (SELECT event_id, value - floor(value) AS value FROM events)""")
+def q_edge_prices(spark, sf):
+    """Thousands, the no-break space, and texts without a price."""
+    ev = V.table(spark, sf, "events").select("event_id", (F.col("value") - F.floor("value")).cast("decimal(10,2)").alias("v"))
+    cents = F.replace(F.substring(F.col("v").cast("string"), -2, 2), F.lit("."), F.lit(","))
+    text = (F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("Braten "), (1 + F.col("event_id") % 9).cast("string"), F.lit(".000,"), cents, F.lit(" €")))
+            .when(F.col("event_id") % 4 == 1, F.concat(F.lit("Suppe 0,"), cents, F.lit("\u00a0€")))
+            .when(F.col("event_id") % 4 == 2, F.lit("Los 12.345.6")).otherwise(F.lit("Brot 5 €")))
+    desc, price = split_desc_price(text)
+    return ev.select("event_id", desc.alias("desc"), price.alias("price"))
+
+
 @register("html_menus", f"""SELECT event_type AS location,
   CASE WHEN event_type = '{V.WEEK_LOCATION}' THEN {_iso('CAST(date_trunc(' + "'week'" + ', CAST(ts AS DATE)) AS DATE)')}
        ELSE strftime(CAST(ts AS DATE), '%Y-%m-%d') END AS offer_key,
@@ -744,8 +835,7 @@ FROM events""")
 def q_html_menus(spark, sf):
     """B1 + C2-C5, C9-C11: HTML menus written from events, parsed into nodes, extracted back to offers."""
     pages = materialize(V.menu_documents(spark, sf, html=True), "menu-pages", spark)
-    nodes = materialize(N.html_nodes(pages), "menu-nodes", spark)
-    offers = C.extract_html_menu(nodes, keep_empty_days=False)
+    offers = C.extract_html_menu(N.html_nodes(pages), keep_empty_days=False)
     return offers.join(pages.select(F.col("page_id").alias("doc_id"), "location"), "doc_id") \
         .select("location", "offer_key", "key_kind", "pos", "desc", "price")
 
@@ -791,7 +881,7 @@ WITH t AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<
 SELECT page_id, lower(tag) AS tag, count(*) AS n FROM t GROUP BY ALL""")
 def q_node_tag_counts(spark, sf):
     """B1 checked from outside: elements per page and tag equal the page's start tags."""
-    return _nodes(spark, sf, ()).groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
+    return N.html_nodes(V.table(spark, sf, "pages"), text_tags=()).groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("node_order", """
@@ -800,4 +890,4 @@ WITH t AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-
 SELECT page_id, CAST(unnest(generate_series(0, len(tags) - 1)) AS INTEGER) AS pre, lower(unnest(tags)) AS tag FROM t""")
 def q_node_order(spark, sf):
     """B1 document order: ``pre`` is the start tag's position among the page's start tags."""
-    return _nodes(spark, sf, ()).select("page_id", "pre", "tag")
+    return N.html_nodes(V.table(spark, sf, "pages"), text_tags=()).select("page_id", "pre", "tag")

@@ -57,18 +57,27 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def board_offers(spark: SparkSession, sf_dir: str, date: str = BOARD_DATE) -> DataFrame:
     """Offers that can match the board of ``date``.
 
-    Both the day key and the week key of a date come from events of that
-    date's Monday-to-Sunday week, so a ``ts`` range on the raw table is exact.
-    Being a plain column range it reaches the parquet scan (row-group skipping
-    on time-clustered files) instead of a derived key tested row by row.
+    The day key comes from events of that day; the week key from events of the
+    ISO week that the board's label names, which around New Year is another
+    week (the board's label of 2024-12-30 is ``2024-W01``). Both are plain
+    ``ts`` ranges, so they reach the parquet scan (row-group skipping on
+    time-clustered files) instead of a derived key tested row by row.
     """
     d = dt.date.fromisoformat(date)
     monday = d - dt.timedelta(days=d.weekday())
-    lo, hi = dt.datetime.combine(monday, dt.time()), dt.datetime.combine(monday + dt.timedelta(days=7), dt.time())
+    ranges = [(monday, 7)]
+    try:
+        named = dt.date.fromisocalendar(monday.year, d.isocalendar().week, 1)
+        ranges += [(named, 7)] if named != monday else []
+    except ValueError:      # that year has no week of this number: no offer carries the label
+        pass
     ev = table(spark, sf_dir, "events")
     ts_type = ev.schema["ts"].dataType.simpleString()
-    ev = ev.filter((F.col("ts") >= F.lit(lo).cast(ts_type)) & (F.col("ts") < F.lit(hi).cast(ts_type)))
-    return offers_from_events(ev)
+    at = lambda day: F.lit(dt.datetime.combine(day, dt.time())).cast(ts_type)
+    cond = F.lit(False)
+    for start, days in ranges:
+        cond = cond | ((F.col("ts") >= at(start)) & (F.col("ts") < at(start + dt.timedelta(days=days))))
+    return offers_from_events(ev.filter(cond))
 
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,14 +2,13 @@
 
 Library code never creates a session of its own; ``get_spark`` is for tests,
 ``bench.py`` and scripts. ``shared_dir`` resolves the cluster's shared folder
-(``spark.checkpoint.dir``) and only falls back to a fresh local folder when the
-setting is absent, as in unit tests.
+(``spark.checkpoint.dir``), else a folder in the session's warehouse, which a
+cluster shares too. Nothing is written to a machine-local temporary folder.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,7 +27,7 @@ SQL_CONF = {
 
 
 def get_spark(master: str | None = None, app: str = "offerboard",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, shared: str | None = None) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
     builder = (
@@ -38,6 +37,8 @@ def get_spark(master: str | None = None, app: str = "offerboard",
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for k, v in SQL_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -54,20 +55,13 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's checkpoint root for ``purpose``.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets one only when it is
-    unset (local tests). Each call returns a new sub folder, so reruns never
-    need to clear old output.
+    The root is ``spark.checkpoint.dir``, else the session's warehouse. Each
+    call returns a new sub folder, so reruns never need to clear old output.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="offerboard-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:   # sessions without a SparkContext handle (Spark Connect)
-        pass
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/offerboard"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
@@ -111,14 +105,3 @@ def literal_table(spark: SparkSession, rows, columns):
     from pyspark.sql import functions as F
     structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, columns)]) for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs))).select(*[F.col(n).cast(t) for n, t in columns])
-
-
-def broadcast_if_small(df, max_rows: int = 100_000):
-    """``F.broadcast(df)`` only when a count shows at most ``max_rows`` rows, else ``df`` as it is.
-
-    For configuration-sized inputs (rule tables, allow-lists) given by a
-    caller: the count is one job over that small table. Beyond the bound the
-    join is left to the planner and AQE (sort-merge, skew splitting).
-    """
-    from pyspark.sql import functions as F
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

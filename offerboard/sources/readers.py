@@ -25,14 +25,27 @@ def _whole_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
             .select(F.col("value"), F.col("_metadata.file_path").alias("file_path")))
 
 
-def parse_offers_documents(files: DataFrame) -> DataFrame:
+def offers_document_rejects(files: DataFrame) -> DataFrame:
+    """(file_path, reason) of offers documents that are not valid JSON of the archive's form."""
+    bad = F.from_json("value", OFFERS_DOC_SCHEMA).isNull()
+    return files.filter(bad).select("file_path", F.lit("not an offers document").alias("reason"))
+
+
+def scan_offers_rejects(spark: SparkSession, path: str, glob: str = "[0-9]*.json") -> DataFrame:
+    """A1: the archive's files that ``scan_offers`` cannot read."""
+    return offers_document_rejects(_whole_files(spark, path, glob))
+
+
+def parse_offers_documents(files: DataFrame, keep_empty: bool = False) -> DataFrame:
     """(value, file_path) of offers documents -> one row per meal.
 
     Output: (location, file_week, run, offer_key, pos, desc, price_raw).
     Location is the parent folder. The file name is ``<week>.json``, or
     ``<week>@<run>.json`` for a later scrape of the same week (``run`` NULL
     otherwise). An empty day (``[]``) gives one row with NULL pos/desc/price_raw;
-    an empty document (``{}``) gives no row.
+    an empty document (``{}``) gives no row, or with ``keep_empty`` one row
+    with NULL offer_key, which tells a store that the week has been emptied.
+    Files that are not valid JSON come out of ``offers_document_rejects``.
     """
     stem = F.regexp_extract("file_path", r"/([^/]+)\.[A-Za-z]+$", 1)
     doc = files.select(
@@ -41,7 +54,9 @@ def parse_offers_documents(files: DataFrame) -> DataFrame:
         F.nullif(F.regexp_extract(stem, r"@(.*)$", 1), F.lit("")).alias("run"),
         F.from_json("value", OFFERS_DOC_SCHEMA).alias("doc"),
     )
-    keys = doc.select("location", "file_week", "run", F.explode("doc").alias("offer_key", "meals"))
+    explode = F.explode_outer if keep_empty else F.explode
+    keys = doc.filter(F.col("doc").isNotNull()).select("location", "file_week", "run",
+                                                       explode("doc").alias("offer_key", "meals"))
     meals = keys.select("location", "file_week", "run", "offer_key",
                         F.posexplode_outer("meals").alias("pos", "meal"))
     return meals.select(

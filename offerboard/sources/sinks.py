@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerboard.functions.prices import PRICE_TYPE
+from offerboard.functions.text import run_order
 
 
 def write_offers(offers: DataFrame, path: str, fmt: str = "parquet",
@@ -60,9 +61,20 @@ def publish_bundle(offers: DataFrame, locations: DataFrame, location_key: str =
     return out.withColumn("json", F.to_json(F.struct("name", "link", "details", "offers")))
 
 
-def write_artifacts(artifacts: DataFrame, path: str) -> None:
-    """Rows (artifact_name, kind, body) -> parquet partitioned by kind (never one local file per row)."""
-    artifacts.select("artifact_name", "kind", "body").write.mode("append").partitionBy("kind").parquet(path)
+def write_artifacts(artifacts: DataFrame, path: str, run: str = "0") -> None:
+    """Rows (artifact_name, kind, body) -> parquet partitioned by kind and run (never one local file per row).
+
+    A repeated run replaces its own partitions; ``latest_artifacts`` reads the
+    newest body of each name.
+    """
+    (artifacts.select("artifact_name", "body", "kind", F.lit(run).alias("run")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("kind", "run").parquet(path))
+
+
+def latest_artifacts(artifacts: DataFrame) -> DataFrame:
+    """(artifact_name, kind, body): of stored artifacts, the body of each name's latest run."""
+    return artifacts.groupBy("artifact_name", "kind").agg(
+        F.max_by("body", run_order(F.col("run").cast("string"))).alias("body"))
 
 
 def document_text(lines: DataFrame, key: str = "doc_id", pos: str = "pos", line: str = "line",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from offerboard.operators.links import absolutize, extract_links, site_base
 from offerboard.plans.views import offers_from_events
-from offerboard.session import shared_dir
+from offerboard.session import materialize, shared_dir
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -33,11 +33,13 @@ def _file_glob(sf_dir: str, table: str) -> str:
 
 
 def offers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E5 on the driver tables: events arriving as files -> offer rows, each event once."""
-    _use_rocksdb(spark)
+    """E5 on the driver tables: events arriving as files -> offer rows.
+
+    The file source takes each file exactly once, so no state is kept.
+    """
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
     events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(_file_glob(sf_dir, "events"))
-    return offers_from_events(events.dropDuplicates(["event_id"]))
+    return offers_from_events(events)
 
 
 def offers_document_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -50,7 +52,7 @@ def offers_document_stream(spark: SparkSession, path: str) -> DataFrame:
     docs = (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "[0-9]*.json")
             .option("recursiveFileLookup", True).load(path)
             .select("value", F.col("_metadata.file_path").alias("file_path")))
-    return parse_offers_documents(docs)
+    return parse_offers_documents(docs, keep_empty=True)
 
 
 def new_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,30 +76,37 @@ def page_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return absolutize(extract_links(pages), site_base("url"), out="abs_url").select(F.col("abs_url").alias("url"))
 
 
-def seen_table_batch(seen_path: str):
+def seen_table_batch(seen_path: str, run: str):
     """foreachBatch body of E1 over a stream: new urls of a micro-batch are appended to the seen table.
 
     The batch is de-duplicated first (partial aggregation, so a url on every
-    page costs one row per task), then anti-joined with the urls of earlier
-    epochs. Each epoch writes its own ``epoch=N`` folder with overwrite, so a
-    retried batch replaces its own output instead of adding twice.
+    page costs one row per task), then anti-joined with the urls of all other
+    batches. Each batch writes its own ``batch=<run>-<epoch>`` folder with
+    overwrite, so a retried batch replaces its own output instead of adding
+    twice. ``run`` names the checkpoint: one with a new checkpoint counts its
+    epochs from 0 again and must not meet the folders of an earlier one.
     """
     from offerboard.operators.incremental import new_links
 
-    def run(batch: DataFrame, epoch_id: int) -> None:
+    def add(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        own = f"{run}-{epoch_id}"
         urls = batch.select("url").distinct()
-        seen = spark.read.parquet(seen_path).filter(F.col("epoch") < epoch_id).select("url")
-        new_links(urls, seen).write.mode("overwrite").parquet(f"{seen_path}/epoch={epoch_id}")
-    return run
+        seen = spark.read.parquet(seen_path).filter(F.col("batch") != own).select("url")
+        new_links(urls, seen).write.mode("overwrite").parquet(f"{seen_path}/batch={own}")
+    return add
+
+
+def start_seen_table(spark: SparkSession, seen_path: str) -> None:
+    """An empty batch, so the first micro-batch reads an (empty) seen table."""
+    spark.range(0).select(F.lit("").alias("url")).write.mode("overwrite").parquet(f"{seen_path}/batch=start")
 
 
 def run_seen_table_stream(spark: SparkSession, sf_dir: str) -> str:
     seen_path = shared_dir(spark, "seen-links")
     ckpt = shared_dir(spark, "seen-links-checkpoint")
-    # an empty epoch=-1 partition, so the first micro-batch reads an (empty) seen table
-    spark.range(0).select(F.lit("").alias("url")).write.mode("overwrite").parquet(f"{seen_path}/epoch=-1")
-    q = (page_links_stream(spark, sf_dir).writeStream.foreachBatch(seen_table_batch(seen_path))
+    start_seen_table(spark, seen_path)
+    q = (page_links_stream(spark, sf_dir).writeStream.foreachBatch(seen_table_batch(seen_path, ckpt.rsplit("/", 1)[-1]))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return seen_path
@@ -118,21 +127,45 @@ def run_to_table(stream: DataFrame, spark: SparkSession, name: str, partition_by
 def store_batch(store_path: str):
     """foreachBatch body of E5: a micro-batch of offers replaces the (location, file_week) partitions it holds.
 
-    Within the batch only the latest run of each week is kept (E7); dynamic
-    partition overwrite then makes that version replace any older one, and a
-    retried batch rewrite the same partitions.
+    Within the batch only the latest run of each week is kept (E7), numbers in
+    run labels compared as numbers; a run older than the stored one changes
+    nothing, whenever it arrives. Dynamic partition overwrite makes the newer
+    version replace the older, and a retried batch rewrite the same partitions.
+    A week that a later run has emptied (``{}``) keeps one row with NULL
+    offer_key, which ``stored_offers`` leaves out.
     """
+    from offerboard.functions.text import run_order
     from offerboard.operators.incremental import latest_per_week
     from offerboard.operators.quality import normalize_price
     from offerboard.sources.sinks import write_offers
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        ranked = batch.withColumn("_run", F.coalesce(F.col("run"), F.lit("")))
-        latest = latest_per_week(ranked, ("location", "file_week"), "_run").drop("_run")
-        write_offers(normalize_price(latest), store_path)
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
+        keys = ["location", "file_week"]
+        latest = latest_per_week(batch.withColumn("run_key", run_order("run")), keys, "run_key")
+        if _has_files(spark, store_path):
+            newest = (spark.read.parquet(store_path).select(*[F.col(k).cast("string").alias(k) for k in keys], "run_key")
+                      .groupBy(*keys).agg(F.max("run_key").alias("_stored")))
+            latest = (latest.join(newest, keys, "left")
+                      .filter(F.col("_stored").isNull() | (F.col("run_key") >= F.col("_stored"))).drop("_stored"))
+        # the rows are written first: a partition is not to be overwritten by a plan that reads it
+        held = materialize(normalize_price(latest), "store-batch", spark)
+        write_offers(held, store_path)
     return run
 
 
+def stored_offers(spark: SparkSession, store_path: str) -> DataFrame:
+    """The store's offers; weeks whose latest run was empty have none."""
+    return spark.read.parquet(store_path).filter(F.col("offer_key").isNotNull())
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def run_archive_to_store(spark: SparkSession, archive: str, store_path: str, checkpoint: str) -> None:
     """E5: every offers document that has arrived in ``archive``, each once, into the partitioned store."""
     q = (offers_document_stream(spark, archive).writeStream.foreachBatch(store_batch(store_path))

@@ -12,11 +12,12 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
     from offerboard.session import SQL_CONF
     b = (SparkSession.builder.master("local[4]").appName("offerboard-tests")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
          .config("spark.sql.shuffle.partitions", "8"))
     for k, v in SQL_CONF.items():
         b = b.config(k, v)

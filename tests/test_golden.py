@@ -25,7 +25,7 @@ def _expected(name):
 def test_text_menu_golden(spark):
     text = open(os.path.join(FIXTURES, "menu_text.txt"), encoding="utf-8").read()
     docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
-    assert _doc(menus.extract_text_menu(docs).collect()) == _expected("menu_text_expected.json")
+    assert _doc(menus.extract_text_menu(docs, max_meals=2).collect()) == _expected("menu_text_expected.json")
 
 
 def test_html_menu_golden(spark):
@@ -38,7 +38,7 @@ def test_html_menu_golden(spark):
 def test_nested_document_round_trip(spark):
     text = open(os.path.join(FIXTURES, "menu_text.txt"), encoding="utf-8").read()
     docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
-    nested = menus.nest_offers(menus.extract_text_menu(docs))
+    nested = menus.nest_offers(menus.extract_text_menu(docs, max_meals=2))
     doc = menus.offers_document(nested.drop("part")).collect()[0]["offers"]
     as_json = {k: [{"desc": m["desc"], "price": m["price"]} for m in v] for k, v in doc.items()}
     assert as_json == _expected("menu_text_expected.json")

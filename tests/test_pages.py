@@ -189,4 +189,7 @@ def test_links_from_nodes(spark):
     got = [(r.href, r.text) for r in N.links_from_nodes(nodes).orderBy("pos").collect()]
     assert got == [("/a.pdf", " Plan KW\xa02"), ("/b", "B & C"), (None, "n")]
     flat = L.extract_links(spark.createDataFrame([(1, html)], "page_id bigint, html string"), keep=())
-    assert [(r.href, r.text) for r in flat.collect()] == [("/b", "B & C"), ("", "n")]
+    assert [(r.pos, r.href, r.text) for r in flat.collect()] == [(0, "/a.pdf", " Plan KW\xa02"), (1, "/b", "B & C")]
+    odd = L.extract_links(spark.createDataFrame([(1, "<a class=x href='/c'>c</a><a href=/d>d</a><a name=n>n</a><a href=\"\">e</a>")],
+                                                "page_id bigint, html string"), keep=())
+    assert [(r.href, r.text) for r in odd.collect()] == [("/c", "c"), ("/d", "d"), ("", "e")]
