@@ -891,3 +891,99 @@ SELECT page_id, CAST(unnest(generate_series(0, len(tags) - 1)) AS INTEGER) AS pr
 def q_node_order(spark, sf):
     """B1 document order: ``pre`` is the start tag's position among the page's start tags."""
     return N.html_nodes(V.table(spark, sf, "pages"), text_tags=()).select("page_id", "pre", "tag")
+
+
+# ---------------------------------------------------------------- pages and documents written from tables
+def _written_nodes(spark, sf):
+    """Nodes of one page per order: three sections, a list and links; every fifth page has none of them."""
+    k = F.col("o_orderkey").cast("string")
+    first = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit('<a href="/first-'), k, F.lit('.pdf">f</a>'))) \
+        .otherwise(F.lit("<a href='/x'>x</a>"))
+    page = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("<p>nothing "), k, F.lit("</p>"))).otherwise(F.concat(
+        F.lit('<div class="wrap"><section>'), first, F.lit('</section><section class="menu wide"><p><a href="/menu-'), k,
+        F.lit('.pdf">m</a></p></section><ul><li>x</li></ul><section><a href="/other-'), k, F.lit('.pdf">o</a></section></div>')))
+    pages = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("page_id"), page.alias("html"))
+    return materialize(N.html_nodes(pages, text_tags=()), "written-nodes", spark)
+
+
+@register("written_section_links", """
+SELECT CAST(o_orderkey AS BIGINT) AS page_id, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 5 END AS INTEGER) AS pre,
+  CASE WHEN o_orderkey % 3 = 0 THEN '/first-' ELSE '/menu-' END || CAST(o_orderkey AS VARCHAR) || '.pdf' AS href
+FROM orders WHERE o_orderkey % 5 <> 0""")
+def q_written_section_links(spark, sf):
+    """Links of the first section that holds a pdf link; pages without one give nothing."""
+    return N.links_in_first_section(_written_nodes(spark, sf), "section", "a", "pdf")
+
+
+@register("written_link_parents", """
+SELECT CAST(o_orderkey AS BIGINT) AS page_id, CAST(x.pre AS INTEGER) AS pre, x.tag
+FROM orders, (VALUES (1, 'section'), (4, 'p'), (8, 'section')) x(pre, tag) WHERE o_orderkey % 5 <> 0""")
+def q_written_link_parents(spark, sf):
+    """Distinct parents of links."""
+    return N.parents_of_tag(_written_nodes(spark, sf), "a")
+
+
+@register("written_second_blocks", """
+SELECT CAST(o_orderkey AS BIGINT) AS page_id, CAST(8 AS INTEGER) AS pre, 'section' AS tag FROM orders WHERE o_orderkey % 5 <> 0""")
+def q_written_second_blocks(spark, sf):
+    """The second section that is a link's parent."""
+    return N.nth_block(N.parents_of_tag(_written_nodes(spark, sf), "a", "section"), 1)
+
+
+@register("written_class_parents", """
+SELECT CAST(o_orderkey AS BIGINT) AS page_id, CAST(0 AS INTEGER) AS pre, 'div' AS tag FROM orders WHERE o_orderkey % 5 <> 0""")
+def q_written_class_parents(spark, sf):
+    """Parents of sections whose class holds a word."""
+    return N.parents_of_class(_written_nodes(spark, sf), "section", "menu")
+
+
+def _archive_documents(spark, sf):
+    """Offers documents written from events, one per (type, day, chunk); those of ``error`` are no valid JSON."""
+    ev = V.table(spark, sf, "events")
+    day, part = F.to_date("ts"), F.floor(F.col("event_id") / V.MENU_CHUNK).cast("bigint")
+    docs = ev.groupBy(F.col("event_type").alias("location"), day.alias("day"), part.alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("event_id", F.col("props").alias("desc"),
+                                             F.col("value").cast("decimal(10,2)").alias("price")))).alias("l"))
+    meals = F.to_json(F.transform("l", lambda x: F.struct(x["desc"].alias("desc"), x["price"].alias("price"))))
+    key = F.date_format("day", "yyyy-MM-dd")
+    return docs.select(
+        F.concat(F.lit('{"'), key, F.lit('": '), meals, F.when(F.col("location") == "error", F.lit("")).otherwise(F.lit("}"))).alias("value"),
+        F.concat_ws("", F.lit("archive/"), "location", F.lit("/"), week_label("day", "iso"), F.lit("@"), key, F.lit("-"),
+                    F.col("part").cast("string"), F.lit(".json")).alias("file_path"))
+
+
+_ARCHIVE_RUN = f"strftime(CAST(ts AS DATE), '%Y-%m-%d') || '-' || CAST(CAST(floor(event_id / {V.MENU_CHUNK}) AS BIGINT) AS VARCHAR)"
+
+
+@register("archive_offers", f"""
+SELECT event_type AS location, {_iso('CAST(ts AS DATE)')} AS file_week, {_ARCHIVE_RUN} AS run,
+  strftime(CAST(ts AS DATE), '%Y-%m-%d') AS offer_key,
+  CAST(row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE), floor(event_id / {V.MENU_CHUNK}) ORDER BY event_id) - 1 AS BIGINT) AS pos,
+  props AS "desc", CAST(value AS DECIMAL(10,2)) AS price
+FROM events WHERE event_type <> 'error'""")
+def q_archive_offers(spark, sf):
+    """A1 + F1: offers documents (JSON) as long rows."""
+    from offerboard.operators.quality import normalize_price
+    return normalize_price(R.parse_offers_documents(_archive_documents(spark, sf))) \
+        .select("location", "file_week", "run", "offer_key", "pos", "desc", "price")
+
+
+@register("archive_rejects", f"""
+SELECT DISTINCT 'archive/error/' || {_iso('CAST(ts AS DATE)')} || '@' || {_ARCHIVE_RUN} || '.json' AS file_path,
+  'not an offers document' AS reason FROM events WHERE event_type = 'error'""")
+def q_archive_rejects(spark, sf):
+    """A1: documents that are no valid JSON come out as rejects."""
+    return R.offers_document_rejects(_archive_documents(spark, sf))
+
+
+@register("board_lists", f"""
+WITH {OFFERS_CTE}, {SELECTED_CTE}
+SELECT location, section, CAST(row_number() OVER (PARTITION BY location, section ORDER BY pos) - 1 AS BIGINT) AS idx, "desc", price
+FROM sel""")
+def q_board_lists(spark, sf):
+    """The nested board's two lists, item by item."""
+    nested = B.board(V.board_offers(spark, sf), V.locations(spark, sf), V.BOARD_DATE)
+    lists = F.array(*[F.struct(F.lit(k).alias("section"), F.col(f"meals.{k}").alias("items")) for k in ("day", "week")])
+    return nested.select("location", F.explode(lists).alias("l")) \
+        .select("location", "l.section", F.posexplode("l.items").alias("idx", "m")) \
+        .select("location", "section", F.col("idx").cast("bigint").alias("idx"), "m.desc", "m.price")

@@ -71,12 +71,12 @@ def test_text_helpers(spark):
 
 
 def test_footnote_forms(spark):
-    rows = ["Gemüsepfanne mit Kräuterkartoffeln ag", "Bratwurst mit Soße aw,i,j,11",
-            "Camembert mit Preiselbeeren a.aWc239", "Grießbrei mit heißen Kirschen aR,g,2", "Pasta Genovese"]
+    rows = ["Linsentopf mit Wurzelgemüse ag", "Fischfilet in Dillsoße aw,i,j,11",
+            "Käseplatte mit Trauben a.aWc239", "Milchreis mit Zimt aR,g,2", "Nudeln mit Pesto"]
     df = spark.createDataFrame([(t,) for t in rows], "t string").select(strip_footnotes("t").alias("t"))
-    assert [r.t for r in df.collect()] == ["Gemüsepfanne mit Kräuterkartoffeln", "Bratwurst mit Soße",
-                                          "Camembert mit Preiselbeeren", "Grießbrei mit heißen Kirschen",
-                                          "Pasta Genovese"]
+    assert [r.t for r in df.collect()] == ["Linsentopf mit Wurzelgemüse", "Fischfilet in Dillsoße",
+                                          "Käseplatte mit Trauben", "Milchreis mit Zimt",
+                                          "Nudeln mit Pesto"]
 
 
 def test_html_expressions(spark):
