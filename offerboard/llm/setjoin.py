@@ -445,8 +445,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         more = verified(rows, pairs, sketches, f"turn-{turn}")
         tried = tried.union(pairs)
         if more.head(1):
-            links = links.union(more)
-            groups = stored(connected_components(links), "groups")
+            # the groups so far are stars that connect what their links connected
+            groups = stored(connected_components(groups.toDF("a", "b").union(more)), "groups")
     whole = stored(named.join(groups, F.col("rep") == F.col("node"), "left")
                    .select("f", "g", "n", F.coalesce("component", "rep").alias("component")), "whole")
     return (known.join(whole, ["f", "g", "n"], "left")
