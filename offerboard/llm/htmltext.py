@@ -38,6 +38,7 @@ BAD_NAME = re.compile(r"(?:^|[\s_-])(?:nav\w*|menu\w*|header|footer|sidebar\w*|s
                       r"related|recommend\w*|breadcrumbs?|pagination|pager|comments?|respond|replies|disqus|widget\w*|toolbar|"
                       r"contentinfo|navigation|complementary|alert|hidden|skip\w*)(?:$|[\s_-])", re.I)
 SPACE = re.compile(r"\s+")
+LONG_REFERENCE = re.compile(r"&#([0-9]{4000,});?")     # more digits than int() takes
 
 
 class PageLines(HTMLParser):
@@ -54,6 +55,10 @@ class PageLines(HTMLParser):
         self.silent = self.furniture = 0
         self.parent, self.names = [0], [""]                 # of every container number
 
+    def parse_marked_section(self, i, report=1):
+        # "<![foo[x]]>" outside of foreign content is a comment up to the next ">"
+        return self.parse_bogus_comment(i)
+
     def boundary(self):
         if self.parts:
             text = SPACE.sub(" ", "".join(self.parts)).strip()
@@ -157,7 +162,7 @@ def two_means(x: np.ndarray) -> np.ndarray:
 def main_text(page: str, sigma: float = 1.0) -> str:
     """The content blocks of a page in order, one a line (empty if there are none)."""
     parser = PageLines()
-    parser.feed(page)
+    parser.feed(LONG_REFERENCE.sub(lambda m: f"&#{m[1].lstrip('0')[:8] or 0};", page))
     parser.close()
     parser.boundary()
     lines = [x for x in parser.lines if not x[3]]
