@@ -5,8 +5,10 @@ block of text. A line's ratio is its text length over the tags in it. Ratios
 are smoothed with a Gaussian along the page, the smoothed values are split by
 two-means into a low and a high cluster, and the lines of the high cluster mark
 content. The region is the innermost container that holds most
-of the marked text; elements whose role is known from their name (navigation, footers,
-forms and the like) never belong to it.
+of the marked text; elements whose role is known from their element name (navigation, footers,
+forms and the like) never belong to it. A class, id or role that names such a role discards an
+element too, unless it holds an article, the main element or most of the page's marked text (and, if the page has
+articles elsewhere, far more than they).
 """
 
 from __future__ import annotations
@@ -32,28 +34,38 @@ BLOCKS = frozenset("""address article blockquote body br caption center dd detai
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 REGIONS = frozenset("html body main article section div center table tbody tr td dl".split())
 MOST = 0.6      # share of the marked text that a container must hold to be the region instead of its parent
-# Words of class, id and role values that name page furniture.
-BAD_NAME = re.compile(r"(?:^|[\s_-])(?:nav\w*|menu\w*|header|footer|sidebar\w*|side|aside|ads?|advert\w*|promo\w*|sponsor\w*|banner|"
-                      r"cookie\w*|consent|gdpr|notice|popup|modal|newsletter|subscribe|signup|login|search|form|share|sharing|social|"
-                      r"related|recommend\w*|breadcrumbs?|pagination|pager|comments?|respond|replies|disqus|widget\w*|toolbar|"
-                      r"contentinfo|navigation|complementary|alert|hidden|skip\w*)(?:$|[\s_-])", re.I)
+# Class, id and role values that name page furniture: whole tokens of these words, alone or joined with words of place.
+BAD_WORD = (r"nav\w*|menu\w*|header|footer|sidebar\w*|side|aside|ads?|advert\w*|promo\w*|sponsor\w*|banner|"
+            r"cookie\w*|consent|gdpr|notice|popup|modal|newsletter|subscribe|signup|login|search|form|share|sharing|social|"
+            r"related|recommend\w*|breadcrumbs?|pagination|pager|comments?|respond|replies|disqus|widget\w*|toolbar|"
+            r"contentinfo|navigation|complementary|alert|hidden|skip\w*")
+PLACE = r"site|main|page|global|top|bottom|left|right|upper|lower|primary|secondary|box|bar|area|block|list|links|wrap|wrapper|inner"
+BAD_NAME = re.compile(rf"(?:^|\s)(?:(?:{PLACE})[_-]+)*(?:{BAD_WORD})(?:[_-]+(?:{BAD_WORD}|{PLACE}))*(?=$|\s)", re.I)
+HALF = 0.5      # share of the page's marked text that a name alone does not discard,
+TIMES = 4       # and its least size in texts of the page's articles
 SPACE = re.compile(r"\s+")
 LONG_REFERENCE = re.compile(r"&#([0-9]{4000,});?")     # more digits than int() takes
 
 
 class PageLines(HTMLParser):
-    """Collects (text, tags, container, furniture) lines from parser events.
+    """Collects (text, tags, container, furniture, suspect, article) lines from parser events.
 
     Text between two block boundaries is one line; ``container`` numbers the
     innermost open block container, ``parent`` gives each container's own.
+    ``suspect`` numbers the innermost open element whose class, id or role
+    names furniture (0: none), ``outer`` gives each suspect's own; ``spared``
+    are those that hold an article or the main element. ``article`` tells
+    lines within these.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines, self.parts, self.tags = [], [], 0
-        self.open: list[tuple[str, bool, bool, int]] = []   # name, silent, furniture, container number
+        self.open: list[tuple[str, bool, bool, int, int]] = []  # name, silent, furniture, container and suspect number
         self.silent = self.furniture = 0
         self.parent, self.names = [0], [""]                 # of every container number
+        self.suspect, self.outer, self.spared = 0, [0], set()
+        self.articles = 0
 
     def parse_marked_section(self, i, report=1):
         # "<![foo[x]]>" outside of foreign content is a comment up to the next ">"
@@ -63,22 +75,29 @@ class PageLines(HTMLParser):
         if self.parts:
             text = SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                self.lines.append((text, self.tags, self.holder(), self.furniture > 0))
+                self.lines.append((text, self.tags, self.holder(), self.furniture > 0, self.suspect, self.articles > 0))
                 self.tags = 0
             self.parts = []
 
     def holder(self) -> int:
-        return next((number for _, _, _, number in reversed(self.open) if number), 0)
+        return next((number for _, _, _, number, _ in reversed(self.open) if number), 0)
 
-    def push(self, name, silent, furniture, number):
-        self.open.append((name, silent, furniture, number))
+    def push(self, name, silent, furniture, number, suspect):
+        if suspect:
+            self.outer.append(self.suspect)
+            self.suspect = suspect = len(self.outer) - 1
+        self.open.append((name, silent, furniture, number, suspect))
         self.silent += silent
         self.furniture += furniture
+        self.articles += name in ("article", "main")
 
     def pop(self):
-        _, silent, furniture, _ = self.open.pop()
+        name, silent, furniture, _, suspect = self.open.pop()
         self.silent -= silent
         self.furniture -= furniture
+        self.articles -= name in ("article", "main")
+        if suspect:
+            self.suspect = self.outer[suspect]
 
     def handle_starttag(self, name, attrs):
         block = name in BLOCKS
@@ -104,19 +123,26 @@ class PageLines(HTMLParser):
                     break
                 if o in BLOCKS:
                     break
-        furniture = name in FURNITURE
+        furniture, suspect = name in FURNITURE, False
         if not furniture and attrs and name not in ("html", "body", "main"):
             for key, value in attrs:
                 if value is None:
                     furniture |= key == "hidden"
-                elif key in ("class", "id", "role") and BAD_NAME.search(value) or key == "aria-hidden" and value == "true":
+                elif key == "aria-hidden" and value == "true":
                     furniture = True
+                elif key in ("class", "id", "role") and name != "article" and BAD_NAME.search(value):
+                    suspect = True
+        if name in ("article", "main") and not self.furniture:
+            at = self.suspect
+            while at and at not in self.spared:
+                self.spared.add(at)
+                at = self.outer[at]
         number = 0
         if block and name not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "th", "dd", "dt"):
             number = len(self.parent)
             self.parent.append(self.holder())
             self.names.append(name)
-        self.push(name, name in SILENT, furniture, number)
+        self.push(name, name in SILENT, furniture, number, suspect)
 
     def handle_startendtag(self, name, attrs):
         if name in BLOCKS:
@@ -159,21 +185,45 @@ def two_means(x: np.ndarray) -> np.ndarray:
         cut = new
 
 
+def mark(lines: list[tuple], sigma: float) -> np.ndarray:
+    """Lines that mark content."""
+    # long lines count by logarithm: one long paragraph must not push the others into the low cluster
+    ratio = np.log1p(np.array([len(x[0]) / max(1, x[1]) for x in lines]))
+    return two_means(smooth(ratio, sigma)) if len(lines) > 1 else np.ones(1, bool)
+
+
+def outside(parser: PageLines, lines: list[tuple], sigma: float) -> list[tuple]:
+    """The lines in no element that its name discards."""
+    if not any(x[4] for x in lines):
+        return lines
+    weight = [0] * len(parser.outer)
+    for (text, _, _, _, suspect, _), up in zip(lines, mark(lines, sigma)):
+        weight[suspect] += len(text) if up else 0
+    articles = sum(len(x[0]) for x in lines if x[5])
+    for k in range(len(weight) - 1, 0, -1):
+        weight[parser.outer[k]] += weight[k]
+    out = [False] * len(weight)
+    for k in range(1, len(weight)):
+        out[k] = out[parser.outer[k]] or k not in parser.spared and weight[k] <= max(HALF * weight[0], TIMES * articles)
+    return [x for x in lines if not out[x[4]]]
+
+
 def main_text(page: str, sigma: float = 1.0) -> str:
     """The content blocks of a page in order, one a line (empty if there are none)."""
     parser = PageLines()
     parser.feed(LONG_REFERENCE.sub(lambda m: f"&#{m[1].lstrip('0')[:8] or 0};", page))
     parser.close()
     parser.boundary()
-    lines = [x for x in parser.lines if not x[3]]
+    lines = outside(parser, [x for x in parser.lines if not x[3]], sigma)
     if not lines:
         return ""
-    # long lines count by logarithm: one long paragraph must not push the others into the low cluster
-    ratio = np.log1p(np.array([len(t) / max(1, tags) for t, tags, _, _ in lines]))
-    marked = two_means(smooth(ratio, sigma)) if len(lines) > 1 else np.ones(1, bool)
+    marked = mark(lines, sigma)
+    article = np.array([x[5] for x in lines])
+    if not (marked & article).any():
+        marked |= article       # a short article beside long text
     # marked text below every container
     weight = [0] * len(parser.parent)
-    for (text, _, holder, _), up in zip(lines, marked):
+    for (text, _, holder, *_), up in zip(lines, marked):
         weight[holder] += len(text) if up else 0
     for k in range(len(weight) - 1, 0, -1):
         weight[parser.parent[k]] += weight[k]
@@ -192,7 +242,7 @@ def main_text(page: str, sigma: float = 1.0) -> str:
     kept[region] = True
     for k in range(1, len(weight)):
         kept[k] = kept[k] or kept[parser.parent[k]]
-    return "\n".join(text for text, _, holder, _ in lines if kept[holder])
+    return "\n".join(text for text, _, holder, *_ in lines if kept[holder])
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",),

@@ -19,3 +19,32 @@ def test_marked_sections(page, want):
 def test_marked_section_keeps_the_table(spark):
     d = spark.createDataFrame([(1, "u", "<p>a</p><![foo[x]]><p>b</p>"), (2, "u", "<p>c</p>")], "page_id long, url string, html string")
     assert [r.text for r in extract_text(d).orderBy("page_id").collect()] == ["a\nb", "c"]
+
+
+LONG = "A paragraph of the article that goes on for many words, long enough to be content."
+OTHER = "Another paragraph of the same article, with as many words and hardly any tags."
+
+
+@pytest.mark.parametrize("wrap", [
+    "<article class='post hentry comments-open'>%s</article>", "<article class='post category-search'>%s</article>",
+    "<article class='article tag-social'>%s</article>", "<article class='search'>%s</article>",
+    "<div class='has-sidebar'>%s</div>", "<div class='layout with-sidebar'>%s</div>", "<div id='sidebar'><article>%s</article></div>",
+    "<div class='sidebar'><div role='search'><main>%s</main></div></div>", "<div class='form'>%s</div>"])
+def test_names_discard_no_article(wrap):
+    page = "<body><nav><a>menu</a></nav>" + wrap % f"<p>{LONG}</p><p>{OTHER}</p>" + "<div class='ad'>buy</div></body>"
+    assert main_text(page) == LONG + "\n" + OTHER
+
+
+@pytest.mark.parametrize("name", ["ad", "cookie-notice", "x sidebar", "site-footer", "comments", "share-links", "main_nav"])
+def test_names_discard_furniture(name):
+    assert main_text(f"<body><p>{LONG}</p><div class='{name}'>some words</div><p>{OTHER}</p></body>") == LONG + "\n" + OTHER
+
+
+@pytest.mark.parametrize("name", ["category-search", "has-sidebar", "tag-social", "x-ad"])
+def test_parts_of_names_discard_nothing(name):
+    assert main_text(f"<body><p>{LONG}</p><p class='{name}'>some words</p><p>{OTHER}</p></body>") == LONG + "\nsome words\n" + OTHER
+
+
+def test_names_discard_an_ad_longer_than_the_article():
+    assert main_text(f"<body><div class='ad'>{LONG}</div><article><h1>Short words here</h1><p><b>Short words here.</b><br></article>") \
+        == "Short words here\nShort words here."
