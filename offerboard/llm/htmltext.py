@@ -4,8 +4,8 @@ The standard library's streaming parser turns a page into lines: one for each
 block of text. A line's ratio is its text length over the tags in it. Ratios
 are smoothed with a Gaussian along the page, the smoothed values are split by
 two-means into a low and a high cluster, and the lines of the high cluster mark
-content. The region is the innermost container that holds most
-of the marked text; elements whose role is known from their element name (navigation, footers,
+content. The region is the smallest container that holds all marked lines, or those
+of its parts that hold some, if it has no marked line of its own; elements whose role is known from their element name (navigation, footers,
 forms and the like) never belong to it. A class, id or role that names such a role discards an
 element too, unless it holds an article, the main element or most of the page's marked text (and, if the page has
 articles elsewhere, far more than they).
@@ -32,8 +32,9 @@ BLOCKS = frozenset("""address article blockquote body br caption center dd detai
     footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th
     thead tr ul aside dialog noscript""".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-REGIONS = frozenset("html body main article section div center table tbody tr td dl".split())
-MOST = 0.6      # share of the marked text that a container must hold to be the region instead of its parent
+REGIONS = frozenset("html body main article section div center table td".split())
+SPLIT = frozenset("html body section div center".split())      # regions that may give up parts without a marked line
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Class, id and role values that name page furniture: whole tokens of these words, alone or joined with words of place.
 BAD_WORD = (r"nav\w*|menu\w*|header|footer|sidebar\w*|side|aside|ads?|advert\w*|promo\w*|sponsor\w*|banner|"
             r"cookie\w*|consent|gdpr|notice|popup|modal|newsletter|subscribe|signup|login|search|form|share|sharing|social|"
@@ -43,19 +44,20 @@ PLACE = r"site|main|page|global|top|bottom|left|right|upper|lower|primary|second
 BAD_NAME = re.compile(rf"(?:^|\s)(?:(?:{PLACE})[_-]+)*(?:{BAD_WORD})(?:[_-]+(?:{BAD_WORD}|{PLACE}))*(?=$|\s)", re.I)
 HALF = 0.5      # share of the page's marked text that a name alone does not discard,
 TIMES = 4       # and its least size in texts of the page's articles
+APART = float(np.log(2))    # clusters whose mean ratios are within a factor of two are one
 SPACE = re.compile(r"\s+")
 LONG_REFERENCE = re.compile(r"&#([0-9]{4000,});?")     # more digits than int() takes
 
 
 class PageLines(HTMLParser):
-    """Collects (text, tags, container, furniture, suspect, article) lines from parser events.
+    """Collects (text, tags, container, furniture, suspect, article, heading) lines from parser events.
 
     Text between two block boundaries is one line; ``container`` numbers the
     innermost open block container, ``parent`` gives each container's own.
     ``suspect`` numbers the innermost open element whose class, id or role
     names furniture (0: none), ``outer`` gives each suspect's own; ``spared``
     are those that hold an article or the main element. ``article`` tells
-    lines within these.
+    lines within these, ``heading`` those of a heading element.
     """
 
     def __init__(self):
@@ -75,7 +77,8 @@ class PageLines(HTMLParser):
         if self.parts:
             text = SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                self.lines.append((text, self.tags, self.holder(), self.furniture > 0, self.suspect, self.articles > 0))
+                self.lines.append((text, self.tags, self.holder(), self.furniture > 0, self.suspect, self.articles > 0,
+                                   any(o[0] in HEADINGS for o in self.open[-4:])))
                 self.tags = 0
             self.parts = []
 
@@ -171,25 +174,27 @@ def smooth(ratio: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(np.pad(ratio, reach, "symmetric" if len(ratio) >= reach else "edge"), w / w.sum(), "valid")
 
 
-def two_means(x: np.ndarray) -> np.ndarray:
-    """Lines of the high cluster: the threshold is the middle of two cluster means (one value: all)."""
+def two_means(x: np.ndarray) -> float:
+    """The threshold of the high cluster: the middle of two cluster means (minus infinity if these are APART or less)."""
     low, high = float(x.min()), float(x.max())
-    if high - low <= 1e-9 * max(1.0, high):
-        return np.ones(len(x), bool)
+    if high - low <= APART:
+        return -np.inf
     cut = (low + high) / 2
     while True:
         up = x > cut
-        new = (x[up].mean() + x[~up].mean()) / 2
+        means = x[up].mean(), x[~up].mean()
+        new = sum(means) / 2
         if abs(new - cut) < 1e-9 * max(1.0, high):
-            return up
+            return cut if means[0] - means[1] > APART else -np.inf
         cut = new
 
 
 def mark(lines: list[tuple], sigma: float) -> np.ndarray:
-    """Lines that mark content."""
+    """Lines that mark content: their smoothed ratio, or their own beside short lines, is in the high cluster."""
     # long lines count by logarithm: one long paragraph must not push the others into the low cluster
     ratio = np.log1p(np.array([len(x[0]) / max(1, x[1]) for x in lines]))
-    return two_means(smooth(ratio, sigma)) if len(lines) > 1 else np.ones(1, bool)
+    smoothed = smooth(ratio, sigma)
+    return np.maximum(smoothed, ratio) > two_means(smoothed)
 
 
 def outside(parser: PageLines, lines: list[tuple], sigma: float) -> list[tuple]:
@@ -197,7 +202,7 @@ def outside(parser: PageLines, lines: list[tuple], sigma: float) -> list[tuple]:
     if not any(x[4] for x in lines):
         return lines
     weight = [0] * len(parser.outer)
-    for (text, _, _, _, suspect, _), up in zip(lines, mark(lines, sigma)):
+    for (text, _, _, _, suspect, *_), up in zip(lines, mark(lines, sigma)):
         weight[suspect] += len(text) if up else 0
     articles = sum(len(x[0]) for x in lines if x[5])
     for k in range(len(weight) - 1, 0, -1):
@@ -208,6 +213,43 @@ def outside(parser: PageLines, lines: list[tuple], sigma: float) -> list[tuple]:
     return [x for x in lines if not out[x[4]]]
 
 
+def region(parser: PageLines, lines: list[tuple], marked: np.ndarray) -> list[bool]:
+    """The lines of the region: every marked one, and the short ones (headings, list items) beside them."""
+    size = len(parser.parent)
+    own, own_lines = [0] * size, [0] * size
+    for x, up in zip(lines, marked):
+        own[x[2]] += bool(up)
+        own_lines[x[2]] += 1
+    below, inside = own[:], [[] for _ in range(size)]
+    for k in range(size - 1, 0, -1):
+        below[parser.parent[k]] += below[k]
+        if below[k]:
+            inside[parser.parent[k]].append(k)
+    whole, direct, todo = [False] * size, [False] * size, [(0, 0)]
+    while todo:
+        top, best = todo.pop()
+        at = top
+        # down to the smallest container of the marked lines; an article is never cut, nor a table, but for
+        # a cell that lays out a part of the page
+        while parser.names[at] not in ("article", "main") and not own[at] and len(inside[at]) == 1:
+            at = inside[at][0]
+            if parser.names[at] in REGIONS and (parser.names[at] != "td" or own_lines[at] != 1):
+                best = at
+        if best == at and not own[at] and (not at or parser.names[at] in SPLIT):
+            # headings and other short lines of its own stay, parts without a marked line do not
+            direct[at] = True
+            todo += [(k, k) for k in inside[at]]
+        else:
+            whole[best] = True
+    for k in range(1, size):
+        whole[k] = whole[k] or whole[parser.parent[k]]
+    kept = [whole[x[2]] or direct[x[2]] for x in lines]
+    # a heading before the region belongs to it
+    for i in range(len(lines) - 2, -1, -1):
+        kept[i] = kept[i] or kept[i + 1] and lines[i][6]
+    return kept
+
+
 def main_text(page: str, sigma: float = 1.0) -> str:
     """The content blocks of a page in order, one a line (empty if there are none)."""
     parser = PageLines()
@@ -221,28 +263,8 @@ def main_text(page: str, sigma: float = 1.0) -> str:
     article = np.array([x[5] for x in lines])
     if not (marked & article).any():
         marked |= article       # a short article beside long text
-    # marked text below every container
-    weight = [0] * len(parser.parent)
-    for (text, _, holder, *_), up in zip(lines, marked):
-        weight[holder] += len(text) if up else 0
-    for k in range(len(weight) - 1, 0, -1):
-        weight[parser.parent[k]] += weight[k]
-    # the region: from the page down, as long as one container holds most of the marked text
-    region, inside = 0, {}
-    for k in range(1, len(weight)):
-        inside.setdefault(parser.parent[k], []).append(k)
-    while True:
-        best = max(inside.get(region, ()), key=weight.__getitem__, default=None)
-        if best is None or weight[best] < MOST * weight[region] or parser.names[region] in ("article", "main") \
-                or parser.names[best] not in REGIONS:
-            break
-        region = best
-    # its short lines (headings, list items) belong to it as much as its long ones
-    kept = [False] * len(weight)
-    kept[region] = True
-    for k in range(1, len(weight)):
-        kept[k] = kept[k] or kept[parser.parent[k]]
-    return "\n".join(text for text, _, holder, *_ in lines if kept[holder])
+    kept = region(parser, lines, marked)
+    return "\n".join(x[0] for x, k in zip(lines, kept) if k)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",),
