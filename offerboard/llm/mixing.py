@@ -184,7 +184,8 @@ def mixed_documents(docs: DataFrame, mix_: Mix, id_col: str = "doc_id", text_col
 
     A row taken whole keeps its text; otherwise its taken stretches follow
     each other, one a line, their words joined by blanks. ``length_col`` is
-    set to the new text's characters. Repeated rows are mixed each for itself.
+    set to the new text's characters. Repeated rows are mixed each for itself,
+    rows without an id like all others.
     """
     whole = (mix_.cuts.groupBy("row", "id", "mark", "size", "epoch")
              .agg(F.sum(F.col("last") - F.col("first")).alias("words"),
@@ -192,11 +193,13 @@ def mixed_documents(docs: DataFrame, mix_: Mix, id_col: str = "doc_id", text_col
              .groupBy("row", "id", "mark")
              .agg(F.collect_list(F.struct("epoch", (F.col("words") == F.col("size")).alias("all"), "ranges")).alias("takes")))
     order = Window.partitionBy("id", "mark")
-    takes = whole.withColumn("nth", F.row_number().over(order.orderBy("row"))).drop("row")
+    takes = (whole.withColumn("nth", F.row_number().over(order.orderBy("row")))
+             .select(*[F.col(c).alias("take_" + c) for c in ("id", "mark", "nth")], "takes"))
     own = docs.columns
     left = docs.select(F.struct(*own).alias("doc"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("mark"))
     left = left.withColumn("nth", F.row_number().over(order.orderBy("id")))
-    rows = left.join(takes, ["id", "mark", "nth"]).select("doc", F.explode("takes").alias("take"))
+    same = F.col("id").eqNullSafe(F.col("take_id")) & (F.col("mark") == F.col("take_mark")) & (F.col("nth") == F.col("take_nth"))
+    rows = left.join(takes, same).select("doc", F.explode("takes").alias("take"))
     words = F.filter(F.split(F.col("doc")[text_col], r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
     def stretch(ranges, all_words):
