@@ -37,7 +37,7 @@ LOOSE = {
     "card": r"(?<![0-9A-Za-z])[0-9]++(?:[ -][0-9]++)*+(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+])[+(]?[0-9][ ()./0-9-]{5,}[0-9](?![0-9A-Za-z])",
 }
-LOOSE_HINT = {"email": r"@|[\[({ ]at[\])} ]", "ip": r"[0-9](?:\.|[\[({])", "card": r"[0-9](?:[ -]?[0-9]){11}", "phone": r"[0-9](?:[ ()./-]*[0-9]){6}"}
+LOOSE_HINT = {"email": r"@|[\[({ ]at[\])} ]", "ip": r"[0-9](?:\.| ?[\[({])", "card": r"[0-9](?:[ -]?[0-9]){11}", "phone": r"[0-9](?:[ ()./-]*[0-9]){6}"}
 
 SEEDS = 3            # distinct seed entities a pattern needs
 CONFIDENCE = 0.7     # of a pattern that makes new entities
