@@ -42,6 +42,7 @@ LOOSE_HINT = {"email": r"@|[\[({ ]at[\])} ]", "ip": r"[0-9](?:\.| ?[\[({])", "ca
 SEEDS = 3            # distinct seed entities a pattern needs
 CONFIDENCE = 0.7     # of a pattern that makes new entities
 ROUNDS = 3           # of scoring
+BEFORE, AFTER = 60, 40   # characters of context around a match; one more tells that a word may be cut
 CHUNK = 4096         # characters: spans are cut out of pieces of this size
 
 
@@ -127,8 +128,8 @@ def matches(text: Column, shape: str, hint: str) -> Column:
                                                    F.lit(0).cast("bigint"), lambda a, x: a + x)).otherwise(0)
             start = F.get(d["bases"], block) + inside + F.length(F.get(d["parts"], i))
             return F.struct(start.cast("bigint").alias("start"), (start + F.length(hit)).cast("bigint").alias("end"),
-                            hit.alias("match"), F.right(F.get(d["parts"], i), F.lit(60)).alias("before"),
-                            F.left(F.get(d["parts"], i + 1), F.lit(40)).alias("after"))
+                            hit.alias("match"), F.right(F.get(d["parts"], i), F.lit(BEFORE + 1)).alias("before"),
+                            F.left(F.get(d["parts"], i + 1), F.lit(AFTER + 1)).alias("after"))
         return F.transform(d["hits"], one)
 
     some = F.filter(data, lambda d: F.size(d["hits"]) > 0)
@@ -161,8 +162,9 @@ def candidates(text: Column) -> Column:
     kind = "array<struct<kind:int,start:bigint,end:bigint,seed:boolean,instance:string,patterns:array<string>>>"
 
     def one(m, i, k):
-        left = _words(F.regexp_replace(m["before"], r"^\S*\s", ""))
-        right = _words(F.regexp_replace(m["after"], r"\s\S*$", ""))
+        # an outer word that the window may have cut does not count
+        left = _words(F.when(F.length(m["before"]) > BEFORE, F.regexp_replace(m["before"], r"^\S*\s", "")).otherwise(m["before"]))
+        right = _words(F.when(F.length(m["after"]) > AFTER, F.regexp_replace(m["after"], r"\s\S*$", "")).otherwise(m["after"]))
         last = lambda a, n: F.array_join(F.slice(a, F.greatest(F.size(a) - n + 1, F.lit(1)), F.lit(n)), " ")
         two, one_, next_ = last(left, 2), last(left, 1), F.get(right, F.lit(0))
         pats = F.filter(F.array(F.when(F.size(left) >= 2, F.concat(two, F.lit(" _"))),

@@ -45,3 +45,18 @@ def test_spaced_addresses_are_found(spark):
     d = spark.createDataFrame(list(enumerate(talk)), "doc_id long, text string")
     found = d.join(pii.find_pii(d), "doc_id").orderBy("doc_id").select(pii.redacted(F.col("text"), F.col("spans"))).collect()
     assert [r[0] for r in found] == ["the host at [IP] is up"] * 10
+
+
+@pytest.mark.parametrize("text, want", [
+    ("Contact: a@b.cc", []),
+    ("Contact: a@b.cc now", ["contact _ now"]),
+    ("Please mail a@b.cc now", ["please mail _", "mail _ now"]),
+    ("mail a@b.cc or call", ["mail _ or", "_ or call"]),
+    # words that the window cuts are left out
+    ("y" * 54 + " mail a@b.cc or " + "z" * 50, ["y" * 54 + " mail _", "mail _ or"]),
+    ("y" * 60 + " mail a@b.cc or " + "z" * 30, ["mail _ or", "_ or " + "z" * 30]),
+])
+def test_contexts_keep_whole_words(spark, text, want):
+    d = spark.createDataFrame([(text,)], "text string")
+    got = d.select(F.explode(pii.candidates(F.col("text"))).alias("c")).where("c.kind = 0").first()
+    assert list(got.c.patterns) == want
