@@ -23,14 +23,30 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of smallest id, of each group linked by the n-gram Jaccard join.
 
-    Documents without an id stay; of rows that share an id one stays.
+    Documents without an id stay. Rows that share an id and a text are one
+    document; rows that share an id and differ in text are documents of their
+    own, which the join tells apart by a key made here.
     """
     settle(spark)
-    kept = stored(setjoin.link_documents(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
     own = docs.columns
-    rows = docs.select(F.struct(*own).alias("doc"), F.col("doc_id").alias("id"), F.xxhash64(*own).alias("mark"))
-    first = (rows.where("id is not null").join(kept, F.col("id") == F.col("kept_id"), "left_semi")
-             .withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy("mark"))).where("nth = 1"))
+    mark = F.coalesce(F.xxhash64("text"), F.lit(0))
+    named = docs.where("doc_id is not null")
+    shared = named.groupBy("doc_id").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low < high")
+    if shared.head(1):
+        keyed = stored(named.select(F.struct(*own).alias("doc"), F.monotonically_increasing_id().alias("key")), "keyed")
+        links = setjoin.link_documents(keyed.select("key", "doc.text"), "key").withColumnRenamed("key", "linked")
+        marked = keyed.select("key", F.col("doc.doc_id").alias("id"), F.coalesce(F.xxhash64("doc.text"), F.lit(0)).alias("mark"))
+        # texts without words are linked with nothing: of those, rows of one id and text are a group
+        kept = (marked.join(links, F.col("key") == F.col("linked"))
+                .groupBy(*[F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("group"),
+                           *[F.when(F.col("n_shingles") == 0, F.col(c)).alias("of_" + c) for c in ("id", "mark")]])
+                .agg(F.min(F.struct("id", "mark", "key")).alias("first")).select(F.col("first.key").alias("kept_key")))
+    else:
+        keyed = named.select(F.struct(*own).alias("doc"), F.col("doc_id").alias("key"))
+        kept = setjoin.link_documents(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_key")).distinct()
+    rows = keyed.withColumn("mark", F.xxhash64(*[F.col("doc")[c] for c in own]))
+    first = (rows.join(stored(kept, "kept"), F.col("key") == F.col("kept_key"), "left_semi")
+             .withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("mark"))).where("nth = 1"))
     return first.select("doc.*").unionByName(docs.where("doc_id is null"))
 
 
