@@ -132,16 +132,16 @@ def route_week_offers(df: DataFrame, section: str = "section", day: str = "day",
 
 
 def fill_weekdays(meals: DataFrame, weeks: DataFrame, key: str = "doc_id", monday: str = "week_start",
-                  n_days: int = 5) -> DataFrame:
-    """Every Monday..Friday key exists; a day without meals is one row with NULL pos."""
-    spine = weeks.select(key, F.explode(F.sequence(F.col(monday), F.date_add(F.col(monday), n_days - 1)))
-                         .alias("_d")).select(key, F.lit("day").alias("key_kind"),
+                  n_days: int = 5, keep=()) -> DataFrame:
+    """Every Monday..Friday key exists; a day without meals is one row with NULL pos (and the weeks' ``keep``)."""
+    spine = weeks.select(key, *keep, F.explode(F.sequence(F.col(monday), F.date_add(F.col(monday), n_days - 1)))
+                         .alias("_d")).select(key, *keep, F.lit("day").alias("key_kind"),
                                               F.date_format("_d", "yyyy-MM-dd").alias("offer_key"))
     present = meals.select(key, "key_kind", "offer_key").distinct()
     missing = spine.join(present, [key, "key_kind", "offer_key"], "left_anti")
     empty = missing.select(key, "offer_key", "key_kind", F.lit(None).cast("bigint").alias("pos"),
-                           F.lit(None).cast("string").alias("desc"), F.lit(None).cast(PRICE_TYPE).alias("price"))
-    return meals.select(key, "offer_key", "key_kind", "pos", "desc", "price").unionByName(empty)
+                           F.lit(None).cast("string").alias("desc"), F.lit(None).cast(PRICE_TYPE).alias("price"), *keep)
+    return meals.select(key, "offer_key", "key_kind", "pos", "desc", "price", *keep).unionByName(empty)
 
 
 def drop_empty_days(offers: DataFrame) -> DataFrame:
@@ -248,8 +248,12 @@ def text_menu_rejects(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                                      .otherwise(F.lit("no period")).alias("reason"))
 
 
-def table_pairs(nodes: DataFrame, heading_tag: str = "h4", cell_tags=("td", "th")) -> DataFrame:
-    """C9 (+ C2): HTML table rows -> (page_id, pos, section, week_start, desc_cell, price_cell).
+# columns of the node table that HTML menus are read from
+HTML_MENU_COLUMNS = ("pre", "parent_pre", "sib", "tag", "own_text", "string_value")
+
+
+def table_pairs(nodes: DataFrame, heading_tag: str = "h4", cell_tags=("td", "th"), keep=()) -> DataFrame:
+    """C9 (+ C2): HTML table rows -> (page_id, pos, section, week_start, desc_cell, price_cell, page columns of ``keep``).
 
     One window over each page's nodes in document order gives every node the
     last heading above it and the page's first period; the row pivot then
@@ -267,29 +271,31 @@ def table_pairs(nodes: DataFrame, heading_tag: str = "h4", cell_tags=("td", "th"
               .withColumn("_start", F.first(parse_period(normalize_space(F.col("own_text"))), ignorenulls=True).over(whole)))
     cells = marked.filter(F.col("tag").isin(list(cell_tags)))
     rows = cells.groupBy("page_id", F.col("parent_pre").alias("pre")).agg(
-        F.first("section").alias("section"), F.first("_start").alias("_start"),
+        *[F.first(k).alias(k) for k in keep], F.first("section").alias("section"), F.first("_start").alias("_start"),
         F.max(F.when(F.col("sib") == 0, normalize_space(F.col("string_value")))).alias("desc_cell"),
         F.max(F.when(F.col("sib") == 1, normalize_space(F.col("string_value")))).alias("price_cell"))
     return rows.select("page_id", F.col("pre").cast("bigint").alias("pos"), "section",
-                       week_monday(F.col("_start")).alias("week_start"), "desc_cell", "price_cell")
+                       week_monday(F.col("_start")).alias("week_start"), "desc_cell", "price_cell", *keep)
 
 
-def extract_html_menu(nodes: DataFrame, heading_tag: str = "h4", keep_empty_days: bool = True) -> DataFrame:
+def extract_html_menu(nodes: DataFrame, heading_tag: str = "h4", keep_empty_days: bool = True, keep=()) -> DataFrame:
     """HTML menu (day headings + two-cell table rows) -> long offer rows.
 
-    Rows that cannot be dated come out of ``html_menu_rejects``.
+    Rows that cannot be dated come out of ``html_menu_rejects``. ``keep`` names
+    columns that are the same on all nodes of a page (``html_nodes(keys=...)``)
+    and stay on its rows.
     """
-    pairs = table_pairs(nodes, heading_tag).withColumnRenamed("page_id", "doc_id")
+    pairs = table_pairs(nodes, heading_tag, keep=keep).withColumnRenamed("page_id", "doc_id")
     meals = flag_notices(pairs, "desc_cell").filter(
         (F.coalesce(F.col("desc_cell"), F.lit("")) != "") & ~F.col("is_notice") & F.col("week_start").isNotNull())
     meals = (meals.withColumn("desc", clean_desc(F.col("desc_cell")))
              .withColumn("price", parse_price(F.col("price_cell"))))
     meals = route_week_offers(weekday_to_date(meals)).filter(F.col("offer_key").isNotNull())
-    out = meals.select("doc_id", "offer_key", "key_kind", "pos", "desc", "price")
+    out = meals.select("doc_id", "offer_key", "key_kind", "pos", "desc", "price", *keep)
     if not keep_empty_days:
         return out
-    weeks = pairs.filter(F.col("week_start").isNotNull()).select("doc_id", "week_start").distinct()
-    return fill_weekdays(out, weeks)
+    weeks = pairs.filter(F.col("week_start").isNotNull()).select("doc_id", "week_start", *keep).distinct()
+    return fill_weekdays(out, weeks, keep=keep)
 
 
 def html_menu_rejects(nodes: DataFrame, heading_tag: str = "h4") -> DataFrame:

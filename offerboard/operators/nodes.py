@@ -1,40 +1,45 @@
 """The node table of a page (B1) and the structural selections built on it.
 
-``html_nodes`` is the package's one Python stage: a ``mapInPandas`` over
-``(page_id, html)`` that tokenizes each page with the standard library parser
+``html_nodes`` is the package's one Python stage: a ``mapInArrow`` over the
+page key and its HTML that tokenizes each page with the standard library parser
 and emits one row per element, numbered in pre- and post-order. After that
-every XPath-like question is an ordinary join:
+every XPath-like question is a window or an ordinary join:
 
 * parent / child         -> equi-join on ``(page_id, parent_pre = pre)``
-* ancestor / descendant  -> explode ``ancestors``, equi-join on ``(page_id, pre)``
+* ancestor / descendant  -> interval encoding: an element holds another when it
+                            opens before and closes after it. Windows over the
+                            page's sorted opens and closes answer "holds any",
+                            "is inside any" and "nearest enclosing" in one pass
 * "first" / "n-th"       -> aggregate ``min(pre)`` or a window bounded by one page
 * contains(string(.), w) -> occurrences of w in the page text matched to element
                             text spans by one window per page (no element text stored)
 
-Ancestor tests join each candidate element with the elements on its own
-ancestor path (an equi-join on ``(page_id, pre)``), so no pair of unrelated
-elements is ever formed.
+No pair of elements is formed for an ancestor test, and a node row holds no
+ancestor list: rows and windows are linear in the page, however deep it nests.
 """
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 from html.parser import HTMLParser
 from itertools import accumulate
-from typing import Iterator
 
-import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from offerboard.functions.html import page_title, wrap_document
 from offerboard.functions.text import ascii_fold, normalize_space
 
-NODE_SCHEMA = (
-    "page_id BIGINT, pre INT, post INT, parent_pre INT, depth INT, sib INT, tag STRING, "
-    "attrs MAP<STRING, STRING>, own_text STRING, string_value STRING, text_start INT, text_end INT, "
-    "has_text BOOLEAN, page_text STRING, start_offset INT, end_offset INT, ancestors ARRAY<INT>"
-)
+# column -> type, beside the page's own key
+NODE_COLUMNS = {
+    "pre": "int", "post": "int", "parent_pre": "int", "depth": "int", "sib": "int", "tag": "string",
+    "attrs": "map<string,string>", "own_text": "string", "string_value": "string", "text_start": "int", "text_end": "int",
+    "has_text": "boolean", "page_text": "string", "start_offset": "int", "end_offset": "int",
+}
 
 # Elements without content, and elements whose start closes an
 # open paragraph (HTML parsing rules, abridged).
@@ -73,7 +78,7 @@ class _TreeBuilder(HTMLParser):
         self.line_starts = [0, *accumulate(len(x) + 1 for x in html.split("\n")[:-1])]
 
     # row layout: 0 pre, 1 post, 2 parent_pre, 3 depth, 4 sib, 5 tag, 6 attrs, 7 own_text(list),
-    #             8 text_start, 9 text_end, 10 has_text, 11 start, 12 end, 13 ancestors (pre, root first)
+    #             8 text_start, 9 text_end, 10 has_text, 11 start, 12 end
     def _offset(self) -> int:
         line, col = self.getpos()
         return self.line_starts[line - 1] + col
@@ -121,7 +126,7 @@ class _TreeBuilder(HTMLParser):
         sib = self.children[-1]
         self.children[-1] += 1
         self.rows.append([self.pre, -1, parent, len(self.stack), sib, tag, amap, [], self.text_len, -1, False,
-                          start, -1, [self.rows[i][0] for i in self.stack]])
+                          start, -1])
         self.pre += 1
         self.stack.append(len(self.rows) - 1)
         self.open.append(tag)
@@ -179,54 +184,79 @@ def parse_nodes(html: str, text_tags=TEXT_TAGS) -> tuple[list[list], str]:
     return b.finish()
 
 
-_NODE_COLS = ["page_id", "pre", "post", "parent_pre", "depth", "sib", "tag", "attrs", "own_text", "string_value",
-              "text_start", "text_end", "has_text", "page_text", "start_offset", "end_offset", "ancestors"]
+def _cells(name: str, rows: list[list], text: str, text_tags) -> list:
+    """One column of a page's node rows."""
+    at = {"pre": 0, "post": 1, "parent_pre": 2, "depth": 3, "sib": 4, "tag": 5, "text_start": 8, "text_end": 9,
+          "has_text": 10, "start_offset": 11, "end_offset": 12}
+    if name in at:
+        return [r[at[name]] for r in rows]
+    if name == "attrs":
+        return [list(r[6].items()) for r in rows]
+    if name == "own_text":
+        return ["".join(r[7]) for r in rows]
+    if name == "page_text":
+        return [text if r[0] == 0 else None for r in rows]
+    return [text[r[8]:r[9]] if text_tags is None or r[5] in text_tags else None for r in rows]
 
 
-def _nodes_batches(batches: Iterator[pd.DataFrame], text_tags) -> Iterator[pd.DataFrame]:
-    keep_all = text_tags is None
-    for pdf in batches:
-        out = []
-        for pid, html in zip(pdf["page_id"], pdf["html"]):
-            rows, text = parse_nodes(html, text_tags)
-            for r in rows:
-                sv = text[r[8]:r[9]] if keep_all or r[5] in text_tags else None
-                out.append([pid, r[0], r[1], r[2], r[3], r[4], r[5], r[6], "".join(r[7]), sv, r[8], r[9], r[10],
-                            text if r[0] == 0 else None, r[11], r[12], r[13]])
-                if len(out) >= ROWS_A_BATCH:
-                    yield pd.DataFrame(out, columns=_NODE_COLS)
-                    out = []
-        if out:
-            yield pd.DataFrame(out, columns=_NODE_COLS)
+def _arrow_type(ddl: str) -> pa.DataType:
+    return {"int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(),
+            "map<string,string>": pa.map_(pa.string(), pa.string())}[ddl]
 
 
 def html_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-               text_tags=TEXT_TAGS) -> DataFrame:
+               text_tags=TEXT_TAGS, columns=tuple(NODE_COLUMNS), keys=()) -> DataFrame:
     """B1: one row per element of every page.
 
-    Columns: page_id, pre, post, parent_pre, depth, sib (element index among
-    siblings), tag, attrs, own_text (direct text), string_value (XPath
-    ``string(.)``, kept for ``text_tags`` only; ``None`` keeps it for all),
-    text_start/text_end (the element's span in the page text), has_text (some
-    non-white-space text below), page_text (the page's whole text, on the row
-    with pre 0 only), start_offset/end_offset (outer HTML span in the page),
-    ancestors (pre of every ancestor, root first: ancestor tests are equi-joins).
+    Columns: page_id (of the pages' own type), the pages' columns named by
+    ``keys``, and those of ``columns``: pre, post, parent_pre, depth, sib
+    (element index among siblings), tag, attrs, own_text (direct text),
+    string_value (XPath ``string(.)``, kept for ``text_tags`` only; ``None``
+    keeps it for all), text_start/text_end (the element's span in the page
+    text), has_text (some non-white-space text below), page_text (the page's
+    whole text, on the row with pre 0 only), start_offset/end_offset (outer
+    HTML span in the page). Only the columns asked for are built and leave the
+    parser.
 
     Storing every element's string value would repeat the page text once per
     nesting level; the spans give the same answers for "contains" tests
     (``elements_containing``) at the cost of the text once. Filter pages
-    before calling this; only ``(page_id, html)`` cross into Python, spread
-    over at least one task per core.
+    before calling this; only the keys and the HTML cross into Python.
     """
     # ship this module's parser with the task so executors need no install of the package
-    import sys
-    from pyspark import cloudpickle
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    from offerboard.session import spread
     tags = None if text_tags is None else frozenset(text_tags)
-    src = spread(pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(html_col).alias("html")),
-                 "page_id")
-    return src.mapInPandas(lambda it: _nodes_batches(it, tags), NODE_SCHEMA)
+    types = [_arrow_type(NODE_COLUMNS[c]) for c in columns]
+    names = ["page_id", *keys, *columns]
+
+    def parse(batches):
+        for b in batches:
+            first, count, held = 0, [], [[] for _ in columns]
+
+            def flush():
+                repeat = pa.array([i for i, n in enumerate(count, first) for _ in range(n)], pa.int64())
+                kept = [b.column(k).take(repeat) for k in range(1 + len(keys))]
+                return pa.RecordBatch.from_arrays(kept + [pa.array(v, t) for v, t in zip(held, types)], names=names)
+
+            for i, html in enumerate(b.column(1 + len(keys))):
+                rows, text = parse_nodes(html.as_py(), tags)
+                # one long page leaves in several pieces too
+                for j in range(0, len(rows), ROWS_A_BATCH):
+                    part = rows[j:j + ROWS_A_BATCH]
+                    count += [0] * (i + 1 - first - len(count))
+                    count[i - first] += len(part)
+                    for v, c in zip(held, columns):
+                        v += _cells(c, part, text, tags)
+                    if sum(count) >= ROWS_A_BATCH:
+                        yield flush()
+                        first, count, held = i, [], [[] for _ in columns]
+            if sum(count):
+                yield flush()
+
+    kind = lambda c: pages.schema[c].dataType.simpleString()
+    schema = ", ".join([f"page_id {kind(id_col)}", *[f"`{k}` {kind(k)}" for k in keys],
+                        *[f"{c} {NODE_COLUMNS[c]}" for c in columns]])
+    return pages.select(F.col(id_col).alias("page_id"), *keys, F.col(html_col).alias("_html")).mapInArrow(parse, schema)
 
 
 def page_texts(nodes: DataFrame) -> DataFrame:
@@ -242,7 +272,6 @@ def word_occurrences(nodes: DataFrame, words, fold: bool = True) -> DataFrame:
     word give the offsets. One pass for all words; exact across tag
     boundaries, because the page text is the concatenation of all text nodes.
     """
-    from offerboard.functions.text import ascii_fold
     text = page_texts(nodes)
     t = ascii_fold(F.col("page_text")) if fold else F.col("page_text")
     ws = F.array(*[F.struct(F.lit(_regex_literal(w)).alias("pattern"), F.lit(len(w)).alias("len")) for w in words])
@@ -264,7 +293,7 @@ def _regex_literal(w: str) -> str:
 
 
 def elements_containing(nodes: DataFrame, words, fold: bool = True) -> DataFrame:
-    """Elements whose (folded) string value holds any word: (page_id, pre, post, parent_pre).
+    """Elements whose (folded) string value holds any word: (page_id, pre, post, parent_pre, depth).
 
     Element spans and word occurrences are merged into one sequence per page
     ordered by position, read from the end of the page: the running minimum of
@@ -273,17 +302,17 @@ def elements_containing(nodes: DataFrame, words, fold: bool = True) -> DataFrame
     One window per page, linear in its rows, and no element text is
     materialised.
     """
+    own = ["pre", "post", "parent_pre", "depth", "text_end"]
     occ = word_occurrences(nodes, words, fold).select(
         "page_id", F.col("occ_start").alias("_p"), F.lit(1).alias("_kind"), F.col("occ_end").alias("_occ_end"),
-        F.lit(None).cast("int").alias("pre"), F.lit(None).cast("int").alias("post"),
-        F.lit(None).cast("int").alias("parent_pre"), F.lit(None).cast("int").alias("text_end"))
+        *[F.lit(None).cast("int").alias(c) for c in own])
     el = nodes.select("page_id", F.col("text_start").alias("_p"), F.lit(0).alias("_kind"),
-                      F.lit(None).cast("int").alias("_occ_end"), "pre", "post", "parent_pre", "text_end")
+                      F.lit(None).cast("int").alias("_occ_end"), *own)
     w = (Window.partitionBy("page_id").orderBy(F.col("_p").desc(), F.col("_kind").desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     merged = el.unionByName(occ).withColumn("_min_end", F.min("_occ_end").over(w))
     return merged.filter((F.col("_kind") == 0) & (F.col("_min_end") <= F.col("text_end"))) \
-        .select("page_id", "pre", "post", "parent_pre")
+        .select("page_id", "pre", "post", "parent_pre", "depth")
 
 
 def _attr_contains(attr: str, sub: str) -> Column:
@@ -301,18 +330,52 @@ def _text_has(words, col: str = "string_value", fold: bool = True) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def _with_ancestors(targets: DataFrame, nodes: DataFrame, candidates: DataFrame, prefix: str) -> DataFrame:
-    """(target columns..., <prefix>_pre, ...) for every candidate that is an ancestor of a target.
+def nearest_enclosing(marked: DataFrame, payload=("pre",)) -> DataFrame:
+    """Structural join: every target with the nearest container around it.
 
-    Each target's ancestor list is exploded and equi-joined on
-    ``(page_id, pre)`` with the candidates, so only true ancestor pairs are
-    ever formed (at most depth rows per target).
+    ``marked`` holds (page_id, pre, post, depth, is_target, is_container, ...)
+    for the elements that matter. In the sequence of a page's start and end
+    tags an element opens at ``2 pre - depth`` and closes at ``2 post + depth +
+    1``. A running count of opens minus closes over the sorted events gives
+    each one the height of the container stack. Containers of one height do
+    not overlap, so a target of height h lies in the container of that height
+    that opened last. Two windows over one partitioning by page; no ancestor
+    pairs, no lists.
+    -> the targets' rows with ``enclosing`` (struct of ``payload``, NULL where
+    no container encloses the target; an element does not enclose itself)
     """
-    anc = targets.join(nodes.select("page_id", "pre", "ancestors"), ["page_id", "pre"]) \
-        .withColumn("_anc", F.explode("ancestors")).drop("ancestors")
-    cand = candidates.select("page_id", *[F.col(c).alias(f"{prefix}_{c}") for c in candidates.columns if c != "page_id"])
-    return anc.join(cand, (anc["page_id"] == cand["page_id"]) & (anc["_anc"] == cand[f"{prefix}_pre"])) \
-        .drop(cand["page_id"]).drop("_anc")
+    kept = [c for c in marked.columns if c not in ("is_target", "is_container")]
+    event = lambda at, order, step: F.struct(at.alias("at"), F.lit(order).alias("kind"), F.lit(step).alias("step"))
+    opens = 2 * F.col("pre") - F.col("depth")
+    closes = 2 * F.col("post") + F.col("depth") + 1
+    nothing = F.array().cast("array<struct<at:int,kind:int,step:int>>")
+    # at one place a target comes before the container that it is itself
+    events = F.concat(F.when(F.col("is_target"), F.array(event(opens, 0, 0))).otherwise(nothing),
+                      F.when(F.col("is_container"), F.array(event(opens, 1, 1), event(closes, 1, -1))).otherwise(nothing))
+    stack = marked.select(*kept, F.explode(events).alias("_e"))
+    upto = lambda w: w.orderBy("_e.at", "_e.kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    high = (stack.withColumn("_height", F.sum("_e.step").over(upto(Window.partitionBy("page_id"))))
+            .filter(F.col("_e.step") >= 0))
+    opened = F.when(F.col("_e.kind") == 1, F.struct(*payload))
+    return (high.withColumn("enclosing", F.when(F.col("_height") > 0, F.last(opened, ignorenulls=True)
+                                                .over(upto(Window.partitionBy("page_id", "_height")))))
+            .filter(F.col("_e.kind") == 0).select(*kept, "enclosing"))
+
+
+def holds_any() -> Column:
+    """Whether an element holds a target (rows of ``marked`` as for ``nearest_enclosing``).
+
+    Elements in document order: the next target after an element is inside it
+    exactly when it closes first, since a subtree is contiguous.
+    """
+    after = Window.partitionBy("page_id").orderBy("pre").rowsBetween(1, Window.unboundedFollowing)
+    return F.coalesce(F.first(F.when(F.col("is_target"), F.col("post")), ignorenulls=True).over(after) < F.col("post"), F.lit(False))
+
+
+def inside_any(container: Column) -> Column:
+    """Whether an element lies in one for which ``container`` holds: of those opened before, one closes after it."""
+    before = Window.partitionBy("page_id").orderBy("pre").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.max(F.when(container, F.col("post"))).over(before) > F.col("post"), F.lit(False))
 
 
 def links_from_nodes(nodes: DataFrame, link_tag: str = "a") -> DataFrame:
@@ -332,29 +395,39 @@ def links_in_first_section(nodes: DataFrame, container: str = "section", link_ta
 
     ``[1]`` counts per parent: for every parent the first child container that
     holds a matching link is kept, and all matching links below it returned.
-    Links are paired only with the containers on their ancestor path.
+    Three windows over one partitioning by page, on links and containers only.
     """
-    links = nodes.filter((F.col("tag") == link_tag) & _attr_contains("href", href_contains)) \
-        .select("page_id", "pre", F.col("attrs")["href"].alias("href"))
-    secs = nodes.filter(F.col("tag") == container).select("page_id", "pre", "parent_pre")
-    pairs = _with_ancestors(links, nodes, secs, "s")
-    first = pairs.groupBy("page_id", "s_parent_pre").agg(F.min("s_pre").alias("s_pre"))
-    return pairs.join(first, ["page_id", "s_parent_pre", "s_pre"], "left_semi") \
-        .select("page_id", "pre", "href").distinct()
+    href = F.col("attrs")["href"]
+    marked = nodes.select(
+        "page_id", "pre", "post", "parent_pre", href.alias("href"), (F.col("tag") == container).alias("is_container"),
+        ((F.col("tag") == link_tag) & F.coalesce(href.contains(href_contains), F.lit(False))).alias("is_target")) \
+        .filter(F.col("is_target") | F.col("is_container"))
+    marked = marked.withColumn("_holds", F.col("is_container") & holds_any())
+    siblings = Window.partitionBy("page_id", "parent_pre")
+    marked = marked.withColumn("_first", F.col("_holds") & (F.col("pre") == F.min(F.when(F.col("_holds"), F.col("pre"))).over(siblings)))
+    return marked.withColumn("_inside", inside_any(F.col("_first"))).filter(F.col("is_target") & F.col("_inside")) \
+        .select("page_id", "pre", "href")
+
+
+def _parents(nodes: DataFrame, is_child: Column, is_parent: Column) -> DataFrame:
+    """Elements with a child of one kind: a child marks its parent's key, one aggregate meets mark and element."""
+    mark = lambda pre, tag, hit: F.struct(pre.alias("pre"), tag.alias("tag"), F.lit(hit).alias("hit"))
+    nothing = F.array().cast("array<struct<pre:int,tag:string,hit:boolean>>")
+    marks = F.concat(F.when(is_parent, F.array(mark(F.col("pre"), F.col("tag"), False))).otherwise(nothing),
+                     F.when(is_child, F.array(mark(F.col("parent_pre"), F.lit(None).cast("string"), True))).otherwise(nothing))
+    return (nodes.select("page_id", F.inline(marks)).groupBy("page_id", "pre")
+            .agg(F.max("tag").alias("tag"), F.max("hit").alias("_hit"))
+            .filter(F.col("_hit") & F.col("tag").isNotNull()).select("page_id", "pre", "tag"))
 
 
 def parents_of_tag(nodes: DataFrame, tag: str, parent_tag: str | None = None) -> DataFrame:
     """Distinct parents (of ``parent_tag``, or any) of ``tag`` elements -> (page_id, pre, tag)."""
-    kids = nodes.filter(F.col("tag") == tag).select("page_id", F.col("parent_pre").alias("pre")).distinct()
-    par = nodes if parent_tag is None else nodes.filter(F.col("tag") == parent_tag)
-    return par.join(kids, ["page_id", "pre"], "left_semi").select("page_id", "pre", "tag")
+    return _parents(nodes, F.col("tag") == tag, F.lit(True) if parent_tag is None else F.col("tag") == parent_tag)
 
 
 def parents_of_class(nodes: DataFrame, tag: str, class_sub: str) -> DataFrame:
     """``//tag[contains(@class, sub)]/parent::*`` -> (page_id, pre, tag)."""
-    kids = nodes.filter((F.col("tag") == tag) & _attr_contains("class", class_sub)) \
-        .select("page_id", F.col("parent_pre").alias("pre")).distinct()
-    return nodes.join(kids, ["page_id", "pre"], "left_semi").select("page_id", "pre", "tag")
+    return _parents(nodes, (F.col("tag") == tag) & _attr_contains("class", class_sub), F.lit(True))
 
 
 def nth_block(blocks: DataFrame, n: int) -> DataFrame:
@@ -375,18 +448,21 @@ def heading_container(nodes: DataFrame, heading_tag: str = "h2", word: str = "sp
     are only used when no heading has a matching ancestor.
     -> (page_id, pre, strategy)
     """
-    if any(ch.isspace() for ch in word):     # needs normalize-space: use the stored string value
-        heads = nodes.filter((F.col("tag") == heading_tag) & _text_has([word]))
+    if heading_tag in TEXT_TAGS:             # the node table holds the heading's text
+        is_head = (F.col("tag") == heading_tag) & _text_has([word])
+        held = nodes
     else:                                    # span test, works for any tag
-        heads = nodes.filter(F.col("tag") == heading_tag).join(
-            elements_containing(nodes, [word]).select("page_id", "pre"), ["page_id", "pre"], "left_semi")
-    heads = heads.select("page_id", "pre", "parent_pre")
-    conts = nodes.filter((F.col("tag") == container_tag) & _attr_contains("class", class_sub)).select("page_id", "pre")
-    nearest = (_with_ancestors(heads.select("page_id", "pre"), nodes, conts, "c")
-               .groupBy("page_id", F.col("pre").alias("h_pre")).agg(F.max("c_pre").alias("pre"))
-               .select("page_id", F.lit(1).alias("prio"), "pre"))
-    parents = heads.select(F.col("page_id"), F.lit(2).alias("prio"), F.col("parent_pre").alias("pre"))
-    best = nearest.unionByName(parents).groupBy("page_id").agg(F.min(F.struct("prio", "pre")).alias("b"))
+        hit = elements_containing(nodes, [word]).select("page_id", F.col("pre").alias("_hit"))
+        held = nodes.join(hit, (nodes["page_id"] == hit["page_id"]) & (nodes["pre"] == hit["_hit"]), "left").drop(hit["page_id"])
+        is_head = (F.col("tag") == heading_tag) & F.col("_hit").isNotNull()
+    is_cont = (F.col("tag") == container_tag) & _attr_contains("class", class_sub)
+    marked = held.select("page_id", "pre", "post", "depth", "parent_pre", is_head.alias("is_target"), is_cont.alias("is_container")) \
+        .filter(F.col("is_target") | F.col("is_container"))
+    heads = nearest_enclosing(marked)
+    # per page the first container in document order, or else the first heading's parent
+    choice = F.when(F.col("enclosing").isNotNull(), F.struct(F.lit(1).alias("prio"), F.col("enclosing.pre").alias("pre"))) \
+        .otherwise(F.struct(F.lit(2).alias("prio"), F.col("parent_pre").alias("pre")))
+    best = heads.groupBy("page_id").agg(F.min(choice).alias("b"))
     return best.select("page_id", F.col("b.pre").alias("pre"),
                        F.when(F.col("b.prio") == 1, F.lit("container")).otherwise(F.lit("parent")).alias("strategy"))
 
@@ -404,13 +480,13 @@ def keyword_container(nodes: DataFrame, words, container_tag: str = "div") -> Da
     nxt = F.lead("post").over(Window.partitionBy("page_id").orderBy("pre"))
     innermost = m.withColumn("_next_post", nxt).filter(
         F.col("_next_post").isNull() | (F.col("_next_post") > F.col("post")))
-    first = innermost.groupBy("page_id").agg(F.min("pre").alias("pre"))
+    first = innermost.groupBy("page_id").agg(F.min_by(F.struct("pre", "post", "depth"), "pre").alias("_t")) \
+        .select("page_id", "_t.*", F.lit(True).alias("is_target"), F.lit(False).alias("is_container"))
     # string-length(normalize-space(.)) > 0  <=>  some character below that is not XML white space
     divs = nodes.filter((F.col("tag") == container_tag) & F.col("attrs")["class"].isNotNull() & F.col("has_text")) \
-        .select("page_id", "pre")
-    return (_with_ancestors(first, nodes, divs, "d")
-            .groupBy("page_id").agg(F.max("d_pre").alias("pre"))
-            .withColumn("strategy", F.lit("keyword")))
+        .select("page_id", "pre", "post", "depth", F.lit(False).alias("is_target"), F.lit(True).alias("is_container"))
+    return (nearest_enclosing(first.unionByName(divs)).filter(F.col("enclosing").isNotNull())
+            .select("page_id", F.col("enclosing.pre").alias("pre"), F.lit("keyword").alias("strategy")))
 
 
 def coalesce_blocks(*strategies: DataFrame) -> DataFrame:
@@ -424,11 +500,26 @@ def coalesce_blocks(*strategies: DataFrame) -> DataFrame:
 
 
 def block_html(blocks: DataFrame, nodes: DataFrame, pages: DataFrame, id_col: str = "page_id",
-               html_col: str = "html") -> DataFrame:
-    """Outer HTML of each selected block: (page_id, pre, block_html)."""
+               html_col: str = "html", keep=()) -> DataFrame:
+    """Outer HTML of each selected block: (block columns, block_html, the pages' columns in ``keep``)."""
     spans = blocks.join(nodes.select("page_id", "pre", "start_offset", "end_offset"), ["page_id", "pre"])
-    pg = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(html_col).alias("_html"))
+    pg = pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("_html"),
+                      *[F.col(k).alias(f"_keep_{k}") for k in keep])
     return spans.join(pg, "page_id").select(
         *[c for c in blocks.columns],
         F.col("_html").substr(F.col("start_offset") + 1, F.col("end_offset") - F.col("start_offset"))
-        .alias("block_html"))
+        .alias("block_html"), *[F.col(f"_keep_{k}").alias(k) for k in keep])
+
+
+def block_documents(blocks: DataFrame, nodes: DataFrame, pages: DataFrame, default_title: str = "Speiseplan",
+                    id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """Each chosen block as a page of its own -> (page_id, pre, strategy, title, doc).
+
+    A block found by its heading carries the page's title, or ``default_title``
+    where the page has none; one found by keywords is titled by the default
+    and the page's address, ``<default> - <url>``.
+    """
+    both = block_html(blocks, nodes, pages, id_col, html_col, keep=(html_col, url_col))
+    title = F.when(F.col("strategy") == "keyword", F.concat(F.lit(f"{default_title} - "), F.coalesce(F.col(url_col), F.lit("")))) \
+        .otherwise(page_title(F.col(html_col), default_title))
+    return both.select("page_id", "pre", "strategy", title.alias("title"), wrap_document(F.col("block_html"), title).alias("doc"))

@@ -350,54 +350,59 @@ def q_page_artifacts(spark, sf):
     return spark.read.parquet(path).select("artifact_name", "kind", F.length("body").cast("bigint").alias("n_chars"))
 
 
-# Node-table queries (B1, B6, B8-B13, B18): no SQL oracle.
-def _nodes(spark, sf, text_tags=N.TEXT_TAGS):
-    """The node table, computed once per query and read back by every branch."""
-    return materialize(N.html_nodes(V.table(spark, sf, "pages"), text_tags=text_tags), "nodes", spark)
+# Node-table queries (B1, B6, B8-B13, B18) on the driver's pages: no SQL oracle; on written pages they have one.
+_PLACE = ("pre", "post", "parent_pre", "depth", "tag")
+
+
+def _nodes(spark, sf, columns=_PLACE):
+    return N.html_nodes(V.table(spark, sf, "pages"), text_tags=(), columns=columns)
 
 
 @register("html_nodes")
 def q_html_nodes(spark, sf):
     """B1: the node table (no text columns, to keep the row check light)."""
-    return N.html_nodes(V.table(spark, sf, "pages"), text_tags=()).select("page_id", "pre", "post", "parent_pre", "depth", "sib", "tag",
-                                           "start_offset", "end_offset")
+    return _nodes(spark, sf, ("pre", "post", "parent_pre", "depth", "sib", "tag", "start_offset", "end_offset"))
 
 
 @register("first_section_links")
 def q_first_section_links(spark, sf):
     """B6 with ul/a: links of the first link-bearing list under each parent."""
-    return N.links_in_first_section(_nodes(spark, sf, ()), "ul", "a", "/")
+    return N.links_in_first_section(_nodes(spark, sf, (*_PLACE, "attrs")), "ul", "a", "/")
 
 
 @register("parent_blocks")
 def q_parent_blocks(spark, sf):
     """Distinct ul parents of li elements."""
-    return N.parents_of_tag(_nodes(spark, sf, ()), "li", "ul")
+    return N.parents_of_tag(_nodes(spark, sf), "li", "ul")
 
 
 @register("nth_blocks")
 def q_nth_blocks(spark, sf):
     """Second paragraph-holding block per page (p parents, n = 1)."""
-    return N.nth_block(N.parents_of_tag(_nodes(spark, sf, ()), "p"), 1)
+    return N.nth_block(N.parents_of_tag(_nodes(spark, sf), "p"), 1)
 
 
 @register("class_parents")
 def q_class_parents(spark, sf):
     """Parents of div elements whose class holds 'ad'."""
-    return N.parents_of_class(_nodes(spark, sf, ()), "div", "ad")
+    return N.parents_of_class(_nodes(spark, sf, (*_PLACE, "attrs")), "div", "ad")
+
+
+BLOCK_COLUMNS = (*_PLACE, "attrs", "string_value", "text_start", "text_end", "has_text", "page_text", "start_offset", "end_offset")
+
+
+def chosen_documents(spark, pages, heading, container, words):
+    """Each page's chosen block as a document of its own; the node table is written once for all branches."""
+    nodes = materialize(N.html_nodes(pages, text_tags=(heading[0],), columns=BLOCK_COLUMNS), "nodes", spark)
+    primary = N.heading_container(nodes, *heading, *container)
+    fallback = N.keyword_container(nodes, words, "div")
+    return N.block_documents(N.coalesce_blocks(primary, fallback), nodes, pages)
 
 
 @register("chosen_blocks")
 def q_chosen_blocks(spark, sf):
     """B11-B13 + B18 + B17: container of the h1 heading (else the keyword block), wrapped and reduced to text."""
-    pages = V.table(spark, sf, "pages")
-    nodes = _nodes(spark, sf)
-    primary = N.heading_container(nodes, "h1", "the", "article", "post")
-    fallback = N.keyword_container(nodes, ["nicht", "the"], "div")
-    chosen = N.coalesce_blocks(primary, fallback)
-    blocks = N.block_html(chosen, nodes, pages)
-    titled = blocks.join(pages.select("page_id", H.page_title(F.col("html"), "Speiseplan").alias("title")), "page_id")
-    doc = titled.withColumn("doc", H.wrap_document(F.col("block_html"), F.col("title")))
+    doc = chosen_documents(spark, V.table(spark, sf, "pages"), ("h1", "the"), ("article", "post"), ["nicht", "the"])
     return doc.select("page_id", "pre", "strategy", H.text_lines(F.col("doc")).alias("text"))
 
 
@@ -834,9 +839,8 @@ def q_edge_prices(spark, sf):
 FROM events""")
 def q_html_menus(spark, sf):
     """B1 + C2-C5, C9-C11: HTML menus written from events, parsed into nodes, extracted back to offers."""
-    pages = materialize(V.menu_documents(spark, sf, html=True), "menu-pages", spark)
-    offers = C.extract_html_menu(N.html_nodes(pages), keep_empty_days=False)
-    return offers.join(pages.select(F.col("page_id").alias("doc_id"), "location"), "doc_id") \
+    nodes = N.html_nodes(V.menu_documents(spark, sf, html=True), columns=C.HTML_MENU_COLUMNS, keys=("location",))
+    return C.extract_html_menu(nodes, keep_empty_days=False, keep=("location",)) \
         .select("location", "offer_key", "key_kind", "pos", "desc", "price")
 
 
@@ -881,7 +885,7 @@ WITH t AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<
 SELECT page_id, lower(tag) AS tag, count(*) AS n FROM t GROUP BY ALL""")
 def q_node_tag_counts(spark, sf):
     """B1 checked from outside: elements per page and tag equal the page's start tags."""
-    return N.html_nodes(V.table(spark, sf, "pages"), text_tags=()).groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
+    return _nodes(spark, sf, ("tag",)).groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("node_order", """
@@ -890,11 +894,11 @@ WITH t AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-
 SELECT page_id, CAST(unnest(generate_series(0, len(tags) - 1)) AS INTEGER) AS pre, lower(unnest(tags)) AS tag FROM t""")
 def q_node_order(spark, sf):
     """B1 document order: ``pre`` is the start tag's position among the page's start tags."""
-    return N.html_nodes(V.table(spark, sf, "pages"), text_tags=()).select("page_id", "pre", "tag")
+    return _nodes(spark, sf, ("pre", "tag"))
 
 
 # ---------------------------------------------------------------- pages and documents written from tables
-def _written_nodes(spark, sf):
+def _written_nodes(spark, sf, columns=_PLACE):
     """Nodes of one page per order: three sections, a list and links; every fifth page has none of them."""
     k = F.col("o_orderkey").cast("string")
     first = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit('<a href="/first-'), k, F.lit('.pdf">f</a>'))) \
@@ -903,7 +907,7 @@ def _written_nodes(spark, sf):
         F.lit('<div class="wrap"><section>'), first, F.lit('</section><section class="menu wide"><p><a href="/menu-'), k,
         F.lit('.pdf">m</a></p></section><ul><li>x</li></ul><section><a href="/other-'), k, F.lit('.pdf">o</a></section></div>')))
     pages = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("page_id"), page.alias("html"))
-    return materialize(N.html_nodes(pages, text_tags=()), "written-nodes", spark)
+    return N.html_nodes(pages, text_tags=(), columns=columns)
 
 
 @register("written_section_links", """
@@ -912,7 +916,7 @@ SELECT CAST(o_orderkey AS BIGINT) AS page_id, CAST(CASE WHEN o_orderkey % 3 = 0
 FROM orders WHERE o_orderkey % 5 <> 0""")
 def q_written_section_links(spark, sf):
     """Links of the first section that holds a pdf link; pages without one give nothing."""
-    return N.links_in_first_section(_written_nodes(spark, sf), "section", "a", "pdf")
+    return N.links_in_first_section(_written_nodes(spark, sf, (*_PLACE, "attrs")), "section", "a", "pdf")
 
 
 @register("written_link_parents", """
@@ -934,7 +938,7 @@ def q_written_second_blocks(spark, sf):
 SELECT CAST(o_orderkey AS BIGINT) AS page_id, CAST(0 AS INTEGER) AS pre, 'div' AS tag FROM orders WHERE o_orderkey % 5 <> 0""")
 def q_written_class_parents(spark, sf):
     """Parents of sections whose class holds a word."""
-    return N.parents_of_class(_written_nodes(spark, sf), "section", "menu")
+    return N.parents_of_class(_written_nodes(spark, sf, (*_PLACE, "attrs")), "section", "menu")
 
 
 def _archive_documents(spark, sf):

@@ -134,6 +134,6 @@ def menu_documents(spark: SparkSession, sf_dir: str, html: bool = False) -> Data
     if html:
         page = F.concat(F.lit("<div><p>Woche "), F.col("period"), F.lit("</p><h4>"), F.col("heading"),
                         F.lit("</h4><table>"), body, F.lit("</table></div>"))
-        return docs.select(F.xxhash64(doc_key).alias("page_id"), "location", page.alias("html"))
+        return docs.select(doc_key.alias("page_id"), "location", page.alias("html"))
     text = F.concat_ws("\n", F.lit(MENU_TITLE), F.col("period"), F.col("heading"), body)
     return docs.select(doc_key.alias("doc_id"), "location", text.alias("text"))
