@@ -1,18 +1,18 @@
 """Source divergence audit from single-pass in-memory term indexing (operator 12).
 
-Each task indexes its documents block by block: postings (lang, term, source)
--> occurrences and documents are held in memory until the block is full, then
-spilled as a term-sorted run. Runs go to hash shards of the postings' keys,
-where a heap merges them into frequencies. What a pair of sources differs by
-is summed from each source's own counts against terms the other one lacks, and
-the terms that both hold come in as streamed corrections of that sum.
+Each task indexes its documents block by block: postings of (lang, term) with
+each source's occurrences and documents are held in memory until the block is
+full, then spilled as a term-sorted run. Runs go to hash shards of their
+terms, where a heap merges them, at most FAN_IN at a time, into frequencies.
+What a pair of sources differs by is summed from each source's own counts
+against terms the other one lacks, and the terms that both hold come in as
+streamed corrections of that sum.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from heapq import merge
-from itertools import groupby
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -20,121 +20,226 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import partitions, ship, stored
+from .common import chunks, partitions, ship, stored, utf8
 
 ship(__name__)
 
-BLOCK = 400_000            # postings that a block holds before it is spilled (one document may exceed it)
-SHARD_ROWS = 1_000_000     # spilled postings that a shard merges, on average
+BLOCK = 600_000            # postings that a block holds before it is spilled (one document may exceed it)
+PIECE = 4 << 20            # bytes of texts that are cut into terms at once (one document may exceed it)
+SHARD_ROWS = 300_000       # rows of runs that a shard merges, on average
+FAN_IN = 256               # runs that meet in one merge; more of them merge in several passes
 PAIRS = 1 << 21            # corrections of pairs held at once
 ONE = 1_000_000_000
-RUN = "lang string, term string, source string, run long, count long, docs long"
-FREQUENCY = "lang string, term string, source string, count long, docs long"
+RUN = "key binary, run long, sources array<string>, counts array<long>, docs array<long>"
+FREQUENCY = "lang string, term string, source string, count long, lang_count long"
 
 # ASCII letters fold to lower case, every other ASCII character separates, bytes of other characters stay
 FOLD = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
+FOLDED = np.frombuffer(FOLD, np.uint8)
+
+
+def byte_strings(array: pa.Array) -> list[bytes]:
+    """The values of a binary array without nulls."""
+    _, ends, body = array.buffers()
+    if not len(array):
+        return []
+    ends = np.frombuffer(ends, np.int32)[array.offset:array.offset + len(array) + 1].tolist()
+    return list(map((body.to_pybytes() if body else b"").__getitem__, map(slice, ends[:-1], ends[1:])))
+
+
+def split_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """All terms of the texts in order, folded, and the number of terms of each text."""
+    folded = FOLDED[data]
+    inside = folded != 32
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    starts = offsets[:-1]
+    starts = starts[starts < len(data)]
+    first[starts] = inside[starts]
+    at = np.flatnonzero(first)
+    body = folded[inside]
+    ends = np.append(np.cumsum(inside, dtype=np.int32)[at] - 1, len(body)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(body)])
+    return words, np.diff(np.searchsorted(at, offsets))
+
+
+def _summed(key: np.ndarray, *columns: np.ndarray):
+    """Equal keys added up, in key order."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key[first], *(np.add.reduceat(c[order], first) for c in columns)
 
 
 class Block:
-    """Postings of one block: (lang, source) -> term -> [occurrences], [documents]."""
+    """Postings of one block: numbers of (lang, source) group and term -> occurrences, documents."""
 
     def __init__(self):
-        self.groups: dict[tuple[str, str], tuple[dict, dict]] = {}
-        self.size = 0
-
-    def add(self, text: str, lang: str, source: str) -> None:
-        words = text.encode().translate(FOLD).split()
-        count, docs = self.groups.setdefault((lang, source), ({}, {}))
-        before, get = len(count), count.get
-        for w in words:
-            count[w] = get(w, 0) + 1
-        get = docs.get
-        for w in set(words):
-            docs[w] = get(w, 0) + 1
-        self.size += len(count) - before
-
-    def rows(self):
-        """The block's postings sorted by (lang, term, source)."""
-        return sorted((lang, w, source, n, docs[w])
-                      for (lang, source), (count, docs) in self.groups.items() for w, n in count.items())
-
-
-def _columns(rows: list[tuple], schema: list[str], *more) -> pa.RecordBatch:
-    """A batch of (lang, term bytes, source, numbers ...) rows."""
-    cols = list(zip(*rows))
-    arrays = [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary()).cast(pa.string()), pa.array(cols[2], pa.string())]
-    arrays += [pa.array(c, pa.int64()) for c in more] + [pa.array(c, pa.int64()) for c in cols[3:]]
-    return pa.RecordBatch.from_arrays(arrays, names=schema)
-
-
-def _names(ddl: str) -> list[str]:
-    return [c.split()[0] for c in ddl.split(", ")]
+        self.terms: dict[bytes, int] = defaultdict()
+        self.terms.default_factory = self.terms.__len__
+        self.groups: dict[tuple[str, str], int] = {}
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = self.loose = 0
+
+    def add(self, data: np.ndarray, offsets: np.ndarray, langs: list[str], sources: list[str]) -> None:
+        """Index whole documents: their bytes one after another, and where each begins."""
+        words, counts = split_terms(data, offsets)
+        if not len(words):
+            return
+        # one look-up a distinct term of these documents
+        found = words.dictionary_encode()
+        known = np.fromiter(map(self.terms.__getitem__, byte_strings(found.dictionary)), np.int64, len(found.dictionary))
+        term = known[np.asarray(found.indices)]
+        group = np.array([self.groups.setdefault(g, len(self.groups)) for g in zip(langs, sources)], np.int64)
+        key, n = _summed(np.repeat(np.arange(len(counts)), counts) << 32 | term, np.ones(len(term), np.int64))
+        self.parts.append(_summed(group[key >> 32] << 32 | (key & 0xFFFFFFFF), n, np.ones(len(n), np.int64)))
+        self.loose += len(self.parts[-1][0])
+        if self.loose > 2 * self.size + 100_000:
+            self.compact()
+
+    def compact(self) -> None:
+        if self.parts:
+            self.parts = [_summed(*map(np.concatenate, zip(*self.parts)))]
+            self.size = self.loose = len(self.parts[0][0])
+
+    def run(self, number: int):
+        """The block's postings in batches sorted by key: the language's name, then the term's bytes."""
+        self.compact()
+        if not self.parts:
+            return
+        key, n, docs = self.parts[0]
+        terms = list(self.terms)
+        in_order = sorted(range(len(terms)), key=terms.__getitem__)
+        rank = np.empty(len(terms), np.int64)
+        rank[in_order] = np.arange(len(terms))
+        groups = list(self.groups)
+        names = pa.array([source for _, source in groups], pa.string())
+        langs = sorted({lang for lang, _ in groups}, key=str.encode)
+        lang_of = np.array([langs.index(lang) for lang, _ in groups], np.int64)
+        group, place = key >> 32, rank[key & 0xFFFFFFFF]
+        order = np.lexsort((group, place, lang_of[group]))
+        group, place, n, docs = group[order], place[order], n[order], docs[order]
+        lang = lang_of[group]
+        first = np.r_[np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (lang[1:] != lang[:-1])]), len(place)]
+        heads = [x.encode() + b"\0" for x in langs]
+        for i in range(0, len(first) - 1, 50_000):
+            edge = first[i:i + 50_001]
+            p = slice(int(edge[0]), int(edge[-1]))
+            keys = [heads[x] + terms[in_order[r]] for x, r in zip(lang[edge[:-1]].tolist(), place[edge[:-1]].tolist())]
+            yield _batch(keys, number, edge - edge[0], names.take(pa.array(group[p])), n[p], docs[p])
+
+
+def _batch(keys, number, ends, sources, counts, docs) -> pa.RecordBatch:
+    ends = pa.array(ends, pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys, pa.binary()), pa.array(np.full(len(keys), number, np.int64)),
+         *(pa.ListArray.from_arrays(ends, c) for c in (sources, pa.array(counts), pa.array(docs)))],
+        names=["key", "run", "sources", "counts", "docs"])
 
 
 def _runs(block_size: int):
     def index(batches):
         from pyspark import TaskContext
-        run = TaskContext.get().partitionId() << 32
-
-        def spill(block):
-            nonlocal run
-            run += 1
-            rows = block.rows()
-            for i in range(0, len(rows), 50_000):
-                part = rows[i:i + 50_000]
-                yield _columns(part, _names(RUN), [run] * len(part))
-
-        block = Block()
+        number, block = TaskContext.get().partitionId() << 32, Block()
         for b in batches:
-            for text, lang, source in zip(*(c.to_pylist() for c in b.columns)):
-                block.add(text, lang, source)
-                if block.size >= block_size:
-                    yield from spill(block)
-                    block = Block()
-        if block.size:
-            yield from spill(block)
+            data, offsets = utf8(b.column(0))
+            langs, sources = b.column(1).to_pylist(), b.column(2).to_pylist()
+            for i, j in chunks(offsets, PIECE):
+                block.add(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], langs[i:j], sources[i:j])
+                if block.size >= block_size or len(block.terms) >= block_size:
+                    yield from block.run(number)
+                    number, block = number + 1, Block()
+        yield from block.run(number)
     return index
 
 
-def _merge_runs(batches):
-    """Heap merge of a shard's term-sorted runs into one row of frequencies a key."""
-    runs: dict[int, list] = {}
-    for b in batches:
-        for row in zip(*(c.to_pylist() for c in b.columns)):
-            runs.setdefault(row[3], []).append(row)
-    # rows of one run can arrive in pieces whose order the shuffle does not keep
-    for r in runs.values():
-        r.sort()
-    out = []
-    for key, rows in groupby(merge(*runs.values()), itemgetter(0, 1, 2)):
-        count = docs = 0
-        for r in rows:
-            count += r[4]
-            docs += r[5]
-        out.append((key[0], key[1].encode(), key[2], count, docs))
-        if len(out) == 50_000:
-            yield _columns(out, _names(FREQUENCY))
-            out = []
-    if out:
-        yield _columns(out, _names(FREQUENCY))
-
-
-def term_frequencies(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-                     block: int = BLOCK) -> DataFrame:
-    """(lang, term, source, count, docs): occurrences and documents of every term in every (lang, source) group.
+def _order(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Heap merge of sorted stretches of keys: the rows in key order, and where each new key begins."""
+    cuts = [0] + [i for i in range(1, len(keys)) if keys[i] < keys[i - 1]] + [len(keys)]
+    order, first, last = [], [], None
+    for k, i in merge(*(zip(keys[a:z], range(a, z)) for a, z in zip(cuts[:-1], cuts[1:]))):
+        if k != last:
+            first.append(len(order))
+            last = k
+        order.append(i)
+    return np.array(order, np.int64), np.array(first, np.int64)
+
+
+def _merged(table: pa.Table):
+    """Keys of a shard's runs in order, with each one's sources, occurrences and documents summed: lists' ends and columns."""
+    keys = byte_strings(table.column("key").combine_chunks())
+    order, first = _order(keys)
+    lists = [table.column(c).combine_chunks() for c in ("sources", "counts", "docs")]
+    starts = np.asarray(lists[0].offsets)[:-1] - lists[0].offsets[0].as_py()
+    sizes = np.asarray(lists[0].value_lengths()).astype(np.int64)[order]
+    ends = np.cumsum(sizes)
+    at = np.arange(int(ends[-1])) + np.repeat(starts[order] - (ends - sizes), sizes)
+    number = np.zeros(len(order), np.int64)
+    number[first[1:]] = 1
+    term = np.repeat(np.cumsum(number), sizes)
+    names = lists[0].flatten().dictionary_encode()
+    code = np.asarray(names.indices)[at].astype(np.int64)
+    by = np.lexsort((code, term))
+    term, code = term[by], code[by]
+    new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (code[1:] != code[:-1])])
+    counts, docs = (np.add.reduceat(c.flatten().to_numpy()[at][by], new) for c in lists[1:])
+    return [keys[i] for i in order[first]], term[new], names.dictionary.take(pa.array(code[new])), counts, docs
+
+
+def _shard(least_docs: int | None):
+    """Merge the runs of a shard, group by group: into larger runs, or (``least_docs``) into frequencies of kept terms."""
+    def combine(batches):
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches)
+        groups = table.column("run").to_numpy()
+        for g in np.unique(groups):
+            keys, term, sources, counts, docs = _merged(table.filter(pa.array(groups == g)))
+            if least_docs is None:
+                ends = np.r_[0, np.cumsum(np.bincount(term, minlength=len(keys)))]
+                for i in range(0, len(keys), 50_000):
+                    j = min(len(keys), i + 50_000)
+                    p = slice(int(ends[i]), int(ends[j]))
+                    yield _batch(keys[i:j], int(g), ends[i:j + 1] - ends[i], sources[p], counts[p], docs[p])
+                continue
+            first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+            keep = np.flatnonzero((np.add.reduceat(docs, first) >= least_docs)[term])
+            lang_count = np.add.reduceat(counts, first)[term]
+            split = [k.rpartition(b"\0")[::2] for k in keys]
+            for i in range(0, len(keep), 50_000):
+                p = keep[i:i + 50_000]
+                names = [split[t] for t in term[p]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[0] for x in names], pa.binary()).cast(pa.string()), pa.array([x[1] for x in names], pa.binary()).cast(pa.string()),
+                     sources.take(pa.array(p)), pa.array(counts[p]), pa.array(lang_count[p])],
+                    names=["lang", "term", "source", "count", "lang_count"])
+    return combine
+
+
+def kept_frequencies(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
+                     least_docs: int = 3, block: int = BLOCK) -> DataFrame:
+    """(lang, term, source, count, lang_count): occurrences of every kept term in every (lang, source) group that has it.
 
     Null text, lang and source count as ''. Terms are runs of ASCII letters,
-    folded to lower case, and of characters outside ASCII. A block's memory is
-    bounded by ``block`` and one document; a shard merges SHARD_ROWS spilled
-    postings on average, whatever the corpus: the number of shards grows with
-    the spilled runs. A posting is at most one row a run, so no key is hot.
+    folded to lower case, and of characters outside ASCII; kept are those of
+    ``least_docs`` documents of the language. A block's memory is bounded by
+    ``block`` and one document. A shard merges SHARD_ROWS rows of runs on
+    average, whatever the corpus: the number of shards grows with the spilled
+    runs, and a term has at most FAN_IN rows in a merge, however many runs hold it.
     """
     spark = docs.sparkSession
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n)
                          for c, n in ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))])
     runs = stored(rows.mapInArrow(_runs(block), RUN), "runs")
-    shards = max(partitions(spark), -(-runs.count() // SHARD_ROWS))
-    return runs.repartition(shards, "lang", "term", "source").mapInArrow(_merge_runs, FREQUENCY)
+    while True:
+        count, size = runs.agg(F.count_distinct("run"), F.count("*")).first()
+        shards = max(partitions(spark), -(-size // SHARD_ROWS))
+        groups = -(-count // FAN_IN)
+        grouped = runs.withColumn("run", F.pmod(F.xxhash64("run"), F.lit(groups)) if groups > 1 else F.lit(0).cast("long"))
+        if groups <= 1:
+            return grouped.repartition(shards, "key").mapInArrow(_shard(least_docs), FREQUENCY)
+        runs = stored(grouped.repartition(shards, "key", "run").mapInArrow(_shard(None), RUN), "merged")
 
 
 def _share(count, total, terms):
@@ -247,10 +352,7 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     of a language by contract; the work holds no more: for each term the
     sources that share it add to sums by pair inside a task.
     """
-    found = stored(term_frequencies(docs, text_col, lang_col, source_col, block), "frequencies")
-    term = Window.partitionBy("lang", "term")
-    kept = stored(found.withColumn("all_docs", F.sum("docs").over(term)).withColumn("lang_count", F.sum("count").over(term))
-                  .where(F.col("all_docs") >= least_docs).select("lang", "term", "source", "count", "lang_count"), "kept")
+    kept = stored(kept_frequencies(docs, text_col, lang_col, source_col, least_docs, block), "kept")
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     occurring = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source")).distinct()
     totals = kept.groupBy("lang", "source").agg(F.sum("count").alias("n"), F.count("*").alias("present"))

@@ -62,6 +62,12 @@ def test_against_plain_python(s, block):
     assert result(s, ROWS, block=block) == brute(ROWS)
 
 
+def test_runs_merge_in_several_passes(s, monkeypatch):
+    monkeypatch.setattr(divergence, "FAN_IN", 2)
+    monkeypatch.setattr(divergence, "SHARD_ROWS", 20)
+    assert result(s, ROWS, block=9) == brute(ROWS)
+
+
 def test_corrections_in_pieces(s, monkeypatch):
     monkeypatch.setattr(divergence, "PAIRS", 7)
     assert result(s, ROWS) == brute(ROWS)
