@@ -17,6 +17,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -28,6 +29,8 @@ ship(__name__)
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")   # the ranks of byte_bpe_50k.json
 SPECIAL = {"<|endoftext|>": 50256}
+AT_SPECIAL = regex.compile("(" + "|".join(map(regex.escape, SPECIAL)) + ")")
+LONG_BLANK = regex.compile(r"\p{White_Space}{10000,}")
 END_ID = 0
 WINDOW_PIECES = 8192          # rest pieces packed together
 WINDOW_TOKENS = 4_000_000     # tokens held by a window at most (one document may exceed it)
@@ -45,10 +48,30 @@ def encoder(path: str = RANKS) -> tiktoken.Encoding:
     return _ENCODERS[path]
 
 
+def plain_ids(text: str, enc: tiktoken.Encoding) -> list[int]:
+    """Ids of a text without special strings.
+
+    The split pattern backtracks over white space, and a library ends on a run
+    of a million blanks. The pattern makes one piece of such a run but for its
+    last character, which stays with what follows (of the whole run at the
+    text's end), so long runs are cut there and never reach the pattern.
+    """
+    out, at = [], 0
+    for run in LONG_BLANK.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        out += enc.encode_ordinary(text[at:run.start()])
+        out += enc._encode_single_piece(text[run.start():end])
+        at = end
+    return out + enc.encode_ordinary(text[at:]) if at else enc.encode_ordinary(text)
+
+
 def token_ids(text: str, enc: tiktoken.Encoding) -> np.ndarray:
     """Ids of a whole text (special strings as their own id) and the end id, as unsigned 32-bit."""
-    special = any(s in text for s in SPECIAL)
-    ids = enc.encode(text, allowed_special="all") if special else enc.encode_ordinary(text)
+    if any(s in text for s in SPECIAL):
+        parts = AT_SPECIAL.split(text)       # every second part is a special string
+        ids = [i for k, p in enumerate(parts) for i in ([SPECIAL[p]] if k % 2 else plain_ids(p, enc))]
+    else:
+        ids = plain_ids(text, enc)
     ids.append(END_ID)
     return np.array(ids, np.uint32)
 
