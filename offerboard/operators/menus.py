@@ -330,6 +330,31 @@ def transpose_table(df: DataFrame, key_col: str, value_cols, keys=None, field: s
     return piv.agg(F.first("_value"))
 
 
+def transpose_tables(tables: DataFrame, id_cols, row: str = "row", cells: str = "cells", max_slots: int = 10_000) -> DataFrame:
+    """C16 for many tables at once: (ids..., row, part, cells) with rows and columns swapped.
+
+    ``tables`` holds one record a row: the table's key columns, the record's
+    number and its cells. Each cell moves to its swapped coordinates, then the
+    cells of one new row are gathered in the order of the old records, in
+    parts of at most ``max_slots`` record numbers, so a table of any length
+    gives no unbounded row: the parts of a row, one after another, are the
+    row. No pivot, hence no limit on columns, and a group is one part of one
+    row, however many cells its table has. Short records count as filled up
+    with NULL to the table's widest one; gaps in the numbers are closed;
+    repeated numbers keep one slot each. A table without cells gives no rows.
+    """
+    ids = list(id_cols)
+    records = tables.select(*ids, F.col(row).cast("bigint").alias("_slot"), F.coalesce(F.col(cells), F.array().cast("array<string>")).alias("_cells"))
+    width = records.groupBy(*ids).agg(F.max(F.size("_cells")).alias("_width")) \
+        .select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(ids)], "_width")
+    wide = records.join(width, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(ids)])
+    full = F.concat("_cells", F.array_repeat(F.lit(None).cast("string"), F.col("_width") - F.size("_cells")))
+    swapped = wide.select(*ids, "_slot", F.posexplode(full).alias("_row", "_value"))
+    gathered = swapped.groupBy(*ids, F.col("_row").cast("bigint").alias("row"), F.floor(F.col("_slot") / max_slots).cast("bigint").alias("part")) \
+        .agg(F.array_sort(F.collect_list(F.struct("_slot", "_value"))).alias("_v"))
+    return gathered.select(*ids, "row", "part", F.transform("_v", lambda v: v["_value"]).alias("cells"))
+
+
 def extract_week_table(table: DataFrame, id_col: str, category: str, day_cols, week_start: str = "week_start",
                        row: str = "row") -> DataFrame:
     """Week table (category column + one column per weekday, Monday first) -> long offer rows.

@@ -8,12 +8,17 @@ Importing this module adds its queries to the catalog.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from offerboard.functions import html as H
+from offerboard.operators import align as A
+from offerboard.operators import menus as C
 from offerboard.operators import nodes as N
 from offerboard.plans import views as V
-from offerboard.plans.catalog import chosen_documents, register
+from offerboard.plans.catalog import OFFERS_CTE, chosen_documents, register
+from offerboard.session import shared_dir
+from offerboard.sources import readers as R
 
 
 def filled(template: str, **columns):
@@ -69,3 +74,84 @@ def q_written_chosen_blocks(spark, sf):
     doc = chosen_documents(spark, pages, ("h2", "speiseplan"), ("div", "group/container"),
                            ["montag", "dienstag", "mittwoch", "donnerstag", "freitag"])
     return doc.select("page_id", "pre", "strategy", "title", H.text_lines(F.col("doc")).alias("text"))
+
+
+# ---------------------------------------------------------------- F4: two runs of one key, aligned
+@register("aligned_runs", f"""
+WITH {OFFERS_CTE},
+a AS (SELECT location, offer_key, pos AS n, "desc" || ' #' || CAST(pos AS VARCHAR) AS d,
+             CASE WHEN pos % 83 = 0 THEN CAST(1000 + CAST(pos AS DECIMAL(18,2)) / 100 AS DECIMAL(10,2)) ELSE price END AS p,
+             row_number() OVER (PARTITION BY location, offer_key ORDER BY pos DESC) > 10 AS early FROM offers),
+s AS (SELECT *, CASE WHEN n % 97 = 0 THEN 'removed' WHEN n % 101 = 0 AND early THEN 'moved' WHEN n % 89 = 0 THEN 'price'
+                     WHEN n % 83 = 0 THEN 'desc' ELSE 'same' END AS status FROM a)
+SELECT location, offer_key, status, n AS a_pos, d AS a_desc, p AS a_price,
+  CASE status WHEN 'removed' THEN NULL WHEN 'moved' THEN 2 * n + 1000000000000 ELSE 2 * n END AS b_pos,
+  CASE status WHEN 'removed' THEN NULL WHEN 'desc' THEN d || ' neu' ELSE d END AS b_desc,
+  CASE status WHEN 'removed' THEN NULL WHEN 'price' THEN CAST(coalesce(p, 0) + 1 AS DECIMAL(10,2)) ELSE p END AS b_price
+FROM s
+UNION ALL
+SELECT location, offer_key, 'added', NULL, NULL, NULL, 2 * n + 1, 'neu ' || CAST(n AS VARCHAR), CAST(-1 AS DECIMAL(10,2))
+FROM a WHERE n % 79 = 0""")
+def q_aligned_runs(spark, sf):
+    """a run against one with other positions, in which meals were inserted, removed, moved to the end and changed."""
+    n = F.col("pos")
+    early = F.row_number().over(Window.partitionBy("location", "offer_key").orderBy(F.desc("pos"))) > 10
+    a = V.offers(spark, sf).select(
+        "location", "offer_key", "pos", F.concat("desc", F.lit(" #"), n.cast("string")).alias("desc"),
+        F.when(n % 83 == 0, (1000 + n.cast("decimal(18, 2)") / 100).cast("decimal(10, 2)")).otherwise(F.col("price")).alias("price"),
+        early.alias("early"))
+    moved = (n % 101 == 0) & F.col("early")
+    b = a.where(n % 97 != 0).select(
+        "location", "offer_key", F.when(moved, 2 * n + 1_000_000_000_000).otherwise(2 * n).alias("pos"),
+        F.when((n % 83 == 0) & (n % 89 != 0) & ~moved, F.concat("desc", F.lit(" neu"))).otherwise(F.col("desc")).alias("desc"),
+        F.when((n % 89 == 0) & ~moved, (F.coalesce("price", F.lit(0).cast("decimal(10, 2)")) + 1).cast("decimal(10, 2)"))
+        .otherwise(F.col("price")).alias("price"))
+    new = a.where(n % 79 == 0).select("location", "offer_key", (2 * n + 1).alias("pos"),
+                                      F.concat(F.lit("neu "), n.cast("string")).alias("desc"),
+                                      F.lit(-1).cast("decimal(10, 2)").alias("price"))
+    return A.align_runs(a.drop("early"), b.unionByName(new))
+
+
+# ---------------------------------------------------------------- A8: CSV tables with quoted line breaks
+TABLE_KEYS = 4000        # order keys of one written table
+
+
+@register("csv_tables", f"""
+WITH o AS (SELECT *, o_orderkey // {TABLE_KEYS} AS t,
+                  row_number() OVER (PARTITION BY o_orderkey // {TABLE_KEYS} ORDER BY o_orderkey) - 1 AS row FROM orders)
+SELECT CAST(t AS BIGINT) AS t, CAST(row AS BIGINT) AS row, CAST(o_orderkey AS VARCHAR) || ', "' || o_orderstatus || '"' AS category,
+  o_orderpriority || CASE WHEN o_orderkey % 3 = 0 THEN chr(10) || '"zwei' || chr(10) ELSE '' END AS monday, '' AS tuesday,
+  CAST(o_custkey AS VARCHAR) AS friday
+FROM o WHERE row NOT IN (4, 5)""")
+def q_csv_tables(spark, sf):
+    """Tables written with quoted commas, quotes and line breaks; file records 5 and 6 skipped, four columns read."""
+    orders = V.table(spark, sf, "orders")
+    key = F.col("o_orderkey").cast("string")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    broken = F.when(F.col("o_orderkey") % 3 == 0, quoted(F.concat("o_orderpriority", F.lit('\n"zwei\n')))).otherwise(F.col("o_orderpriority"))
+    record = F.concat_ws(",", key, quoted(F.concat(key, F.lit(', "'), "o_orderstatus", F.lit('"'))), broken, F.lit(""),
+                         F.col("o_custkey").cast("string"))
+    t = F.floor(F.col("o_orderkey") / TABLE_KEYS).cast("bigint")
+    rows = orders.select(t.alias("t"), F.col("o_orderkey").alias("n"), record.alias("value"))
+    heads = rows.select("t").distinct().select("t", F.lit(-1).cast("bigint").alias("n"), F.lit("Nr,Kategorie,Montag,Dienstag,Freitag").alias("value"))
+    path = shared_dir(spark, "csv-tables")
+    rows.unionByName(heads).repartition("t").sortWithinPartitions("t", "n").select("t", "value").write.partitionBy("t").text(path)
+    cells = R.scan_csv_table(spark, path, skip_rows=[4, 5], glob="*.txt")
+    return R.csv_table_columns(cells, ["category", "monday", "tuesday", "friday"], keep_cols=[1, 2, 3, 4]).select(
+        F.regexp_extract("file", "/t=([0-9]+)/", 1).cast("bigint").alias("t"), "row", "category", "monday", "tuesday", "friday")
+
+
+# ---------------------------------------------------------------- C16: thousands of tables transposed
+@register("transposed_tables", """
+WITH cells AS (SELECT l_orderkey, l_linenumber, unnest([0, 1, 2, 3]) AS row,
+                      unnest([CAST(l_partkey AS VARCHAR), l_returnflag, CAST(l_suppkey AS VARCHAR),
+                              CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_linestatus END]) AS value FROM lineitem),
+wide AS (SELECT l_orderkey, max(CASE WHEN l_linenumber % 3 = 0 THEN 3 ELSE 4 END) AS width FROM lineitem GROUP BY l_orderkey)
+SELECT c.l_orderkey, CAST(c.row AS BIGINT) AS row, CAST(0 AS BIGINT) AS part, list(c.value ORDER BY c.l_linenumber, c.value) AS cells
+FROM cells c JOIN wide w USING (l_orderkey) WHERE c.row < w.width GROUP BY c.l_orderkey, c.row""")
+def q_transposed_tables(spark, sf):
+    """One table an order, its lines as records of three or four cells, swapped."""
+    cells = [F.col("l_partkey").cast("string"), F.col("l_returnflag"), F.col("l_suppkey").cast("string")]
+    ragged = F.when(F.col("l_linenumber") % 3 == 0, F.array(*cells)).otherwise(F.array(*cells, F.col("l_linestatus")))
+    tables = V.table(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("row"), ragged.alias("cells"))
+    return C.transpose_tables(tables, ["l_orderkey"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Prices are read as text so that absent, null, "" and 0 stay distinguishable
@@ -105,35 +105,73 @@ def scan_usage(spark: SparkSession, path: str, glob: str = "*usage.json") -> Dat
     )
 
 
+def csv_records(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """Records of CSV files -> (file, record, text): a quoted line break does not end a record.
+
+    A line begins a record when an even number of quotes stands before it in
+    its file. Files are read as lines, split like any text; each split counts
+    its quotes on its own, for both states it may begin in, one small row a
+    split carries state and number of records over the splits before it, and a
+    join gives every line its record. So a file of any size is read by many
+    tasks and its records are still numbered from 0. ``record`` counts blank
+    lines too. A quote that never closes makes the rest of its file one record.
+    """
+    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                     F.monotonically_increasing_id().alias("line"), F.col("value")))
+    in_split = Window.partitionBy("file", "split").orderBy("line")
+    upto = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    # parity of the quotes before a line within its split; a line begins a record if the split's own parity makes that even
+    parity = F.coalesce(F.sum(quotes).over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    lines = lines.withColumn("_odd", parity)
+    lines = (lines.withColumn("_n0", F.sum((F.col("_odd") == 0).cast("long")).over(upto))
+             .withColumn("_n1", F.sum(F.col("_odd")).over(upto)))
+    splits = lines.groupBy("file", "split").agg(F.sum(quotes).alias("q"), F.max("_n0").alias("n0"), F.max("_n1").alias("n1"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    state = splits.withColumn("state", F.coalesce(F.sum("q").over(before), F.lit(0)) % 2)
+    first = state.select("file", "split", "state", F.coalesce(F.sum(F.when(F.col("state") == 0, F.col("n0")).otherwise(F.col("n1")))
+                                                              .over(before), F.lit(0)).alias("first"))
+    number = F.col("first") + F.when(F.col("state") == 0, F.col("_n0")).otherwise(F.col("_n1")) - 1
+    parts = lines.join(first, ["file", "split"]).select("file", number.alias("record"), F.struct("split", "line", "value").alias("_l"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("_l")), lambda x: x["value"]), "\n")
+    return parts.groupBy("file", "record").agg(text.alias("text")).select(
+        "file", "record", F.regexp_replace("text", r"\r$", "").alias("text"))
+
+
+def csv_cells(text) -> Column:
+    """The cells of one CSV record as an array; quotes doubled within quotes stand for one.
+
+    Splitting at the quotes leaves quoted parts at odd places. Commas outside
+    them become a mark that no part holds, then the parts are joined and cut
+    at the marks: linear in the record, without a pattern that backtracks.
+    """
+    mark, escape = "\u0001", "\u0002"
+    guarded = F.replace(F.replace(text, F.lit(escape), F.lit(escape + "b")), F.lit(mark), F.lit(escape + "a"))
+    parts = F.split(guarded, '"')
+    # an empty part between two quoted ones is a doubled quote
+    part = lambda p, i: (F.when(i % 2 == 1, p)
+                         .when((p == "") & (i > 0) & (i < F.size(parts) - 1), F.lit('"'))
+                         .otherwise(F.replace(p, F.lit(","), F.lit(mark))))
+    cells = F.split(F.array_join(F.transform(parts, part), ""), mark)
+    return F.transform(cells, lambda c: F.replace(F.replace(c, F.lit(escape + "a"), F.lit(mark)), F.lit(escape + "b"), F.lit(escape)))
+
+
 def scan_csv_table(spark: SparkSession, path: str, skip_rows: list[int] | None = None, header: bool = True,
                    glob: str = "*.csv") -> DataFrame:
     """CSV tables -> (file, row, cells ARRAY<STRING>).
 
-    Without ``skip_rows`` this is Spark's CSV reader: splittable, any file
-    size, ``row`` NULL. With ``skip_rows`` (data-row numbers counted from 0
-    after the header, so file lines 5 and 6 of a table with a header line 0
-    are data rows 4 and 5) rows must be numbered per file, so each file is
-    read as one whole text: meant for small tables such as one OCR table per
-    file. ``csv_table_columns`` picks and names a column subset.
+    ``row`` counts a file's records from 0 after the header; blank lines count
+    but give no row, as do the rows of ``skip_rows`` (file records 5 and 6 of a
+    table whose header is record 0 are rows 4 and 5). Quoted cells may hold
+    commas, doubled quotes and line breaks (``csv_records``).
+    ``csv_table_columns`` picks and names a column subset.
     """
-    if not skip_rows:
-        df = (spark.read.option("header", header).option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-              .csv(path))
-        return df.select(F.col("_metadata.file_path").alias("file"), F.lit(None).cast("bigint").alias("row"),
-                         F.array(*[F.col(f"`{c}`").cast("string") for c in df.columns]).alias("cells"))
-    files = _whole_files(spark, path, glob)
-    lines = files.select(F.col("file_path").alias("file"),
-                         F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n"))
-                         .alias("line_no", "line"))
-    # Each line is split into cells by a quote-aware pattern; a header row names the columns.
-    cell = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    cells = lines.select("file", "line_no",
-                         F.transform(F.split("line", cell), lambda c: F.regexp_replace(
-                             F.regexp_replace(c, r'^"|"$', ""), '""', '"')).alias("cells"))
-    body = cells.filter(F.col("line_no") >= (1 if header else 0)).withColumn(
-        "row", (F.col("line_no") - (1 if header else 0)).cast("bigint"))
-    body = body.filter(~F.col("row").isin(list(skip_rows)))
-    return body.select("file", "row", "cells")
+    rows = csv_records(spark, path, glob).withColumn("row", F.col("record") - (1 if header else 0)) \
+        .filter((F.col("row") >= 0) & (F.col("text") != ""))
+    if skip_rows:
+        rows = rows.filter(~F.col("row").isin(list(skip_rows)))
+    return rows.select("file", "row", csv_cells(F.col("text")).alias("cells"))
 
 
 def csv_table_columns(df: DataFrame, names: list[str], keep_cols: list[int] | None = None) -> DataFrame:

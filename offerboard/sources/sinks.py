@@ -102,4 +102,6 @@ def lines_sink(lines: DataFrame, path: str, key: str = "doc_id", pos: str = "pos
 
 
 def csv_sink(df: DataFrame, path: str, header: bool = False) -> None:
-    df.write.mode("overwrite").option("header", header).csv(path)
+    """CSV as ``scan_csv_table`` reads it: quotes doubled, blanks at a cell's ends and line breaks kept."""
+    (df.write.mode("overwrite").option("header", header).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
