@@ -743,7 +743,7 @@ CASE WHEN starts_with(href, 'http') THEN href ELSE {_SITE_BASE} || href END AS u
 def q_stream_seen_links(spark, sf):
     """E1 + E5 over a stream: per micro-batch, new urls appended to a seen table (foreachBatch)."""
     from offerboard.streaming.offers_stream import run_seen_table_stream
-    return spark.read.parquet(run_seen_table_stream(spark, sf)).select("url")
+    return run_seen_table_stream(spark, sf).urls()
 
 
 _DOC_KEY = ("event_type || '/' || strftime(CAST(ts AS DATE), '%Y-%m-%d') || '/' || "

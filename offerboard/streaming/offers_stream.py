@@ -8,23 +8,36 @@ micro-batch atomically, so a lost executor only repeats that batch.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerboard.operators.links import absolutize, extract_links, site_base
+from offerboard.operators.quality import normalize_price
+from offerboard.operators.seen import SeenUrls
 from offerboard.plans.views import offers_from_events
-from offerboard.session import materialize, shared_dir
+from offerboard.session import shared_dir
+from offerboard.sources import store, versions
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+MERGE_FROM = 16          # live batches of the seen-set that are merged into one
 
 
-def _use_rocksdb(spark: SparkSession) -> None:
-    # de-duplication state is the seen-set itself; keep it on disk, not on the heap
-    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == STATE_STORE:
-        try:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-        except Exception:
-            pass
+@contextmanager
+def _rocksdb(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB, on disk; the session's own choice holds again afterwards."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, STATE_STORE)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
 
 
 def _file_glob(sf_dir: str, table: str) -> str:
@@ -58,15 +71,15 @@ def offers_document_stream(spark: SparkSession, path: str) -> DataFrame:
 def new_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E6 in the keyed-state form: absolute links of arriving pages, each url emitted once.
 
-    ``dropDuplicates`` keeps the seen-set in the (RocksDB) state store. A url
-    found on most pages is shuffled once per occurrence here; the seen-table
-    form below pre-aggregates each micro-batch instead.
+    ``dropDuplicates`` keeps the seen-set in the state store. A url found on
+    most pages is combined first: every task sends one row per url and Arrow
+    batch to the shuffle, not one per occurrence.
     """
-    _use_rocksdb(spark)
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet").schema
-    pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(_file_glob(sf_dir, "pages"))
-    links = absolutize(extract_links(pages), site_base("url"), out="abs_url")
-    return links.select(F.col("abs_url").alias("url")).dropDuplicates(["url"])
+    def distinct(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0).unique()], names=["url"])
+
+    return page_links_stream(spark, sf_dir).mapInArrow(distinct, "url string").dropDuplicates(["url"])
 
 
 def page_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,40 +89,28 @@ def page_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return absolutize(extract_links(pages), site_base("url"), out="abs_url").select(F.col("abs_url").alias("url"))
 
 
-def seen_table_batch(seen_path: str, run: str):
-    """foreachBatch body of E1 over a stream: new urls of a micro-batch are appended to the seen table.
+def seen_table_batch(seen: SeenUrls, run: str):
+    """foreachBatch body of E1 over a stream: new urls of a micro-batch are added to the seen-set.
 
-    The batch is de-duplicated first (partial aggregation, so a url on every
-    page costs one row per task), then anti-joined with the urls of all other
-    batches. Each batch writes its own ``batch=<run>-<epoch>`` folder with
-    overwrite, so a retried batch replaces its own output instead of adding
-    twice. ``run`` names the checkpoint: one with a new checkpoint counts its
-    epochs from 0 again and must not meet the folders of an earlier one.
+    The batch is named ``<run>-<epoch>``, so a retried one replaces its own
+    output instead of adding twice. ``run`` names the checkpoint: one with a
+    new checkpoint counts its epochs from 0 again and must not meet the batches
+    of an earlier one. Every MERGE_FROM batches the small ones are merged.
     """
-    from offerboard.operators.incremental import new_links
-
     def add(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        own = f"{run}-{epoch_id}"
-        urls = batch.select("url").distinct()
-        seen = spark.read.parquet(seen_path).filter(F.col("batch") != own).select("url")
-        new_links(urls, seen).write.mode("overwrite").parquet(f"{seen_path}/batch={own}")
+        seen.add(batch, f"{run}-{epoch_id}")
+        seen.merge(f"{run}-{epoch_id}-merged", MERGE_FROM)
     return add
 
 
-def start_seen_table(spark: SparkSession, seen_path: str) -> None:
-    """An empty batch, so the first micro-batch reads an (empty) seen table."""
-    spark.range(0).select(F.lit("").alias("url")).write.mode("overwrite").parquet(f"{seen_path}/batch=start")
-
-
-def run_seen_table_stream(spark: SparkSession, sf_dir: str) -> str:
-    seen_path = shared_dir(spark, "seen-links")
+def run_seen_table_stream(spark: SparkSession, sf_dir: str) -> SeenUrls:
+    """E1 over a stream of page files; returns the seen-set."""
+    seen = SeenUrls(spark, shared_dir(spark, "seen-links"))
     ckpt = shared_dir(spark, "seen-links-checkpoint")
-    start_seen_table(spark, seen_path)
-    q = (page_links_stream(spark, sf_dir).writeStream.foreachBatch(seen_table_batch(seen_path, ckpt.rsplit("/", 1)[-1]))
+    q = (page_links_stream(spark, sf_dir).writeStream.foreachBatch(seen_table_batch(seen, ckpt.rsplit("/", 1)[-1]))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return seen_path
+    return seen
 
 
 def run_to_table(stream: DataFrame, spark: SparkSession, name: str, partition_by=()) -> str:
@@ -124,51 +125,27 @@ def run_to_table(stream: DataFrame, spark: SparkSession, name: str, partition_by
     return out
 
 
-def store_batch(store_path: str):
-    """foreachBatch body of E5: a micro-batch of offers replaces the (location, file_week) partitions it holds.
+def store_batch(store_path: str, run: str = "run"):
+    """foreachBatch body of E5: a micro-batch of offers adds its weeks to the versioned store (``sources.store``).
 
-    Within the batch only the latest run of each week is kept (E7), numbers in
-    run labels compared as numbers; a run older than the stored one changes
-    nothing, whenever it arrives. Dynamic partition overwrite makes the newer
-    version replace the older, and a retried batch rewrite the same partitions.
-    A week that a later run has emptied (``{}``) keeps one row with NULL
-    offer_key, which ``stored_offers`` leaves out.
+    The batch counts as a whole once committed. A run older than the stored
+    one changes nothing, whenever it arrives; a retried batch replaces itself.
     """
-    from offerboard.functions.text import run_order
-    from offerboard.operators.incremental import latest_per_week
-    from offerboard.operators.quality import normalize_price
-    from offerboard.sources.sinks import write_offers
-
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        spark = batch.sparkSession
-        keys = ["location", "file_week"]
-        latest = latest_per_week(batch.withColumn("run_key", run_order("run")), keys, "run_key")
-        if _has_files(spark, store_path):
-            newest = (spark.read.parquet(store_path).select(*[F.col(k).cast("string").alias(k) for k in keys], "run_key")
-                      .groupBy(*keys).agg(F.max("run_key").alias("_stored")))
-            latest = (latest.join(newest, keys, "left")
-                      .filter(F.col("_stored").isNull() | (F.col("run_key") >= F.col("_stored"))).drop("_stored"))
-        # the rows are written first: a partition is not to be overwritten by a plan that reads it
-        held = materialize(normalize_price(latest), "store-batch", spark)
-        write_offers(held, store_path)
-    return run
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        name = f"{run}-{epoch_id}"
+        store.write_batch(normalize_price(batch), store_path, name)
+        versions.commit(batch.sparkSession, store_path, name)
+    return write
 
 
 def stored_offers(spark: SparkSession, store_path: str) -> DataFrame:
     """The store's offers; weeks whose latest run was empty have none."""
-    return spark.read.parquet(store_path).filter(F.col("offer_key").isNotNull())
-
-
-def _has_files(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return store.read_store(spark, store_path)
 
 
 def run_archive_to_store(spark: SparkSession, archive: str, store_path: str, checkpoint: str) -> None:
     """E5: every offers document that has arrived in ``archive``, each once, into the partitioned store."""
-    q = (offers_document_stream(spark, archive).writeStream.foreachBatch(store_batch(store_path))
+    q = (offers_document_stream(spark, archive).writeStream.foreachBatch(store_batch(store_path, checkpoint.rstrip("/").rsplit("/", 1)[-1]))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
@@ -178,5 +155,6 @@ def run_offers_stream(spark: SparkSession, sf_dir: str) -> str:
 
 
 def run_new_links_stream(spark: SparkSession, sf_dir: str) -> str:
-    return run_to_table(new_links_stream(spark, sf_dir), spark, "new-links-stream")
+    with _rocksdb(spark):
+        return run_to_table(new_links_stream(spark, sf_dir), spark, "new-links-stream")
 

@@ -125,14 +125,6 @@ def test_store_takes_later_runs_only(spark, tmp_dir):
     assert run() == [("2024-02", "ten"), ("2024-03", "again")]
 
 
-def test_seen_table_survives_a_new_checkpoint(spark, tmp_dir):
-    seen = f"{tmp_dir}/seen"
-    ST.start_seen_table(spark, seen)
-    for run, urls in (("one", "abc"), ("two", "az"), ("two", "az")):
-        ST.seen_table_batch(seen, run)(spark.createDataFrame([(u,) for u in urls], "url string"), 0)
-    assert sorted(r.url for r in spark.read.parquet(seen).collect()) == ["a", "b", "c", "z"]
-
-
 def test_repeated_run_replaces_its_artifacts(spark, tmp_dir):
     arts = spark.createDataFrame([("x", "raw", "old"), ("y", "raw", "y")], "artifact_name string, kind string, body string")
     for _ in range(2):

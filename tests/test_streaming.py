@@ -43,7 +43,7 @@ def test_archive_stream_into_store(spark, tmp_dir):
     with open(f"{src}/loc_a/2024-02.json", "w") as f:
         json.dump({"2024-01-09": [{"desc": "B", "price": 0}]}, f)
     ST.run_archive_to_store(spark, src, store, ckpt)
-    got = {(r.file_week, r.desc, r.price_status) for r in spark.read.parquet(store).collect()}
+    got = {(r.file_week, r.desc, r.price_status) for r in ST.stored_offers(spark, store).collect()}
     assert got == {("2024-01", "A", "ok"), ("2024-01", "Z", "missing"), ("2024-02", "B", "zero")}
 
 
@@ -60,5 +60,5 @@ def test_rescraped_week_replaces_older(spark, tmp_dir):
     with open(f"{src}/loc_a/2024-03@r2.json", "w") as f:
         json.dump({"2024-01-15": [{"desc": "b", "price": 2}]}, f)
     ST.run_archive_to_store(spark, src, store, ckpt)
-    got = sorted((r.file_week, r.desc) for r in spark.read.parquet(store).collect())
+    got = sorted((r.file_week, r.desc) for r in ST.stored_offers(spark, store).collect())
     assert got == [("2024-02", "new"), ("2024-03", "b")]
