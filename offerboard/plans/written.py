@@ -13,11 +13,18 @@ from pyspark.sql import functions as F
 
 from offerboard.functions import html as H
 from offerboard.operators import align as A
+from offerboard.operators import board as B
+from offerboard.operators import links as L
 from offerboard.operators import menus as C
 from offerboard.operators import nodes as N
+from offerboard.operators.quality import normalize_price
+from offerboard.operators.seen import SeenUrls
 from offerboard.plans import views as V
-from offerboard.plans.catalog import OFFERS_CTE, chosen_documents, register
+from offerboard.plans.catalog import (
+    _D, _SITE_BASE, LINKS_CTE, LOCATIONS_CTE, OFFERS_CTE, SELECTED_CTE, _iso, chosen_documents, register,
+)
 from offerboard.session import shared_dir
+from offerboard.sources import bundle, store, versions
 from offerboard.sources import readers as R
 
 
@@ -155,3 +162,81 @@ def q_transposed_tables(spark, sf):
     ragged = F.when(F.col("l_linenumber") % 3 == 0, F.array(*cells)).otherwise(F.array(*cells, F.col("l_linestatus")))
     tables = V.table(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("row"), ragged.alias("cells"))
     return C.transpose_tables(tables, ["l_orderkey"])
+
+
+# ---------------------------------------------------------------- E1, E5: batches that commit
+@register("seen_in_batches", f"""WITH {LINKS_CTE},
+abs AS (SELECT CASE WHEN starts_with(url, 'http://') THEN 0 ELSE 1 END AS batch,
+               CASE WHEN starts_with(href, 'http') THEN href ELSE {_SITE_BASE} || href END AS url FROM links)
+SELECT url, CAST(min(batch) AS INTEGER) AS batch FROM abs GROUP BY url""")
+def q_seen_in_batches(spark, sf):
+    """Http pages as a first batch, all pages as a second; every url with the batch that found it."""
+    links = L.absolutize(L.extract_links(V.table(spark, sf, "pages")), L.site_base("url"), out="abs_url") \
+        .select(F.col("url").alias("page"), F.col("abs_url").alias("url"))
+    seen = SeenUrls(spark, shared_dir(spark, "seen"))
+    first = seen.add(links.where(F.col("page").startswith("http://")), "run-0")
+    second = seen.add(links, "run-1")
+    return first.withColumn("batch", F.lit(0)).unionByName(second.withColumn("batch", F.lit(1)))
+
+
+_RUN_WEEK = f"CAST(week({_D}) AS INTEGER) % 2"
+
+
+@register("versioned_offers", f"""
+WITH e AS (SELECT event_type AS location, {_iso(_D)} AS file_week, event_id AS pos, props, {_RUN_WEEK} AS odd FROM events)
+SELECT location, file_week, pos, CASE WHEN odd = 0 THEN 'r10' ELSE 'r9' END || ' ' || props AS "desc" FROM e
+WHERE odd = 1 OR location <> 'error'""")
+def q_versioned_offers(spark, sf):
+    """Run r2 of all weeks, r10 of the even ones (which empties one location's), r9 late, r2 once more."""
+    day = F.to_date("ts")
+    even = F.weekofyear(day) % 2 == 0
+    rows = V.offers(spark, sf).select("location", "file_week", "offer_key", "pos", "desc", "price_raw")
+    days = V.table(spark, sf, "events").select(F.col("event_id").alias("pos"), even.alias("even"))
+    rows = rows.join(days, "pos")
+    run = lambda df, r: df.withColumn("run", F.lit(r)).withColumn("desc", F.concat(F.lit(r + " "), "desc")).drop("even")
+    gone = F.col("location") == "error"
+    emptied = rows.where("even").where(gone).select("location", "file_week").distinct()
+    later = run(rows.where("even").where(~gone), "r10").unionByName(
+        emptied.withColumn("run", F.lit("r10")), allowMissingColumns=True)
+    path = shared_dir(spark, "versioned")
+    for i, batch in enumerate((run(rows, "r2"), later, run(rows, "r9"), run(rows, "r2"))):
+        store.write_batch(normalize_price(batch), path, f"run-{i}")
+        versions.commit(spark, path, f"run-{i}")
+    return store.read_store(spark, path).select("location", "file_week", "pos", "desc")
+
+
+# ---------------------------------------------------------------- A5, D10: the document in lines, rows in places
+PART = 400               # positions of a line
+
+
+@register("published_lines", f"""
+WITH {OFFERS_CTE}, {LOCATIONS_CTE},
+parts AS (SELECT location, offer_key, pos // {PART} AS part,
+                 string_agg('{{"desc":' || to_json("desc") || ',"price":' || coalesce(CAST(price AS VARCHAR), 'null') || '}}', ',' ORDER BY pos) AS meals
+          FROM offers GROUP BY ALL),
+flagged AS (SELECT *, min(part) OVER k AS first, max(part) OVER k AS last, min(offer_key) OVER (PARTITION BY location) AS first_key
+            FROM parts WINDOW k AS (PARTITION BY location, offer_key)),
+lines AS (
+  SELECT 0 AS section, NULL AS location, 0 AS kind, NULL AS offer_key, NULL AS part, '{{"locations":[' AS value
+  UNION ALL SELECT 2, NULL, 0, NULL, NULL, ']}}'
+  UNION ALL SELECT 1, location, 0, NULL, NULL, CASE WHEN location = (SELECT min(location) FROM locations) THEN '' ELSE ',' END || '{{"name":' || to_json(name)
+    || ',"link":' || to_json(link) || ',"details":' || to_json(details) || ',"offers":{{' FROM locations
+  UNION ALL SELECT 1, location, 2, NULL, NULL, '}}}}' FROM locations
+  UNION ALL SELECT 1, location, 1, offer_key, part, CASE WHEN part > first THEN ',' ELSE CASE WHEN offer_key = first_key THEN '' ELSE ',' END
+    || to_json(offer_key) || ':[' END || meals || CASE WHEN part = last THEN ']' ELSE '' END FROM flagged)
+SELECT row_number() OVER (ORDER BY section, location, kind, offer_key NULLS FIRST, part NULLS FIRST) - 1 AS position, CAST(value AS VARCHAR) AS value FROM lines""")
+def q_published_lines(spark, sf):
+    """The published document's lines, each with its place in the document."""
+    lines = bundle.bundle_lines(V.offers(spark, sf), V.locations(spark, sf), PART)
+    return B.positioned(lines, bundle.ORDER).select("position", "value")
+
+
+@register("board_positions", f"""
+WITH {OFFERS_CTE}, {SELECTED_CTE}
+SELECT row_number() OVER (ORDER BY location, section, pos) - 1 AS position, location, section, pos, "desc" FROM sel""")
+def q_board_positions(spark, sf):
+    """The day's and week's offers with their place in the display order."""
+    rows = B.board_rows(V.board_offers(spark, sf), V.BOARD_DATE).where("row_kind = 'meal'")
+    placed = B.positioned(rows, ["location", "section_rank", "row_rank", "pos"])
+    return placed.select("position", "location", F.when(F.col("section_rank") == 0, "day").otherwise("week").alias("section"), "pos",
+                         F.col("text").alias("desc"))
