@@ -15,9 +15,10 @@ from offerboard.functions.dates import WEEKDAYS, parse_period, week_label, week_
 from offerboard.functions.prices import PRICE_PATTERN, PRICE_TYPE, parse_price, split_desc_price
 from offerboard.functions.text import clean_desc, normalize_space, strip_footnotes, strip_ws
 
-# Lines that announce a closed day instead of a meal, words that
-# separate alternatives, and section names whose meals hold for the whole week.
-NOTICE_PATTERNS = ["wünsch", "kein separates", "Feiertag"]
+# Words of lines that announce a closed day instead of a meal (whole
+# words, so a Feiertagsbraten is none), words that separate alternatives, and
+# section names whose meals hold for the whole week.
+NOTICE_PATTERNS = ["wünsch(e|en|t)", "kein separates", "Feiertag(s|e|en|es)?"]
 SEPARATOR_WORDS = ["oder"]
 WEEK_SECTION_WORDS = ["täglich im Angebot", "Wochenangebot"]
 
@@ -50,7 +51,7 @@ def heading_word(line, words=tuple(WEEKDAYS)) -> Column:
 
 
 def assign_sections(lines: DataFrame, heading: Column, key: str = "doc_id", pos: str = "pos",
-                    chunk: int | None = None) -> DataFrame:
+                    chunk: int | None = None, several: Column | None = None) -> DataFrame:
     """Each line gets the last heading at or above it (``section``) and that heading's pos.
 
     Without ``chunk`` the window is one group ordered by position (right for
@@ -58,7 +59,8 @@ def assign_sections(lines: DataFrame, heading: Column, key: str = "doc_id", pos:
     is a two-phase segmented scan, so a group holding a large share of all
     rows never lands in one task: a window per (group, pos div chunk), a
     small per-chunk table that carries the last heading of earlier chunks,
-    and an equi-join that applies it.
+    and an equi-join that applies it. ``several`` may name the rows of groups
+    that have more than one chunk, where that is known; others need no carry.
     """
     df = lines.withColumn("_h", heading)
     hpos = F.when(F.col("_h").isNotNull(), F.col(pos))
@@ -72,12 +74,12 @@ def assign_sections(lines: DataFrame, heading: Column, key: str = "doc_id", pos:
     w = Window.partitionBy(key, "_chunk").orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = (df.withColumn("_ls", F.last("_h", ignorenulls=True).over(w))
              .withColumn("_lp", F.last(hpos, ignorenulls=True).over(w)))
-    ends = df.filter(F.col("_h").isNotNull()).groupBy(key, "_chunk") \
-        .agg(F.max_by(F.struct(F.col("_h").alias("h"), F.col(pos).alias("p")), F.col(pos)).alias("_e"))
-    chunks = df.select(key, "_chunk").distinct().join(ends, [key, "_chunk"], "left")
+    found = F.when(F.col("_h").isNotNull(), F.struct(F.col("_h").alias("h"), F.col(pos).alias("p")))
+    chunks = (df if several is None else df.filter(several)).groupBy(key, "_chunk") \
+        .agg(F.max_by(found, F.when(F.col("_h").isNotNull(), F.col(pos))).alias("_e"))
     before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = chunks.withColumn("_c", F.last("_e", ignorenulls=True).over(before)).select(key, "_chunk", "_c")
-    carry = carry.select(F.col(key).alias("_ck"), F.col("_chunk").alias("_cc"), "_c")
+    carry = chunks.withColumn("_c", F.last("_e", ignorenulls=True).over(before)).filter(F.col("_c").isNotNull()) \
+        .select(F.col(key).alias("_ck"), F.col("_chunk").alias("_cc"), "_c")
     # null-safe: a line without a key or position belongs to the group of such lines
     return (local.join(carry, F.col(key).eqNullSafe(F.col("_ck")) & F.col("_chunk").eqNullSafe(F.col("_cc")), "left")
             .withColumn("is_heading", F.col("_h").isNotNull())
@@ -86,17 +88,39 @@ def assign_sections(lines: DataFrame, heading: Column, key: str = "doc_id", pos:
             .drop("_h", "_chunk", "_ls", "_lp", "_c", "_ck", "_cc"))
 
 
-def flag_notices(df: DataFrame, col: str = "line", patterns=tuple(NOTICE_PATTERNS)) -> DataFrame:
-    """C11: ``is_notice`` when the text holds any notice pattern."""
-    cond = F.lit(False)
-    for p in patterns:
-        cond = cond | F.coalesce(_c(col).contains(p), F.lit(False))
-    return df.withColumn("is_notice", cond)
+def _notice(text: Column, pattern) -> Column:
+    """Whether the text holds the pattern as whole words."""
+    edge = lambda p: F.concat(F.lit(r"(^|[^\p{L}])("), p, F.lit(r")([^\p{L}]|$)"))
+    if isinstance(pattern, str):
+        return text.rlike(r"(^|[^\p{L}])(" + pattern + r")([^\p{L}]|$)")
+    return F.exists(pattern, lambda p: F.regexp_like(text, edge(p)))
+
+
+def flag_notices(df: DataFrame, col: str = "line", patterns=tuple(NOTICE_PATTERNS), price: Column | None = None) -> DataFrame:
+    """C11: ``is_notice`` when a text without a price holds a notice pattern as whole words.
+
+    ``patterns`` is a list of patterns or the name of a column that holds one
+    for each row (NULL: the usual list); ``price`` is the row's price where it
+    stands elsewhere than in the text.
+    """
+    usual = _notice(_c(col), "|".join(NOTICE_PATTERNS if isinstance(patterns, str) else patterns)) if patterns else F.lit(False)
+    if isinstance(patterns, str):
+        usual = F.when(F.col(patterns).isNull(), usual).otherwise(_notice(_c(col), F.col(patterns)))
+    own = parse_price(_c(col)) if price is None else price
+    return df.withColumn("is_notice", F.coalesce(usual, F.lit(False)) & own.isNull())
 
 
 def split_alternatives(lines: DataFrame, col: str = "line", words=tuple(SEPARATOR_WORDS)) -> DataFrame:
-    """Separator lines (``oder``) are removed; the meals around them stay in order."""
-    return lines.filter(~F.lower(_c(col)).isin([w.lower() for w in words]))
+    """Separator lines (``oder``) are removed; the meals around them stay in order.
+
+    ``words`` is a list or the name of a column that holds one for each row (NULL: the usual list).
+    """
+    if isinstance(words, str):
+        usual = F.array(*[F.lit(w) for w in SEPARATOR_WORDS])
+        hit = F.exists(F.coalesce(F.col(words), usual), lambda w: F.lower(w) == F.lower(_c(col)))
+    else:
+        hit = F.lower(_c(col)).isin([w.lower() for w in words])
+    return lines.filter(~F.coalesce(hit, F.lit(False)))
 
 
 def document_period(lines: DataFrame, key: str = "doc_id", pos: str = "pos", line: str = "line") -> DataFrame:
@@ -157,63 +181,72 @@ def cap_per_section(df: DataFrame, n: int | Column, key: str = "doc_id", section
     return df.withColumn("_k", F.row_number().over(w)).filter(n.isNull() | (F.col("_k") <= n)).drop("_k")
 
 
+# a site's rules that the text extraction reads, each a typed column
+MENU_SETTINGS = {"run_date": "date", "max_meals": "int", "all_week": "boolean", "keep_empty": "boolean", "footnotes": "boolean",
+                 "one_price": "boolean", "notices": "array<string>", "separators": "array<string>"}
+LINES_A_CHUNK = 10_000
+
+
 def extract_text_menu(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       max_meals: int | None = None, keep_empty_days: bool = True,
-                      footnotes: bool = False, settings=()) -> DataFrame:
+                      footnotes: bool = False, settings=(), chunk: int = LINES_A_CHUNK) -> DataFrame:
     """Text menu -> long offer rows.
 
     ``settings`` names columns of ``docs`` that hold a site's rules
-    (``apply_site_rules``), each winning over the argument where not NULL:
-    ``run_date`` (the week of a text without a readable period), ``max_meals``
-    (lines of a section that are meals; NULL: all), ``all_week`` (every meal goes
-    under the week key; a priced line needs no heading) and ``keep_empty``
-    (days without meals are output). Texts without a period and without a run
-    date come out of ``text_menu_rejects``.
+    (``site_settings``), each winning over the argument or the usual value
+    where not NULL: ``run_date`` (the week of a text without a readable
+    period), ``max_meals`` (lines of a section that are meals; NULL: all),
+    ``all_week`` (every meal goes under the week key; a priced line needs no
+    heading), ``keep_empty`` (days without meals are output), ``footnotes``
+    (code lists at a meal's end go), ``one_price`` (a price in the head holds
+    for meals without one; usual), ``notices`` and ``separators`` (what is no
+    meal, instead of the usual patterns and words). Texts without a period and
+    without a run date come out of ``text_menu_rejects``.
 
     Head lines (above the first weekday heading) carry the period (C2) and a
-    price valid for all meals (C6); a weekday heading opens a section (C3);
-    notices (C11) and separators (C18) are not meals; each meal takes its own
-    price or the document price. Every per-document value is a window over
-    the document's lines, so the whole extraction is one shuffle by document
-    and one sort, with no self-join.
+    price valid for all meals (C6); they are read within the text's row. A
+    weekday heading opens a section (C3), carried over chunks of lines, so a
+    text of millions of lines is the work of many tasks; notices (C11) and
+    separators (C18) are not meals; each meal takes its own price or the
+    document price.
     """
     unknown = set(settings) - set(MENU_SETTINGS)
     if unknown:
         raise ValueError(f"unknown settings {sorted(unknown)}")
+    settings = [c for c in settings if c in docs.columns]      # a known one that the texts do not have is not set
     rule = {c: F.col(c) if c in settings else F.lit(None).cast(t) for c, t in MENU_SETTINGS.items()}
     all_week = F.coalesce(rule["all_week"], F.lit(False))
-    lines = to_lines(docs, id_col, text_col, settings)
-    w = Window.partitionBy("doc_id").orderBy("pos")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    h = heading_word(F.col("line"))
-    lines = (lines.withColumn("_h", h)
-             .withColumn("is_heading", F.col("_h").isNotNull())
-             .withColumn("section", F.last("_h", ignorenulls=True).over(upto))
-             .withColumn("section_pos", F.last(F.when(F.col("_h").isNotNull(), F.col("pos")), ignorenulls=True).over(upto))
-             .withColumn("_first_h", F.min(F.when(F.col("_h").isNotNull(), F.col("pos"))).over(whole)))
-    head = F.col("_first_h").isNull() | (F.col("pos") < F.col("_first_h"))
-    lines = (lines.withColumn("_start", F.first(F.when(head, parse_period(F.col("line"))), ignorenulls=True).over(whole))
-             .withColumn("doc_price", F.first(F.when(head, parse_price(F.col("line"))), ignorenulls=True).over(whole))
-             .withColumn("week_start", week_monday(F.coalesce(F.col("_start"), rule["run_date"]))))
+    read = F.transform(F.split(F.col(text_col), r"\r?\n"), lambda x: F.struct(strip_ws(x).alias("line"), heading_word(strip_ws(x)).alias("h")))
+    texts = docs.select(F.col(id_col).alias("doc_id"), read.alias("_l"), *settings)
+    first_heading = F.array_position(F.transform("_l", lambda x: x["h"].isNotNull()), True)
+    head = F.when(first_heading > 0, F.slice("_l", F.lit(1), (first_heading - 1).cast("int"))).otherwise(F.col("_l"))
+    first = lambda f: F.get(F.filter(F.transform("_head", lambda x: f(x["line"])), lambda v: v.isNotNull()), F.lit(0))
+    texts = (texts.withColumn("_head", head).withColumn("_start", first(parse_period)).withColumn("doc_price", first(parse_price))
+             .withColumn("week_start", week_monday(F.coalesce(F.col("_start"), rule["run_date"])))
+             .withColumn("_lines", F.size("_l")).drop("_head", "_start"))
+    lines = texts.select("doc_id", "week_start", "doc_price", "_lines", *settings, F.posexplode("_l").alias("pos", "_x")) \
+        .select("doc_id", "week_start", "doc_price", "_lines", *settings, F.col("pos").cast("bigint").alias("pos"), "_x.line", F.col("_x.h").alias("_hw"))
+    lines = assign_sections(lines, F.col("_hw"), chunk=chunk, several=F.col("_lines") > chunk).drop("_hw", "_lines")
     # "Montag: Erbsensuppe 3,50 €": a heading whose tail carries a price is also that day's first meal
     tail = F.regexp_extract(F.col("line"), _HEADING, 2)
     lines = lines.withColumn("line", F.when(F.col("is_heading") & tail.rlike(PRICE_PATTERN), tail)
                              .otherwise(F.col("line"))) \
         .withColumn("_meal_heading", F.col("is_heading") & F.col("line").rlike(PRICE_PATTERN))
-    meals = split_alternatives(flag_notices(lines).filter(
+    flagged = flag_notices(lines, patterns="notices" if "notices" in settings else tuple(NOTICE_PATTERNS))
+    meals = split_alternatives(flagged.filter(
         (F.col("section").isNotNull() | (all_week & F.col("line").rlike(PRICE_PATTERN)))
         & (~F.col("is_heading") | F.col("_meal_heading")) & ~F.col("is_notice")
-        & (F.col("line") != "") & F.col("week_start").isNotNull()))
+        & (F.col("line") != "") & F.col("week_start").isNotNull()),
+        words="separators" if "separators" in settings else tuple(SEPARATOR_WORDS))
     if max_meals is not None or "max_meals" in settings:
-        # (doc_id, section_pos) windows reuse the doc_id partitioning: a sort, no new shuffle
         meals = cap_per_section(meals, F.coalesce(rule["max_meals"], F.lit(max_meals).cast("int")))
     desc, row_price = split_desc_price(F.col("line"))
     desc = clean_desc(desc)
-    if footnotes:
-        desc = strip_footnotes(desc)
+    if footnotes or "footnotes" in settings:
+        desc = F.when(F.coalesce(rule["footnotes"], F.lit(footnotes)), strip_footnotes(desc)).otherwise(desc)
+    shared = F.when(F.coalesce(rule["one_price"], F.lit(True)), F.col("doc_price"))
     meals = (meals.withColumn("desc", desc)
-             .withColumn("price", F.coalesce(row_price, F.col("doc_price")).cast(PRICE_TYPE)))
+             .withColumn("price", F.coalesce(row_price, shared).cast(PRICE_TYPE)))
     meals = route_week_offers(weekday_to_date(meals))
     if "all_week" in settings:
         meals = (meals.withColumn("key_kind", F.when(all_week, F.lit("week")).otherwise(F.col("key_kind")))
@@ -221,15 +254,11 @@ def extract_text_menu(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     out = meals.select("doc_id", "offer_key", "key_kind", "pos", "desc", "price")
     if not keep_empty_days and "keep_empty" not in settings:
         return out
-    weeks = lines.filter(F.col("week_start").isNotNull() & F.coalesce(rule["keep_empty"], F.lit(keep_empty_days))) \
+    weeks = texts.filter(F.col("week_start").isNotNull() & F.coalesce(rule["keep_empty"], F.lit(keep_empty_days))) \
         .select("doc_id", "week_start").distinct()
     return fill_weekdays(out, weeks)
 
 
-# columns of a site's rules that the text extraction reads
-MENU_SETTINGS = {"run_date": "date", "max_meals": "int", "all_week": "boolean", "keep_empty": "boolean"}
-
-
 def text_menu_rejects(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_date: str | None = None) -> DataFrame:
     """(doc_id, reason) of the texts that ``extract_text_menu`` cannot date: no period above the first heading.
 
@@ -286,7 +315,7 @@ def extract_html_menu(nodes: DataFrame, heading_tag: str = "h4", keep_empty_days
     and stay on its rows.
     """
     pairs = table_pairs(nodes, heading_tag, keep=keep).withColumnRenamed("page_id", "doc_id")
-    meals = flag_notices(pairs, "desc_cell").filter(
+    meals = flag_notices(pairs, "desc_cell", price=parse_price(F.col("price_cell"))).filter(
         (F.coalesce(F.col("desc_cell"), F.lit("")) != "") & ~F.col("is_notice") & F.col("week_start").isNotNull())
     meals = (meals.withColumn("desc", clean_desc(F.col("desc_cell")))
              .withColumn("price", parse_price(F.col("price_cell"))))
@@ -301,7 +330,7 @@ def extract_html_menu(nodes: DataFrame, heading_tag: str = "h4", keep_empty_days
 def html_menu_rejects(nodes: DataFrame, heading_tag: str = "h4") -> DataFrame:
     """(doc_id, pos, section, reason) of table rows with a text that ``extract_html_menu`` cannot date."""
     pairs = table_pairs(nodes, heading_tag).withColumnRenamed("page_id", "doc_id")
-    rows = route_week_offers(weekday_to_date(flag_notices(pairs, "desc_cell").filter(
+    rows = route_week_offers(weekday_to_date(flag_notices(pairs, "desc_cell", price=parse_price(F.col("price_cell"))).filter(
         (F.coalesce(F.col("desc_cell"), F.lit("")) != "") & ~F.col("is_notice"))))
     return rows.filter(F.col("offer_key").isNull()).select(
         "doc_id", "pos", "section", F.when(F.col("week_start").isNull(), F.lit("no period"))
@@ -451,3 +480,32 @@ def apply_site_rules(pages: DataFrame, rules: DataFrame, overrides: DataFrame |
     best = hits.groupBy(id_col).agg(F.max_by(F.struct("host", *cols), F.length("host")).alias("_r"))
     return pages.join(best, id_col, "left").select(
         *pages.columns, F.col("_r.host").alias("rule_host"), *[F.col(f"_r.{c}").alias(c) for c in cols])
+
+
+def site_settings(pages: DataFrame, layers, url: str = "url", id_col: str = "page_id", settings=None) -> DataFrame:
+    """C22 for extraction: every page with its site's settings, one typed column each (``MENU_SETTINGS``).
+
+    ``layers`` are tables keyed by ``host``, in rising precedence, each with
+    any of the settings. A host's settings hold for its sub-domains too. Of
+    the values that apply to a page, the one of the longest domain counts, and
+    among those of one domain the one of the highest layer; a NULL is no value.
+    Pages and rules meet in an equi-join on the page host's dot suffixes; one
+    aggregate per page resolves all settings.
+    """
+    from offerboard.operators.links import host_of
+    types = MENU_SETTINGS if settings is None else settings
+    rules = None
+    for level, layer in enumerate(layers):
+        unknown = set(layer.columns) - {"host", *types}
+        if unknown:
+            raise ValueError(f"unknown settings {sorted(unknown)}")
+        typed = layer.select("host", F.lit(level).alias("_level"), *[
+            (F.col(c) if c in layer.columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()])
+        rules = typed if rules is None else rules.unionByName(typed)
+    labels = F.split(F.lower(host_of(url)), r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    hits = pages.select(id_col, F.explode(suffixes).alias("host")).distinct().join(rules.withColumn("host", F.lower("host")), "host")
+    rank = F.struct(F.length("host").alias("n"), F.col("_level").alias("l"))
+    best = hits.groupBy(id_col).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in types])
+    keyed = best.withColumnRenamed(id_col, "_id")
+    return pages.join(keyed, pages[id_col].eqNullSafe(keyed["_id"]), "left").select(*[pages[c] for c in pages.columns], *[keyed[c] for c in types])

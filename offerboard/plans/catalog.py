@@ -416,8 +416,9 @@ def q_doc_lines(spark, sf):
     return C.to_lines(V.table(spark, sf, "documents"))
 
 
-_NOTICE_SQL = " OR ".join(f"contains(line, '{p}')" for p in C.NOTICE_PATTERNS)
-_SEP_SQL = ", ".join(f"'{w.lower()}'" for w in C.SEPARATOR_WORDS)
+_NOTICE_SQL = (r"(regexp_matches(line, '(^|[^\p{L}])(wünsche|wünschen|wünscht|kein separates|Feiertag|Feiertage|Feiertags|Feiertagen|Feiertages)([^\p{L}]|$)') "
+               r"AND NOT regexp_matches(line, '[0-9]+[.,][0-9][0-9]'))")
+_SEP_SQL = "'oder'"
 
 
 @register("menu_lines", f"""
@@ -790,7 +791,7 @@ FROM e WHERE event_type <> 'purchase' AND (event_type <> 'error' OR rn <= 2)
 UNION ALL SELECT doc_id, strftime(day, '%Y-%m-%d'), 'day', NULL, NULL, NULL FROM week WHERE day <> d""")
 def q_site_menus(spark, sf):
     """One extraction over texts of sites with different rules, read from columns."""
-    return C.extract_text_menu(_site_texts(spark, sf), keep_empty_days=False, settings=tuple(C.MENU_SETTINGS))
+    return C.extract_text_menu(_site_texts(spark, sf), keep_empty_days=False, settings=("run_date", "max_meals", "all_week", "keep_empty"))
 
 
 @register("text_menu_rejects", f"""SELECT DISTINCT {_DOC_KEY} AS doc_id, 'no period' AS reason FROM events

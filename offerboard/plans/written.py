@@ -23,7 +23,7 @@ from offerboard.plans import views as V
 from offerboard.plans.catalog import (
     _D, _SITE_BASE, LINKS_CTE, LOCATIONS_CTE, OFFERS_CTE, SELECTED_CTE, _iso, chosen_documents, register,
 )
-from offerboard.session import shared_dir
+from offerboard.session import literal_table, shared_dir
 from offerboard.sources import bundle, store, versions
 from offerboard.sources import readers as R
 
@@ -240,3 +240,54 @@ def q_board_positions(spark, sf):
     placed = B.positioned(rows, ["location", "section_rank", "row_rank", "pos"])
     return placed.select("position", "location", F.when(F.col("section_rank") == 0, "day").otherwise("week").alias("section"), "pos",
                          F.col("text").alias("desc"))
+
+
+# ---------------------------------------------------------------- C22 to C6, C8, C11-C13, C18: rules that extraction reads
+RULED_TEXT = """Karte {k}
+08.01.2024 – 12.01.2024
+jedes Gericht 7,90 €
+Montag – Neujahr
+Das Team wünscht allen ein gutes Jahr!
+Heute kein separates Gericht
+Dienstag
+Schnitzel {k}er Art a,g
+oder
+Feiertagsbraten {k} 8,90 €
+Suppe {k}
+Mittwoch
+Am Feiertag geschlossen
+Donnerstag
+alternativ
+Ruhetag
+Eintopf {k}er Art 2,g"""
+RULED_HOSTS = ["a.example.org", "B.example.org", "shop.example.com", "none.example.net"]
+SITE_RULES = [("example.org", True, True, None, None, None), ("example.com", None, False, False, ["Ruhetag"], ["oder", "alternativ"])]
+SITE_OVERRIDES = [("b.example.org", 2, False)]
+
+
+@register("ruled_menus", """
+WITH rows(kind, day, pos, "desc", price) AS (VALUES
+  (0, 8, NULL, NULL, NULL), (0, 9, 7, 'Schnitzel {k}er Art', 7.90), (0, 9, 9, 'Feiertagsbraten {k}', 8.90), (0, 9, 10, 'Suppe {k}', 7.90),
+  (0, 10, NULL, NULL, NULL), (0, 11, 14, 'alternativ', 7.90), (0, 11, 15, 'Ruhetag', 7.90), (0, 11, 16, 'Eintopf {k}er Art', 7.90),
+  (0, 12, NULL, NULL, NULL),
+  (1, 9, 7, 'Schnitzel {k}er Art', 7.90), (1, 9, 9, 'Feiertagsbraten {k}', 8.90), (1, 11, 14, 'alternativ', 7.90), (1, 11, 15, 'Ruhetag', 7.90),
+  (2, 8, 4, 'Das Team wünscht allen ein gutes Jahr!', NULL), (2, 8, 5, 'Heute kein separates Gericht', NULL),
+  (2, 9, 7, 'Schnitzel {k}er Art a,g', NULL), (2, 9, 9, 'Feiertagsbraten {k}', 8.90), (2, 9, 10, 'Suppe {k}', NULL),
+  (2, 10, 12, 'Am Feiertag geschlossen', NULL), (2, 11, 16, 'Eintopf {k}er Art 2,g', NULL),
+  (3, 9, 7, 'Schnitzel {k}er Art a,g', 7.90), (3, 9, 9, 'Feiertagsbraten {k}', 8.90), (3, 9, 10, 'Suppe {k}', 7.90),
+  (3, 11, 14, 'alternativ', 7.90), (3, 11, 15, 'Ruhetag', 7.90), (3, 11, 16, 'Eintopf {k}er Art 2,g', 7.90))
+SELECT CAST(o_orderkey AS BIGINT) AS doc_id, '2024-01-' || lpad(CAST(r.day AS VARCHAR), 2, '0') AS offer_key, CAST(r.pos AS BIGINT) AS pos,
+  replace(r."desc", '{k}', CAST(o_orderkey AS VARCHAR)) AS "desc", CAST(r.price AS DECIMAL(10,2)) AS price
+FROM orders JOIN rows r ON r.kind = o_orderkey % 4""")
+def q_ruled_menus(spark, sf):
+    """C22 -> C6, C8, C11-C13, C18: layered rules by domain, resolved per page, read by the extraction of its text."""
+    k = F.col("o_orderkey").cast("string")
+    host = F.element_at(F.array(*[F.lit(h) for h in RULED_HOSTS]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    pages = V.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("page_id"), F.concat(F.lit("https://"), host, F.lit("/menu")).alias("url"), filled(RULED_TEXT, k=k).alias("text"))
+    lists = "array<string>"
+    rules = literal_table(spark, SITE_RULES, [("host", "string"), ("footnotes", "boolean"), ("keep_empty", "boolean"),
+                                              ("one_price", "boolean"), ("notices", lists), ("separators", lists)])
+    overrides = literal_table(spark, SITE_OVERRIDES, [("host", "string"), ("max_meals", "int"), ("keep_empty", "boolean")])
+    ruled = C.site_settings(pages, [rules, overrides])
+    return C.extract_text_menu(ruled, "page_id", keep_empty_days=False, settings=tuple(C.MENU_SETTINGS)).drop("key_kind")
