@@ -39,6 +39,7 @@ NODE_COLUMNS = {
     "pre": "int", "post": "int", "parent_pre": "int", "depth": "int", "sib": "int", "tag": "string",
     "attrs": "map<string,string>", "own_text": "string", "string_value": "string", "text_start": "int", "text_end": "int",
     "has_text": "boolean", "page_text": "string", "start_offset": "int", "end_offset": "int",
+    "before_start": "string", "before_end": "string", "after_page": "string",
 }
 
 # Elements without content, and elements whose start closes an
@@ -74,11 +75,13 @@ class _TreeBuilder(HTMLParser):
         self.text_len = 0
         self.pre = 0
         self.post = 0
+        self.tagged = 0                      # text read before the last tag
         # offset of each line start, for turning the parser's (line, column) into offsets
         self.line_starts = [0, *accumulate(len(x) + 1 for x in html.split("\n")[:-1])]
 
     # row layout: 0 pre, 1 post, 2 parent_pre, 3 depth, 4 sib, 5 tag, 6 attrs, 7 own_text(list),
-    #             8 text_start, 9 text_end, 10 has_text, 11 start, 12 end
+    #             8 text_start, 9 text_end, 10 has_text, 11 start, 12 end,
+    #             13 text since the last tag before the start, 14 before the end (both where that text begins)
     def _offset(self) -> int:
         line, col = self.getpos()
         return self.line_starts[line - 1] + col
@@ -96,6 +99,8 @@ class _TreeBuilder(HTMLParser):
         self.post += 1
         row[9] = self.text_len
         row[12] = end
+        row[14] = self.tagged
+        self.tagged = self.text_len
         if row[10] and self.stack:
             self.rows[self.stack[-1]][10] = True
 
@@ -126,7 +131,8 @@ class _TreeBuilder(HTMLParser):
         sib = self.children[-1]
         self.children[-1] += 1
         self.rows.append([self.pre, -1, parent, len(self.stack), sib, tag, amap, [], self.text_len, -1, False,
-                          start, -1])
+                          start, -1, self.tagged, -1])
+        self.tagged = self.text_len
         self.pre += 1
         self.stack.append(len(self.rows) - 1)
         self.open.append(tag)
@@ -194,6 +200,13 @@ def _cells(name: str, rows: list[list], text: str, text_tags) -> list:
         return [list(r[6].items()) for r in rows]
     if name == "own_text":
         return ["".join(r[7]) for r in rows]
+    if name == "before_start":
+        return [text[r[13]:r[8]] for r in rows]
+    if name == "before_end":
+        return [text[r[14]:r[9]] for r in rows]
+    if name == "after_page":
+        last = max((r[9] for r in rows), default=0)
+        return [text[last:] if r[0] == 0 else None for r in rows]
     if name == "page_text":
         return [text if r[0] == 0 else None for r in rows]
     return [text[r[8]:r[9]] if text_tags is None or r[5] in text_tags else None for r in rows]
@@ -215,8 +228,10 @@ def html_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     keeps it for all), text_start/text_end (the element's span in the page
     text), has_text (some non-white-space text below), page_text (the page's
     whole text, on the row with pre 0 only), start_offset/end_offset (outer
-    HTML span in the page). Only the columns asked for are built and leave the
-    parser.
+    HTML span in the page), before_start/before_end (the text between the tag
+    before and the element's start or end) and after_page (text after the last
+    tag, on the row with pre 0). Only the columns asked for are built and leave
+    the parser.
 
     Storing every element's string value would repeat the page text once per
     nesting level; the spans give the same answers for "contains" tests

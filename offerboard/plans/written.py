@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from offerboard.functions import html as H
 from offerboard.operators import align as A
 from offerboard.operators import board as B
+from offerboard.operators import clean as K
 from offerboard.operators import links as L
 from offerboard.operators import menus as C
 from offerboard.operators import nodes as N
@@ -291,3 +292,24 @@ def q_ruled_menus(spark, sf):
     overrides = literal_table(spark, SITE_OVERRIDES, [("host", "string"), ("max_meals", "int"), ("keep_empty", "boolean")])
     ruled = C.site_settings(pages, [rules, overrides])
     return C.extract_text_menu(ruled, "page_id", keep_empty_days=False, settings=tuple(C.MENU_SETTINGS)).drop("key_kind")
+
+
+# ---------------------------------------------------------------- B15: cleaned from the node table
+DIRTY = ('<!doctype html><?pi x?><html><head><title>T {k}</title><meta name="m"><link rel="r" href="l.css"><script>var a = "<p>";</script>'
+         '<style>p > b {}</style></head><body onload="x()"><!-- no --><form action="/f"><label>L</label><input value="i"><select><option>o'
+         '</select><button>B <b>b</b></button></form><a href="java\tscript:run()" class="c" title="t&quot;{k}">A &amp; <i>{k}</i></a>'
+         '<object><param name="p"><p>in object</p></object><iframe src="i"><p>x</iframe><embed src="e"><frameset><frame></frameset>'
+         '<marquee>run</marquee><madeup id="1">own <b>tag</b></madeup><img src="/{k}.png" alt="5 < 6" width="3"><br/>1 < {k}</body></html>')
+CLEAN = ('T {k}<style>p > b {}</style><label>L</label><a href="" title="t&quot;{k}">A &amp; <i>{k}</i></a>run'
+         'own <b>tag</b><img src="/{k}.png" alt="5 &lt; 6"><br>1 &lt; {k}')
+
+
+@register("written_clean_pages", f"""
+SELECT CAST(o_orderkey AS BIGINT) AS page_id, CASE WHEN o_orderkey % 3 = 0 THEN '<p>plain ' || CAST(o_orderkey AS VARCHAR) || '</p> tail'
+  ELSE replace('{CLEAN.replace("'", "''")}', '{{k}}', CAST(o_orderkey AS VARCHAR)) END AS clean_html FROM orders""")
+def q_written_clean_pages(spark, sf):
+    """Pages that hold every element the cleaner kills, drops or keeps; a third of them hold none."""
+    k = F.col("o_orderkey").cast("string")
+    html = F.when(F.col("o_orderkey") % 3 == 0, filled("<p id='x'>plain {k}</p> tail", k=k)).otherwise(filled(DIRTY, k=k))
+    pages = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
+    return K.clean_nodes(N.html_nodes(pages, text_tags=(), columns=K.COLUMNS))
