@@ -36,22 +36,35 @@ def scan_offers_rejects(spark: SparkSession, path: str, glob: str = "[0-9]*.json
     return offers_document_rejects(_whole_files(spark, path, glob))
 
 
+def folder_value(name: str, path: str = "file_path") -> Column:
+    """The value of a ``<name>=<value>`` folder of a path; NULL without one."""
+    found = F.regexp_extract(F.col(path), f"/{name}=([^/]+)/", 1)
+    return F.nullif(F.nullif(F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B"))), F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__"))
+
+
+def location_of(path: str = "file_path") -> Column:
+    """A file's location: its ``location=`` folder, else its parent folder."""
+    return F.coalesce(folder_value("location", path), F.regexp_extract(F.col(path), r"/([^/]+)/[^/]+$", 1))
+
+
 def parse_offers_documents(files: DataFrame, keep_empty: bool = False) -> DataFrame:
     """(value, file_path) of offers documents -> one row per meal.
 
     Output: (location, file_week, run, offer_key, pos, desc, price_raw).
     Location is the parent folder. The file name is ``<week>.json``, or
     ``<week>@<run>.json`` for a later scrape of the same week (``run`` NULL
-    otherwise). An empty day (``[]``) gives one row with NULL pos/desc/price_raw;
+    otherwise). In an archive that Spark wrote, folders name all three:
+    ``location=<l>/file_week=<w>/run=<r>/<any file>``. An empty day (``[]``) gives one row with NULL pos/desc/price_raw;
     an empty document (``{}``) gives no row, or with ``keep_empty`` one row
     with NULL offer_key, which tells a store that the week has been emptied.
     Files that are not valid JSON come out of ``offers_document_rejects``.
     """
     stem = F.regexp_extract("file_path", r"/([^/]+)\.[A-Za-z]+$", 1)
+    week = folder_value("file_week")
     doc = files.select(
-        F.regexp_extract("file_path", r"/([^/]+)/[^/]+$", 1).alias("location"),
-        F.regexp_extract(stem, r"^([^@]*)", 1).alias("file_week"),
-        F.nullif(F.regexp_extract(stem, r"@(.*)$", 1), F.lit("")).alias("run"),
+        location_of("file_path").alias("location"),
+        F.coalesce(week, F.regexp_extract(stem, r"^([^@]*)", 1)).alias("file_week"),
+        F.when(week.isNotNull(), folder_value("run")).otherwise(F.nullif(F.regexp_extract(stem, r"@(.*)$", 1), F.lit(""))).alias("run"),
         F.from_json("value", OFFERS_DOC_SCHEMA).alias("doc"),
     )
     explode = F.explode_outer if keep_empty else F.explode
@@ -73,7 +86,7 @@ def scan_locations(spark: SparkSession, path: str, glob: str = "details.json") -
     """(location, name, link, details) from one metadata document per location folder."""
     return (spark.read.schema(LOCATION_SCHEMA).option("multiLine", True).option("recursiveFileLookup", True)
             .option("pathGlobFilter", glob).json(path)
-            .select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1).alias("location"),
+            .select(location_of("_metadata.file_path").alias("location"),
                     "name", "link", F.coalesce("details", F.array().cast("array<string>")).alias("details")))
 
 
@@ -86,19 +99,21 @@ def scan_usage(spark: SparkSession, path: str, glob: str = "*usage.json") -> Dat
     """Usage records of both shapes; provider and model from the file name.
 
     ``<provider>_<model>_usage.json`` names both, ``usage.json`` or
-    ``<tool>_usage.json`` name none / only the tool.
+    ``<tool>_usage.json`` name none / only the tool. Folders ``provider=``
+    and ``model=`` of an archive that Spark wrote name them instead.
     """
     df = (spark.read.schema(USAGE_SCHEMA).option("multiLine", True).option("recursiveFileLookup", True)
           .option("pathGlobFilter", glob).json(path))
     fp = F.col("_metadata.file_path")
+    named = folder_value("provider", "_metadata.file_path")
     fname = F.regexp_extract(fp, r"/([^/]+)$", 1)
     stem = F.regexp_replace(fname, r"_?usage\.json$", "")
     provider = F.nullif(F.regexp_extract(stem, r"^([^_]+)_", 1), F.lit(""))
     model = F.nullif(F.regexp_extract(stem, r"^[^_]+_(.+)$", 1), F.lit(""))
     return df.select(
-        F.regexp_extract(fp, r"/([^/]+)/[^/]+$", 1).alias("location"),
-        F.coalesce(provider, F.nullif(stem, F.lit(""))).alias("provider"),
-        model.alias("model"),
+        location_of("_metadata.file_path").alias("location"),
+        F.when(named.isNotNull(), named).otherwise(F.coalesce(provider, F.nullif(stem, F.lit("")))).alias("provider"),
+        F.when(named.isNotNull(), folder_value("model", "_metadata.file_path")).otherwise(model).alias("model"),
         "prompt_tokens", "completion_tokens", "total_tokens",
         F.col("prompt_tokens_details.cached_tokens").alias("cached_tokens"),
         F.col("completion_tokens_details.reasoning_tokens").alias("reasoning_tokens"),
