@@ -26,7 +26,8 @@ ship(__name__)
 
 BLOCK = 600_000            # postings that a block holds before it is spilled (one document may exceed it)
 PIECE = 4 << 20            # bytes of texts that are cut into terms at once (one document may exceed it)
-SHARD_ROWS = 300_000       # rows of runs that a shard merges, on average
+SHARD_POSTINGS = 1_000_000 # spilled postings that a shard merges, on average
+BATCH = 100_000            # postings that leave a shard in one batch (one term may exceed it)
 FAN_IN = 256               # runs that meet in one merge; more of them merge in several passes
 PAIRS = 1 << 21            # corrections of pairs held at once
 ONE = 1_000_000_000
@@ -198,8 +199,7 @@ def _shard(least_docs: int | None):
             keys, term, sources, counts, docs = _merged(table.filter(pa.array(groups == g)))
             if least_docs is None:
                 ends = np.r_[0, np.cumsum(np.bincount(term, minlength=len(keys)))]
-                for i in range(0, len(keys), 50_000):
-                    j = min(len(keys), i + 50_000)
+                for i, j in chunks(ends, BATCH):
                     p = slice(int(ends[i]), int(ends[j]))
                     yield _batch(keys[i:j], int(g), ends[i:j + 1] - ends[i], sources[p], counts[p], docs[p])
                 continue
@@ -207,8 +207,8 @@ def _shard(least_docs: int | None):
             keep = np.flatnonzero((np.add.reduceat(docs, first) >= least_docs)[term])
             lang_count = np.add.reduceat(counts, first)[term]
             split = [k.rpartition(b"\0")[::2] for k in keys]
-            for i in range(0, len(keep), 50_000):
-                p = keep[i:i + 50_000]
+            for i in range(0, len(keep), BATCH):
+                p = keep[i:i + BATCH]
                 names = [split[t] for t in term[p]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[0] for x in names], pa.binary()).cast(pa.string()), pa.array([x[1] for x in names], pa.binary()).cast(pa.string()),
@@ -224,7 +224,7 @@ def kept_frequencies(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     Null text, lang and source count as ''. Terms are runs of ASCII letters,
     folded to lower case, and of characters outside ASCII; kept are those of
     ``least_docs`` documents of the language. A block's memory is bounded by
-    ``block`` and one document. A shard merges SHARD_ROWS rows of runs on
+    ``block`` and one document. A shard merges SHARD_POSTINGS postings on
     average, whatever the corpus: the number of shards grows with the spilled
     runs, and a term has at most FAN_IN rows in a merge, however many runs hold it.
     """
@@ -233,8 +233,8 @@ def kept_frequencies(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                          for c, n in ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))])
     runs = stored(rows.mapInArrow(_runs(block), RUN), "runs")
     while True:
-        count, size = runs.agg(F.count_distinct("run"), F.count("*")).first()
-        shards = max(partitions(spark), -(-size // SHARD_ROWS))
+        count, size = runs.agg(F.count_distinct("run"), F.coalesce(F.sum(F.size("counts")), F.lit(0))).first()
+        shards = max(partitions(spark), -(-size // SHARD_POSTINGS))
         groups = -(-count // FAN_IN)
         grouped = runs.withColumn("run", F.pmod(F.xxhash64("run"), F.lit(groups)) if groups > 1 else F.lit(0).cast("long"))
         if groups <= 1:

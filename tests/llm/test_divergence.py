@@ -64,7 +64,8 @@ def test_against_plain_python(s, block):
 
 def test_runs_merge_in_several_passes(s, monkeypatch):
     monkeypatch.setattr(divergence, "FAN_IN", 2)
-    monkeypatch.setattr(divergence, "SHARD_ROWS", 20)
+    monkeypatch.setattr(divergence, "SHARD_POSTINGS", 20)
+    monkeypatch.setattr(divergence, "BATCH", 3)
     assert result(s, ROWS, block=9) == brute(ROWS)
 
 
