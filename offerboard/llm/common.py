@@ -155,6 +155,35 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.
     return mix(sums * down[at]), np.searchsorted(at, offsets)
 
 
+def word_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``word_hashes`` with A-Z folded, but no structure of a word makes two of them meet.
+
+    Each byte's value is multiplied by a pseudorandom number of its place in
+    the word, not by a power of one base: sums of powers modulo 2**64 vanish
+    for words built like the Thue-Morse sequence, whatever the base.
+    """
+    n = len(data)
+    if n == 0:
+        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+    _powers(1)                                   # the byte tables
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    first = np.empty(n, bool)
+    first[0] = True
+    first[1:] = space[:-1]
+    starts = offsets[:-1]
+    first[starts[starts < n]] = True
+    first &= ~space
+    at = np.flatnonzero(first)
+    if len(at) == 0:
+        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+    data = data[at[0]:]
+    length = np.diff(np.append(at, n))
+    place = np.arange(len(data), dtype=np.int64) - np.repeat(at - at[0], length)
+    by_place = mix(np.arange(1, int(length.max()) + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+    sums = np.add.reduceat(_POWERS["lower"][data] * by_place[place], at - at[0])
+    return mix(sums), np.searchsorted(at, offsets)
+
+
 def frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     """A small driver-made table (quotas, cuts) without a Python worker."""
     return spark.createDataFrame(pa.Table.from_pylist(

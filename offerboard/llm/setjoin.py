@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, mix, partitions, ship, stored, utf8, word_hashes
+from .common import chunks, mix, partitions, ship, stored, utf8, word_marks
 from .components import connected_components
 
 ship(__name__)
@@ -57,7 +57,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> t
     A text of fewer words is one shingle, its whole sequence; a text without
     words has an empty set.
     """
-    w, at = word_hashes(data, offsets, lower=True)
+    w, at = word_marks(data, offsets)
     count = np.diff(at)
     n = len(count)
     doc = np.repeat(np.arange(n), count)
