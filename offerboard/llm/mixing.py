@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from .common import frame, mix, partitions, ship, stored
 
@@ -90,6 +91,13 @@ class Mix(NamedTuple):
     cuts: DataFrame
 
 
+def whole_mark(docs: DataFrame):
+    """A hash of a row's columns; with the mark of id and text it tells rows apart that differ anywhere."""
+    nested = [f.name for f in docs.schema.fields if isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType))]
+    values = [F.to_json(F.struct(F.col(c).alias("v"))) if c in nested else F.col(c) for c in docs.columns]
+    return F.xxhash64(F.lit("whole row"), *[F.col(c).isNull() for c in docs.columns], *values)
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, most: float = 2.0,
                 block: int = BLOCK, seed: int = 7) -> Mix:
@@ -115,7 +123,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     measured = stored(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("mark")), "mix-sizes")
+        F.xxhash64(F.col(id_col), F.col(text_col)).alias("mark"), whole_mark(docs).alias("full")), "mix-sizes")
     per_source = measured.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs")).collect()
     per_source = sorted(per_source, key=lambda r: (r.source is None, (r.source or "").encode()))
     sizes = [r["size"] for r in per_source]
@@ -159,19 +167,19 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     inside = Window.partitionBy("number", "stretch").orderBy("id", "mark").rowsBetween(Window.unboundedPreceding, -1)
     placed = stored(known.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0)))
                     .join(before, ["number", "stretch"])
-                    .select("id", "mark", "number", "size", "source_size", "target", (F.col("base") + F.col("ahead")).alias("start"))
+                    .select("id", "mark", "full", "number", "size", "source_size", "target", (F.col("base") + F.col("ahead")).alias("start"))
                     .withColumn("row", F.monotonically_increasing_id()), "mix-places")
     end = F.col("start") + F.col("size")
     parts = (placed.where("size > 0")
-             .select("row", "id", "mark", "size", "number", "start", end.alias("end"),
+             .select("row", "id", "mark", "full", "size", "number", "start", end.alias("end"),
                      F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block))).alias("block"))
-             .select("row", "id", "mark", "size", "number", "block",
+             .select("row", "id", "mark", "full", "size", "number", "block",
                      (F.greatest(F.col("start"), F.col("block") * block) - F.col("start")).alias("first"),
                      (F.least(F.col("end"), (F.col("block") + 1) * block) - F.col("start")).alias("last")))
     taken = (parts.join(uses, ["number", "block"]).groupBy("row")
              .agg(F.sum((F.col("last") - F.col("first")) * F.col("uses")).alias("taken")))
     cuts = parts.join(slots.select("number", "block", "epoch"), ["number", "block"]).select(
-        "row", "id", "mark", "size", "epoch", "first", "last")
+        "row", "id", "mark", "full", "size", "epoch", "first", "last")
     result = (placed.join(taken, "row", "left")
               .select("row", F.col("id").alias(id_col), "size", "source_size", "target",
                       F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
@@ -184,22 +192,20 @@ def mixed_documents(docs: DataFrame, mix_: Mix, id_col: str = "doc_id", text_col
 
     A row taken whole keeps its text; otherwise its taken stretches follow
     each other, one a line, their words joined by blanks. ``length_col`` is
-    set to the new text's characters. Repeated rows are mixed each for itself,
-    rows without an id like all others.
+    set to the new text's characters. Rows without an id are mixed like all
+    others. Rows that are equal in every column are exchangeable: one of them
+    meets the takes of all, so no text is numbered and each one is shuffled
+    once; copies go before the shuffle, as far as they share a task.
     """
-    whole = (mix_.cuts.groupBy("row", "id", "mark", "size", "epoch")
+    takes = (mix_.cuts.groupBy("row", "mark", "full", "size", "epoch")
              .agg(F.sum(F.col("last") - F.col("first")).alias("words"),
                   F.array_sort(F.collect_list(F.struct("first", "last"))).alias("ranges"))      # blocks of one text
-             .groupBy("row", "id", "mark")
-             .agg(F.collect_list(F.struct("epoch", (F.col("words") == F.col("size")).alias("all"), "ranges")).alias("takes")))
-    order = Window.partitionBy("id", "mark")
-    takes = (whole.withColumn("nth", F.row_number().over(order.orderBy("row")))
-             .select(*[F.col(c).alias("take_" + c) for c in ("id", "mark", "nth")], "takes"))
+             .select("mark", "full", F.struct((F.col("words") == F.col("size")).alias("all"), "ranges").alias("take")))
     own = docs.columns
-    left = docs.select(F.struct(*own).alias("doc"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("mark"))
-    left = left.withColumn("nth", F.row_number().over(order.orderBy("id")))
-    same = F.col("id").eqNullSafe(F.col("take_id")) & (F.col("mark") == F.col("take_mark")) & (F.col("nth") == F.col("take_nth"))
-    rows = left.join(takes, same).select("doc", F.explode("takes").alias("take"))
+    left = docs.where(F.col(text_col).rlike(WORD)).select(
+        F.struct(*own).alias("doc"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("mark"), whole_mark(docs).alias("full"))
+    first = F.row_number().over(Window.partitionBy("mark", "full").orderBy("mark"))
+    rows = left.withColumn("nth", first).where("nth = 1").join(takes, ["mark", "full"]).select("doc", "take")
     words = F.filter(F.split(F.col("doc")[text_col], r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
     def stretch(ranges, all_words):
