@@ -28,6 +28,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerboard.session import materialize
+
 # cost of an aligned pair that differs in its price, in its description, and of a meal that one run lacks
 COSTS = {"price": 1, "desc": 3, "gap": 2}
 CELLS = 1 << 22          # cells of a cost table that is held at once; larger segments are halved first
@@ -166,26 +168,28 @@ def align_runs(a: DataFrame, b: DataFrame, keys=("location", "offer_key"), band:
     take = lambda df, run: df.where(F.col("pos").isNotNull()).select(
         *[F.col(k).alias(o) for k, o in zip(keys, own)], F.lit(run).alias("run"), F.col("pos").cast("bigint").alias("pos"),
         F.col("desc").cast("string").alias("desc"), F.col("price").cast(prices).alias("price"))
-    both = take(a, "a").unionByName(take(b, "b"))
+    both = materialize(take(a, "a").unionByName(take(b, "b")), "align-runs")
 
     # 1. anchors: one aggregate over both runs, combined before the shuffle
     count = lambda r: F.count(F.when(F.col("run") == r, 1))
     at = lambda r: F.max(F.when(F.col("run") == r, F.col("pos")))
     anchors = (both.groupBy(*own, *meal).agg(count("a").alias("n"), count("b").alias("m"), at("a").alias("pa"), at("b").alias("pb"))
                .where("n = 1 and m = 1").select(*own, "pa", "pb"))
-    ranked = running(running(anchors, own, "pa", F.lit(1), "ra", "sum", chunk), own, "pb", F.lit(1), "rb", "sum", chunk)
-    steady = ranked.where(F.abs(F.col("ra") - F.col("rb")) <= band)
+    # each step reads the one before twice (chunks and what they carry), so each is written once
+    by_a = materialize(running(materialize(anchors, "align-anchors"), own, "pa", F.lit(1), "ra", "sum", chunk), "align-ranks")
+    ranked = running(by_a, own, "pb", F.lit(1), "rb", "sum", chunk)
+    steady = materialize(ranked.where(F.abs(F.col("ra") - F.col("rb")) <= band), "align-steady")
     # 2. no anchor before it lies behind it in the other run, none behind it before
-    forth = running(steady.select(*own, "pa", "pb"), own, "pa", F.col("pb"), "most", "max", chunk, include=False)
+    forth = materialize(running(steady.select(*own, "pa", "pb"), own, "pa", F.col("pb"), "most", "max", chunk, include=False), "align-forth")
     back = running(forth.withColumn("_down", -F.col("pa")), own, "_down", -F.col("pb"), "least", "max", chunk, include=False)
-    cuts = back.where((F.col("most").isNull() | (F.col("most") < F.col("pb")))
-                      & (F.col("least").isNull() | (-F.col("least") > F.col("pb")))).select(*own, "pa", "pb")
+    cuts = materialize(back.where((F.col("most").isNull() | (F.col("most") < F.col("pb")))
+                      & (F.col("least").isNull() | (-F.col("least") > F.col("pb")))).select(*own, "pa", "pb"), "align-cuts")
     # every other meal belongs to the segment of the last cut before it
     marks = cuts.select(*own, F.lit("a").alias("run"), F.col("pa").alias("pos"), F.col("pa").alias("cut"), "pb").unionByName(
         cuts.select(*own, F.lit("b").alias("run"), F.col("pb").alias("pos"), F.col("pa").alias("cut"), "pb"))
     on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in own] + [F.col("l.run") == F.col("r.run"), F.col("l.pos") == F.col("r.pos")]
-    marked = both.alias("l").join(marks.alias("r"), on, "left").select("l.*", "r.cut", "r.pb")
-    parts = running(marked, [*own, "run"], "pos", F.col("cut"), "segment", "max", chunk)
+    marked = materialize(both.alias("l").join(marks.alias("r"), on, "left").select("l.*", "r.cut", "r.pb"), "align-marked")
+    parts = materialize(running(marked, [*own, "run"], "pos", F.col("cut"), "segment", "max", chunk), "align-parts")
     fixed = parts.where("cut is not null and run = 'a'").select(
         *own, F.col("pos").alias("a_pos"), F.col("desc").alias("a_desc"), F.col("price").alias("a_price"),
         F.col("pb").alias("b_pos"), F.col("desc").alias("b_desc"), F.col("price").alias("b_price"), F.lit("same").alias("status"))
@@ -197,14 +201,14 @@ def align_runs(a: DataFrame, b: DataFrame, keys=("location", "offer_key"), band:
     status = (F.when(F.col("b_pos").isNull(), "removed").when(F.col("a_pos").isNull(), "added")
               .when(~F.col("a_desc").eqNullSafe(F.col("b_desc")), "desc")
               .when(~F.col("a_price").eqNullSafe(F.col("b_price")), "price").otherwise("same"))
-    aligned = between.withColumn("status", status)
+    aligned = materialize(between.withColumn("status", status), "align-segments")
 
     # 4. lost here and gained there
     alone = aligned.where(F.col("status").isin("added", "removed"))
     side = F.when(F.col("status") == "added", "b").otherwise("a")
-    loose = alone.select(*own, side.alias("run"), F.coalesce("a_pos", "b_pos").alias("pos"),
+    loose = materialize(alone.select(*own, side.alias("run"), F.coalesce("a_pos", "b_pos").alias("pos"),
                          F.when(side == "a", F.col("a_desc")).otherwise(F.col("b_desc")).alias("desc"),
-                         F.when(side == "a", F.col("a_price")).otherwise(F.col("b_price")).alias("price"))
+                         F.when(side == "a", F.col("a_price")).otherwise(F.col("b_price")).alias("price")), "align-loose")
     nth = running(loose, [*own, *meal, "run"], "pos", F.lit(1), "nth", "sum", chunk)
     ends = nth.groupBy(*own, *meal, "nth").agg(*[F.max(F.when(F.col("run") == r, F.col("pos"))).alias(f"{r}_pos") for r in "ab"])
     pick = lambda r, c: F.when(F.col(f"{r}_pos").isNotNull(), F.col(c)).alias(f"{r}_{c}")
