@@ -53,15 +53,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with every personal identifier replaced by its kind; n_chars follows the text."""
     settle(spark)
-    found = pii.find_pii(docs).where(F.size("spans") > 0).select(F.col("doc_id").alias("id"), F.col("mark").alias("text_mark"), "spans")
-    found = stored(found.dropDuplicates(["id", "text_mark"]), "to-redact")
-    own = docs.columns
-    rows = docs.select(F.struct(*own).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"))
-    rows = rows.join(found, F.col("doc.doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("text_mark")), "left")
-    rows = rows.select("doc", F.size("spans") > 0, pii.redacted(F.col("doc.text"), F.col("spans")).alias("clean"))
-    return rows.select(*[F.col("clean").alias(c) if c == "text" else
-                         F.length("clean").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
-                         F.col("doc")[c].alias(c) for c in own])
+    return pii.redact_documents(docs, length_col="n_chars")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -219,6 +219,20 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     text = F.coalesce(F.col(text_col), F.lit(""))
     read = stored(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"),
                               base_spans(text).alias("base"), candidates(text).alias("cands")), "spans")
+    new = _discovered(read, rounds, seeds, confidence)
+    return (read.select("id", "mark", "base")
+            .join(new, F.col("id").eqNullSafe(F.col("new_id")) & (F.col("mark") == F.col("new_mark")), "left")
+            .select(F.col("id").alias(id_col), "mark", "base", _all_spans().alias("spans")))
+
+
+def _all_spans() -> Column:
+    """Base and new spans by kind, then start."""
+    both = F.concat("base", F.coalesce("new", F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")))
+    return F.when(F.col("new").isNull(), F.col("base")).otherwise(F.array_sort(both))
+
+
+def _discovered(read: DataFrame, rounds: int, seeds: int, confidence: float) -> DataFrame:
+    """(new_id, new_mark, new): the spans that contexts discover, of the texts that have some."""
     seen = read.select(F.explode("cands").alias("c")).select("c.kind", "c.instance", "c.seed", F.explode("c.patterns").alias("pattern"))
     good = stored(score_patterns(seen, rounds, seeds, confidence), "good")
     clear = lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
@@ -233,12 +247,32 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     first = F.aggregate("new", F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>"), lambda a, x: F.when(
         (F.size(a) == 0) | (F.get(a, F.size(a) - 1)["end"] <= x["start"]),
         F.concat(a, F.array(F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))))).otherwise(a))
-    new = stored(new.select(F.col("id").alias("new_id"), F.col("mark").alias("new_mark"), first.alias("new")), "new")
-    both = F.concat("base", F.coalesce("new", F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")))
-    return (read.select("id", "mark", "base")
-            .join(new, F.col("id").eqNullSafe(F.col("new_id")) & (F.col("mark") == F.col("new_mark")), "left")
-            .select(F.col("id").alias(id_col), "mark", "base", F.when(F.col("new").isNull(), F.col("base")).otherwise(
-                F.array_sort(both)).alias("spans")))
+    return stored(new.select(F.col("id").alias("new_id"), F.col("mark").alias("new_mark"), first.alias("new")), "new")
+
+
+def redact_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None,
+                     rounds: int = ROUNDS, seeds: int = SEEDS, confidence: float = CONFIDENCE) -> DataFrame:
+    """``docs`` with the spans of ``find_pii`` replaced in their texts; ``length_col`` follows the text.
+
+    A row and its base spans stay together, written once, so only the texts
+    that hold candidates beside them meet the discovered spans in a join; all
+    others are not shuffled. Rows stay as they are otherwise, repeated ones and
+    those without an id included.
+    """
+    own = docs.columns
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    read = stored(docs.select(F.struct(*own).alias("doc"), F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"),
+                              base_spans(text).alias("base"), candidates(text).alias("cands")), "to-redact")
+    new = _discovered(read.select("id", "mark", "base", "cands"), rounds, seeds, confidence)
+    loose = F.coalesce(F.exists("cands", lambda c: ~c["seed"]), F.lit(False))
+    known = read.where(~loose).select("doc", F.col("base").alias("spans"))
+    open_ = read.where(loose).select("doc", "id", "mark", "base")
+    met = open_.join(new, F.col("id").eqNullSafe(F.col("new_id")) & (F.col("mark") == F.col("new_mark")), "left")
+    rows = known.unionByName(met.select("doc", _all_spans().alias("spans")))
+    clean = rows.select("doc", redacted(F.col("doc")[text_col], F.col("spans")).alias("clean"))
+    return clean.select(*[F.col("clean").alias(c) if c == text_col else
+                          F.length("clean").cast(docs.schema[c].dataType).alias(c) if c == length_col else
+                          F.col("doc")[c].alias(c) for c in own])
 
 
 def joined(spans: Column) -> Column:
