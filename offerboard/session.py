@@ -61,7 +61,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not root:
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/offerboard"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if (warehouse.startswith("file:") or warehouse.startswith("/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("no shared folder: set spark.checkpoint.dir, the warehouse is a local folder of each machine")
+        root = f"{warehouse.rstrip('/')}/offerboard"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
