@@ -55,9 +55,10 @@ def clean_nodes(nodes: DataFrame, kill=KILLED, drop=DROPPED, known=KNOWN, safe=S
     """(page_id, clean_html) of every page with an element, from its nodes (``COLUMNS``).
 
     ``known=None`` keeps elements of any name that is neither killed nor
-    dropped. Two events an element, its start and its end, each bring the
-    text before them; a running count of killed elements that are open, over
-    the page's sorted events, says what is left out. Linear in the page.
+    dropped. An element is two pieces, its start and its end, each with the
+    text before it. What lies in a killed element is left out: of the killed
+    ones opened before, one closes after it. One row an element is shuffled
+    and the nodes are read once, so a page is parsed once; linear in the page.
     """
     opens = 2 * F.col("pre") - F.col("depth")
     closes = 2 * F.col("post") + F.col("depth") + 1
@@ -65,23 +66,25 @@ def clean_nodes(nodes: DataFrame, kill=KILLED, drop=DROPPED, known=KNOWN, safe=S
     kept = ~killed & ~F.col("tag").isin(*drop)
     if known is not None:
         kept = kept & F.col("tag").isin(*known)
+    bare = F.concat(F.lit("<"), F.col("tag"), F.lit(">"))
+    start = F.when(F.size("attrs") > 0, start_tag(F.col("tag"), F.col("attrs"), safe)).otherwise(bare)
     end = F.when(F.col("tag").isin(*sorted(VOID_TAGS)), F.lit("")).otherwise(F.concat(F.lit("</"), F.col("tag"), F.lit(">")))
     inner = F.when(F.col("tag").isin(*RAW_TEXT), F.col("before_end")).otherwise(escaped(F.col("before_end")))
-    step = F.when(killed, 1).otherwise(0)
-    event = lambda at, text, tag, change: F.struct(at.alias("at"), text.alias("text"), F.when(kept, tag).otherwise(F.lit("")).alias("tag"),
-                                                   change.alias("change"))
-    last = F.struct(F.lit(2**31 - 1).alias("at"), escaped(F.col("after_page")).alias("text"), F.lit("").alias("tag"), F.lit(0).alias("change"))
-    events = F.concat(
-        F.array(event(opens, escaped(F.col("before_start")), start_tag(F.col("tag"), F.col("attrs"), safe), step),
-                event(closes, inner, end, -step)),
-        F.when(F.col("pre") == 0, F.array(last)).otherwise(F.array().cast("array<struct<at:int,text:string,tag:string,change:int>>")))
-    seq = nodes.select("page_id", F.inline(events))
-    order = Window.partitionBy("page_id").orderBy("at")
-    before = F.coalesce(F.sum("change").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # a killed element's own end closes it, so what is after it counts again
-    pieces = seq.withColumn("_in", before).withColumn("piece", F.when(F.col("_in") > 0, F.lit("")).otherwise(F.concat("text", "tag"))) \
-        .filter(F.col("piece") != "")
-    whole = pieces.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("_p")) \
-        .select(F.col("page_id").alias("_id"), F.array_join(F.transform("_p", lambda p: p["piece"]), "").alias("clean_html"))
-    pages = nodes.filter(F.col("pre") == 0).select("page_id")
-    return pages.join(whole, pages["page_id"].eqNullSafe(whole["_id"]), "left").select("page_id", F.coalesce("clean_html", F.lit("")).alias("clean_html"))
+    written = nodes.select(
+        "page_id", "pre", "post", opens.alias("opens"), closes.alias("closes"), killed.alias("_killed"),
+        F.concat(escaped(F.col("before_start")), F.when(kept, start).otherwise(F.lit(""))).alias("head"),
+        # what is in a killed element goes with it
+        F.when(killed, F.lit("")).otherwise(F.concat(inner, F.when(kept, end).otherwise(F.lit("")))).alias("tail"),
+        F.when(F.col("pre") == 0, escaped(F.col("after_page"))).alias("rest"))
+    # in the order of the elements; a page that comes twice holds each of them twice, one behind the other
+    before = Window.partitionBy("page_id").orderBy("pre").rowsBetween(Window.unboundedPreceding, -1)
+    hidden = F.coalesce(F.max(F.when(F.col("_killed"), F.col("post"))).over(before) >= F.col("post"), F.lit(False))
+    piece = lambda at, text, shown: F.when(shown & (F.col(text) != ""), F.struct(at.alias("at"), F.col(text).alias("piece")))
+    shown = F.array_compact(F.array(piece(F.col("opens"), "head", ~F.col("_in")), piece(F.col("closes"), "tail", ~F.col("_in")),
+                                    piece(F.lit(2**31 - 1), "rest", F.lit(True))))
+    pieces = written.withColumn("_in", hidden).select("page_id", (F.col("pre") == 0).alias("_page"), shown.alias("_p")) \
+        .filter(F.col("_page") | (F.size("_p") > 0))
+    whole = pieces.groupBy("page_id").agg(F.count(F.when(F.col("_page"), 1)).cast("int").alias("_n"),
+                                          F.array_sort(F.flatten(F.collect_list("_p"))).alias("_p"))
+    text = F.array_join(F.transform("_p", lambda p: p["piece"]), "")
+    return whole.select("page_id", text.alias("clean_html"), F.explode(F.array_repeat(F.lit(0), F.col("_n")))).select("page_id", "clean_html")

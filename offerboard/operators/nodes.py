@@ -20,8 +20,10 @@ ancestor list: rows and windows are linear in the page, however deep it nests.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections import Counter
+from html import unescape
 from html.parser import HTMLParser
 from itertools import accumulate
 
@@ -36,7 +38,7 @@ from offerboard.functions.text import ascii_fold, normalize_space
 
 # column -> type, beside the page's own key
 NODE_COLUMNS = {
-    "pre": "int", "post": "int", "parent_pre": "int", "depth": "int", "sib": "int", "tag": "string",
+    "pre": "int", "post": "int", "parent_pre": "int", "parent_tag": "string", "depth": "int", "sib": "int", "tag": "string",
     "attrs": "map<string,string>", "own_text": "string", "string_value": "string", "text_start": "int", "text_end": "int",
     "has_text": "boolean", "page_text": "string", "start_offset": "int", "end_offset": "int",
     "before_start": "string", "before_end": "string", "after_page": "string",
@@ -57,6 +59,31 @@ TEXT_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "a", "title")
 ROWS_A_BATCH = 20_000        # node rows that leave the parser in one piece
 
 _XML_WS = " \t\r\n"
+_MAY_CLOSE = CLOSES_P | {"li", "td", "th", "tr"}
+
+# Tags in the form nearly all have: a name, attributes without a value or with a quoted one. The library's
+# tokenizer reads every other form.
+_PLAIN_START = re.compile(r"""<([a-zA-Z][a-zA-Z0-9]*)((?:[ \t\r\n\f]+[a-zA-Z_:][-a-zA-Z0-9_:.]*(?:="[^"]*"|='[^']*')?)*)[ \t\r\n\f]*(/?)>""")
+_PLAIN_ATTR = re.compile(r"""([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:="([^"]*)"|='([^']*)')?""")
+_PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)[ \t\r\n\f]*>")
+# elements whose content is no markup: their start goes through the library, which knows the rules of each
+_RAW = {*HTMLParser.CDATA_CONTENT_ELEMENTS, *getattr(HTMLParser, "RCDATA_CONTENT_ELEMENTS", ()), "plaintext"}
+_ATTRS_KEPT, _ATTRS_LEN = 4096, 300      # attribute texts that are read once for all pages, and the longest of them
+_known: dict[str, dict[str, str]] = {}
+
+
+def _read_attrs(attrs: str) -> dict[str, str]:
+    out = _known.get(attrs)
+    if out is None:
+        out = {}
+        for k, double, single in _PLAIN_ATTR.findall(attrs):
+            value = double or single
+            out.setdefault(k.lower(), unescape(value) if "&" in value else value)
+        if len(attrs) <= _ATTRS_LEN:
+            if len(_known) >= _ATTRS_KEPT:
+                _known.clear()
+            _known[attrs] = out
+    return out
 
 
 class _TreeBuilder(HTMLParser):
@@ -76,16 +103,93 @@ class _TreeBuilder(HTMLParser):
         self.pre = 0
         self.post = 0
         self.tagged = 0                      # text read before the last tag
-        # offset of each line start, for turning the parser's (line, column) into offsets
-        self.line_starts = [0, *accumulate(len(x) + 1 for x in html.split("\n")[:-1])]
+        self.at: int | None = 0              # where the tag being read starts; None: the library's position tells
+        self.line_starts: list[int] = []
 
     # row layout: 0 pre, 1 post, 2 parent_pre, 3 depth, 4 sib, 5 tag, 6 attrs, 7 own_text(list),
     #             8 text_start, 9 text_end, 10 has_text, 11 start, 12 end,
-    #             13 text since the last tag before the start, 14 before the end (both where that text begins)
+    #             13 text since the last tag before the start, 14 before the end (both where that text begins), 15 parent's tag
     def _offset(self) -> int:
+        if self.at is not None:
+            return self.at
         line, col = self.getpos()
         return self.line_starts[line - 1] + col
 
+    def feed(self, data: str) -> None:
+        """One whole page: text and plain tags are read here, any other construct by the library's method for it.
+
+        What no method can finish (markup cut off by the page's end) stays with
+        the library's own loop, which goes on from there.
+        """
+        self.rawdata, i, n = data, 0, len(data)
+        find, start_tag, end_tag = data.find, _PLAIN_START.match, _PLAIN_END.match
+        while i < n:
+            j = find("<", i)
+            if j != i:
+                text = data[i:j] if j > 0 else data[i:]
+                self.handle_data(unescape(text) if "&" in text else text)
+                if j < 0:
+                    i = n
+                    break
+                i = j
+            self.at = i
+            c = data[i + 1:i + 2]
+            if c == "/":
+                m = end_tag(data, i)
+                if m:
+                    i = m.end()
+                    tag = m[1].lower()
+                    if self.n_open[tag]:
+                        self._close(tag, self.at, i)
+                    continue
+                k = self.parse_endtag(i)
+            elif c.isascii() and c.isalpha():
+                m = start_tag(data, i)
+                if m and (tag := m[1].lower()) not in _RAW:
+                    attrs = m[2]
+                    i = m.end()
+                    self._open(tag, _read_attrs(attrs) if attrs else {}, self.at,
+                               i if m[3] or tag in VOID_TAGS else None)
+                    continue
+                k = self.parse_starttag(i)
+                if self.cdata_elem is not None:
+                    # its content, up to the end tag
+                    m = self.interesting.search(data, k)
+                    if not m:
+                        i = k
+                        break
+                    if k < m.start():
+                        if getattr(self, "_escapable", False):
+                            i = k
+                            break
+                        self.handle_data(data[k:m.start()])
+                    i = self.at = m.start()
+                    k = self.parse_endtag(i)
+                    if k >= 0 and self.cdata_elem is not None:
+                        i = k
+                        break
+            elif c == "!":
+                k = self.parse_comment(i) if data.startswith("<!--", i) else self.parse_html_declaration(i)
+            elif c == "?":
+                k = self.parse_pi(i)
+            elif c:
+                self.handle_data("<")
+                k = i + 1
+            else:
+                break
+            if k < 0:
+                break
+            i = k
+        if i < n:
+            # offset of each line start, for turning the library's (line, column) into offsets
+            self.line_starts = [0, *accumulate(len(x) + 1 for x in data.split("\n")[:-1])]
+            self.at = None
+            self.updatepos(0, i)
+            self.rawdata = data[i:]
+            self.goahead(0)
+        else:
+            self.rawdata = ""
+
     def parse_marked_section(self, i, report=1):
         # "<![foo[x]]>" outside of foreign content is a comment up to the next ">"
         return self.parse_bogus_comment(i)
@@ -123,24 +227,28 @@ class _TreeBuilder(HTMLParser):
 
     def _start(self, tag: str, attrs, self_closing: bool) -> None:
         start = self._offset()
-        self._implicit_close(tag, start)
         amap: dict[str, str] = {}
         for k, v in attrs:
             amap.setdefault(k.lower(), "" if v is None else v)
-        parent = self.rows[self.stack[-1]][0] if self.stack else -1
-        sib = self.children[-1]
+        empty = self_closing or tag in VOID_TAGS
+        self._open(tag, amap, start, start + len(self.get_starttag_text() or "") if empty else None)
+
+    def _open(self, tag: str, amap: dict[str, str], start: int, end: int | None) -> None:
+        """A new element; ``end`` is where its start tag ends if it has no content."""
+        if tag in _MAY_CLOSE and self.open:
+            self._implicit_close(tag, start)
+        rows, stack = self.rows, self.stack
+        self.n_open[tag] += 1
+        rows.append([self.pre, -1, rows[stack[-1]][0] if stack else -1, len(stack), self.children[-1], tag, amap, [], self.text_len, -1, False,
+                     start, -1, self.tagged, -1, self.open[-1] if stack else None])
         self.children[-1] += 1
-        self.rows.append([self.pre, -1, parent, len(self.stack), sib, tag, amap, [], self.text_len, -1, False,
-                          start, -1, self.tagged, -1])
         self.tagged = self.text_len
         self.pre += 1
-        self.stack.append(len(self.rows) - 1)
+        stack.append(len(rows) - 1)
         self.open.append(tag)
-        self.n_open[tag] += 1
         self.children.append(0)
-        if self_closing or tag in VOID_TAGS:
-            text = self.get_starttag_text() or ""
-            self._close_top(start + len(text))
+        if end is not None:
+            self._close_top(end)
 
     def handle_starttag(self, tag, attrs):
         self._start(tag, attrs, False)
@@ -153,12 +261,13 @@ class _TreeBuilder(HTMLParser):
             return
         pos = self._offset()
         gt = self.html.find(">", pos)
-        end = len(self.html) if gt < 0 else gt + 1
-        while self.stack:
-            top = self.rows[self.stack[-1]][5]
-            self._close_top(end if top == tag else pos)
-            if top == tag:
-                break
+        self._close(tag, pos, len(self.html) if gt < 0 else gt + 1)
+
+    def _close(self, tag: str, pos: int, end: int) -> None:
+        """The innermost open ``tag`` ends, and all within it where its end tag starts."""
+        while self.open[-1] != tag:
+            self._close_top(pos)
+        self._close_top(end)
 
     def handle_data(self, data):
         self.chunks.append(data)
@@ -193,7 +302,7 @@ def parse_nodes(html: str, text_tags=TEXT_TAGS) -> tuple[list[list], str]:
 def _cells(name: str, rows: list[list], text: str, text_tags) -> list:
     """One column of a page's node rows."""
     at = {"pre": 0, "post": 1, "parent_pre": 2, "depth": 3, "sib": 4, "tag": 5, "text_start": 8, "text_end": 9,
-          "has_text": 10, "start_offset": 11, "end_offset": 12}
+          "has_text": 10, "start_offset": 11, "end_offset": 12, "parent_tag": 15}
     if name in at:
         return [r[at[name]] for r in rows]
     if name == "attrs":
@@ -222,8 +331,8 @@ def html_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     """B1: one row per element of every page.
 
     Columns: page_id (of the pages' own type), the pages' columns named by
-    ``keys``, and those of ``columns``: pre, post, parent_pre, depth, sib
-    (element index among siblings), tag, attrs, own_text (direct text),
+    ``keys``, and those of ``columns``: pre, post, parent_pre, parent_tag, depth,
+    sib (element index among siblings), tag, attrs, own_text (direct text),
     string_value (XPath ``string(.)``, kept for ``text_tags`` only; ``None``
     keeps it for all), text_start/text_end (the element's span in the page
     text), has_text (some non-white-space text below), page_text (the page's
@@ -246,7 +355,7 @@ def html_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
 
     def parse(batches):
         for b in batches:
-            first, count, held = 0, [], [[] for _ in columns]
+            first, count, held, n = 0, [], [[] for _ in columns], 0
 
             def flush():
                 repeat = pa.array([i for i, n in enumerate(count, first) for _ in range(n)], pa.int64())
@@ -262,10 +371,11 @@ def html_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
                     count[i - first] += len(part)
                     for v, c in zip(held, columns):
                         v += _cells(c, part, text, tags)
-                    if sum(count) >= ROWS_A_BATCH:
+                    n += len(part)
+                    if n >= ROWS_A_BATCH:
                         yield flush()
-                        first, count, held = i, [], [[] for _ in columns]
-            if sum(count):
+                        first, count, held, n = i, [], [[] for _ in columns], 0
+            if n:
                 yield flush()
 
     kind = lambda c: pages.schema[c].dataType.simpleString()
