@@ -222,10 +222,10 @@ def extract_text_menu(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     head = F.when(first_heading > 0, F.slice("_l", F.lit(1), (first_heading - 1).cast("int"))).otherwise(F.col("_l"))
     first = lambda f: F.get(F.filter(F.transform("_head", lambda x: f(x["line"])), lambda v: v.isNotNull()), F.lit(0))
     texts = (texts.withColumn("_head", head).withColumn("_start", first(parse_period)).withColumn("doc_price", first(parse_price))
-             .withColumn("week_start", week_monday(F.coalesce(F.col("_start"), rule["run_date"])))
-             .withColumn("_lines", F.size("_l")).drop("_head", "_start"))
-    lines = texts.select("doc_id", "week_start", "doc_price", "_lines", *settings, F.posexplode("_l").alias("pos", "_x")) \
-        .select("doc_id", "week_start", "doc_price", "_lines", *settings, F.col("pos").cast("bigint").alias("pos"), "_x.line", F.col("_x.h").alias("_hw"))
+             .withColumn("week_start", week_monday(F.coalesce(F.col("_start"), rule["run_date"]))).drop("_head", "_start"))
+    # outer: otherwise the planner adds a filter that reads each text a second time, below any shuffle
+    lines = texts.select("doc_id", "week_start", "doc_price", "_lines", *settings, F.posexplode_outer("_l").alias("pos", "_x")) \
+        .filter(F.col("pos").isNotNull()).select("doc_id", "week_start", "doc_price", "_lines", *settings, F.col("pos").cast("bigint").alias("pos"), "_x.line", F.col("_x.h").alias("_hw"))
     lines = assign_sections(lines, F.col("_hw"), chunk=chunk, several=F.col("_lines") > chunk).drop("_hw", "_lines")
     # "Montag: Erbsensuppe 3,50 €": a heading whose tail carries a price is also that day's first meal
     tail = F.regexp_extract(F.col("line"), _HEADING, 2)
@@ -284,10 +284,12 @@ HTML_MENU_COLUMNS = ("pre", "parent_pre", "sib", "tag", "own_text", "string_valu
 def table_pairs(nodes: DataFrame, heading_tag: str = "h4", cell_tags=("td", "th"), keep=()) -> DataFrame:
     """C9 (+ C2): HTML table rows -> (page_id, pos, section, week_start, desc_cell, price_cell, page columns of ``keep``).
 
-    One window over each page's nodes in document order gives every node the
-    last heading above it and the page's first period; the row pivot then
-    groups cells by their row, which the page partitioning already clusters,
-    so node data is shuffled once.
+    Headings, cells and elements whose own text holds a period matter; their
+    texts are read before the shuffle, the other nodes and texts stay behind.
+    One window over what is left of each page, in document order, gives every
+    cell the last heading above it and the page's first period; the row pivot
+    then groups cells by their row, which the page partitioning already
+    clusters, so it is shuffled once.
     """
     w = Window.partitionBy("page_id").orderBy("pre")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -295,14 +297,19 @@ def table_pairs(nodes: DataFrame, heading_tag: str = "h4", cell_tags=("td", "th"
     text = normalize_space(F.col("string_value"))
     # "Dienstag, 02.01." is the section Dienstag
     named = F.coalesce(heading_word(text), text)
-    marked = (nodes.withColumn("_heading", F.when(F.col("tag") == heading_tag, named))
-              .withColumn("section", F.last("_heading", ignorenulls=True).over(upto))
-              .withColumn("_start", F.first(parse_period(normalize_space(F.col("own_text"))), ignorenulls=True).over(whole)))
-    cells = marked.filter(F.col("tag").isin(list(cell_tags)))
+    is_head, is_cell = F.col("tag") == heading_tag, F.col("tag").isin(list(cell_tags))
+    # no period without a digit and a dot; most elements have neither
+    period = F.when(F.col("own_text").rlike(r"[0-9]\."), parse_period(normalize_space(F.col("own_text"))))
+    read = nodes.filter(is_cell | is_head | period.isNotNull()).select(
+        "page_id", "pre", "parent_pre", "sib", *keep, is_cell.alias("_cell"), F.when(is_cell, text).alias("_text"),
+        F.when(is_head, named).alias("_heading"), period.alias("_period"))
+    marked = (read.withColumn("section", F.last("_heading", ignorenulls=True).over(upto))
+              .withColumn("_start", F.first("_period", ignorenulls=True).over(whole)))
+    cells = marked.filter(F.col("_cell"))
     rows = cells.groupBy("page_id", F.col("parent_pre").alias("pre")).agg(
         *[F.first(k).alias(k) for k in keep], F.first("section").alias("section"), F.first("_start").alias("_start"),
-        F.max(F.when(F.col("sib") == 0, normalize_space(F.col("string_value")))).alias("desc_cell"),
-        F.max(F.when(F.col("sib") == 1, normalize_space(F.col("string_value")))).alias("price_cell"))
+        F.max(F.when(F.col("sib") == 0, F.col("_text"))).alias("desc_cell"),
+        F.max(F.when(F.col("sib") == 1, F.col("_text"))).alias("price_cell"))
     return rows.select("page_id", F.col("pre").cast("bigint").alias("pos"), "section",
                        week_monday(F.col("_start")).alias("week_start"), "desc_cell", "price_cell", *keep)
 
