@@ -14,6 +14,7 @@ from pyspark.sql import Window
 from offerboard.functions.dates import WEEKDAYS, parse_period, week_label, week_monday
 from offerboard.functions.prices import PRICE_PATTERN, PRICE_TYPE, parse_price, split_desc_price
 from offerboard.functions.text import clean_desc, normalize_space, strip_footnotes, strip_ws
+from offerboard.session import materialize
 
 # Words of lines that announce a closed day instead of a meal (whole
 # words, so a Feiertagsbraten is none), words that separate alternatives, and
@@ -36,7 +37,8 @@ def to_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
     """(doc_id, pos, line, kept columns) for every line of every text, line trimmed."""
     # trimmed inside the array, so later predicates read one computed value per line
     lines = F.transform(F.split(F.col(text_col), r"\r?\n"), strip_ws)
-    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(lines).alias("pos", "line"), *keep) \
+    # outer: otherwise the planner adds a filter that works out each list a second time, below any shuffle
+    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode_outer(lines).alias("pos", "line"), *keep).filter(F.col("pos").isNotNull()) \
         .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "line", *keep)
 
 
@@ -158,8 +160,8 @@ def route_week_offers(df: DataFrame, section: str = "section", day: str = "day",
 def fill_weekdays(meals: DataFrame, weeks: DataFrame, key: str = "doc_id", monday: str = "week_start",
                   n_days: int = 5, keep=()) -> DataFrame:
     """Every Monday..Friday key exists; a day without meals is one row with NULL pos (and the weeks' ``keep``)."""
-    spine = weeks.select(key, *keep, F.explode(F.sequence(F.col(monday), F.date_add(F.col(monday), n_days - 1)))
-                         .alias("_d")).select(key, *keep, F.lit("day").alias("key_kind"),
+    spine = weeks.select(key, *keep, F.explode_outer(F.sequence(F.col(monday), F.date_add(F.col(monday), n_days - 1)))
+                         .alias("_d")).filter(F.col("_d").isNotNull()).select(key, *keep, F.lit("day").alias("key_kind"),
                                               F.date_format("_d", "yyyy-MM-dd").alias("offer_key"))
     present = meals.select(key, "key_kind", "offer_key").distinct()
     missing = spine.join(present, [key, "key_kind", "offer_key"], "left_anti")
@@ -217,7 +219,7 @@ def extract_text_menu(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rule = {c: F.col(c) if c in settings else F.lit(None).cast(t) for c, t in MENU_SETTINGS.items()}
     all_week = F.coalesce(rule["all_week"], F.lit(False))
     read = F.transform(F.split(F.col(text_col), r"\r?\n"), lambda x: F.struct(strip_ws(x).alias("line"), heading_word(strip_ws(x)).alias("h")))
-    texts = docs.select(F.col(id_col).alias("doc_id"), read.alias("_l"), *settings)
+    texts = docs.select(F.col(id_col).alias("doc_id"), read.alias("_l"), F.size(F.split(F.col(text_col), r"\r?\n")).alias("_lines"), *settings)
     first_heading = F.array_position(F.transform("_l", lambda x: x["h"].isNotNull()), True)
     head = F.when(first_heading > 0, F.slice("_l", F.lit(1), (first_heading - 1).cast("int"))).otherwise(F.col("_l"))
     first = lambda f: F.get(F.filter(F.transform("_head", lambda x: f(x["line"])), lambda v: v.isNotNull()), F.lit(0))
@@ -254,9 +256,9 @@ def extract_text_menu(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     out = meals.select("doc_id", "offer_key", "key_kind", "pos", "desc", "price")
     if not keep_empty_days and "keep_empty" not in settings:
         return out
-    weeks = texts.filter(F.col("week_start").isNotNull() & F.coalesce(rule["keep_empty"], F.lit(keep_empty_days))) \
-        .select("doc_id", "week_start").distinct()
-    return fill_weekdays(out, weeks)
+    weeks = texts.select("doc_id", F.when(F.coalesce(rule["keep_empty"], F.lit(keep_empty_days)), F.col("week_start")).alias("week_start")).distinct()
+    # read twice, as output and as the days that have meals
+    return fill_weekdays(materialize(out, "menu-meals"), weeks)
 
 
 def text_menu_rejects(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_date: str | None = None) -> DataFrame:
@@ -511,7 +513,7 @@ def site_settings(pages: DataFrame, layers, url: str = "url", id_col: str = "pag
         rules = typed if rules is None else rules.unionByName(typed)
     labels = F.split(F.lower(host_of(url)), r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    hits = pages.select(id_col, F.explode(suffixes).alias("host")).distinct().join(rules.withColumn("host", F.lower("host")), "host")
+    hits = pages.select(id_col, F.explode_outer(suffixes).alias("host")).distinct().join(rules.withColumn("host", F.lower("host")), "host")
     rank = F.struct(F.length("host").alias("n"), F.col("_level").alias("l"))
     best = hits.groupBy(id_col).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in types])
     keyed = best.withColumnRenamed(id_col, "_id")
