@@ -25,6 +25,13 @@ SQL_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
+# Settings of the table queries: a shuffled task's share stays small however large the input is. Up to
+# 200 shares a map task needs no sort of its own (``spark.shuffle.sort.bypassMergeThreshold``).
+TASK_CONF = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "200",
+}
+
 
 def get_spark(master: str | None = None, app: str = "offerboard",
               shuffle_partitions: int | None = None, shared: str | None = None) -> SparkSession:
@@ -46,8 +53,8 @@ def get_spark(master: str | None = None, app: str = "offerboard",
     return spark
 
 
-def apply_conf(spark: SparkSession) -> SparkSession:
-    for k, v in SQL_CONF.items():
+def apply_conf(spark: SparkSession, more=None) -> SparkSession:
+    for k, v in {**SQL_CONF, **(more or {})}.items():
         spark.conf.set(k, v)
     return spark
 
