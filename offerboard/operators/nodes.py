@@ -394,15 +394,18 @@ def word_occurrences(nodes: DataFrame, words, fold: bool = True) -> DataFrame:
 
     Each page text is paired with each word (a literal array, exploded), split
     on the word, and the piece lengths summed in a window over that page and
-    word give the offsets. One pass for all words; exact across tag
-    boundaries, because the page text is the concatenation of all text nodes.
+    word give the offsets; a word that the text does not hold brings no
+    row. One pass for all words; exact across tag boundaries, because the page
+    text is the concatenation of all text nodes.
     """
     text = page_texts(nodes)
     t = ascii_fold(F.col("page_text")) if fold else F.col("page_text")
-    ws = F.array(*[F.struct(F.lit(_regex_literal(w)).alias("pattern"), F.lit(len(w)).alias("len")) for w in words])
-    pairs = text.select("page_id", t.alias("_t"), F.explode(ws).alias("_w"))
+    ws = F.array(*[F.struct(F.lit(_regex_literal(w)).alias("pattern"), F.lit(len(w)).alias("len"), F.lit(w).alias("word")) for w in words])
+    held = lambda w: F.contains(F.col("_t"), w["word"])
+    # outer: otherwise the planner adds a filter that works out each list a second time
+    pairs = text.select("page_id", t.alias("_t")).select("page_id", "_t", F.explode_outer(F.filter(ws, held)).alias("_w")).filter(F.col("_w").isNotNull())
     pieces = pairs.select("page_id", F.col("_w.pattern").alias("_pat"), F.col("_w.len").alias("_len"),
-                          F.posexplode(F.split(F.col("_t"), F.col("_w.pattern"), -1)).alias("k", "piece"))
+                          F.posexplode_outer(F.split(F.col("_t"), F.col("_w.pattern"), -1)).alias("k", "piece"))
     by_word = Window.partitionBy("page_id", "_pat")
     upto = by_word.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     occ = (pieces.withColumn("_start", F.sum(F.length("piece") + F.col("_len")).over(upto) - F.col("_len"))
@@ -431,7 +434,8 @@ def elements_containing(nodes: DataFrame, words, fold: bool = True) -> DataFrame
     occ = word_occurrences(nodes, words, fold).select(
         "page_id", F.col("occ_start").alias("_p"), F.lit(1).alias("_kind"), F.col("occ_end").alias("_occ_end"),
         *[F.lit(None).cast("int").alias(c) for c in own])
-    el = nodes.select("page_id", F.col("text_start").alias("_p"), F.lit(0).alias("_kind"),
+    # an element without text holds no word
+    el = (nodes.filter(F.col("text_end") > F.col("text_start")) if all(words) else nodes).select("page_id", F.col("text_start").alias("_p"), F.lit(0).alias("_kind"),
                       F.lit(None).cast("int").alias("_occ_end"), *own)
     w = (Window.partitionBy("page_id").orderBy(F.col("_p").desc(), F.col("_kind").desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
