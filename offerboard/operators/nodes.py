@@ -538,25 +538,24 @@ def links_in_first_section(nodes: DataFrame, container: str = "section", link_ta
         .select("page_id", "pre", "href")
 
 
-def _parents(nodes: DataFrame, is_child: Column, is_parent: Column) -> DataFrame:
-    """Elements with a child of one kind: a child marks its parent's key, one aggregate meets mark and element."""
-    mark = lambda pre, tag, hit: F.struct(pre.alias("pre"), tag.alias("tag"), F.lit(hit).alias("hit"))
-    nothing = F.array().cast("array<struct<pre:int,tag:string,hit:boolean>>")
-    marks = F.concat(F.when(is_parent, F.array(mark(F.col("pre"), F.col("tag"), False))).otherwise(nothing),
-                     F.when(is_child, F.array(mark(F.col("parent_pre"), F.lit(None).cast("string"), True))).otherwise(nothing))
-    return (nodes.select("page_id", F.inline(marks)).groupBy("page_id", "pre")
-            .agg(F.max("tag").alias("tag"), F.max("hit").alias("_hit"))
-            .filter(F.col("_hit") & F.col("tag").isNotNull()).select("page_id", "pre", "tag"))
+def _parents(nodes: DataFrame, is_child: Column, parent_tag: str | None = None) -> DataFrame:
+    """Distinct parents of the elements of one kind; a child's row names its parent, so no other row is shuffled."""
+    child = nodes.filter(is_child)
+    if "parent_tag" not in nodes.columns:
+        own = nodes.select(F.col("page_id").alias("_id"), F.col("pre").alias("_pre"), F.col("tag").alias("parent_tag"))
+        child = child.join(own, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("parent_pre") == F.col("_pre")))
+    named = F.col("parent_tag").isNotNull() if parent_tag is None else F.col("parent_tag") == parent_tag
+    return child.filter(named).select("page_id", F.col("parent_pre").alias("pre"), F.col("parent_tag").alias("tag")).distinct()
 
 
 def parents_of_tag(nodes: DataFrame, tag: str, parent_tag: str | None = None) -> DataFrame:
     """Distinct parents (of ``parent_tag``, or any) of ``tag`` elements -> (page_id, pre, tag)."""
-    return _parents(nodes, F.col("tag") == tag, F.lit(True) if parent_tag is None else F.col("tag") == parent_tag)
+    return _parents(nodes, F.col("tag") == tag, parent_tag)
 
 
 def parents_of_class(nodes: DataFrame, tag: str, class_sub: str) -> DataFrame:
     """``//tag[contains(@class, sub)]/parent::*`` -> (page_id, pre, tag)."""
-    return _parents(nodes, (F.col("tag") == tag) & _attr_contains("class", class_sub), F.lit(True))
+    return _parents(nodes, (F.col("tag") == tag) & _attr_contains("class", class_sub))
 
 
 def nth_block(blocks: DataFrame, n: int) -> DataFrame:

@@ -351,7 +351,7 @@ def q_page_artifacts(spark, sf):
 
 
 # Node-table queries (B1, B6, B8-B13, B18) on the driver's pages: no SQL oracle; on written pages they have one.
-_PLACE = ("pre", "post", "parent_pre", "depth", "tag")
+_PLACE = ("pre", "post", "parent_pre", "parent_tag", "depth", "tag")
 
 
 def _nodes(spark, sf, columns=_PLACE):
