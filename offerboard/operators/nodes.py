@@ -108,7 +108,7 @@ class _TreeBuilder(HTMLParser):
 
     # row layout: 0 pre, 1 post, 2 parent_pre, 3 depth, 4 sib, 5 tag, 6 attrs, 7 own_text(list),
     #             8 text_start, 9 text_end, 10 has_text, 11 start, 12 end,
-    #             13 text since the last tag before the start, 14 before the end (both where that text begins), 15 parent's tag
+    #             13 text since the last tag before the start, 14 before the end (both where that text begins)
     def _offset(self) -> int:
         if self.at is not None:
             return self.at
@@ -240,7 +240,7 @@ class _TreeBuilder(HTMLParser):
         rows, stack = self.rows, self.stack
         self.n_open[tag] += 1
         rows.append([self.pre, -1, rows[stack[-1]][0] if stack else -1, len(stack), self.children[-1], tag, amap, [], self.text_len, -1, False,
-                     start, -1, self.tagged, -1, self.open[-1] if stack else None])
+                     start, -1, self.tagged, -1])
         self.children[-1] += 1
         self.tagged = self.text_len
         self.pre += 1
@@ -299,14 +299,17 @@ def parse_nodes(html: str, text_tags=TEXT_TAGS) -> tuple[list[list], str]:
     return b.finish()
 
 
-def _cells(name: str, rows: list[list], text: str, text_tags) -> list:
-    """One column of a page's node rows."""
+def _cells(name: str, rows: list[list], text: str, text_tags, page=None) -> list:
+    """One column of a page's node rows (``page``: all rows of the page, if these are a part of them)."""
     at = {"pre": 0, "post": 1, "parent_pre": 2, "depth": 3, "sib": 4, "tag": 5, "text_start": 8, "text_end": 9,
-          "has_text": 10, "start_offset": 11, "end_offset": 12, "parent_tag": 15}
+          "has_text": 10, "start_offset": 11, "end_offset": 12}
     if name in at:
         return [r[at[name]] for r in rows]
     if name == "attrs":
         return [list(r[6].items()) for r in rows]
+    if name == "parent_tag":
+        page = rows if page is None else page
+        return [page[r[2]][5] if r[2] >= 0 else None for r in rows]
     if name == "own_text":
         return ["".join(r[7]) for r in rows]
     if name == "before_start":
@@ -370,7 +373,7 @@ def html_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
                     count += [0] * (i + 1 - first - len(count))
                     count[i - first] += len(part)
                     for v, c in zip(held, columns):
-                        v += _cells(c, part, text, tags)
+                        v += _cells(c, part, text, tags, rows)
                     n += len(part)
                     if n >= ROWS_A_BATCH:
                         yield flush()
